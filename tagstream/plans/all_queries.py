@@ -1,3 +1,4 @@
 """Import every module that registers queries."""
 
 from tagstream.plans import registry  # noqa: F401
+from tagstream.plans import series_queries  # noqa: F401

@@ -60,3 +60,101 @@ def agg1_rollup_1h(spark, sf_dir):
     return h.select(txt("hour").alias("hour"), "tag_name", r6("avg_val").alias("avg_val"),
                     r6("max_val").alias("max_val"), r6("min_val").alias("min_val"),
                     "samples", "year", "month", "day")
+
+
+@register("agg1_rollup_1h_device", f"""
+WITH r AS ({R})
+SELECT {dtxt("date_trunc('hour', ts)")} AS hour, device_id, tag_name,
+       round(avg(value), 6) AS avg_val, round(max(value), 6) AS max_val,
+       round(min(value), 6) AS min_val, count(*) AS samples
+FROM r WHERE value IS NOT NULL AND NOT isnan(value)
+GROUP BY 1, 2, 3
+""")
+def agg1_rollup_1h_device(spark, sf_dir):
+    h = ru.rollup_1h(fx.readings(spark, sf_dir), keys=("device_id", "tag_name"))
+    return h.select(txt("hour").alias("hour"), "device_id", "tag_name",
+                    r6("avg_val").alias("avg_val"), r6("max_val").alias("max_val"),
+                    r6("min_val").alias("min_val"), "samples")
+
+
+_HOURLY_SQL = f"""
+h AS (SELECT date_trunc('hour', ts) AS hour, tag_name, avg(value) AS avg_val,
+             max(value) AS max_val, min(value) AS min_val, count(*) AS samples
+      FROM ({R}) r WHERE value IS NOT NULL AND NOT isnan(value) GROUP BY 1, 2)"""
+
+
+def _daily_sql(avg_expr: str) -> str:
+    return f"""
+WITH {_HOURLY_SQL}
+SELECT {dtxt("date_trunc('day', hour)")} AS day_ts, tag_name,
+       round({avg_expr}, 6) AS avg_val, round(max(max_val), 6) AS max_val,
+       round(min(min_val), 6) AS min_val, CAST(sum(samples) AS BIGINT) AS samples,
+       strftime(date_trunc('day', hour), '%Y') AS year,
+       strftime(date_trunc('day', hour), '%m') AS month,
+       strftime(date_trunc('day', hour), '%d') AS day
+FROM h GROUP BY 1, 2, 7, 8, 9
+"""
+
+
+def _daily(spark, sf_dir, mode):
+    h = ru.rollup_1h(fx.readings(spark, sf_dir))
+    d = ru.rollup_1d(h, avg=mode)
+    return d.select(txt("day_ts").alias("day_ts"), "tag_name", r6("avg_val").alias("avg_val"),
+                    r6("max_val").alias("max_val"), r6("min_val").alias("min_val"),
+                    "samples", "year", "month", "day")
+
+
+@register("agg2_rollup_1d_mean_of_means", _daily_sql("avg(avg_val)"))
+def agg2_rollup_1d_mean_of_means(spark, sf_dir):
+    return _daily(spark, sf_dir, "mean_of_means")
+
+
+@register("agg3_rollup_1d_weighted", _daily_sql("sum(avg_val * samples) / sum(samples)"))
+def agg3_rollup_1d_weighted(spark, sf_dir):
+    return _daily(spark, sf_dir, "weighted")
+
+
+@register("agg8_partition_counts", f"""
+SELECT strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month, strftime(ts, '%d') AS day,
+       count(*) AS rows
+FROM ({R}) r GROUP BY 1, 2, 3 ORDER BY 1, 2, 3
+""")
+def agg8_partition_counts(spark, sf_dir):
+    return ru.partition_counts(fx.readings(spark, sf_dir))
+
+
+@register("agg9_distinct_days", f"""
+SELECT count(DISTINCT (strftime(ts, '%Y'), strftime(ts, '%m'), strftime(ts, '%d'))) AS days
+FROM ({R}) r
+""")
+def agg9_distinct_days(spark, sf_dir):
+    return ru.distinct_days(fx.readings(spark, sf_dir))
+
+
+@register("agg10_hourly_mean", f"""
+SELECT {dtxt("date_trunc('hour', ts)")} AS hour, round(avg(value), 6) AS avg_val
+FROM ({R}) r
+WHERE strftime(ts, '%Y') = '2024' AND strftime(ts, '%m') = '01' AND strftime(ts, '%d') = '15'
+  AND tag_name = 'click_07'
+GROUP BY 1 ORDER BY 1
+""")
+def agg10_hourly_mean(spark, sf_dir):
+    h = ru.hourly_mean(fx.readings(spark, sf_dir), "click_07", "2024", "01", "15")
+    return h.select(txt("hour").alias("hour"), r6("avg_val").alias("avg_val"))
+
+
+@register("agg11_ingest_report", f"""
+WITH s AS (SELECT source_id, date_trunc('second', ts) AS second, count(*) AS msgs,
+                  count(value) AS vals
+           FROM ({R}) r GROUP BY 1, 2)
+SELECT source_id, {dtxt("date_trunc('day', second)")} AS day_ts,
+       CAST(sum(msgs) AS BIGINT) AS messages, CAST(sum(vals) AS BIGINT) AS tag_values,
+       round(sum(msgs) / 86400.0, 6) AS avg_msgs_per_sec, max(msgs) AS peak_msgs_per_sec,
+       count(*) AS active_seconds
+FROM s GROUP BY 1, 2
+""")
+def agg11_ingest_report(spark, sf_dir):
+    rep = ru.ingest_report(fx.readings(spark, sf_dir))
+    return rep.select("source_id", txt("day_ts").alias("day_ts"), "messages", "tag_values",
+                      r6("avg_msgs_per_sec").alias("avg_msgs_per_sec"), "peak_msgs_per_sec",
+                      "active_seconds")
