@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagstream.functions.catalog import MAX_RULES, PRIORITY, Rule, rules_df
-from tagstream.functions.timefn import bucket_of, duration_micros, micros
+from tagstream.functions.timefn import duration_micros, micros
 from tagstream.operators.sequence import shift_in_series
 from tagstream.session import checkpoint_dir
 
@@ -134,7 +134,7 @@ def link_alarm_work_order(alarm_df: DataFrame, orders: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ WIN2
-def _next_pointer(nodes: DataFrame, keys: list[str], c_us: int) -> DataFrame:
+def _next_pointer(nodes: DataFrame, keys: list[str]) -> DataFrame:
     """For each violation i, ``nxt`` = first violation j of the same key with
     ``t_j >= t_i + C`` (struct of t, tb, root), or NULL.
 
@@ -147,7 +147,7 @@ def _next_pointer(nodes: DataFrame, keys: list[str], c_us: int) -> DataFrame:
                         node.alias("_node"), F.lit(None).cast("long").alias("_src_t"),
                         F.lit(None).cast("long").alias("_src_tb"))
     query = nodes.select(*keys, (F.col("_b") + 1).alias("_b"),
-                         (F.col("_t") + F.lit(c_us)).alias("_at"), F.lit(1).alias("_kind"),
+                         (F.col("_t") + F.col("_c")).alias("_at"), F.lit(1).alias("_kind"),
                          F.lit(None).cast(data.schema["_node"].dataType).alias("_node"),
                          F.col("_t").alias("_src_t"), F.col("_tb").alias("_src_tb"))
     w = (Window.partitionBy(*keys, "_b")
@@ -169,42 +169,48 @@ def _next_pointer(nodes: DataFrame, keys: list[str], c_us: int) -> DataFrame:
     return j.select(*keys, "_t", "_tb", "_root", nxt.alias("_nxt"))
 
 
-def cooldown(v: DataFrame, seconds: float, keys: Sequence[str] = ("tag_name",), ts: str = "ts",
-             tiebreak: str | None = "event_id", max_rounds: int = 64) -> DataFrame:
+def cooldown(v: DataFrame, seconds: float | str, keys: Sequence[str] = ("tag_name",),
+             ts: str = "ts", tiebreak: str | None = "event_id", max_rounds: int = 64,
+             bucket: str = "1 day") -> DataFrame:
     """WIN2: rows that fire when each key is silenced ``seconds`` after it fired.
 
     A row fires iff at least ``seconds`` passed since the key last *fired*
-    (equal gap fires again).  Exact and parallel: the firings of a key are
-    the orbit of its first violation under ``next`` (first violation at
-    least C later).  Rows whose gap to the previous violation is >= C always
-    fire ("episode roots"); the rest is found by pointer doubling over
-    ``next`` restricted to non-roots, ``ceil(log2(longest chain))`` rounds,
-    each checkpointed to the shared checkpoint folder.  No key, episode or
-    chain is ever gathered into one task.
+    (an equal gap fires again).  ``seconds`` is a number or the name of a
+    column constant within each key (e.g. a route's repeat interval).
+
+    Exact and parallel: the firings of a key are the orbit of its first
+    violation under ``next`` (first violation at least C later).  Rows whose
+    gap to the previous violation is >= C always fire ("episode roots"); the
+    rest is found by pointer doubling over ``next`` restricted to non-roots,
+    ``ceil(log2(longest chain))`` rounds, each checkpointed to the shared
+    checkpoint folder.  No key, episode or chain is gathered into one task.
     """
     keys = list(keys)
-    c_us = duration_micros(seconds)
-    if c_us <= 0:
-        return v
     spark = v.sparkSession
+    checkpoint_dir(spark)
+    if isinstance(seconds, str):
+        c_col = F.round(F.col(seconds).cast("double") * 1_000_000).cast("long")
+    else:
+        c_us = duration_micros(seconds)
+        if c_us <= 0:
+            return v
+        c_col = F.lit(c_us).cast("long")
     tb = F.col(tiebreak).cast("long") if tiebreak else F.lit(0).cast("long")
-    base = v.select(*keys, micros(ts).alias("_t"), tb.alias("_tb"))
+    src = v.withColumn("_t", micros(ts)).withColumn("_tb", tb).withColumn("_c", c_col)
     if not tiebreak:
-        base = base.distinct()
-    base = base.withColumn("_ts", F.timestamp_micros("_t"))
-    sh = shift_in_series(base, keys, "_ts", [], "prev", c_us / 1e6, "_tb")
+        src = src.dropDuplicates([*keys, "_t"])
+    src = src.checkpoint()  # the input is read by every step below: materialise once
+    base = src.select(*keys, "_t", "_tb", "_c", F.timestamp_micros("_t").alias("_ts"))
+    sh = shift_in_series(base, keys, "_ts", [], "prev", bucket, "_tb")
     nodes = (sh.withColumn("_root", F.col("prev__ts").isNull()
-                           | ((F.col("_t") - micros("prev__ts")) >= F.lit(c_us)))
-               .withColumn("_b", bucket_of("_ts", c_us))
+                           | ((F.col("_t") - micros("prev__ts")) >= F.col("_c")))
+               .withColumn("_b", F.floor(F.col("_t") / F.col("_c")).cast("long"))
                .drop("prev__ts", "_ts"))
-    ptr = _next_pointer(nodes, keys, c_us)
-    checkpoint_dir(spark)
-    ptr = ptr.checkpoint()
+    ptr = _next_pointer(nodes, keys).checkpoint()
     reached = ptr.where("_root").select(*keys, "_t", "_tb")
     jump = (ptr.where(F.col("_nxt").isNotNull() & ~F.col("_nxt.root"))
                .select(*keys, "_t", "_tb", F.col("_nxt.t").alias("_jt"),
-                       F.col("_nxt.tb").alias("_jtb")))
-    jump = jump.checkpoint()
+                       F.col("_nxt.tb").alias("_jtb"))).checkpoint()
     rounds = 0
     while not jump.isEmpty():
         rounds += 1
@@ -219,12 +225,7 @@ def cooldown(v: DataFrame, seconds: float, keys: Sequence[str] = ("tag_name",),
             + [F.col("a._jt") == F.col("b._t"), F.col("a._jtb") == F.col("b._tb")])
         jump = j2.select(*[F.col(f"a.{k}").alias(k) for k in keys], F.col("a._t"), F.col("a._tb"),
                          F.col("b._jt"), F.col("b._jtb")).checkpoint()
-    fired = reached.withColumn("_fired", F.lit(True))
-    out = v.withColumn("_t", micros(ts)).withColumn("_tb", tb)
-    out = out.join(fired, [*keys, "_t", "_tb"], "inner")
-    if not tiebreak:
-        out = out.dropDuplicates([*keys, "_t"])
-    return out.drop("_t", "_tb", "_fired")
+    return src.join(reached, [*keys, "_t", "_tb"], "left_semi").drop("_t", "_tb", "_c")
 
 
 # ------------------------------------------------------------- WIN5, ALM6

@@ -3,3 +3,4 @@
 from tagstream.plans import registry  # noqa: F401
 from tagstream.plans import series_queries  # noqa: F401
 from tagstream.plans import rule_queries  # noqa: F401
+from tagstream.plans import alert_queries  # noqa: F401
