@@ -107,10 +107,11 @@ def decode_any(raw: DataFrame, col: str = "value", source_col: str | None = "sou
     v5 = F.transform(F.map_entries(v5_map), lambda e: mk(e["key"], _num(e["value"]["value"]), ts_top))
     items = (F.when(env == "V1", v1).when(env == "V2", v2).when(env == "V3", v3)
               .when(env == "V4", v4).when(env == "V5", v5).cast(f"array<{item}>"))
+    none = F.lit(None).cast("string")
     src = F.coalesce(_str(mm["source_id"]), _str(mm["PublisherId"]),
-                     F.col(source_col) if source_col else F.lit(None).cast("string"))
+                     F.col(source_col) if source_col in raw.columns else none)
     dev = F.coalesce(_str(mm["device_id"]),
-                     F.col(device_col) if device_col else F.lit(None).cast("string"))
+                     F.col(device_col) if device_col in raw.columns else none)
     out = d.select(src.alias("source_id"), dev.alias("device_id"), env.alias("envelope"),
                    F.explode(items).alias("r"))
     return out.select("source_id", "device_id", F.col("r.tag_name").alias("tag_name"),
@@ -129,7 +130,8 @@ def quarantine(raw: DataFrame, col: str = "value") -> DataFrame:
     d = raw.withColumn("_m", m)
     mm = F.col("_m")
     has_time = (parse_event_time(_str(mm["timestamp"])).isNotNull()
-                | mm["Messages"].isNotNull() | F.schema_of_variant(mm["tags"]).startswith("ARRAY"))
+                | mm["Messages"].isNotNull()
+                | F.coalesce(F.schema_of_variant(mm["tags"]).startswith("ARRAY"), F.lit(False)))
     n_fields = F.size(F.map_keys(mm))
     reason = (F.when(mm.isNull(), "unparseable")
                .when(~has_time, "no_timestamp")
