@@ -158,3 +158,21 @@ def agg11_ingest_report(spark, sf_dir):
     return rep.select("source_id", txt("day_ts").alias("day_ts"), "messages", "tag_values",
                       r6("avg_msgs_per_sec").alias("avg_msgs_per_sec"), "peak_msgs_per_sec",
                       "active_seconds")
+
+
+@register("lineitem_rollup_1h", """
+WITH r AS (
+  SELECT printf('qty_%s%s_%02d', l_returnflag, l_linestatus, l_partkey % 50) AS tag_name,
+         CAST(l_shipdate AS TIMESTAMP) + to_hours(CAST(l_orderkey % 24 AS BIGINT))
+           + to_minutes(CAST(l_partkey % 60 AS BIGINT)) AS ts,
+         l_quantity AS value
+  FROM lineitem)
+SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS hour, tag_name,
+       round(avg(value), 6) AS avg_val, round(max(value), 6) AS max_val,
+       round(min(value), 6) AS min_val, count(*) AS samples
+FROM r WHERE value IS NOT NULL AND NOT isnan(value) GROUP BY 1, 2
+""")
+def lineitem_rollup_1h(spark, sf_dir):
+    h = ru.rollup_1h(fx.lineitem_readings(spark, sf_dir))
+    return h.select(txt("hour").alias("hour"), "tag_name", r6("avg_val").alias("avg_val"),
+                    r6("max_val").alias("max_val"), r6("min_val").alias("min_val"), "samples")
