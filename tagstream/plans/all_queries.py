@@ -5,3 +5,4 @@ from tagstream.plans import series_queries  # noqa: F401
 from tagstream.plans import rule_queries  # noqa: F401
 from tagstream.plans import alert_queries  # noqa: F401
 from tagstream.plans import decode_queries  # noqa: F401
+from tagstream.plans import stream_queries  # noqa: F401

@@ -41,7 +41,11 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Columns: event_id, source_id, device_id, tag_name, ts (timestamp), k, value.
     """
-    ev = table(spark, sf_dir, "events")
+    return readings_of(table(spark, sf_dir, "events"))
+
+
+def readings_of(ev: DataFrame) -> DataFrame:
+    """The readings projection of an events DataFrame (batch or streaming)."""
     k = F.get_json_object("props", "$.k").try_cast("int")
     return ev.select(
         F.col("event_id"),

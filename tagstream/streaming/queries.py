@@ -203,11 +203,9 @@ def late_router(on_time_path: str, late_path: str, delay: str, ts: str = "ts",
             prev = spark.read.parquet(on_time_path).agg(F.max(ts)).first()[0]
         except Exception:  # noqa: BLE001 - first batch: no table yet
             prev = None
-        cur = batch.agg(F.max(ts)).first()[0]
-        if cur is None:
-            return
-        hi = max(x for x in (prev, cur) if x is not None)
-        wm = hi - datetime.timedelta(microseconds=d_us)
+        # like Spark's watermark: rows of batch N are judged against the event
+        # time seen in batches before N, so a backlog batch is never "late"
+        wm = (prev - datetime.timedelta(microseconds=d_us)) if prev is not None else datetime.datetime.min
         on_time, late = split_late(batch, wm, ts)
         w1 = on_time.write.mode("append")
         w2 = late.withColumn("batch_id", F.lit(batch_id)).write.mode("append")
