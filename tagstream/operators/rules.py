@@ -45,6 +45,9 @@ def match_rules(readings: DataFrame, rules: Sequence[Rule] | DataFrame,
     """
     spark = readings.sparkSession
     if isinstance(rules, DataFrame):
+        n_rules = rules.count()  # a configuration table: prove its size before broadcasting
+        if n_rules > MAX_RULES:
+            raise ValueError(f"{n_rules} rules exceed the broadcast bound {MAX_RULES}")
         tags = readings.select(F.col(tag).alias("_tag")).distinct()
         cand = tags.join(F.broadcast(rules.select("rule_order", "prefix")),
                          F.col("_tag").startswith(F.col("prefix")))
@@ -233,8 +236,10 @@ def cap_per_hour(orders: DataFrame, n: int = 50, ts: str = "ts",
                  tiebreak: str | None = "event_id") -> DataFrame:
     """WIN5: at most ``n`` work orders per clock hour, earliest first.
 
-    The window is partitioned by hour: one task holds one hour of work
-    orders, bounded by the order rate, not by the data size.
+    ``row_number() <= n`` lets Catalyst plan a partial ``WindowGroupLimit``
+    before the exchange: each map task ships at most ``n`` rows per hour, so
+    even a hot hour reaches its final task as ``n × map tasks`` rows (an
+    exact two-stage top-n).
     """
     order = [F.col(ts)] + ([F.col(tiebreak)] if tiebreak else [])
     w = Window.partitionBy(F.date_trunc("hour", F.col(ts))).orderBy(*order)

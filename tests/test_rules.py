@@ -122,3 +122,10 @@ def test_cap_per_hour_and_batch(spark):
     assert ru.cap_per_hour(v, n=4).count() == 4
     b = ru.batch_per_device(v, "15 minutes").orderBy("batch_start").collect()
     assert [r.violations for r in b] == [10] and b[0].tag_list == "Temp_Boiler_01,Temp_Boiler_02,Temp_Boiler_03"
+
+
+def test_cap_per_hour_limits_before_shuffle(spark):
+    rows = [(i, "dev", "Temp_Boiler_01", i, 100.0) for i in range(20)]
+    plan = ru.cap_per_hour(ru.violations(_rows(spark, rows), PLANT_RULES), n=3)\
+        ._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan
