@@ -77,7 +77,6 @@ def decode_any(raw: DataFrame, col: str = "value", source_col: str | None = "sou
     for bad tags.  Rows that do not parse are absent (see ``quarantine``).
     """
     m = F.from_json(F.col(col).cast("string"), "map<string,variant>")
-    d = raw.select("*", m.alias("_m"))
     mm = F.col("_m")
     tags_kind = F.schema_of_variant(mm["tags"])
     env = (F.when(mm["Messages"].isNotNull(), "V4")
@@ -85,6 +84,9 @@ def decode_any(raw: DataFrame, col: str = "value", source_col: str | None = "sou
              .when(tags_kind.startswith("OBJECT"), "V2")
              .when(F.schema_of_variant(mm["readings"]).startswith("OBJECT"), "V5")
              .when(mm.isNotNull(), "V1"))
+    # parse once and classify once; the branches below only read these columns
+    d = raw.select("*", m.alias("_m")).select("*", env.alias("_env"))
+    env = F.col("_env")
     ts_top = _str(mm["timestamp"])
     item = "struct<tag_name:string,value:double,ts_raw:string>"
 
@@ -112,7 +114,7 @@ def decode_any(raw: DataFrame, col: str = "value", source_col: str | None = "sou
                      F.col(source_col) if source_col in raw.columns else none)
     dev = F.coalesce(_str(mm["device_id"]),
                      F.col(device_col) if device_col in raw.columns else none)
-    out = d.select(src.alias("source_id"), dev.alias("device_id"), env.alias("envelope"),
+    out = d.select(src.alias("source_id"), dev.alias("device_id"), F.col("_env").alias("envelope"),
                    F.explode(items).alias("r"))
     return out.select("source_id", "device_id", F.col("r.tag_name").alias("tag_name"),
                       parse_event_time(F.col("r.ts_raw")).alias("ts"),

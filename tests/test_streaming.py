@@ -93,3 +93,26 @@ def test_stream_alert_rule(spark, tmp):
     _run(sq.stream_alerts(s, rule, delay="0 seconds"), "al", tmp)
     got = sorted((r.tick.minute, r.firing) for r in spark.table("al").collect())
     assert got == [(1, 1.0), (2, 1.0)]
+
+
+def test_ingest_watchdog_reports_silence(spark, tmp):
+    import time
+    src = os.path.join(tmp, "w")
+    _write(spark, src, [(1, "s1", "d", "T", T0, 1.0)])
+    stream = spark.readStream.schema(SCHEMA).parquet(src)
+    q = (sq.ingest_watchdog(stream, timeout="2 seconds").writeStream.format("memory")
+           .queryName("wd").outputMode("append")
+           .option("checkpointLocation", os.path.join(tmp, "ck_wd"))
+           .trigger(processingTime="1 second").start())
+    try:
+        deadline = time.time() + 60
+        rows = []
+        while time.time() < deadline:
+            rows = spark.table("wd").collect()
+            if any(r.status == "silent" for r in rows):
+                break
+            time.sleep(1)
+    finally:
+        q.stop()
+    silent = [r for r in rows if r.status == "silent"]
+    assert silent and silent[0].source_id == "s1" and silent[0].last_seen == T0
