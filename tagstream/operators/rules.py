@@ -137,44 +137,55 @@ def link_alarm_work_order(alarm_df: DataFrame, orders: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ WIN2
-def _next_pointer(nodes: DataFrame, keys: list[str]) -> DataFrame:
+def _next_pointer(nodes: DataFrame, keys: list[str], w_us: int) -> DataFrame:
     """For each violation i, ``nxt`` = first violation j of the same key with
     ``t_j >= t_i + C`` (struct of t, tb, root), or NULL.
 
-    Partitioned by (key, C-bucket): the target ``t_i + C`` lies in bucket
-    ``b_i + 1``; a running min over that bucket (descending time) finds it,
-    and the per-bucket summary supplies the first row of a later bucket.
+    Partitioned by (key, sub-bucket of width W), independent of C: the target
+    ``t_i + C`` is looked up in its own sub-bucket by a running min over
+    descending time; if nothing there qualifies, the answer is the first row
+    of the next non-empty sub-bucket, from one window per key over the
+    non-empty sub-buckets and the distinct target sub-buckets (size bounded
+    by time span / W, not by data volume).
     """
     node = F.struct(F.col("_t").alias("t"), F.col("_tb").alias("tb"), F.col("_root").alias("root"))
-    data = nodes.select(*keys, "_b", F.col("_t").alias("_at"), F.lit(0).alias("_kind"),
+    node_type = nodes.select(node.alias("n")).schema["n"].dataType
+    sb = F.floor(F.col("_t") / F.lit(w_us)).cast("long")
+    target = F.col("_t") + F.col("_c")
+    q_sb = F.floor(target / F.lit(w_us)).cast("long")
+    data = nodes.select(*keys, sb.alias("_sb"), F.col("_t").alias("_at"), F.lit(0).alias("_kind"),
                         node.alias("_node"), F.lit(None).cast("long").alias("_src_t"),
                         F.lit(None).cast("long").alias("_src_tb"))
-    query = nodes.select(*keys, (F.col("_b") + 1).alias("_b"),
-                         (F.col("_t") + F.col("_c")).alias("_at"), F.lit(1).alias("_kind"),
-                         F.lit(None).cast(data.schema["_node"].dataType).alias("_node"),
+    query = nodes.select(*keys, q_sb.alias("_sb"), target.alias("_at"), F.lit(1).alias("_kind"),
+                         F.lit(None).cast(node_type).alias("_node"),
                          F.col("_t").alias("_src_t"), F.col("_tb").alias("_src_tb"))
-    w = (Window.partitionBy(*keys, "_b")
+    w = (Window.partitionBy(*keys, "_sb")
          .orderBy(F.col("_at").desc(), F.col("_kind").asc())
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     succ = (data.unionByName(query)
                 .withColumn("_succ", F.min("_node").over(w))
                 .where(F.col("_kind") == 1)
-                .select(*keys, F.col("_src_t").alias("_t"), F.col("_src_tb").alias("_tb"), "_succ"))
-    firsts = nodes.groupBy(*keys, "_b").agg(F.min(node).alias("_first"))
-    wb = Window.partitionBy(*keys).orderBy("_b")
-    firsts = firsts.select(*keys, "_b", F.lead("_b").over(wb).alias("_nb1"),
-                           F.lead("_first").over(wb).alias("_f1"),
-                           F.lead("_first", 2).over(wb).alias("_f2"))
-    j = (nodes.join(succ, [*keys, "_t", "_tb"], "left")
-              .join(firsts, [*keys, "_b"], "left"))
-    nxt = F.when(F.col("_nb1") == F.col("_b") + 1, F.coalesce(F.col("_succ"), F.col("_f2")))\
-           .otherwise(F.col("_f1"))
-    return j.select(*keys, "_t", "_tb", "_root", nxt.alias("_nxt"))
+                .select(*keys, F.col("_src_t").alias("_t"), F.col("_src_tb").alias("_tb"),
+                        "_sb", "_succ"))
+    # first row of the first non-empty sub-bucket strictly after each target sub-bucket
+    firsts = (nodes.groupBy(*keys, sb.alias("_sb")).agg(F.min(node).alias("_first"))
+                   .withColumn("_kind", F.lit(0)))
+    targets = (nodes.select(*keys, q_sb.alias("_sb")).distinct()
+                    .withColumn("_first", F.lit(None).cast(node_type)).withColumn("_kind", F.lit(1)))
+    wk = (Window.partitionBy(*keys).orderBy(F.col("_sb").desc(), F.col("_kind").desc())
+          .rowsBetween(Window.unboundedPreceding, -1))
+    later = (firsts.unionByName(targets)
+                   .withColumn("_later", F.min("_first").over(wk))
+                   .where(F.col("_kind") == 1).select(*keys, "_sb", "_later"))
+    j = succ.join(later, [*keys, "_sb"], "left")
+    return (nodes.join(j, [*keys, "_t", "_tb"], "left")
+                 .select(*keys, "_t", "_tb", "_root",
+                         F.coalesce(F.col("_succ"), F.col("_later")).alias("_nxt")))
 
 
 def cooldown(v: DataFrame, seconds: float | str, keys: Sequence[str] = ("tag_name",),
              ts: str = "ts", tiebreak: str | None = "event_id", max_rounds: int = 64,
-             bucket: str = "1 day") -> DataFrame:
+             bucket: str = "1 hour") -> DataFrame:
     """WIN2: rows that fire when each key is silenced ``seconds`` after it fired.
 
     A row fires iff at least ``seconds`` passed since the key last *fired*
@@ -186,7 +197,9 @@ def cooldown(v: DataFrame, seconds: float | str, keys: Sequence[str] = ("tag_nam
     gap to the previous violation is >= C always fire ("episode roots"); the
     rest is found by pointer doubling over ``next`` restricted to non-roots,
     ``ceil(log2(longest chain))`` rounds, each checkpointed to the shared
-    checkpoint folder.  No key, episode or chain is gathered into one task.
+    checkpoint folder.  No key, episode or chain is gathered into one task:
+    every window is partitioned by (key, ``bucket``-wide time slice), so a
+    task holds at most ingest rate × ``bucket`` of one key, whatever C is.
     """
     keys = list(keys)
     spark = v.sparkSession
@@ -207,9 +220,8 @@ def cooldown(v: DataFrame, seconds: float | str, keys: Sequence[str] = ("tag_nam
     sh = shift_in_series(base, keys, "_ts", [], "prev", bucket, "_tb")
     nodes = (sh.withColumn("_root", F.col("prev__ts").isNull()
                            | ((F.col("_t") - micros("prev__ts")) >= F.col("_c")))
-               .withColumn("_b", F.floor(F.col("_t") / F.col("_c")).cast("long"))
                .drop("prev__ts", "_ts"))
-    ptr = _next_pointer(nodes, keys).checkpoint()
+    ptr = _next_pointer(nodes, keys, duration_micros(bucket)).checkpoint()
     reached = ptr.where("_root").select(*keys, "_t", "_tb")
     jump = (ptr.where(F.col("_nxt").isNotNull() & ~F.col("_nxt.root"))
                .select(*keys, "_t", "_tb", F.col("_nxt.t").alias("_jt"),

@@ -129,3 +129,12 @@ def test_cap_per_hour_limits_before_shuffle(spark):
     plan = ru.cap_per_hour(ru.violations(_rows(spark, rows), PLANT_RULES), n=3)\
         ._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_cooldown_with_buckets_much_smaller_than_c(spark):
+    rnd = random.Random(11)
+    secs = sorted(rnd.sample(range(0, 200_000), 300))
+    rows = [(i, "d", "Temp_Boiler_01", s, 100.0) for i, s in enumerate(secs)]
+    out = ru.cooldown(_rows(spark, rows), 3000, bucket="7 minutes").collect()
+    got = sorted(int((r.ts - T0).total_seconds()) for r in out)
+    assert got == _python_fold(secs, 3000)
