@@ -216,10 +216,11 @@ def derivative(df: DataFrame, keys: Sequence[str], ts: str = "ts", value: str =
 
 def ingest_gaps(df: DataFrame, max_gap: str, keys: Sequence[str] = ("source_id",),
                 ts: str = "ts", tiebreak: str | None = None,
-                bucket: str = "1 hour") -> DataFrame:
+                bucket: str = "10 minutes") -> DataFrame:
     """WIN4: stretches longer than ``max_gap`` with no data, per source.
 
-    One row per gap: (keys, gap_start, gap_end, gap_seconds).
+    One row per gap: (keys, gap_start, gap_end, gap_seconds).  A source is a
+    hot series by nature (all its tags), hence the short default slice.
     """
     d = shift_in_series(df.select(*keys, ts, *([tiebreak] if tiebreak else [])),
                         keys, ts, [], "next", bucket, tiebreak)

@@ -113,15 +113,19 @@ def compact(raw: DataFrame, path: str, tags: Sequence[str], layout: str = "tall"
     df = with_date_parts(raw, "ts", hour=True).withColumnRenamed("hour", "hr")
     if layout == "tall":
         out = unpivot_tags(df, tags, ["source_id", "device_id", "ts", *PARTS, "hr"])
-        out = out.sortWithinPartitions("tag_name", "ts")
+        order = [*PARTS, "hr", "tag_name", "ts"]
     elif layout == "map":
         entries = F.filter(F.array(*[F.struct(F.lit(t).alias("k"), F.col(f"`{t}`").alias("v"))
                                      for t in tags]), lambda e: e["v"].isNotNull())
         out = df.select("source_id", "device_id", "ts", "tag_count", "bad_count",
                         F.map_from_entries(entries).alias("tags"), *PARTS, "hr")
+        order = [*PARTS, "hr", "ts"]
     else:
         raise ValueError(layout)
-    (out.repartition(*PARTS, "hr").sortWithinPartitions(*PARTS, "hr")
+    # Range partitioning on (partition dirs, tag, time): a busy hour is split
+    # across several writer tasks by sampled boundaries, files stay clustered
+    # by tag and time, and no task receives a whole day.
+    (out.repartitionByRange(*order).sortWithinPartitions(*order)
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .option("compression", "zstd").option("maxRecordsPerFile", str(max_records_per_file))
         .partitionBy(*PARTS, "hr").parquet(path))
