@@ -23,12 +23,14 @@ def write_raw_lake(stream: DataFrame, path: str, checkpoint: str,
                    ts: str = "ts"):
     """SNK1: stream of decoded wide messages → JSON objects under y/m/d of
     *event* time (not arrival time).  One micro-batch per trigger, files of
-    at most ``max_records_per_file`` messages.  Returns the started query."""
+    at most ``max_records_per_file`` messages.  ``trigger="availableNow"``
+    drains the input and stops (backfills, tests).  Returns the started query."""
     out = with_date_parts(stream, ts).drop(ts)
-    return (out.writeStream.format("json").partitionBy(*PARTS)
-               .option("path", path).option("checkpointLocation", checkpoint)
-               .option("maxRecordsPerFile", str(max_records_per_file))
-               .trigger(processingTime=trigger).outputMode("append").start())
+    w = (out.writeStream.format("json").partitionBy(*PARTS)
+            .option("path", path).option("checkpointLocation", checkpoint)
+            .option("maxRecordsPerFile", str(max_records_per_file)).outputMode("append"))
+    w = w.trigger(availableNow=True) if trigger == "availableNow" else w.trigger(processingTime=trigger)
+    return w.start()
 
 
 def write_rollup(df: DataFrame, path: str, parts: Sequence[str] = PARTS,

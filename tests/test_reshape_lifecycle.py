@@ -112,3 +112,32 @@ def test_read_points_filters(spark):
         ("cpu", {"cpu": "cpu-total"}, "usage_idle", t, 90.0)],
         "measurement string, labels map<string,string>, field string, time timestamp, value double")
     assert read_points(p, mounts=["/"], devices=["sda"]).count() == 3
+
+
+def test_stream_to_raw_lake_and_ingest_report(spark, tmp):
+    from tagstream.operators.rollup import ingest_report
+    from tagstream.sources.decode import CORRUPT, decode_flat
+    from tagstream.sources.lake import stream_source
+    src = os.path.join(tmp, "msgs")
+    os.makedirs(src)
+    lines = [json.dumps({"timestamp": f"2026-05-0{6 + i % 2}T23:59:5{i}Z", "source_id": "s",
+                         "device_id": "d", "tag_count": 3, "bad_count": 1,
+                         "Temp_Boiler_01": float(i), "Press_Line_01": None, "Counter": 1})
+             for i in range(6)]
+    with open(os.path.join(src, "batch1.txt"), "w") as f:
+        f.write("\n".join(lines) + "\n")
+    stream = stream_source(spark, {"format": "text", "path": src})
+    wide = decode_flat(stream, TAGS).drop("timestamp", CORRUPT)
+    wide = wide.withColumn("timestamp", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
+    lake = os.path.join(tmp, "lake")
+    q = lc.write_raw_lake(wide, lake, os.path.join(tmp, "ck"), trigger="availableNow")
+    q.awaitTermination()
+    assert sorted(r.day for r in lc.list_partitions(spark, lake).collect()) == ["06", "07"]
+    raw = read_raw_lake(spark, lake, TAGS)
+    assert raw.count() == 6 and raw.where("day = '07'").count() == 3
+    tall = rs.unpivot_tags(raw.select("*", "_metadata.file_path", "_metadata.file_size"), TAGS,
+                           ["source_id", "device_id", "ts", "file_path", "file_size"], drop_null=False)
+    rep = ingest_report(tall.withColumnRenamed("source_id", "src"), source="src",
+                        bytes_col="file_size", file_col="file_path").orderBy("day_ts").collect()
+    assert [(r.messages, r.tag_values) for r in rep] == [(9, 6), (9, 6)]
+    assert all(r.files >= 1 and r.bytes > 0 and r.bytes_per_file > 0 for r in rep)
