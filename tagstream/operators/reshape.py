@@ -87,9 +87,23 @@ def message_quality(wide: DataFrame, tags: Sequence[str]) -> DataFrame:
 
 
 def status_color(df: DataFrame, steps: tuple[float, float] | str = "cpu",
-                 value: str = "value", out: str = "status") -> DataFrame:
-    """PRJ9: green below the first step, yellow below the second, red above."""
-    lo, hi = STATUS_STEPS[steps] if isinstance(steps, str) else steps
+                 value: str = "value", out: str = "status",
+                 measurement: str = "measurement") -> DataFrame:
+    """PRJ9: green below the first step, yellow below the second, red above.
+
+    ``steps`` is a pair, a panel name (``"cpu"``, ``"mem"``, ``"disk"``), or
+    ``"by_measurement"`` to take each row's steps from its measurement (one
+    pass over mixed points; rows of other measurements get NULL).
+    """
+    if steps == "by_measurement":
+        m = F.col(measurement)
+        lo = hi = None
+        for name, (a, b) in STATUS_STEPS.items():
+            lo = F.when(m == name, F.lit(a)) if lo is None else lo.when(m == name, F.lit(a))
+            hi = F.when(m == name, F.lit(b)) if hi is None else hi.when(m == name, F.lit(b))
+    else:
+        a, b = STATUS_STEPS[steps] if isinstance(steps, str) else steps
+        lo, hi = F.lit(a), F.lit(b)
     c = F.col(value)
-    return df.withColumn(out, F.when(c.isNull(), None).when(c >= hi, "red")
+    return df.withColumn(out, F.when(c.isNull() | hi.isNull(), None).when(c >= hi, "red")
                          .when(c >= lo, "yellow").otherwise("green"))

@@ -77,6 +77,50 @@ def points(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Host-metric stand-in: each event type plays one collector measurement.
+HOST_MEASUREMENTS = {"click": ("cpu", "usage_idle"), "view": ("mem", "used_percent"),
+                     "purchase": ("disk", "used_percent"), "signup": ("diskio", "reads"),
+                     "error": ("opc_data", "error_value")}
+
+
+def host_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as collector points: measurement and field by event type,
+    host per device, disk mount / file system and diskio device by user parity,
+    percentages folded into [0, 100)."""
+    r = good_readings(spark, sf_dir)
+    et = F.regexp_extract("tag_name", r"^(.*)_\d+$", 1)
+    meas = F.coalesce(*[F.when(et == k, F.lit(m)) for k, (m, _f) in HOST_MEASUREMENTS.items()])
+    field = F.coalesce(*[F.when(et == k, F.lit(f)) for k, (_m, f) in HOST_MEASUREMENTS.items()])
+    odd = F.pmod(F.col("event_id"), F.lit(2)) == 1
+    labels = (F.when(meas == "disk", F.create_map(
+                  F.lit("host"), F.col("device_id"), F.lit("path"), F.when(odd, "/run").otherwise("/"),
+                  F.lit("fstype"), F.when(odd, "tmpfs").otherwise("ext4")))
+               .when(meas == "diskio", F.create_map(
+                  F.lit("host"), F.col("device_id"), F.lit("name"), F.when(odd, "loop0").otherwise("sda")))
+               .otherwise(F.create_map(F.lit("host"), F.col("device_id"))))
+    pct = meas.isin("cpu", "mem", "disk")
+    return r.select("event_id", meas.alias("measurement"), labels.alias("labels"),
+                    field.alias("field"), F.col("ts").alias("time"),
+                    F.when(pct, F.col("value") % 100).otherwise(F.col("value")).alias("value"))
+
+
+HOST_POINTS_SQL = """
+SELECT event_id,
+       CASE split_part(tag_name, '_', 1) WHEN 'click' THEN 'cpu' WHEN 'view' THEN 'mem'
+            WHEN 'purchase' THEN 'disk' WHEN 'signup' THEN 'diskio' ELSE 'opc_data' END AS measurement,
+       CASE split_part(tag_name, '_', 1) WHEN 'click' THEN 'usage_idle' WHEN 'view' THEN 'used_percent'
+            WHEN 'purchase' THEN 'used_percent' WHEN 'signup' THEN 'reads' ELSE 'error_value' END AS field,
+       device_id AS host,
+       CASE WHEN event_id % 2 = 1 THEN '/run' ELSE '/' END AS path,
+       CASE WHEN event_id % 2 = 1 THEN 'tmpfs' ELSE 'ext4' END AS fstype,
+       CASE WHEN event_id % 2 = 1 THEN 'loop0' ELSE 'sda' END AS dev_name,
+       ts AS time,
+       CASE WHEN split_part(tag_name, '_', 1) IN ('click', 'view', 'purchase') THEN fmod(value, 100)
+            ELSE value END AS value
+FROM ({readings}) r WHERE value IS NOT NULL
+"""
+
+
 def lineitem_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Volume stand-in: lineitem quantities as readings of per-flag tags."""
     li = table(spark, sf_dir, "lineitem")
