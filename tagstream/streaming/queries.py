@@ -91,42 +91,62 @@ def stream_cooldown(violations: DataFrame, seconds: float, keys: Sequence[str] =
 
 
 def stream_pending_firing(evals: DataFrame, keys: Sequence[str], for_: str,
-                          every: str = EVAL_INTERVAL, tick: str = "tick") -> DataFrame:
+                          every: str = EVAL_INTERVAL, tick: str = "tick",
+                          delay: str = "0 seconds") -> DataFrame:
     """STR4: WIN3 on a stream of evaluations; state per series =
-    (active_since µs, last active tick µs, reached firing)."""
+    (active_since µs, last active tick µs, reached firing).
+
+    Same output as the batch operator: a run ends at the first tick after
+    its last active tick, so ``Resolved`` is stamped ``last + every`` whether
+    an inactive evaluation arrives or nothing arrives at all; the latter is
+    noticed by an event-time timeout once the watermark passes that tick.
+    """
     keys = list(keys)
     step, hold = duration_micros(every), duration_micros(for_)
-    sel = evals.select(*keys, micros(tick).alias("_t"), F.col("firing").cast("double").alias("firing"))
+    sel = (evals.withWatermark(tick, interval_text(delay))
+                .select(*keys, F.col(tick).alias("_tick"), micros(tick).alias("_t"),
+                        F.col("firing").cast("double").alias("firing")))
     out_schema = _keys_schema(evals, keys) + ", _t long, state string, _since long"
 
+    def emit(key, rows):
+        out = pd.DataFrame(rows, columns=["_t", "state", "_since"])
+        for i, k in enumerate(keys):
+            out.insert(i, k, key[i])
+        return out
+
     def step_fn(key, pdfs, state: GroupState):
         since, last, fired = state.get if state.exists else (None, None, False)
-        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values("_t")
         rows = []
+        if state.hasTimedOut:
+            if fired and last is not None:
+                rows.append((last + step, "Resolved", since))
+            state.remove()
+            yield emit(key, rows)
+            return
+        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values("_t")
         for t, f in zip(pdf["_t"].to_numpy(), pdf["firing"].to_numpy()):
             t = int(t)
+            if since is not None and (t - last > step or f != 1.0):  # run ended at last + step
+                if fired:
+                    rows.append((last + step, "Resolved", since))
+                since, last, fired = None, None, False
             if f == 1.0:
-                if since is None or last is None or t - last > step:
-                    if fired and last is not None:
-                        rows.append((last + step, "Resolved", since))
+                if since is None:
                     since, fired = t, False
                 st = "Firing" if t - since >= hold else "Pending"
                 fired = fired or st == "Firing"
                 rows.append((t, st, since))
                 last = t
-            elif since is not None:
-                if fired:
-                    rows.append((t, "Resolved", since))
-                since, last, fired = None, None, False
-        state.update((since, last, fired))
-        out = pd.DataFrame(rows, columns=["_t", "state", "_since"])
-        for i, k in enumerate(keys):
-            out.insert(i, k, key[i])
-        yield out
+        if since is None:
+            state.remove()
+        else:
+            state.update((since, last, fired))
+            state.setTimeoutTimestamp((last + step) // 1000)
+        yield emit(key, rows)
 
-    out = sel.groupBy(*keys).applyInPandasWithState(step_fn, out_schema,
-                                     "since long, last long, fired boolean", "append",
-                                     GroupStateTimeout.NoTimeout)
+    out = sel.groupBy(*keys).applyInPandasWithState(
+        step_fn, out_schema, "since long, last long, fired boolean", "append",
+        GroupStateTimeout.EventTimeTimeout)
     return (out.withColumn(tick, F.timestamp_micros("_t"))
                .withColumn("active_since", F.timestamp_micros("_since")).drop("_t", "_since"))
 

@@ -116,3 +116,19 @@ def test_ingest_watchdog_reports_silence(spark, tmp):
         q.stop()
     silent = [r for r in rows if r.status == "silent"]
     assert silent and silent[0].source_id == "s1" and silent[0].last_seen == T0
+
+
+def test_stream_pending_resolves_without_following_eval(spark, tmp):
+    from tagstream.operators.alerting import pending_firing
+    ev = os.path.join(tmp, "ev2")
+    # sparse evaluations: a run 0-3, silence, a lone active tick at 9, then a late inactive one
+    pts = [(0, 1), (1, 1), (2, 1), (3, 1), (9, 1), (30, 0)]
+    spark.createDataFrame([("f", T0 + dt.timedelta(minutes=m), float(x)) for m, x in pts],
+                          "field string, tick timestamp, firing double").write.parquet(ev)
+    s2 = spark.readStream.schema("field string, tick timestamp, firing double").parquet(ev)
+    _run(sq.stream_pending_firing(s2, ["field"], "2m"), "pf2", tmp)
+    got = sorted((r.tick.minute, r.state) for r in spark.table("pf2").collect())
+    batch = sorted((r.tick.minute, r.state) for r in
+                   pending_firing(spark.read.parquet(ev), ["field"], "2m").collect())
+    assert got == batch
+    assert (4, "Resolved") in got
