@@ -160,7 +160,9 @@ class AlertRule:
 PLANT_ALERT_RULES = [
     AlertRule("opc_ingest_stopped", None, "count", "2 minutes", (("<", 1.0),), "1 minute",
               "critical", no_data="Alerting", measurement="opc_data"),
-    AlertRule("opc_tag_count_low", "^tag_count$", "last", "5 minutes", (("<", 307.0),),
+    # tag_count always equals the dictionary size: the rule watches
+    # observed_count, the number of tags that actually delivered a value.
+    AlertRule("opc_tag_count_low", "^observed_count$", "last", "5 minutes", (("<", 307.0),),
               "3 minutes", "warning", no_data="NoData"),
     AlertRule("opc_bad_value_high", "^bad_count$", "mean", "5 minutes", ((">", 10.0),),
               "5 minutes", "warning", no_data="OK"),

@@ -86,6 +86,19 @@ def message_quality(wide: DataFrame, tags: Sequence[str]) -> DataFrame:
                 .withColumn("bad_count", (F.lit(len(tags)) - observed).cast("long")))
 
 
+def quality_points(wide: DataFrame, tags: Sequence[str], ts: str = "ts",
+                   keys: Sequence[str] = ("source_id", "device_id"),
+                   measurement: str = "opc_data") -> DataFrame:
+    """Message counts as points (fields tag_count, bad_count, observed_count)
+    for the ingest alert rules."""
+    q = message_quality(wide, tags)
+    cnt = ["tag_count", "bad_count", "observed_count"]
+    tall = q.select(*keys, ts, *[F.col(c).cast("double").alias(c) for c in cnt])\
+            .unpivot([*keys, ts], cnt, "field", "value")
+    return tall.select(F.lit(measurement).alias("measurement"), *keys, "field",
+                       F.col(ts).alias("time"), "value")
+
+
 def status_color(df: DataFrame, steps: tuple[float, float] | str = "cpu",
                  value: str = "value", out: str = "status",
                  measurement: str = "measurement") -> DataFrame:

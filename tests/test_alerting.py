@@ -94,3 +94,21 @@ def test_missing_tags(spark):
     rd = spark.createDataFrame([("A", T0, 1.0), ("B", T0, None)], "tag_name string, ts timestamp, value double")
     m = al.missing_tags(rd, tags, T0.replace(hour=0), T0.replace(hour=0) + dt.timedelta(days=1), "1 day")
     assert [r.tag_name for r in m.collect()] == ["B"]
+
+
+def test_tag_count_rule_watches_observed_count(spark):
+    from tagstream.functions.catalog import plant_tags
+    from tagstream.operators.reshape import quality_points
+    tags = plant_tags()
+    full = {t: 1.0 for t in tags}
+    short = dict(full, Temp_Boiler_01=None)
+    rows = [dict(source_id="s", device_id="d", ts=T0, **full),
+            dict(source_id="s", device_id="d", ts=T0 + dt.timedelta(minutes=3), **short)]
+    cols = ["source_id", "device_id", "ts", *tags]
+    wide = spark.createDataFrame([tuple(r[c] for c in cols) for r in rows],
+                                 "source_id string, device_id string, ts timestamp, "
+                                 + ", ".join(f"{t} double" for t in tags))
+    pts = quality_points(wide, tags)
+    ev = al.eval_rule(pts, RULES["opc_tag_count_low"], keys=("device_id", "field"))
+    fired = sorted(r.tick.minute for r in ev.collect() if r.firing == 1.0)
+    assert fired == [4, 5, 6, 7, 8]  # the 03:xx message is the last one in [T-5m, T)
