@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from tagstream.functions.catalog import (DEFAULT_ROUTE, EVAL_INTERVAL, GROUP_BY, LAG_CHECK_ABOVE,
                                          LAG_NORMAL_BELOW, PLANT_ROUTES, AlertRule, Route)
 from tagstream.functions.timefn import duration_micros, interval_text, micros
-from tagstream.operators.rules import cooldown
 from tagstream.operators.sequence import running_in_series, shift_in_series
 from tagstream.operators.series import eval_grid, reducer
+from tagstream.session import checkpoint_dir
 
 _OPS = {">": lambda v, x: v > x, "<": lambda v, x: v < x, ">=": lambda v, x: v >= x,
         "<=": lambda v, x: v <= x, "==": lambda v, x: v == x, "!=": lambda v, x: v != x}
@@ -138,23 +138,79 @@ def route(alerts: DataFrame, routes: Sequence[Route] = PLANT_ROUTES,
     return alerts.withColumn("route_order", order).join(F.broadcast(table), "route_order")
 
 
-def group_notifications(routed: DataFrame, group_by: Sequence[str] = GROUP_BY,
-                        tick: str = "tick", state: str = "state") -> DataFrame:
-    """ALR4: notifications per alert group (group_by labels within a route).
+def _ceil_to_grid(x: F.Column, step: F.Column) -> F.Column:
+    """Smallest multiple of ``step`` that is >= ``x`` (x >= 0, integer µs)."""
+    return x + F.pmod(-x, step)
+
 
-    A group notifies ``group_wait`` after its first firing tick, then again
-    whenever it is still firing ``repeat_interval`` after the last
-    notification: the cooldown fold (WIN2) with the route's repeat interval.
-    Each notification counts the group's firing and resolved alerts at that tick.
+def group_notifications(routed: DataFrame, group_by: Sequence[str] = GROUP_BY,
+                        series: Sequence[str] = ("device_id", "field"), tick: str = "tick",
+                        state: str = "state", every: str = EVAL_INTERVAL,
+                        bucket: str = "1 day") -> DataFrame:
+    """ALR4: notifications per alert group (``group_by`` labels within a route).
+
+    Input: routed alert states (WIN3 output + ALR3 columns).  A group session
+    lasts while any of its alerts fires, plus ``group_interval`` after the last
+    one resolved (firing runs of its series merged as islands).  Flushes lie on the grid ``anchor + group_wait + k*group_interval``;
+    every change (an alert starts firing or resolves) is sent at the first grid
+    tick at or after it; between two sends of a session the group repeats every
+    ``repeat_interval`` rounded up to the grid.  Each notification carries the
+    number of firing alerts and of alerts resolved since the previous send.
+
+    Built from running sums and shifts partitioned by (group, time slice) and
+    ``explode(sequence)`` for repeats: no fold, no pairs of alerts.
     """
-    keys = ["route_order", *group_by]
-    per_tick = (routed.groupBy(*keys, tick, "group_wait_s", "repeat_interval_s", "receiver")
-                      .agg(F.count_if(F.col(state) == "Firing").alias("firing"),
-                           F.count_if(F.col(state) == "Resolved").alias("resolved")))
-    firing = per_tick.where(F.col("firing") > 0)
-    out = cooldown(firing, "repeat_interval_s", keys=keys, ts=tick, tiebreak=None)
-    return out.withColumn("notify_at", F.col(tick) + F.make_dt_interval(
-        F.lit(0), F.lit(0), F.lit(0), F.col("group_wait_s").cast("decimal(18,6)")))
+    gk = ["route_order", *group_by]
+    step = duration_micros(every)
+    pol = ["group_wait_s", "group_interval_s", "repeat_interval_s"]
+    fire_t = F.when(F.col(state) == "Firing", micros(tick))
+    runs = (routed.groupBy(*gk, *series, "active_since", *pol)
+                  .agg(F.min(fire_t).alias("_s"), F.max(fire_t).alias("_lf"),
+                       F.max(F.when(F.col(state) == "Resolved", micros(tick))).alias("_r"))
+                  .where(F.col("_s").isNotNull())
+                  .select(*gk, *pol, "_s", F.coalesce("_r", F.col("_lf") + F.lit(step)).alias("_e"),
+                          F.xxhash64(*series, "active_since").alias("_rid"))
+                  .withColumn("_st", F.timestamp_micros("_s")))
+    # Each bucketed helper reads its input twice; checkpoints between them keep
+    # the plan linear instead of doubling per step (and cut lineage).
+    checkpoint_dir(routed.sparkSession)
+    runs = runs.checkpoint()
+    gw = F.col("group_wait_s").cast("long") * 1_000_000
+    gi = F.col("group_interval_s").cast("long") * 1_000_000
+    # sessions: a run opens one when it starts more than group_interval after
+    # every earlier run ended (the group lingers until its resolution flush)
+    runs = running_in_series(runs, gk, "_st", "_e", "max", "_cum", bucket, "_rid")
+    runs = shift_in_series(runs, gk, "_st", ["_cum"], "prev", bucket, "_rid")
+    runs = runs.withColumn("_open", F.when(F.col("prev__cum").isNull()
+                                           | (F.col("_s") > F.col("prev__cum") + gi), F.col("_s")))
+    runs = running_in_series(runs, gk, "_st", "_open", "max", "_anchor", bucket, "_rid").checkpoint()
+    first = F.col("_anchor") + gw
+    changes = (runs.select(*gk, *pol, "_anchor", F.col("_s").alias("_t"), F.lit(1).alias("_d"),
+                           F.lit(0).alias("_rs"))
+                   .unionByName(runs.select(*gk, *pol, "_anchor", F.col("_e").alias("_t"),
+                                            F.lit(-1).alias("_d"), F.lit(1).alias("_rs"))))
+    send_t = first + _ceil_to_grid(F.greatest(F.col("_t") - first, F.lit(0)), gi)
+    sends = (changes.select(*gk, *pol, "_anchor", send_t.alias("_t")).distinct()
+                    .withColumn("_d", F.lit(0)).withColumn("_rs", F.lit(0)).withColumn("_m", F.lit(1)))
+    stream = changes.withColumn("_m", F.lit(0)).unionByName(sends).withColumn("_ts", F.timestamp_micros("_t"))
+    stream = running_in_series(stream, gk, "_ts", "_d", "sum", "firing", bucket, "_m")
+    stream = running_in_series(stream, gk, "_ts", "_rs", "sum", "_rcum", bucket, "_m")
+    sent = stream.where(F.col("_m") == 1).checkpoint()
+    sent = shift_in_series(sent, gk, "_ts", ["_rcum", "_anchor"], "prev", bucket)
+    sent = shift_in_series(sent, gk, "_ts", ["_anchor"], "next", bucket).checkpoint()
+    sent = sent.withColumn("resolved", F.col("_rcum") - F.coalesce(F.col("prev__rcum"), F.lit(0)))
+    kind = F.when(F.col("prev__anchor").isNull() | (F.col("prev__anchor") != F.col("_anchor")),
+                  "initial").otherwise("update")
+    out = sent.select(*gk, *pol, F.col("_t").alias("_n"), "firing", "resolved", kind.alias("kind"),
+                      F.when(F.col("next__anchor") == F.col("_anchor"), micros("next__ts"))
+                      .alias("_next"))
+    rep = _ceil_to_grid(F.col("repeat_interval_s").cast("long") * 1_000_000, gi)
+    repeats = (out.where(F.col("_next").isNotNull() & (F.col("_n") + rep < F.col("_next")))
+                  .select(*gk, *pol, F.explode(F.sequence(F.col("_n") + rep, F.col("_next") - 1, rep))
+                          .alias("_n"), "firing", F.lit(0).cast("long").alias("resolved"),
+                          F.lit("repeat").alias("kind")))
+    res = out.drop("_next").unionByName(repeats)
+    return res.withColumn("notify_at", F.timestamp_micros("_n")).drop("_n")
 
 
 def mute(notifications: DataFrame, start: str, end: str, tz: str,

@@ -189,22 +189,50 @@ def alr3_route(spark, sf_dir):
 
 
 def _notif_sql() -> str:
+    g = "route_order, alertname, severity"
     return f"""(
-WITH RECURSIVE pt AS (
-  SELECT route_order, alertname, severity, tick, group_wait_s, repeat_interval_s,
-         count(*) FILTER (WHERE state = 'Firing') AS firing,
-         count(*) FILTER (WHERE state = 'Resolved') AS resolved, epoch_us(tick) AS t
-  FROM {_route_sql()} r GROUP BY 1, 2, 3, 4, 5, 6),
-v AS (SELECT * FROM pt WHERE firing > 0),
-f AS (
-  SELECT route_order, alertname, severity, min(t) AS t FROM v GROUP BY 1, 2, 3
-  UNION ALL
-  SELECT v.route_order, v.alertname, v.severity, min(v.t)
-  FROM f JOIN v ON v.route_order = f.route_order AND v.alertname = f.alertname
-       AND v.severity = f.severity AND v.t >= f.t + CAST(v.repeat_interval_s AS BIGINT) * 1000000
-  GROUP BY 1, 2, 3)
-SELECT v.*, v.tick + to_seconds(CAST(v.group_wait_s AS BIGINT)) AS notify_at
-FROM v JOIN f USING (route_order, alertname, severity, t))"""
+WITH r AS {_route_sql()},
+runs AS (
+  SELECT {g}, device_id, field, active_since,
+         any_value(group_wait_s) AS gw, any_value(group_interval_s) AS gi,
+         any_value(repeat_interval_s) AS rep,
+         min(epoch_us(tick)) FILTER (WHERE state = 'Firing') AS s,
+         coalesce(max(epoch_us(tick)) FILTER (WHERE state = 'Resolved'),
+                  max(epoch_us(tick)) FILTER (WHERE state = 'Firing') + 60000000) AS e
+  FROM r GROUP BY {g}, device_id, field, active_since
+  HAVING min(epoch_us(tick)) FILTER (WHERE state = 'Firing') IS NOT NULL),
+c AS (SELECT *, max(e) OVER (PARTITION BY {g} ORDER BY s, device_id, field
+                             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_max
+      FROM runs),
+i AS (SELECT *, max(CASE WHEN prev_max IS NULL OR s > prev_max + gi * 1000000 THEN s END)
+                  OVER (PARTITION BY {g} ORDER BY s, device_id, field ROWS UNBOUNDED PRECEDING)
+                  AS anchor FROM c),
+ch AS (SELECT {g}, gw, gi, rep, anchor, s AS t, 1 AS d, 0 AS rs FROM i
+       UNION ALL SELECT {g}, gw, gi, rep, anchor, e, -1, 1 FROM i),
+snd AS (SELECT DISTINCT {g}, gw, gi, rep, anchor,
+               anchor + gw * 1000000 + greatest(t - anchor - gw * 1000000, 0)
+               + (((-greatest(t - anchor - gw * 1000000, 0)) % (gi * 1000000)) + gi * 1000000)
+                 % (gi * 1000000) AS n
+        FROM ch),
+cnt AS (SELECT snd.*, (SELECT sum(d) FROM ch WHERE ch.route_order = snd.route_order
+                        AND ch.alertname = snd.alertname AND ch.severity = snd.severity
+                        AND ch.t <= snd.n) AS firing,
+               (SELECT sum(rs) FROM ch WHERE ch.route_order = snd.route_order
+                        AND ch.alertname = snd.alertname AND ch.severity = snd.severity
+                        AND ch.t <= snd.n) AS rcum
+        FROM snd),
+o AS (SELECT *, rcum - coalesce(lag(rcum) OVER w, 0) AS resolved,
+             CASE WHEN lag(anchor) OVER w IS NULL OR lag(anchor) OVER w <> anchor
+                  THEN 'initial' ELSE 'update' END AS kind,
+             CASE WHEN lead(anchor) OVER w = anchor THEN lead(n) OVER w END AS nxt
+      FROM cnt WINDOW w AS (PARTITION BY {g} ORDER BY n)),
+rp AS (SELECT o.*, gi * 1000000 * CAST(ceil(rep / gi) AS BIGINT) AS step FROM o)
+SELECT {g}, CAST(firing AS BIGINT) AS firing, CAST(resolved AS BIGINT) AS resolved, kind,
+       make_timestamp(n) AS notify_at FROM o
+UNION ALL
+SELECT {g}, CAST(firing AS BIGINT), 0, 'repeat', make_timestamp(x)
+FROM rp, unnest(generate_series(n + step, nxt - 1, step)) AS u(x)
+WHERE nxt IS NOT NULL AND n + step < nxt)"""
 
 
 def _notifications(spark, sf_dir):
@@ -215,12 +243,12 @@ _NOTIF_COLS = ("route_order", "alertname", "severity", "firing", "resolved")
 
 
 @register("alr4_group_notifications", f"""
-SELECT route_order, alertname, severity, firing, resolved, {dtxt('tick')} AS tick,
+SELECT route_order, alertname, severity, firing, resolved, kind,
        {dtxt('notify_at')} AS notify_at FROM {_notif_sql()} n
 """)
 def alr4_group_notifications(spark, sf_dir):
     n = _notifications(spark, sf_dir)
-    return n.select(*_NOTIF_COLS, txt("tick").alias("tick"), txt("notify_at").alias("notify_at"))
+    return n.select(*_NOTIF_COLS, "kind", txt("notify_at").alias("notify_at"))
 
 
 _MUTE_NAME, _MUTE_START, _MUTE_END, _MUTE_TZ = MUTE_WINDOWS[0]

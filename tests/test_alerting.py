@@ -70,17 +70,37 @@ def test_route_and_mute(spark):
     assert [x.notify_at.minute for x in kept] == [49]
 
 
-def test_group_notifications_repeat(spark):
-    rows = [("a", "critical", "s1", T0 + dt.timedelta(minutes=m), "Firing") for m in range(0, 150)]
-    alerts = spark.createDataFrame(rows, "alertname string, severity string, field string, "
-                                         "tick timestamp, state string")
-    n = al.group_notifications(al.route(alerts)).orderBy("tick").collect()
-    assert [(x.tick - T0).total_seconds() / 60 for x in n] == [0, 60, 120]
+def test_group_notifications_grid(spark):
+    # one critical alert firing from minute 0 to 149: initial, repeats, resolution
+    ev = spark.createDataFrame([("s1", T0 + dt.timedelta(minutes=m), 1.0) for m in range(150)],
+                               "field string, tick timestamp, firing double")
+    st = al.pending_firing(ev, ["field"], "0 minutes")
+    alerts = (st.withColumn("alertname", F.lit("a")).withColumn("severity", F.lit("critical"))
+                .withColumn("device_id", F.lit("d")))
+    n = al.group_notifications(al.route(alerts)).orderBy("notify_at").collect()
+    got = [((x.notify_at - T0).total_seconds() / 60, x.kind, x.firing, x.resolved) for x in n]
+    assert got == [(0, "initial", 1, 0), (60, "repeat", 1, 0), (120, "repeat", 1, 0),
+                   (150, "update", 0, 1)]
     assert al.render(spark.createDataFrame(
         [("a", "critical", 2, 1)], "alertname string, severity string, firing long, resolved long")
     ).collect()[0].subject == "[k3s alert] a"
 
 
+def test_group_notifications_warning_waits_and_batches(spark):
+    # two warning alerts start firing at minutes 0 and 3
+    rows = [("s1", T0 + dt.timedelta(minutes=m), 1.0) for m in range(0, 20)]
+    rows += [("s2", T0 + dt.timedelta(minutes=m), 1.0) for m in range(3, 8)]
+    ev = spark.createDataFrame(rows, "field string, tick timestamp, firing double")
+    st = al.pending_firing(ev, ["field"], "0 minutes")
+    alerts = (st.withColumn("alertname", F.lit("w")).withColumn("severity", F.lit("warning"))
+                .withColumn("device_id", F.lit("d")))
+    n = al.group_notifications(al.route(alerts)).orderBy("notify_at").collect()
+    got = [((x.notify_at - T0).total_seconds() / 60, x.kind, x.firing, x.resolved) for x in n]
+    # group_wait 1 m, group_interval 5 m: flushes on the grid 1, 6, 11, 16, 21 ...
+    assert got == [(1, "initial", 1, 0), (6, "update", 2, 0), (11, "update", 1, 1),
+                   (21, "update", 0, 1)]
+
+
 def test_classify_lag(spark):
     off = spark.createDataFrame([("g", 0, 100, 95, 1), ("g", 1, 5000, 100, 1), ("g", 2, 50, 20, 0)],
                                 "group string, partition int, end_offset long, committed_offset long, "
