@@ -51,6 +51,58 @@ def eval_rule(points: DataFrame, rule: AlertRule, keys: Sequence[str] = ("field"
     return agg.withColumn("firing", F.when(cond, 1.0).otherwise(0.0))
 
 
+def eval_rules(points: DataFrame, rules: Sequence[AlertRule], keys: Sequence[str] = ("field",),
+               ts: str = "time", value: str = "value", field_col: str = "field",
+               every: str = EVAL_INTERVAL, tiebreak: str | None = None) -> DataFrame:
+    """ALR1 for many rules in ONE scan and ONE shuffle.
+
+    Each point is tagged with every rule it matches (measurement, field
+    regex), exploded to the evaluation ticks whose window contains it (ends
+    in ``(t, t + range]`` on the ``every`` grid, the same windows as
+    ``eval_rule``), and one ``groupBy(rule, series, tick)`` computes all
+    reducers; each rule keeps its own.  Output adds ``uid``, ``severity``
+    and ``for_s`` (hold seconds) to ``eval_rule``'s columns.
+    """
+    rules = list(rules)
+    step = duration_micros(every)
+
+    def matches(r: AlertRule) -> F.Column:
+        c = F.lit(True)
+        if r.measurement and "measurement" in points.columns:
+            c = c & (F.col("measurement") == r.measurement)
+        if r.field_regex:
+            c = c & F.col(field_col).rlike(r.field_regex)
+        return c
+
+    tagged = points.withColumn(
+        "_rule", F.explode(F.array_compact(F.array(*[F.when(matches(r), F.lit(i))
+                                                     for i, r in enumerate(rules)]))))
+    rng = F.element_at(F.array(*[F.lit(duration_micros(r.range_)) for r in rules]),
+                       F.col("_rule") + 1)
+    t = micros(ts)
+    first_end = t - F.pmod(t, F.lit(step)) + F.lit(step)
+    ticks = tagged.withColumn("_tick", F.explode(F.sequence(first_end, t + rng, F.lit(step))))
+    agg = (ticks.groupBy("_rule", *keys, "_tick")
+                .agg(*[reducer(n, value, ts, tiebreak).alias(f"_{n}")
+                       for n in sorted({r.reducer for r in rules})]))
+    pick = pick_cond = None
+    for i, r in enumerate(rules):
+        is_r = F.col("_rule") == i
+        pick = (F.when(is_r, F.col(f"_{r.reducer}").cast("double")) if pick is None
+                else pick.when(is_r, F.col(f"_{r.reducer}").cast("double")))
+    agg = agg.withColumn("value", pick)
+    for i, r in enumerate(rules):
+        is_r = F.col("_rule") == i
+        c = condition_expr(F.col("value"), r.condition)
+        pick_cond = F.when(is_r, c) if pick_cond is None else pick_cond.when(is_r, c)
+    meta = lambda attr: F.element_at(F.array(*[F.lit(attr(r)) for r in rules]),
+                                     F.col("_rule") + 1)
+    return agg.select(meta(lambda r: r.uid).alias("uid"), meta(lambda r: r.severity).alias("severity"),
+                      meta(lambda r: duration_micros(r.for_) // 1_000_000).alias("for_s"),
+                      *keys, F.timestamp_micros("_tick").alias("tick"), "value",
+                      F.when(pick_cond, 1.0).otherwise(0.0).alias("firing"))
+
+
 def no_data_state(evals: DataFrame, rule: AlertRule, keys: Sequence[str], start, stop,
                   every: str = EVAL_INTERVAL, series: DataFrame | None = None) -> DataFrame:
     """ALR2 (+JON5): every tick of ``[start, stop)`` per series with a state.
@@ -81,7 +133,8 @@ def no_data_state(evals: DataFrame, rule: AlertRule, keys: Sequence[str], start,
 
 def pending_firing(evals: DataFrame, keys: Sequence[str], for_: str,
                    every: str = EVAL_INTERVAL, tick: str = "tick",
-                   active: F.Column | None = None, bucket: str = "1 day") -> DataFrame:
+                   active: F.Column | None = None, bucket: str = "1 day",
+                   for_col: str | None = None) -> DataFrame:
     """WIN3: Pending → Firing once the condition held for ``for_``; Resolved after.
 
     Input: one row per (series, tick) where evaluated; ``active`` (default
@@ -93,9 +146,11 @@ def pending_firing(evals: DataFrame, keys: Sequence[str], for_: str,
     """
     keys = list(keys)
     step = duration_micros(every)
-    hold = duration_micros(for_)
     act = evals.where(active if active is not None else (F.col("firing") == 1.0))
-    a = act.select(*keys, F.col(tick).alias("tick"))
+    if for_col:  # per-row hold in seconds (constant within a series), e.g. from eval_rules
+        a = act.select(*keys, F.col(tick).alias("tick"), (F.col(for_col).cast("long") * 1_000_000).alias("_hold"))
+    else:
+        a = act.select(*keys, F.col(tick).alias("tick"), F.lit(duration_micros(for_)).alias("_hold"))
     a = shift_in_series(a, keys, "tick", [], "prev", bucket)
     a = shift_in_series(a, keys, "tick", [], "next", bucket)
     a = a.withColumn("_t", micros("tick"))
@@ -103,7 +158,7 @@ def pending_firing(evals: DataFrame, keys: Sequence[str], for_: str,
     a = a.withColumn("_start", F.when(starts, F.col("_t")))
     a = running_in_series(a, keys, "tick", "_start", "max", "_since", bucket)
     held = F.col("_t") - F.col("_since")
-    a = a.withColumn("state", F.when(held >= F.lit(hold), "Firing").otherwise("Pending"))
+    a = a.withColumn("state", F.when(held >= F.col("_hold"), "Firing").otherwise("Pending"))
     a = a.withColumn("active_since", F.timestamp_micros("_since"))
     ends = F.col("next_tick").isNull() | ((micros("next_tick") - F.col("_t")) > F.lit(step))
     resolved = (a.where(ends & (F.col("state") == "Firing"))

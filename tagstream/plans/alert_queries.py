@@ -150,12 +150,11 @@ _ALERT_RULES = [(BOILER, "max(value)", "value > 150.0"),
 
 
 def _alerts(spark, sf_dir):
-    out = None
-    for rule, _a, _c in _ALERT_RULES:
-        s = (_states(spark, sf_dir, rule)
-             .withColumn("alertname", F.lit(rule.uid)).withColumn("severity", F.lit(rule.severity)))
-        out = s if out is None else out.unionByName(s)
-    return out
+    """All alert rules in one scan: eval_rules + one pending/firing pipeline."""
+    rules = [r for r, _a, _c in _ALERT_RULES]
+    ev = al.eval_rules(fx.points(spark, sf_dir), rules, KEYS, tiebreak="event_id")
+    st = al.pending_firing(ev, ["uid", "severity", *KEYS], "0 minutes", for_col="for_s")
+    return st.withColumnRenamed("uid", "alertname")
 
 
 def _alerts_sql() -> str:
@@ -295,3 +294,19 @@ def jon4_missing_tags(spark, sf_dir):
     tags = tag_dictionary_df(spark, fx.event_tags())
     m = al.missing_tags(fx.readings(spark, sf_dir), tags, START, STOP, "1 day")
     return m.select("tag_name", txt("window_start").alias("window_start"))
+
+
+_MULTI = [(BOILER, "max(value)", "value > 150.0"),
+          (HYDRAULIC, "arg_max(value, (ts, event_id))", "value > 120.0 OR value < 1.0"),
+          (VIBRATION, "max(value)", "value > 200.0")]
+
+
+@register("alr1_eval_rules", " UNION ALL ".join(
+    f"""SELECT '{r.uid}' AS uid, device_id, field, {dtxt('tick')} AS tick, round(value, 6) AS value,
+       CASE WHEN {c} THEN 1.0 ELSE 0.0 END AS firing FROM {_eval_sql(r, a, c)} e{i}"""
+    for i, (r, a, c) in enumerate(_MULTI)))
+def alr1_eval_rules(spark, sf_dir):
+    ev = al.eval_rules(fx.points(spark, sf_dir), [r for r, _a, _c in _MULTI], KEYS,
+                       tiebreak="event_id")
+    return ev.select("uid", "device_id", "field", txt("tick").alias("tick"),
+                     r6("value").alias("value"), "firing")

@@ -132,3 +132,21 @@ def test_tag_count_rule_watches_observed_count(spark):
     ev = al.eval_rule(pts, RULES["opc_tag_count_low"], keys=("device_id", "field"))
     fired = sorted(r.tick.minute for r in ev.collect() if r.firing == 1.0)
     assert fired == [4, 5, 6, 7, 8]  # the 03:xx message is the last one in [T-5m, T)
+
+
+def test_eval_rules_equals_per_rule_evaluation(spark):
+    import random
+    rnd = random.Random(4)
+    fields = ["Temp_Boiler_01", "Temp_Boiler_02", "Press_Hydraulic_01", "Vibration_Pump_03", "Counter"]
+    rows = [(fields[rnd.randrange(5)], rnd.randrange(0, 3600), rnd.uniform(0, 200)) for _ in range(300)]
+    p = _points(spark, rows)
+    rules = [RULES[u] for u in ("boiler_temp_critical", "hydraulic_pressure_critical", "vibration_high")]
+    together = {(r.uid, r.field, r.tick, round(r.value, 9), r.firing)
+                for r in al.eval_rules(p, rules).collect()}
+    apart = set()
+    for rule in rules:
+        apart |= {(rule.uid, r.field, r.tick, round(r.value, 9), r.firing)
+                  for r in al.eval_rule(p, rule).collect()}
+    assert together == apart and len(together) > 0
+    plan = al.eval_rules(p, rules)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
