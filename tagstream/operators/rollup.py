@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagstream.functions.timefn import micros, with_date_parts
+from tagstream.functions.timefn import with_date_parts
 
 
 def _good(df: DataFrame, value: str) -> DataFrame:
@@ -124,4 +124,4 @@ def samples_check(hourly: DataFrame) -> DataFrame:
 
 
 __all__ = ["rollup_1h", "rollup_1d", "partition_counts", "distinct_days", "hourly_mean",
-           "ingest_report", "samples_check", "micros"]
+           "ingest_report", "samples_check"]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tagstream.functions.timefn import micros, parse_event_time, with_date_parts
 from tagstream.operators import reshape as rs
-from tagstream.plans.registry import R, dtxt, r6, register, txt
+from tagstream.plans.registry import R, r6, register
 from tagstream.sources import decode as dc
 from tagstream.sources import fixtures as fx
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from tagstream.functions.catalog import PRIORITY, rules_df
 from tagstream.operators import rules as ru
 from tagstream.plans.registry import R, dtxt, r6, register, txt

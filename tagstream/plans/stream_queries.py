@@ -14,7 +14,6 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagstream.functions.catalog import AlertRule
 from tagstream.operators import rules as ru
 from tagstream.plans.alert_queries import BOILER, _eval_sql
 from tagstream.plans.registry import R, dtxt, r6, register, txt

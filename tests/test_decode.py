@@ -2,8 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from tagstream.functions.timefn import parse_event_time
 from tagstream.sources import decode as dc
 

@@ -1,10 +1,7 @@
 """Plan checks: pushdown, pruning, no nested loops, partial aggregation."""
 
-import datetime as dt
 import os
 
-from pyspark.sql import functions as F
-
 from tagstream.operators import rollup as ro
 from tagstream.operators import series as se
 from tagstream.plans import checks

@@ -3,8 +3,6 @@
 import datetime as dt
 import random
 
-from pyspark.sql import functions as F
-
 from tagstream.functions.catalog import PLANT_RULES, Rule, rules_df
 from tagstream.operators import rules as ru
 

@@ -3,8 +3,6 @@
 import datetime as dt
 import os
 
-from pyspark.sql import functions as F
-
 from tagstream.operators import rules as ru
 from tagstream.operators.rollup import rollup_1h
 from tagstream.streaming import queries as sq
