@@ -211,27 +211,41 @@ def late_router(on_time_path: str, late_path: str, delay: str, ts: str = "ts",
                 partition_by: Sequence[str] = ()):
     """STR7: a ``foreachBatch`` function routing each micro-batch.
 
-    The threshold is (latest event time written so far − delay), read from
-    the on-time table itself, so it survives restarts; late rows go to
-    ``late_path`` instead of being silently dropped.
+    Like Spark's watermark, rows of batch N are judged against the latest
+    event time seen in batches before N, minus ``delay``; late rows go to
+    ``late_path`` instead of being silently dropped.  The running maximum is
+    kept in a one-row progress record per batch (``<on_time_path>/_progress``,
+    partition ``batch_id``): batch N reads only batch N-1's record, so the
+    cost does not grow with the data and a replayed batch gets the same
+    threshold.
     """
     d_us = duration_micros(delay)
+    progress = on_time_path.rstrip("/") + "_progress"
 
     def route(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        try:
-            prev = spark.read.parquet(on_time_path).agg(F.max(ts)).first()[0]
-        except Exception:  # noqa: BLE001 - first batch: no table yet
-            prev = None
-        # like Spark's watermark: rows of batch N are judged against the event
-        # time seen in batches before N, so a backlog batch is never "late"
+        prev = None
+        if batch_id > 0:
+            try:
+                prev = (spark.read.parquet(progress).where(F.col("batch_id") == batch_id - 1)
+                             .agg(F.max("max_ts")).first()[0])
+            except Exception:  # noqa: BLE001 - no progress yet
+                prev = None
         wm = (prev - datetime.timedelta(microseconds=d_us)) if prev is not None else datetime.datetime.min
-        on_time, late = split_late(batch, wm, ts)
-        w1 = on_time.write.mode("append")
-        w2 = late.withColumn("batch_id", F.lit(batch_id)).write.mode("append")
-        if partition_by:
-            w1 = w1.partitionBy(*partition_by)
-        w1.parquet(on_time_path)
-        w2.parquet(late_path)
+        batch.persist()  # read three times below; released at the end of the batch
+        try:
+            on_time, late = split_late(batch, wm, ts)
+            w1 = on_time.write.mode("append")
+            if partition_by:
+                w1 = w1.partitionBy(*partition_by)
+            w1.parquet(on_time_path)
+            late.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(late_path)
+            cur = batch.agg(F.max(ts).alias("m")).first()["m"]
+        finally:
+            batch.unpersist()
+        top = max([x for x in (prev, cur) if x is not None], default=None)
+        (spark.createDataFrame([(batch_id, top)], "batch_id long, max_ts timestamp")
+              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+              .partitionBy("batch_id").parquet(progress))
 
     return route
