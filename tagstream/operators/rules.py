@@ -274,3 +274,20 @@ def batch_per_device(v: DataFrame, window: str = "15 minutes", ts: str = "ts",
                   F.min(ts).alias("first_ts"), F.max(value).alias("max_value"))
              .select(device, F.col("w.start").alias("batch_start"), F.col("w.end").alias("batch_end"),
                      "violations", "tags", "tag_list", "top_priority", "first_ts", "max_value"))
+
+
+def asset_work_orders(readings: DataFrame, rules: Sequence[Rule] | DataFrame,
+                      cooldown_s: float = 900, window: str = "15 minutes", cap: int = 50,
+                      keys: Sequence[str] = ("device_id", "tag_name"),
+                      tiebreak: str | None = "event_id") -> DataFrame:
+    """The scaled asset path: violations → cooldown per (device, tag) →
+    one work order per device and batch window → at most ``cap`` per hour.
+
+    Composition of ALM2, WIN2, ALM6 and WIN5; every step is parallel
+    (cooldown by pointer doubling, batching by a partial aggregate, the cap
+    by a window-group limit before the shuffle).
+    """
+    v = classify(violations(readings, rules))
+    fired = cooldown(v, cooldown_s, keys=keys, tiebreak=tiebreak)
+    batches = batch_per_device(fired, window)
+    return cap_per_hour(batches, n=cap, ts="batch_start", tiebreak="device_id")

@@ -193,3 +193,31 @@ def alm6_batch_per_device(spark, sf_dir):
                     txt("batch_end").alias("batch_end"), "violations", "tags", "tag_list",
                     "top_priority", txt("first_ts").alias("first_ts"),
                     r6("max_value").alias("max_value"))
+
+
+@register("alm6_asset_work_orders", f"""
+WITH RECURSIVE v AS (SELECT *, epoch_us(ts) AS t FROM {VIOL} x),
+f AS (
+  SELECT device_id, tag_name, min(t) AS t, arg_min(event_id, (t, event_id)) AS event_id
+  FROM v GROUP BY device_id, tag_name
+  UNION ALL
+  SELECT v.device_id, v.tag_name, min(v.t), arg_min(v.event_id, (v.t, v.event_id))
+  FROM f JOIN v ON v.device_id = f.device_id AND v.tag_name = f.tag_name AND v.t >= f.t + {C_US}
+  GROUP BY v.device_id, v.tag_name),
+fired AS (SELECT v.* FROM v JOIN f ON v.event_id = f.event_id),
+b AS (SELECT device_id, time_bucket(INTERVAL 15 MINUTE, ts) AS batch_start, count(*) AS violations,
+             count(DISTINCT tag_name) AS tags,
+             array_to_string(list_sort(list(DISTINCT tag_name)), ',') AS tag_list,
+             min(CASE severity WHEN 'Critical' THEN 1 WHEN 'High' THEN 2 WHEN 'Medium' THEN 3 END)
+               AS top_priority
+      FROM fired GROUP BY 1, 2),
+c AS (SELECT *, row_number() OVER (PARTITION BY date_trunc('hour', batch_start)
+                                   ORDER BY batch_start, device_id) AS rn FROM b)
+SELECT device_id, {dtxt('batch_start')} AS batch_start, violations, tags, tag_list, top_priority
+FROM c WHERE rn <= 50
+""")
+def alm6_asset_work_orders(spark, sf_dir):
+    wo = ru.asset_work_orders(fx.readings(spark, sf_dir), RULES,
+                              cooldown_s=fx.EVENT_COOLDOWN_SECONDS)
+    return wo.select("device_id", txt("batch_start").alias("batch_start"), "violations", "tags",
+                     "tag_list", "top_priority")
