@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tagstream.functions.timefn import duration_micros, interval_text, micros
 from tagstream.operators.sequence import shift_in_series
@@ -188,10 +189,16 @@ def series_stats(df: DataFrame, keys: Sequence[str], value: str = "value") -> Da
 
 
 def legend_calcs(windowed: DataFrame, keys: Sequence[str], ts: str = "window_start",
-                 value: str = "value") -> DataFrame:
-    """AGG7: mean, max and lastNotNull of a (windowed) series."""
+                 value: str = "value", exact_scale: int | None = None) -> DataFrame:
+    """AGG7: mean, max and lastNotNull of a (windowed) series.
+
+    With ``exact_scale`` the mean is a decimal: each value is fixed to that many
+    digits and summed exactly, so the result does not depend on the order in
+    which partial sums meet (a double sum can round a tie either way).
+    """
     g = windowed.where(F.col(value).isNotNull())
-    return g.groupBy(*keys).agg(F.avg(value).alias("mean"), F.max(value).alias("max"),
+    v = F.col(value) if exact_scale is None else F.col(value).cast(T.DecimalType(38, exact_scale))
+    return g.groupBy(*keys).agg(F.avg(v).alias("mean"), F.max(value).alias("max"),
                                 F.max_by(F.col(value), F.col(ts)).alias("last_not_null"))
 
 

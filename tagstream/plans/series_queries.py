@@ -187,17 +187,23 @@ def agg6_series_stats(spark, sf_dir):
 
 @register("agg7_legend_calcs", f"""
 WITH w AS (SELECT tag_name, time_bucket(INTERVAL 1 HOUR, ts) AS window_start, avg(value) AS value
-           FROM ({R}) r WHERE value IS NOT NULL GROUP BY 1, 2)
-SELECT tag_name, round(avg(value), 6) AS mean, round(max(value), 6) AS max,
-       round(arg_max(value, window_start), 6) AS last_not_null
-FROM w GROUP BY 1
+           FROM ({R}) r WHERE value IS NOT NULL GROUP BY 1, 2),
+     e AS (SELECT tag_name,
+                  CAST(sum(CAST(value AS DECIMAL(38, 9))) * 1000000000 AS HUGEINT) AS t,
+                  count(*) AS h, max(value) AS mx, arg_max(value, window_start) AS lst
+           FROM w GROUP BY 1)
+SELECT tag_name,
+       CAST(sign(t) * ((2 * abs(t) + 1000 * h) // (2000 * h)) AS DOUBLE) / 1000000.0 AS mean,
+       round(mx, 6) AS max, round(lst, 6) AS last_not_null
+FROM e
 """)
 def agg7_legend_calcs(spark, sf_dir):
     g = fx.good_readings(spark, sf_dir)
     w = se.aggregate_window(g, ["tag_name"], "1h", "mean")
-    lc = se.legend_calcs(w, ["tag_name"])
-    return lc.select("tag_name", r6("mean").alias("mean"), r6("max").alias("max"),
-                     r6("last_not_null").alias("last_not_null"))
+    # Exact decimal mean of the hourly means (9 digits each), rounded half-up to 6.
+    lc = se.legend_calcs(w, ["tag_name"], exact_scale=9)
+    return lc.select("tag_name", F.round("mean", 6).cast("double").alias("mean"),
+                     r6("max").alias("max"), r6("last_not_null").alias("last_not_null"))
 
 
 @register("win1_derivative", f"""
