@@ -7,3 +7,4 @@ from tagstream.plans import alert_queries  # noqa: F401
 from tagstream.plans import decode_queries  # noqa: F401
 from tagstream.plans import stream_queries  # noqa: F401
 from tagstream.plans import host_queries  # noqa: F401
+from tagstream.plans import lifecycle_queries  # noqa: F401

@@ -16,6 +16,8 @@ from tagstream.operators.series import time_range
 from tagstream.sources.lake import PARTS, read_raw_lake
 
 HOURLY_PARTS = PARTS + ["hr"]
+# Text exports keep microseconds (the writers' default format stops at ms).
+EXPORT_TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
 def write_raw_lake(stream: DataFrame, path: str, checkpoint: str,
@@ -185,9 +187,9 @@ def export(df: DataFrame, fmt: str, path: str, tags: Sequence[str] | None = None
         out = out.where(F.col(tag).isin(list(tags)))
     w = out.write.mode("overwrite")
     if fmt == "csv":
-        w.option("header", "true").csv(path)
+        w.option("header", "true").option("timestampFormat", EXPORT_TS_FORMAT).csv(path)
     elif fmt == "json":
-        w.json(path)
+        w.option("timestampFormat", EXPORT_TS_FORMAT).json(path)
     elif fmt == "parquet":
         w.option("compression", "zstd").parquet(path)
     else:
