@@ -97,7 +97,7 @@ FROM l WHERE prev IS NULL OR level <> prev
 """)
 def flt6_changed_only(spark, sf_dir):
     g = fx.good_readings(spark, sf_dir).withColumn("level", F.floor(F.col("value") / 50).cast("double"))
-    ch = se.changed_only(g, SERIES, value="level", tiebreak="event_id", bucket="1 day")
+    ch = se.changed_only(g, SERIES, value="level", tiebreak="event_id", bucket="1 hour")
     return ch.select("event_id", "device_id", "tag_name", txt("ts").alias("ts"),
                      r6("level").alias("level"))
 
@@ -218,7 +218,7 @@ FROM l WHERE pts IS NOT NULL
 """)
 def win1_derivative(spark, sf_dir):
     g = fx.good_readings(spark, sf_dir)
-    d = se.derivative(g, SERIES, tiebreak="event_id", bucket="1 day")
+    d = se.derivative(g, SERIES, tiebreak="event_id", bucket="1 hour")
     return d.select("event_id", "device_id", "tag_name", txt("ts").alias("ts"), r6("rate").alias("rate"))
 
 
