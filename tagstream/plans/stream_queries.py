@@ -29,14 +29,19 @@ def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
                  .option("maxFilesPerTrigger", 1).parquet(sf_dir.rstrip("/")))
 
 
-def run_available_now(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Run a streaming DataFrame to the end of its input; return the sink table."""
+def run_to_table(spark: SparkSession, df: DataFrame, name: str) -> str:
+    """Run a streaming DataFrame to the end of its input; return the sink path."""
     base = f"{checkpoint_dir(spark).rstrip('/')}/streams/{name}-{uuid.uuid4().hex[:12]}"
     q = (df.writeStream.format("parquet").option("path", f"{base}/out")
            .option("checkpointLocation", f"{base}/ck").outputMode("append")
            .trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.schema(df.schema).parquet(f"{base}/out")
+    return f"{base}/out"
+
+
+def run_available_now(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """Run a streaming DataFrame to the end of its input; return the sink table."""
+    return spark.read.schema(df.schema).parquet(run_to_table(spark, df, name))
 
 
 def _stream_readings(spark, sf_dir):
@@ -59,24 +64,72 @@ def str1_stream_rollup_1h(spark, sf_dir):
                       r6("max_val").alias("max_val"), r6("min_val").alias("min_val"), "samples")
 
 
-@register("str2_stream_alerts", f"""
+_STR2_SQL = f"""
 WITH e AS {_eval_sql(BOILER, "max(value)", "value > 150.0")},
 wm AS (SELECT max(ts) - INTERVAL 2 MINUTE AS w FROM ({R}) r
        WHERE value IS NOT NULL AND regexp_matches(tag_name, '^click_'))
 SELECT device_id, field, {dtxt('tick')} AS tick, round(value, 6) AS value,
        CASE WHEN value > 150.0 THEN 1.0 ELSE 0.0 END AS firing
 FROM e, wm WHERE e.tick <= wm.w
-""")
-def str2_stream_alerts(spark, sf_dir):
+"""
+
+
+def _boiler_eval_stream(spark, sf_dir):
     r = _stream_readings(spark, sf_dir).where(F.col("value").isNotNull())
     pts = r.select("device_id", F.lit(fx.MEASUREMENT).alias("measurement"),
                    F.col("tag_name").alias("field"), F.col("ts").alias("time"), "value")
-    s = sq.stream_alerts(pts, BOILER, keys=("device_id", "field"), delay="2 minutes")
-    out = run_available_now(spark, s, "str2")
+    return sq.stream_alerts(pts, BOILER, keys=("device_id", "field"), delay="2 minutes")
+
+
+@register("str2_stream_alerts", _STR2_SQL)
+def str2_stream_alerts(spark, sf_dir):
+    out = run_available_now(spark, _boiler_eval_stream(spark, sf_dir), "str2")
     return out.select("device_id", "field", txt("tick").alias("tick"), r6("value").alias("value"),
                       "firing")
 
 
+_STR2_EVALS_SQL = f"""(SELECT e.* FROM {_eval_sql(BOILER, "max(value)", "value > 150.0")} e,
+  (SELECT max(ts) - INTERVAL 2 MINUTE AS w FROM ({R}) r
+   WHERE value IS NOT NULL AND regexp_matches(tag_name, '^click_')) wm
+  WHERE e.tick <= wm.w)"""
+
+
+@register("str4_stream_pending_firing", f"""
+WITH ev AS {_STR2_EVALS_SQL},
+mx AS (SELECT max(tick) AS m FROM ev),
+e AS (SELECT * FROM ev WHERE value > 150.0),
+l AS (SELECT *, lag(tick) OVER w AS pt, lead(tick) OVER w AS nt FROM e
+      WINDOW w AS (PARTITION BY device_id, field ORDER BY tick)),
+s AS (SELECT *, max(CASE WHEN pt IS NULL OR tick - pt > INTERVAL 1 MINUTE THEN tick END)
+                 OVER (PARTITION BY device_id, field ORDER BY tick
+                       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS since FROM l),
+st AS (SELECT *, CASE WHEN tick - since >= INTERVAL 1 MINUTE THEN 'Firing' ELSE 'Pending' END
+                 AS state FROM s),
+out AS (
+  SELECT device_id, field, tick, state, since AS active_since FROM st
+  UNION ALL
+  SELECT device_id, field, tick + INTERVAL 1 MINUTE, 'Resolved', since FROM st, mx
+  WHERE (nt IS NULL OR nt - tick > INTERVAL 1 MINUTE) AND state = 'Firing'
+    AND (tick + INTERVAL 1 MINUTE < mx.m
+         OR EXISTS (SELECT 1 FROM ev x WHERE x.device_id = st.device_id AND x.field = st.field
+                    AND x.tick > st.tick)))
+SELECT device_id, field, {dtxt('tick')} AS tick, state, {dtxt('active_since')} AS active_since
+FROM out
+""")
+def str4_stream_pending_firing(spark, sf_dir):
+    """STR4 chained after STR2: the evaluation table is read back as a file
+    stream (Spark allows no state function after a streaming aggregation in
+    append mode).  A run is resolved by the next evaluation of its series or,
+    when none follows, by the event-time timeout once the watermark passes."""
+    evals_path = run_to_table(spark, _boiler_eval_stream(spark, sf_dir), "str4-evals")
+    schema = "device_id string, field string, tick timestamp, value double, firing double"
+    evals = spark.readStream.schema(schema).parquet(evals_path)
+    st = sq.stream_pending_firing(evals, ["device_id", "field"], BOILER.for_)
+    out = run_available_now(spark, st, "str4")
+    return out.select("device_id", "field", txt("tick").alias("tick"), "state",
+                      txt("active_since").alias("active_since"))
+
+
 @register("str3_stream_cooldown", _cooldown_sql(["tag_name"]))
 def str3_stream_cooldown(spark, sf_dir):
     v = ru.violations(_stream_readings(spark, sf_dir), fx.EVENT_RULES)
