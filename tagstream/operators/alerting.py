@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tagstream.functions.catalog import (DEFAULT_ROUTE, EVAL_INTERVAL, GROUP_BY, LAG_CHECK_ABOVE,
                                          LAG_NORMAL_BELOW, PLANT_ROUTES, AlertRule, Route)
 from tagstream.functions.timefn import duration_micros, interval_text, micros
-from tagstream.operators.sequence import running_in_series, shift_in_series
+from tagstream.operators.sequence import neighbours_in_series, running_in_series, shift_in_series
 from tagstream.operators.series import eval_grid, reducer
 from tagstream.session import checkpoint_dir
 
@@ -151,8 +151,7 @@ def pending_firing(evals: DataFrame, keys: Sequence[str], for_: str,
         a = act.select(*keys, F.col(tick).alias("tick"), (F.col(for_col).cast("long") * 1_000_000).alias("_hold"))
     else:
         a = act.select(*keys, F.col(tick).alias("tick"), F.lit(duration_micros(for_)).alias("_hold"))
-    a = shift_in_series(a, keys, "tick", [], "prev", bucket)
-    a = shift_in_series(a, keys, "tick", [], "next", bucket)
+    a = neighbours_in_series(a, keys, "tick", [], bucket)
     a = a.withColumn("_t", micros("tick"))
     starts = F.col("prev_tick").isNull() | ((F.col("_t") - micros("prev_tick")) > F.lit(step))
     a = a.withColumn("_start", F.when(starts, F.col("_t")))
@@ -251,8 +250,7 @@ def group_notifications(routed: DataFrame, group_by: Sequence[str] = GROUP_BY,
     stream = running_in_series(stream, gk, "_ts", "_d", "sum", "firing", bucket, "_m")
     stream = running_in_series(stream, gk, "_ts", "_rs", "sum", "_rcum", bucket, "_m")
     sent = stream.where(F.col("_m") == 1).checkpoint()
-    sent = shift_in_series(sent, gk, "_ts", ["_rcum", "_anchor"], "prev", bucket)
-    sent = shift_in_series(sent, gk, "_ts", ["_anchor"], "next", bucket).checkpoint()
+    sent = neighbours_in_series(sent, gk, "_ts", ["_rcum", "_anchor"], bucket).checkpoint()
     sent = sent.withColumn("resolved", F.col("_rcum") - F.coalesce(F.col("prev__rcum"), F.lit(0)))
     kind = F.when(F.col("prev__anchor").isNull() | (F.col("prev__anchor") != F.col("_anchor")),
                   "initial").otherwise("update")

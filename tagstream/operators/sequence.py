@@ -65,6 +65,37 @@ def shift_in_series(df: DataFrame, keys: Sequence[str], ts: str, cols: Sequence[
     return out.drop("_nb", "_at_edge", BK)
 
 
+def neighbours_in_series(df: DataFrame, keys: Sequence[str], ts: str, cols: Sequence[str] = (),
+                         bucket: str | int = "1 hour", tiebreak: str | None = None) -> DataFrame:
+    """``prev_<c>`` and ``next_<c>`` together: one bucketed window sort, one edge
+    aggregate (first and last row per bucket) and one join, instead of two
+    ``shift_in_series`` passes."""
+    keys = list(keys)
+    carried = [ts] + [c for c in cols if c != ts]
+    order = _order_cols(ts, tiebreak)
+    d = _with_bucket(df, ts, bucket)
+    w = Window.partitionBy(*keys, BK).orderBy(*order)
+    for c in carried:
+        d = (d.withColumn("prev_" + c, F.lag(F.col(c)).over(w))
+              .withColumn("next_" + c, F.lead(F.col(c)).over(w)))
+    row = F.struct(*[F.col(c) for c in carried])
+    pos = F.struct(*[F.col(c) for c in order])
+    edge = d.groupBy(*keys, BK).agg(F.min_by(row, pos).alias("_first"),
+                                    F.max_by(row, pos).alias("_last"))
+    wb = Window.partitionBy(*keys).orderBy(BK)
+    edge = edge.select(*keys, BK, F.lag("_last").over(wb).alias("_pb"),
+                       F.lead("_first").over(wb).alias("_nb"))
+    out = (d.join(edge, [*keys, BK], "left")
+            .withColumn("_first_in", F.col("prev_" + ts).isNull())
+            .withColumn("_last_in", F.col("next_" + ts).isNull()))
+    for c in carried:
+        out = (out.withColumn("prev_" + c, F.when(F.col("_first_in"), F.col("_pb." + c))
+                              .otherwise(F.col("prev_" + c)))
+                  .withColumn("next_" + c, F.when(F.col("_last_in"), F.col("_nb." + c))
+                              .otherwise(F.col("next_" + c))))
+    return out.drop("_pb", "_nb", "_first_in", "_last_in", BK)
+
+
 def running_in_series(df: DataFrame, keys: Sequence[str], ts: str, col: str, fn: str,
                       out: str, bucket: str | int = "1 hour",
                       tiebreak: str | None = None) -> DataFrame:

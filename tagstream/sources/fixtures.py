@@ -33,7 +33,15 @@ def event_tags() -> list[str]:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A test table.  Each is one file with one row group, so its scan is a
+    single task; when that leaves cores idle, spread the rows round-robin
+    (one small shuffle).  Inputs that already split into enough tasks, as on
+    a cluster, are read as they are."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        df = df.repartition(cores)
+    return df
 
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -70,3 +70,18 @@ def test_bucketed_lag_equals_window_lag(spark, ts, bucket):
     got = {r.event_id: r.prev_value for r in
            shift_in_series(df, ["tag_name"], "ts", ["value"], "prev", bucket, "event_id").collect()}
     assert got == ref
+
+
+@SETTINGS
+@given(ts=st.lists(st.integers(0, 50_000), min_size=1, max_size=80),
+       bucket=st.sampled_from(["30 seconds", "5 minutes", "1 day"]))
+def test_bucketed_neighbours_equal_window_lag_and_lead(spark, ts, bucket):
+    from tagstream.operators.sequence import neighbours_in_series
+    rows = [(i, "d", "AB"[i % 2], T0 + dt.timedelta(seconds=s), float(i)) for i, s in enumerate(ts)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    w = Window.partitionBy("tag_name").orderBy("ts", "event_id")
+    ref = {r.event_id: (r.p, r.n) for r in df.select(
+        "event_id", F.lag("value").over(w).alias("p"), F.lead("value").over(w).alias("n")).collect()}
+    got = {r.event_id: (r.prev_value, r.next_value) for r in
+           neighbours_in_series(df, ["tag_name"], "ts", ["value"], bucket, "event_id").collect()}
+    assert got == ref
