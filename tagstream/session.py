@@ -24,6 +24,18 @@ BASE_CONF = {
 }
 
 
+# Cluster sizing when no partition count is given: start shuffles wide and let
+# AQE merge them to ~256 MB each (it can merge partitions but not split them,
+# so the default 200 would leave 100 TB shuffles at hundreds of GB a task).
+# File splits of 256 MB keep scan tasks the same size.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "16384",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+}
+
+
 def build_session(master: str | None = None, app: str = "tagstream",
                   shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:
@@ -33,6 +45,8 @@ def build_session(master: str | None = None, app: str = "tagstream",
     conf = dict(BASE_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    elif not (master or "").startswith("local"):
+        conf.update(CLUSTER_CONF)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)

@@ -116,3 +116,17 @@ def test_hourly_rollup_partial_aggregation_before_shuffle(spark):
     rows = [("T", i, 1.0) for i in range(10)]
     plan = ro.rollup_1h(_df(spark, rows))._jdf.queryExecution().executedPlan().toString()
     assert "partial_avg" in plan or "partial_count" in plan
+
+
+def test_legend_exact_mean_rounds_a_tie_half_up(spark):
+    from decimal import Decimal
+    # the mean is 2.275 / 5 = 0.455 exactly: a tie at two digits, which a
+    # double sum may land on either side of, depending on summation order
+    vals = [0.1, 0.2, 0.3, 0.4, 1.275]
+    df = spark.createDataFrame([("t", i, v) for i, v in enumerate(vals)],
+                               "tag_name string, window_start int, value double")
+    lc = se.legend_calcs(df.repartition(3), ["tag_name"], exact_scale=9)
+    r = lc.select("mean", F.round("mean", 2).cast("double").alias("m2"), "max",
+                  "last_not_null").collect()[0]
+    assert r["mean"] == Decimal("0.455") and r["m2"] == 0.46
+    assert r["max"] == 1.275 and r["last_not_null"] == 1.275
