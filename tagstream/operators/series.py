@@ -85,7 +85,10 @@ def changed_only(df: DataFrame, keys: Sequence[str], ts: str = "ts", value: str
     """FLT6: keep a reading only when it differs from the previous one by > deadband.
 
     The first reading of a series is always kept.  NULL readings are not
-    compared (filter them first if they should not count).
+    compared (filter them first if they should not count).  With deadband 0
+    this is the plant's data-change report (its subscription sets no deadband
+    filter).  A deadband measured from the last *reported* value would be a
+    fold over the series; this compares with the previous reading.
     """
     d = shift_in_series(df, keys, ts, [value], "prev", bucket, tiebreak)
     keep = (F.col("prev_" + ts).isNull()

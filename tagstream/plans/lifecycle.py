@@ -13,7 +13,7 @@ from tagstream.functions.timefn import with_date_parts
 from tagstream.operators.reshape import unpivot_tags
 from tagstream.operators.rollup import rollup_1d, rollup_1h
 from tagstream.operators.series import time_range
-from tagstream.sources.lake import PARTS, read_raw_lake
+from tagstream.sources.lake import PARTS, read_raw_lake, read_rollup
 
 HOURLY_PARTS = PARTS + ["hr"]
 # Text exports keep microseconds (the writers' default format stops at ms).
@@ -90,7 +90,7 @@ def backfill(spark: SparkSession, raw_path: str, out_1h: str, out_1d: str | None
     hourly = rollup_1h(tall).withColumn("hr", F.date_format("hour", "HH"))
     write_rollup(hourly, out_1h, HOURLY_PARTS)
     if out_1d:
-        h = spark.read.parquet(out_1h)
+        h = read_rollup(spark, out_1h, "1h", extra_parts=["hr"])
         h = _day_filter(h, days)
         whole = [d for d in days if dt.datetime.combine(d, dt.time()) >= start
                  and dt.datetime.combine(d + dt.timedelta(days=1), dt.time()) <= stop]

@@ -26,7 +26,7 @@ from tagstream.plans.registry import REGISTRY, R, dtxt, r6, register, txt
 from tagstream.plans.stream_queries import events_stream
 from tagstream.session import checkpoint_dir
 from tagstream.sources import fixtures as fx
-from tagstream.sources.lake import PARTS, read_raw_lake, read_rollup
+from tagstream.sources.lake import PARTS, read_compacted, read_raw_lake, read_rollup
 
 TAGS = fx.event_tags()
 ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
@@ -134,7 +134,7 @@ GROUP BY 1, 2, 7, 8, 9, 10
 """)
 def snk3_backfill_1h(spark, sf_dir):
     """SNK3: backfill of the lake's whole range in one job; hourly table."""
-    h = read_rollup(spark, _backfill(spark, sf_dir) + "/sensor_1h", "1h")
+    h = read_rollup(spark, _backfill(spark, sf_dir) + "/sensor_1h", "1h", extra_parts=["hr"])
     return h.select(txt("hour").alias("hour"), "tag_name", r6("avg_val").alias("avg_val"),
                     r6("max_val").alias("max_val"), r6("min_val").alias("min_val"),
                     "samples", "year", "month", "day", "hr")
@@ -158,7 +158,7 @@ def snk4_compact_tall(spark, sf_dir):
     lake = build_lake(spark, sf_dir, "snk4t")
     path = lake.rsplit("/", 1)[0] + "/compact"
     lc.compact(read_raw_lake(spark, lake, TAGS), path, TAGS, layout="tall")
-    return _tall_out(spark.read.parquet(path), ["hr"])
+    return _tall_out(read_compacted(spark, path, "tall"), ["hr"])
 
 
 @register("snk4_compact_map", _tall_sql(_HR))
@@ -167,7 +167,7 @@ def snk4_compact_map(spark, sf_dir):
     lake = build_lake(spark, sf_dir, "snk4m")
     path = lake.rsplit("/", 1)[0] + "/compact"
     lc.compact(read_raw_lake(spark, lake, TAGS), path, TAGS, layout="map")
-    m = spark.read.parquet(path)
+    m = read_compacted(spark, path, "map")
     tall = m.select("device_id", "ts", F.explode("tags").alias("tag_name", "value"), *PARTS, "hr")
     return _tall_out(tall, ["hr"])
 

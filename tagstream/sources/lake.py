@@ -40,11 +40,30 @@ ROLLUP_SCHEMA = {
 }
 
 
-def read_rollup(spark: SparkSession, path: str, grain: str = "1h") -> DataFrame:
-    """SRC6: Parquet rollup table (partition columns read back as strings)."""
+def read_rollup(spark: SparkSession, path: str, grain: str = "1h",
+                extra_parts: Sequence[str] = ()) -> DataFrame:
+    """SRC6: Parquet rollup table.  The schema is given, so partition columns
+    stay zero-padded strings ("05") whatever the session's type inference;
+    ``extra_parts`` names further partition levels (e.g. ``hr``)."""
     if grain not in ROLLUP_SCHEMA:
         raise ValueError(grain)
-    return spark.read.parquet(path)
+    schema = ROLLUP_SCHEMA[grain] + "".join(f", {p} string" for p in extra_parts)
+    return spark.read.schema(schema).parquet(path)
+
+
+COMPACT_SCHEMA = {
+    "tall": "source_id string, device_id string, ts timestamp, tag_name string, value double, "
+            "year string, month string, day string, hr string",
+    "map": "source_id string, device_id string, ts timestamp, tag_count long, bad_count long, "
+           "tags map<string,double>, year string, month string, day string, hr string",
+}
+
+
+def read_compacted(spark: SparkSession, path: str, layout: str = "tall") -> DataFrame:
+    """Read a table written by ``compact`` (SNK4), partition columns as strings."""
+    if layout not in COMPACT_SCHEMA:
+        raise ValueError(layout)
+    return spark.read.schema(COMPACT_SCHEMA[layout]).parquet(path)
 
 
 def stream_source(spark: SparkSession, spec: dict) -> DataFrame:

@@ -40,3 +40,19 @@ def test_sequence_ops_shuffle_readings_once(spark):
     # one exchange on (series, bucket) for the rows; the others carry bucket summaries
     assert plan.count("hashpartitioning(device_id") >= 1
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_backfill_day_filter_prunes_raw_lake_partitions(spark, tmp):
+    import datetime as dt
+    from pyspark.sql import functions as F
+    from tagstream.sources.lake import read_raw_lake
+    path = os.path.join(tmp, "lake")
+    rows = [("2024-01-0%dT10:00:00Z" % d, "s", "d", 1, 0, float(d)) for d in (1, 2, 3)]
+    (spark.createDataFrame(rows, "timestamp string, source_id string, device_id string, "
+                                 "tag_count long, bad_count long, Counter double")
+          .withColumn("year", F.lit("2024")).withColumn("month", F.lit("01"))
+          .withColumn("day", F.substring("timestamp", 9, 2))
+          .write.partitionBy("year", "month", "day").json(path))
+    q = lc._day_filter(read_raw_lake(spark, path, ["Counter"]), [dt.date(2024, 1, 2)])
+    assert "day" in " ".join(checks.partition_filters(q))
+    assert [r.Counter for r in q.collect()] == [2.0]

@@ -141,3 +141,21 @@ def test_stream_to_raw_lake_and_ingest_report(spark, tmp):
                         bytes_col="file_size", file_col="file_path").orderBy("day_ts").collect()
     assert [(r.messages, r.tag_values) for r in rep] == [(9, 6), (9, 6)]
     assert all(r.files >= 1 and r.bytes > 0 and r.bytes_per_file > 0 for r in rep)
+
+
+def test_rollup_reader_keeps_string_partitions_under_type_inference(spark, tmp):
+    from tagstream.operators.rollup import rollup_1h
+    from tagstream.sources.lake import read_rollup
+    rd = spark.createDataFrame([("Temp_Boiler_01", dt.datetime(2026, 5, 7, 9, 30), 1.0)],
+                               "tag_name string, ts timestamp, value double")
+    path = os.path.join(tmp, "h")
+    lc.write_rollup(rollup_1h(rd).withColumn("hr", F.date_format("hour", "HH")), path,
+                    lc.HOURLY_PARTS)
+    key = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        r = read_rollup(spark, path, "1h", extra_parts=["hr"]).collect()[0]
+    finally:
+        spark.conf.set(key, old)
+    assert (r.year, r.month, r.day, r.hr) == ("2026", "05", "07", "09")
