@@ -83,7 +83,8 @@ def stream_cooldown(violations: DataFrame, seconds: float, keys: Sequence[str] =
                 last = int(t)
         if last is not None:
             state.update((last,))
-        yield pdf[keep]
+        if any(keep):  # keys with nothing to emit yield no frame
+            yield pdf[keep]
 
     fired = sel.groupBy(*keys).applyInPandasWithState(
         fold, out_schema, "last_fired long", "append", GroupStateTimeout.NoTimeout)
@@ -121,7 +122,8 @@ def stream_pending_firing(evals: DataFrame, keys: Sequence[str], for_: str,
             if fired and last is not None:
                 rows.append((last + step, "Resolved", since))
             state.remove()
-            yield emit(key, rows)
+            if rows:
+                yield emit(key, rows)
             return
         pdf = pd.concat(list(pdfs), ignore_index=True).sort_values("_t")
         for t, f in zip(pdf["_t"].to_numpy(), pdf["firing"].to_numpy()):
@@ -142,7 +144,8 @@ def stream_pending_firing(evals: DataFrame, keys: Sequence[str], for_: str,
         else:
             state.update((since, last, fired))
             state.setTimeoutTimestamp((last + step) // 1000)
-        yield emit(key, rows)
+        if rows:
+            yield emit(key, rows)
 
     out = sel.groupBy(*keys).applyInPandasWithState(
         step_fn, out_schema, "since long, last long, fired boolean", "append",
@@ -179,8 +182,6 @@ def ingest_watchdog(stream: DataFrame, timeout: str = "2 minutes",
         state.setTimeoutDuration(t_ms)
         if prev_silent:
             yield pd.DataFrame([[*key, "resumed", mx]], columns=[*keys, "status", "last_seen"])
-        else:
-            yield pd.DataFrame(columns=[*keys, "status", "last_seen"])
 
     out = sel.groupBy(*keys).applyInPandasWithState(
         watch, out_schema, "last_seen long, silent boolean", "append",
