@@ -4,8 +4,8 @@
 chatty sensor (or a single-source feed) can hold a third of all rows.  These
 helpers partition by ``(series, time bucket)`` instead, so a task holds at most
 one bucket of one series (bounded by ingest rate × bucket width), and repair
-the bucket edges with a per-bucket summary table (one row per non-empty
-bucket, i.e. data volume / rows-per-bucket).
+the bucket edges from a table with at most one or two rows per non-empty bucket
+(bounded by time span / bucket width, not by data volume).
 
 All of it is built-in window, aggregate and join expressions.
 """
@@ -30,6 +30,47 @@ def _with_bucket(df: DataFrame, ts: str, bucket: str | int) -> DataFrame:
     return df.withColumn(BK, bucket_of(ts, duration_micros(bucket)))
 
 
+def _bucket_neighbours(df: DataFrame, keys: Sequence[str], ts: str, cols: Sequence[str],
+                       bucket: str | int, tiebreak: str | None, prev: bool, nxt: bool,
+                       prev_prefix: str = "prev_", next_prefix: str = "next_") -> DataFrame:
+    """lag / lead within (series, bucket), then repair the bucket edges.
+
+    Only the first row of a bucket (for lag) and the last one (for lead) can
+    have a neighbour in another bucket.  Those edge rows, at most two per
+    non-empty bucket, take lag / lead from one window per series ordered the
+    same way, and are unioned back with the untouched interior rows: no
+    aggregate and no join, and the rows are shuffled once, on (series, bucket).
+    """
+    keys = list(keys)
+    carried = [ts] + [c for c in cols if c != ts]
+    order = _order_cols(ts, tiebreak)
+    d = _with_bucket(df, ts, bucket)
+    w = Window.partitionBy(*keys, BK).orderBy(*order)
+    d = (d.withColumn("_first", F.lag(F.lit(1)).over(w).isNull())
+          .withColumn("_last", F.lead(F.lit(1)).over(w).isNull()))
+    for c in carried:
+        if prev:
+            d = d.withColumn(prev_prefix + c, F.lag(F.col(c)).over(w))
+        if nxt:
+            d = d.withColumn(next_prefix + c, F.lead(F.col(c)).over(w))
+    fix = F.lit(False)
+    if prev:
+        fix = fix | F.col("_first")
+    if nxt:
+        fix = fix | F.col("_last")
+    inner = d.where(~fix)
+    edges = d.where(F.col("_first") | F.col("_last"))
+    we = Window.partitionBy(*keys).orderBy(*order)
+    for c in carried:
+        if prev:
+            edges = edges.withColumn(prev_prefix + c, F.when(F.col("_first"), F.lag(F.col(c)).over(we))
+                                     .otherwise(F.col(prev_prefix + c)))
+        if nxt:
+            edges = edges.withColumn(next_prefix + c, F.when(F.col("_last"), F.lead(F.col(c)).over(we))
+                                     .otherwise(F.col(next_prefix + c)))
+    return inner.unionByName(edges.where(fix)).drop("_first", "_last", BK)
+
+
 def shift_in_series(df: DataFrame, keys: Sequence[str], ts: str, cols: Sequence[str],
                     direction: str = "prev", bucket: str | int = "1 hour",
                     tiebreak: str | None = None, prefix: str | None = None) -> DataFrame:
@@ -38,62 +79,20 @@ def shift_in_series(df: DataFrame, keys: Sequence[str], ts: str, cols: Sequence[
     Order within a series is ``(ts, tiebreak)``.  Equal to
     ``lag/lead(c).over(Window.partitionBy(keys).orderBy(ts, tiebreak))``.
     """
-    keys = list(keys)
     if direction not in ("prev", "next"):
         raise ValueError(direction)
     prefix = prefix or f"{direction}_"
-    carried = [ts] + [c for c in cols if c != ts]
-    order = _order_cols(ts, tiebreak)
-    d = _with_bucket(df, ts, bucket)
-    w = Window.partitionBy(*keys, BK).orderBy(*order)
-    fn = F.lag if direction == "prev" else F.lead
-    for c in carried:
-        d = d.withColumn(prefix + c, fn(F.col(c)).over(w))
-    # edge row of each bucket: last row (for prev) or first row (for next)
-    pick = F.max_by if direction == "prev" else F.min_by
-    edge = (d.groupBy(*keys, BK)
-             .agg(pick(F.struct(*[F.col(c) for c in carried]),
-                       F.struct(*[F.col(c) for c in order])).alias("_edge")))
-    wb = Window.partitionBy(*keys).orderBy(BK)
-    nb = (F.lag if direction == "prev" else F.lead)(F.col("_edge")).over(wb)
-    edge = edge.select(*keys, BK, nb.alias("_nb"))
-    out = (d.join(edge, [*keys, BK], "left")
-            .withColumn("_at_edge", F.col(prefix + ts).isNull()))
-    for c in carried:
-        out = out.withColumn(prefix + c, F.when(F.col("_at_edge"), F.col("_nb." + c))
-                             .otherwise(F.col(prefix + c)))
-    return out.drop("_nb", "_at_edge", BK)
+    if direction == "prev":
+        return _bucket_neighbours(df, keys, ts, cols, bucket, tiebreak, True, False,
+                                  prev_prefix=prefix)
+    return _bucket_neighbours(df, keys, ts, cols, bucket, tiebreak, False, True,
+                              next_prefix=prefix)
 
 
 def neighbours_in_series(df: DataFrame, keys: Sequence[str], ts: str, cols: Sequence[str] = (),
                          bucket: str | int = "1 hour", tiebreak: str | None = None) -> DataFrame:
-    """``prev_<c>`` and ``next_<c>`` together: one bucketed window sort, one edge
-    aggregate (first and last row per bucket) and one join, instead of two
-    ``shift_in_series`` passes."""
-    keys = list(keys)
-    carried = [ts] + [c for c in cols if c != ts]
-    order = _order_cols(ts, tiebreak)
-    d = _with_bucket(df, ts, bucket)
-    w = Window.partitionBy(*keys, BK).orderBy(*order)
-    for c in carried:
-        d = (d.withColumn("prev_" + c, F.lag(F.col(c)).over(w))
-              .withColumn("next_" + c, F.lead(F.col(c)).over(w)))
-    row = F.struct(*[F.col(c) for c in carried])
-    pos = F.struct(*[F.col(c) for c in order])
-    edge = d.groupBy(*keys, BK).agg(F.min_by(row, pos).alias("_first"),
-                                    F.max_by(row, pos).alias("_last"))
-    wb = Window.partitionBy(*keys).orderBy(BK)
-    edge = edge.select(*keys, BK, F.lag("_last").over(wb).alias("_pb"),
-                       F.lead("_first").over(wb).alias("_nb"))
-    out = (d.join(edge, [*keys, BK], "left")
-            .withColumn("_first_in", F.col("prev_" + ts).isNull())
-            .withColumn("_last_in", F.col("next_" + ts).isNull()))
-    for c in carried:
-        out = (out.withColumn("prev_" + c, F.when(F.col("_first_in"), F.col("_pb." + c))
-                              .otherwise(F.col("prev_" + c)))
-                  .withColumn("next_" + c, F.when(F.col("_last_in"), F.col("_nb." + c))
-                              .otherwise(F.col("next_" + c))))
-    return out.drop("_pb", "_nb", "_first_in", "_last_in", BK)
+    """``prev_<c>`` and ``next_<c>`` together, from one bucketed window sort."""
+    return _bucket_neighbours(df, keys, ts, cols, bucket, tiebreak, True, True)
 
 
 def running_in_series(df: DataFrame, keys: Sequence[str], ts: str, col: str, fn: str,
