@@ -7,7 +7,7 @@ one bucket of one series (bounded by ingest rate × bucket width), and repair
 the bucket edges from a table with at most one or two rows per non-empty bucket
 (bounded by time span / bucket width, not by data volume).
 
-All of it is built-in window, aggregate and join expressions.
+All of it is built-in window, aggregate, union and join expressions.
 """
 
 from __future__ import annotations
