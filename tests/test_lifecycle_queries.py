@@ -1,4 +1,5 @@
-"""Registered lifecycle queries (write, read back) against their DuckDB twins at sf0.001."""
+"""Registered queries added with the lifecycle work (write / read back, consumer lag,
+stream pending/firing) against their DuckDB twins at sf0.001."""
 
 import pytest
 
@@ -7,7 +8,8 @@ from test_entry import SF, _duck
 
 
 @pytest.mark.parametrize("name", ["snk2_src6_rollup_rerun", "snk4_compact_map",
-                                  "jon6_partition_diff_full", "snk6_export_csv"])
+                                  "jon6_partition_diff_full", "snk6_export_csv",
+                                  "alr7_classify_lag", "str4_stream_pending_firing"])
 def test_lifecycle_query_matches_duckdb(spark, name):
     df = entry.queries()[name](spark, SF)
     cols, rows = _duck(entry.oracle_sql()[name])
