@@ -86,6 +86,40 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+_BASE = 0x5851F42D4C957F2D
+_POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+SPACES = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])      # [\\x20\\x09-\\x0D]
+
+
+def _powers(n: int) -> list[np.ndarray]:
+    if len(_POWERS[0]) <= n:
+        for k, b in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            _POWERS[k] = np.cumprod(np.concatenate([[np.uint64(1)], np.full(2 * n, b, np.uint64)]), dtype=np.uint64)
+    return _POWERS
+
+
+def _word_hashes(x: np.ndarray) -> np.ndarray:
+    edge = np.diff(np.concatenate([[True], SPACES[x], [True]]).astype(np.int8))
+    starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+    up, down = _powers(len(x))
+    sums = np.zeros(len(x) + 1, np.uint64)
+    np.cumsum((x.astype(np.uint64) + np.uint64(1)) * up[:len(x)], dtype=np.uint64, out=sums[1:])
+    return mix64((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+
+
+def word_hashes(x: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each white-space separated word of the bytes ``x``, block by block."""
+    parts, at = [], 0
+    while at < len(x):
+        end = min(at + SLICE_BYTES, len(x))
+        while end < len(x) and not SPACES[x[end]]:       # a block ends between words
+            step = SPACES[x[end:end + 4096]]
+            end += int(step.argmax()) if step.any() else len(step)
+        parts.append(_word_hashes(x[at:end]))
+        at = end
+    return np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+
+
 def components(spark: SparkSession, scratch: Scratch, edges: DataFrame) -> DataFrame:
     """Connected components of ``edges(a, b)``: rows (node, component), component = smallest node.
 

@@ -208,7 +208,8 @@ def exact_dedup(spark: SparkSession, snapshot: DataFrame, incoming: DataFrame) -
 def keep_unique(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose text stays, with all their columns (half the ids form the snapshot)."""
     decided = exact_dedup(spark, *split_batches(docs))
-    return docs.join(decided.where("kept").select("doc_id").distinct(), "doc_id", "left_semi").select(docs.columns)
+    drop = Scratch(spark, "exact-keep").put(decided.where("NOT kept").select("doc_id").distinct(), "drop")
+    return docs.join(drop, "doc_id", "left_anti").select(docs.columns)
 
 
 def split_batches(docs: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagstream.llm import exact_dedup, poisson_mix, spm_viterbi
+from tagstream.llm import epsilon_grid, exact_dedup, feistel_pii, importance_resampling, markov_secrets, partenum_join, poisson_mix, spm_viterbi, zstd_lang
 from tagstream.llm.common import table
 
 TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
@@ -31,6 +31,17 @@ def op1_sentencepiece(spark, sf_dir):
     return spm_viterbi.encode(table(spark, sf_dir, "documents"), TOKENIZER, verify=True)
 
 
+PII_KEY = "tagstream-production-key"
+
+
+@query("op3_feistel_pii")
+def op3_feistel_pii(spark, sf_dir):
+    """Every text with its personal data pseudonymised, and the finds per kind."""
+    done = feistel_pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY)
+    counts = [F.size(F.filter("pii", lambda f, k=k: f["kind"] == k)).alias(f"n_{k}") for k in feistel_pii.KINDS]
+    return done.select("doc_id", "text", *counts)
+
+
 MIX_SEED = 17
 OP4_SQL = f"""
 WITH n AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
@@ -70,3 +81,38 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, h AS text_sha256 F
 def op6_exact_dedup(spark, sf_dir):
     """Half of the documents as the snapshot, the other half as the batch that arrives; all rows decided."""
     return exact_dedup.exact_dedup(spark, *exact_dedup.split_batches(table(spark, sf_dir, "documents")))
+
+
+@query("op2_importance_resampling")
+def op2_importance_resampling(spark, sf_dir):
+    """Log importance weight, Gumbel key and decision of every document."""
+    return importance_resampling.classify(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op7_zstd_language")
+def op7_zstd_language(spark, sf_dir):
+    """Language of every document; a fifth of the ids is held out from training."""
+    docs = table(spark, sf_dir, "documents")
+    fold = F.crc32(F.col("doc_id").cast("string")) % 5
+    dictionaries = zstd_lang.train(docs, fold != 0)
+    found = zstd_lang.predict(docs, dictionaries)
+    return found.select("doc_id", F.coalesce(fold == 0, F.lit(False)).alias("held_out"), "lang_pred", "score", "accepted")
+
+
+@query("op8_markov_secrets")
+def op8_markov_secrets(spark, sf_dir):
+    """Secrets of every document: base patterns and what the Markov models add."""
+    docs = table(spark, sf_dir, "documents")
+    return markov_secrets.digest(markov_secrets.scan(docs, markov_secrets.train(docs)))
+
+
+@query("op9_partenum_join")
+def op9_partenum_join(spark, sf_dir):
+    """Components of documents whose 3-word shingle sets have Jaccard similarity 0.9 or more."""
+    return partenum_join.jaccard_components(spark, table(spark, sf_dir, "documents"), width=3, num=90, den=100)
+
+
+@query("op10_epsilon_grid")
+def op10_epsilon_grid(spark, sf_dir):
+    """Components of equally labelled vectors with cosine 0.98 or more."""
+    return epsilon_grid.near_duplicates(spark, table(spark, sf_dir, "embeddings"))
