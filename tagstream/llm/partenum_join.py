@@ -9,11 +9,21 @@ sets that differ in at most k elements differ in at most K2 in one part, so
 they agree on some subset of n2 - K2 of its cells. Each such subset is a
 signature; every linked pair shares one.
 
+Subsets with next to no elements would be shared by unrelated documents. So an
+instance has ``spare`` more parts than needed: a linked pair then agrees in more
+than ``spare`` parts, and a document with at most ``spare`` weak parts (parts
+with a subset of fewer than ``least`` elements) leaves its weak subsets out: one
+of the strong ones is shared. A document with more weak parts signs them all.
+Shingles that a sample of documents shows to be frequent (licence lines, shared
+passages) are left out of the signatures' domain: taking the same elements out
+of both sets never makes them differ in more. Which ones are left out changes
+the number of candidates, not the result; links are verified on whole sets.
+
 Rows sharing a signature are sorted together, never gathered: each member is
 compared with the first one only. Verified links form components, and only
 signatures whose members still lie in different components are taken up again
-with the next member as the leader, until every pair of every signature is
-either compared or connected. Signatures with very many such members are first
+with the next members as leaders (4, 8, 16, ...), until every pair of every
+signature is either compared or connected. Signatures with very many such members are first
 refined by the signatures of a freshly seeded partition of the domain (a linked
 pair shares one of those, too). Nothing is capped and no pair is lost.
 
@@ -26,19 +36,23 @@ empty result; only doc_id and text are read.
 
 from __future__ import annotations
 
+import math
 from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tagstream.llm.common import Scratch, TextBatch, components, mix64, word_hashes
 
 N2, K2 = 3, 1            # cells per part, differing cells tolerated
 SUBSETS = ((0, 1), (0, 2), (1, 2))
-REFINE = 48              # members of a signature in several components from which it is refined
+REFINE = 32              # members of a signature in several components from which it is refined
+SAMPLE_DOCS = 20_000     # expected documents of the sample that shows frequent shingles
+FREQUENT = 20            # its documents (different sets) from which a shingle counts as frequent
+MAX_FREQUENT = 50_000    # the most frequent ones; they travel with the tasks
 COMBINE_BYTES = 4 << 20  # text whose equal signatures are combined before the shuffle
 
 LOWER = np.arange(256, dtype=np.uint8)
@@ -62,8 +76,10 @@ def shingles(raw: np.ndarray, width: int) -> np.ndarray:
 class Scheme:
     """Size bands and signatures for similarity num/den."""
 
-    def __init__(self, num: int, den: int, seed: int = 0) -> None:
+    def __init__(self, num: int, den: int, seed: int = 0, common: np.ndarray | None = None) -> None:
         self.num, self.den, self.seed = num, den, seed
+        self.common = common if common is not None and len(common) else None
+        self._layouts: dict[int, tuple[int, int, int]] = {}
         self.low = [1]
         while self.low[-1] < 1 << 40:
             self.low.append(self.low[-1] * den // num + 1)
@@ -72,29 +88,53 @@ class Scheme:
         return bisect_right(self.low, size) - 1
 
     def distance(self, instance: int) -> int:
-        """The most elements in which linked sets of an instance can differ."""
-        largest = self.low[instance + 1] - 1
-        return 2 * largest * (self.den - self.num) // (self.den + self.num)
+        """The most elements in which linked sets can differ that meet in an instance.
+
+        Instance j has the bands j - 1 and j; two sets of band j meet in instance j + 1.
+        """
+        sizes = self.low[instance + 1] - 1 + (self.low[instance] - 1 if instance else 0)
+        return sizes * (self.den - self.num) // (self.den + self.num)
+
+    def layout(self, instance: int) -> tuple[int, int, int]:
+        """(parts, spare parts, least elements of a strong subset) of an instance."""
+        if instance not in self._layouts:
+            need = -(-(self.distance(instance) + 1) // (K2 + 1))
+            out = (need, 0, 0)
+            for least in (3, 2, 1):
+                mean = self.low[instance] * (N2 - K2) / N2 / (need * 1.2)   # elements of a subset
+                weak = len(SUBSETS) * sum(math.exp(-mean) * mean ** i / math.factorial(i) for i in range(least))
+                if weak <= 0.12:
+                    spare = math.ceil(1.5 * weak * need) + 1
+                    out = (need + spare, spare, least)
+                    break
+            self._layouts[instance] = out
+        return self._layouts[instance]
 
     def signatures(self, elements: np.ndarray) -> np.ndarray:
         """All signatures of a set, for its own band's instance and the next one."""
         band = self.band(len(elements))
+        if self.common is not None:
+            at = np.minimum(np.searchsorted(self.common, elements), len(self.common) - 1)
+            elements = elements[self.common[at] != elements]
         return np.concatenate([self._instance(elements, j) for j in (band, band + 1)])
 
     def _instance(self, elements: np.ndarray, instance: int) -> np.ndarray:
-        k = self.distance(instance)
-        tag = np.uint64((instance * 0x1F123BB5 + self.seed * 0x5851F42D4C957F2D + 1) % (1 << 64))
-        if k == 0:
-            return mix64(np.array([elements.sum(dtype=np.uint64)], np.uint64) * _C[1] + tag)
-        n1 = -(-(k + 1) // (K2 + 1))
-        h = mix64(elements * _C[2] + tag)
-        cell = ((h >> np.uint64(34)) % np.uint64(n1)) * np.uint64(N2) + (h & np.uint64(0xFFFFFFFF)) % np.uint64(N2)
+        tag = (instance * 0x1F123BB5 + self.seed * 0x5851F42D4C957F2D + 1) % (1 << 64)
+        if self.distance(instance) == 0:
+            return mix64(np.array([elements.sum(dtype=np.uint64)], np.uint64) * _C[1] + np.uint64(tag))
+        n1, spare, least = self.layout(instance)
+        h = mix64(elements * _C[2] + np.uint64(tag))
+        cell = (((h >> np.uint64(34)) % np.uint64(n1)) * np.uint64(N2) + (h & np.uint64(0xFFFFFFFF)) % np.uint64(N2))
+        cell = cell.astype(np.int64)
         sums = np.zeros(n1 * N2, np.uint64)
-        np.add.at(sums, cell.astype(np.int64), mix64(h + _C[3]))
+        np.add.at(sums, cell, mix64(h + _C[3]))
         sums = mix64(sums).reshape(n1, N2)
+        count = np.bincount(cell, minlength=n1 * N2).reshape(n1, N2)
         part = np.arange(n1, dtype=np.uint64) * _C[0]
-        return np.concatenate([mix64(sums[:, a] * _C[1] + sums[:, b] + part + tag * np.uint64(s + 1))
-                               for s, (a, b) in enumerate(SUBSETS)])
+        sigs = np.stack([mix64(sums[:, a] * _C[1] + sums[:, b] + part + np.uint64(tag * (i + 1) % (1 << 64)))
+                         for i, (a, b) in enumerate(SUBSETS)])
+        strong = np.stack([count[:, a] + count[:, b] >= least for a, b in SUBSETS])
+        return sigs[strong] if (~strong.all(0)).sum() <= spare else sigs.ravel()
 
 
 def _combined(sig: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -198,6 +238,17 @@ def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, shingles array<long>")
 
 
+def frequent_shingles(docs: DataFrame, width: int) -> np.ndarray:
+    """Sorted hashes of the shingles that many documents of a bounded sample hold; copies count once."""
+    share = min(1.0, SAMPLE_DOCS / max(docs.count(), 1))
+    rank = (F.xxhash64("doc_id", F.lit(61)).cast("double") / 9223372036854775807 + 1.0) / 2.0
+    sets = shingle_sets(docs.where(rank <= share), width).groupBy(F.xxhash64("shingles").alias("k")).agg(
+        F.first("shingles").alias("shingles"))
+    rows = (sets.select(F.explode("shingles").alias("s")).groupBy("s").agg(F.count("*").alias("n"))
+            .where(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "s").limit(MAX_FREQUENT).select("s").toPandas())
+    return np.sort(rows["s"].to_numpy(np.int64).astype(np.uint64))
+
+
 def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """The rows of ``pairs(a, b)`` whose sets have den * |intersection| >= num * |union|."""
     left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
@@ -224,7 +275,7 @@ def _refine_batches(scheme: Scheme):
 def jaccard_components(spark: SparkSession, docs: DataFrame, width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest doc_id reachable by links)."""
     scratch = Scratch(spark, "partenum")
-    scheme = Scheme(num, den)
+    scheme = Scheme(num, den, 0, frequent_shingles(docs, width))
     rows = docs.select("doc_id", "text").mapInArrow(_sign_batches(scheme, width), ROWS)
     found = scratch.put(pair_up(rows), "found")
     meta = found.where("size IS NOT NULL").select(F.col("a").alias("doc_id"), F.col("size").alias("n_shingles"))
@@ -236,24 +287,28 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, width: int = 5, num
     ids = scratch.put(todo.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
     sets = scratch.put(shingle_sets(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi"), width), "sets")
     links = scratch.put(verified(todo, sets, num, den), "links0")
-    step = 0
+    comp, linked, lead, step = components(spark, scratch, links), links.count(), 1, 0
     while True:
-        comp = components(spark, Scratch(spark, "partenum-cc"), links)
         placed = (members.join(comp, members.doc_id == comp.node, "left")
                   .select("sig", "doc_id", F.coalesce("component", "doc_id").alias("comp")))
-        # signatures whose members lie in several components; `lead` has been compared with every other member
-        split = (placed.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
-                                           F.min(F.struct("doc_id", "comp")).alias("lead"), F.count("*").alias("n"))
-                 .where("lo <> hi AND n > 2"))
+        # signatures whose members lie in several components; the `lead` first members have met all others
+        # of signatures with the same members (equal 128-bit hashes of them) one is enough
+        split = (placed.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n"),
+                                           *[F.bit_xor(F.xxhash64("doc_id", F.lit(i))).alias(f"h{i}") for i in (1, 2)])
+                 .where((F.col("lo") != F.col("hi")) & (F.col("n") > lead + 1))
+                 .groupBy("n", "h1", "h2").agg(F.min("sig").alias("sig")).select("sig", "n"))
         step += 1
-        rest = scratch.put(placed.join(split.select("sig", "lead", "n"), "sig")
-                           .where("doc_id <> lead.doc_id").select("sig", "doc_id", "comp", "n"), f"rest{step}")
+        rest = scratch.put(placed.join(split, "sig"), f"rest{step}")
         if rest.isEmpty():
             break
+        # small groups: at most REFINE members, the next leaders meet the members after them
         small, large = rest.where(F.col("n") <= REFINE), rest.where(F.col("n") > REFINE)
+        ranked = small.withColumn("rank", F.row_number().over(Window.partitionBy("sig").orderBy("doc_id")))
+        ahead = ranked.where((F.col("rank") > lead) & (F.col("rank") <= lead + 2 * lead + 2)).select(
+            "sig", F.col("doc_id").alias("a"), F.col("comp").alias("comp_a"), F.col("rank").alias("rank_a"))
+        todo = (ranked.join(ahead, "sig").where("rank > rank_a AND comp <> comp_a")
+                .select("a", F.col("doc_id").alias("b")))
         members = small.select("sig", "doc_id")
-        lead = small.groupBy("sig").agg(F.min(F.struct("doc_id", "comp")).alias("lead"))
-        todo = (small.join(lead, "sig").where("comp <> lead.comp").select(F.col("lead.doc_id").alias("a"), F.col("doc_id").alias("b")))
         if not large.isEmpty():
             own = large.groupBy("doc_id").agg(F.collect_set("sig").alias("sigs")).join(sets, "doc_id")
             fine = scratch.put(pair_up(own.select("doc_id", "sigs", "shingles")
@@ -262,8 +317,10 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, width: int = 5, num
             todo = todo.union(fine.select(F.least("a", "b"), F.greatest("a", "b")))
         members = scratch.put(members, f"members{step}")
         todo = scratch.put(todo.distinct(), f"pairs{step}")
-        more = verified(todo, sets, num, den)
-        links = scratch.put(links.union(more).distinct(), f"links{step}")
+        links = scratch.put(links.union(verified(todo, sets, num, den)).distinct(), f"links{step}")
+        lead = 1 if not large.isEmpty() else lead + 2 * lead + 2     # fresh fine groups have one leader so far
+        if links.count() > linked:
+            comp, linked = components(spark, Scratch(spark, "partenum-cc"), links), links.count()
     return (meta.join(comp, meta.doc_id == comp.node, "left")
             .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")))
 
