@@ -14,8 +14,13 @@ from pyspark.sql import functions as F
 SLICE_BYTES = 1 << 20
 
 
+# Vectored reads keep a direct buffer of a whole column chunk in every reader thread,
+# memory beside the heap that nothing bounds; text chunks are tens of MB.
+READ = {"parquet.hadoop.vectored.io.enabled": "false"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.options(**READ).parquet(f"{sf_dir}/{name}.parquet")
 
 
 class Scratch:
@@ -40,7 +45,7 @@ class Scratch:
 
     def put(self, df: DataFrame, name: str) -> DataFrame:
         df.write.mode("overwrite").parquet(self.path(name))
-        return self.spark.read.schema(df.schema).parquet(self.path(name))
+        return self.spark.read.options(**READ).schema(df.schema).parquet(self.path(name))
 
     def drop(self, name: str) -> None:
         """Remove a table of this scratch that no later plan reads."""
