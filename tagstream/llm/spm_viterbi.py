@@ -28,8 +28,10 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from collections.abc import Iterator
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -37,7 +39,7 @@ from sentencepiece import sentencepiece_model_pb2
 
 SPACE = "▁"
 SHORT = 48            # cuts up to this length are memoised
-MEMO = 300_000        # entries of a worker's memo before it starts anew
+MEMO = 800_000        # entries of a worker's memo (some 200 MB) before it starts anew
 OTHER = -1            # a character without a piece
 
 
@@ -68,14 +70,15 @@ class PieceModel:
                 self.bytes_of[i] = bytes([b])
         self.longest = max(map(len, self.pieces), default=1)
         self.unk_score = min((self.score[i] for i in self.pieces.values()), default=0.0) - 10.0
-        # lengths of the pieces that end with a given pair of characters, longest first
-        self.ending: dict[str, list[int]] = {}
-        for piece in self.pieces:
-            if len(piece) > 1:
-                self.ending.setdefault(piece[-2:], set()).add(len(piece))
-        self.ending = {k: sorted(v, reverse=True) for k, v in self.ending.items()}
+        # finds every piece that ends at a character, longest first
+        self.matcher = ahocorasick.Automaton()
+        for piece, i in self.pieces.items():
+            self.matcher.add_word(piece, (len(piece), i))
+        if self.pieces:
+            self.matcher.make_automaton()
         self.names = {i: p for p, i in self.pieces.items()}
-        self._fits: dict[int, bool] = {}
+        self.known_fits: dict[int, bool] = {}
+        self.halves: dict[int, tuple[int, int, float] | None] = {}
         self.cut = self._cutter()
 
     def _cutter(self) -> re.Pattern | None:
@@ -99,17 +102,58 @@ class PieceModel:
 
     def fits(self, left: int, right: int) -> bool:
         """BPE rule: do the characters of the two pieces merge back to exactly these two?"""
-        key = (left + 1) << 32 | right
-        known = self._fits.get(key)
-        if known is None:
-            want = [right] if left == OTHER else [left, right]
-            known = self._fits[key] = self._merged("".join(self.names[i] for i in want)) == want
-        return known
-
-    def _merged(self, text: str) -> list[int]:
-        """Ids after merging neighbouring symbols by score, leftmost first among equals."""
+        if left == OTHER:
+            out = self._merged(self.names[right]) == [right]
+        elif self._halves(left) and self._halves(right):
+            out = not self._crosses(left, right)
+        else:
+            out = self._merged(self.names[left] + self.names[right]) == [left, right]
+        self.known_fits[left << 32 | right] = out
+        return out
+
+    def _halves(self, piece: int) -> tuple[int, int, float] | None:
+        """The two pieces of a piece's last merge and its rank; None unless it is built by merges of rising rank.
+
+        A single character is its own halves, with rank -1.
+        """
+        if piece not in self.halves:
+            name, out = self.names[piece], None
+            if len(name) == 1:
+                out = (piece, piece, -1.0)
+            else:
+                parts = self._merged(name, stop=2)
+                if len(parts) == 2 and OTHER not in parts:
+                    below = [self._halves(i) for i in parts]
+                    if all(below) and max(h[2] for h in below) < -self.score[piece]:
+                        out = (parts[0], parts[1], -self.score[piece])
+            self.halves[piece] = out
+        return self.halves[piece]
+
+    def _crosses(self, a: int, b: int) -> bool:
+        """Does a merge join the two pieces' ends before both are complete?
+
+        Walks back in time over the symbols that touch the boundary. Their merge
+        happens if it ranks before the merge that takes the left symbol up, and
+        not after the one that takes the right symbol up (equals go leftmost).
+        """
+        score, names, pieces = self.score, self.names, self.pieces
+        until_a = until_b = float("inf")
+        while True:
+            joint = pieces.get(names[a] + names[b])
+            if joint is not None and -score[joint] < until_a and -score[joint] <= until_b:
+                return True
+            (_, a_right, a_rank), (b_left, _, b_rank) = self._halves(a), self._halves(b)
+            if a_rank < 0 and b_rank < 0:
+                return False
+            if a_rank > b_rank:
+                a, until_a = a_right, a_rank
+            else:
+                b, until_b = b_left, b_rank
+
+    def _merged(self, text: str, stop: int = 1) -> list[int]:
+        """Ids after merging neighbouring symbols by score, leftmost first among equals, down to ``stop`` symbols."""
         parts = list(text)
-        while len(parts) > 1:
+        while len(parts) > stop:
             best, at = None, -1
             for k in range(len(parts) - 1):
                 i = self.pieces.get(parts[k] + parts[k + 1])
@@ -123,10 +167,6 @@ class PieceModel:
     def char_ids(self, char: str) -> list[int]:
         return [self.byte_id[b] for b in char.encode("utf-8", "replace")] if self.byte_id else [self.unk]
 
-    def spell(self, char_or_id: tuple[int, str]) -> list[int]:
-        i, char = char_or_id
-        return [i] if i != OTHER else self.char_ids(char)
-
 
 class StreamingViterbi:
     """Feed characters, receive ids as soon as they are final."""
@@ -156,40 +196,61 @@ class StreamingViterbi:
         return out
 
     def segment(self, chars: str) -> list[int]:
-        """Ids of one whole short cut."""
+        """Ids of one whole short cut; the stream must be at its start."""
         self._extend(chars)
-        return self.finish()
+        out = self._path(len(chars))
+        self.text, self.back, self.best = "", [(0, OTHER)], [0.0]
+        return out
 
     def _extend(self, chars: str) -> None:
-        m, text = self.m, self.text + chars
-        pieces, ending, back, best, bpe = m.pieces, m.ending, self.back, self.best, m.bpe
-        for i in range(len(self.text) + 1, len(text) + 1):
-            single = pieces.get(text[i - 1], OTHER)
-            lengths = ending.get(text[i - 2:i], ()) if i > 1 else ()
-            if bpe:
-                arc = (i - 1, single)
-                for n in lengths:
-                    if n <= i:
-                        p = pieces.get(text[i - n:i])
-                        if p is not None and m.fits(back[i - n][1] if i > n else self.last, p):
-                            arc = (i - n, p)
-                            break
-                back.append(arc)
-            else:
-                # strict comparison, longest piece first: ties go to the longest piece
-                arc, top = (i - 1, single), float("-inf")
-                for n in lengths:
-                    if n <= i:
-                        p = pieces.get(text[i - n:i])
-                        if p is not None and best[i - n] + m.score[p] > top:
-                            arc, top = (i - n, p), best[i - n] + m.score[p]
-                alone = best[i - 1] + (m.score[single] if single != OTHER else m.unk_score)
-                if alone > top:
-                    arc, top = (i - 1, single), alone
-                back.append(arc)
-                best.append(top)
+        m, text, old = self.m, self.text + chars, len(self.text)
+        if m.pieces:
+            arcs = m.matcher.iter(text, max(0, old + 1 - m.longest)) if old else m.matcher.iter(text)
+        else:
+            arcs = ()
+        (self._bpe_arcs if m.bpe else self._best_arcs)(arcs, old, len(text))
         self.text = text
 
+    def _bpe_arcs(self, arcs, old: int, n: int) -> None:
+        """The compatible arc into each new boundary; ``arcs`` come by end, longest first."""
+        back, last, known, fits = self.back, self.last, self.m.known_fits.get, self.m.fits
+        done = old                       # boundaries up to here have their arc
+        for end, (length, p) in arcs:
+            if end < done:
+                continue
+            while done < end:            # characters without a piece
+                back.append((done, OTHER))
+                done += 1
+            start = end + 1 - length
+            if start < 0:
+                continue
+            left = back[start][1] if start else last
+            ok = known(left << 32 | p)
+            if ok or (ok is None and (length == 1 or fits(left, p))):
+                back.append((start, p))
+                done = end + 1
+        for i in range(done, n):
+            back.append((i, OTHER))
+
+    def _best_arcs(self, arcs, old: int, n: int) -> None:
+        """The arc with the largest score sum into each new boundary; ties go to the longest piece."""
+        back, best, score, unk = self.back, self.best, self.m.score, self.m.unk_score
+        found: list[list[tuple[int, int]]] = [[] for _ in range(n - old)]
+        for end, (length, p) in arcs:
+            if end >= old and length <= end + 1:
+                found[end - old].append((end + 1 - length, p))
+        for i in range(old, n):
+            top, arc = float("-inf"), (i, OTHER)
+            for start, p in found[i - old]:
+                if best[start] + score[p] > top:
+                    top, arc = best[start] + score[p], (start, p)
+            if arc[0] != i or arc[1] == OTHER:
+                single = any(start == i for start, _ in found[i - old])
+                if not single and best[i] + unk > top:
+                    top, arc = best[i] + unk, (i, OTHER)
+            back.append(arc)
+            best.append(top)
+
     def _meeting(self) -> int:
         """The last boundary that the paths from every boundary still open to a later piece run through."""
         n = len(self.text)
@@ -200,20 +261,25 @@ class StreamingViterbi:
             live.add(self.back[far][0])
         return live.pop()
 
-    def _commit(self, to: int) -> list[int]:
-        path, i = [], to
+    def _path(self, to: int) -> list[int]:
+        """Ids of the path from the committed boundary to the boundary ``to``."""
+        out, i, back = [], to, self.back
         while i > 0:
-            start, p = self.back[i]
-            path.append((p, self.text[i - 1]))
+            start, p = back[i]
+            if p != OTHER:
+                out.append(p)
+            elif self.m.byte_id:
+                out += self.m.char_ids(self.text[i - 1])[::-1]
+            elif not out or out[-1] != self.m.unk:     # neighbouring unknown characters share one id
+                out.append(self.m.unk)
             i = start
-        out = []
-        for step in reversed(path):
-            ids = self.m.spell(step)
-            if ids == [self.m.unk] and not self.m.byte_id and out and out[-1] == self.m.unk:
-                continue
-            out += ids
+        out.reverse()
+        return out
+
+    def _commit(self, to: int) -> list[int]:
+        out = self._path(to)
         if to:
-            self.last = path[0][0]
+            self.last = self.back[to][1]
             self.text = self.text[to:]
             self.back = [(0, self.last)] + [(max(0, s - to), p) for s, p in self.back[to + 1:]]
             if not self.m.bpe:
@@ -231,11 +297,11 @@ class _Memo(dict):
 
     def __missing__(self, chunk: str) -> bytes:
         if len(chunk) <= SHORT:
-            ids = np.array(self.stream.segment(chunk), np.int32).tobytes()
+            ids = array("i", self.stream.segment(chunk)).tobytes()
             self[chunk] = ids
             return ids
         ids = self.stream.feed(chunk) + self.stream.finish()   # a long run is streamed and not kept
-        return np.array(ids, np.int32).tobytes()
+        return array("i", ids).tobytes()
 
 
 class Codec:
