@@ -38,8 +38,11 @@ PII_KEY = "tagstream-production-key"
 def op3_feistel_pii(spark, sf_dir):
     """Every text with its personal data pseudonymised, and the finds per kind."""
     done = feistel_pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY)
-    counts = [F.size(F.filter("pii", lambda f, k=k: f["kind"] == k)).alias(f"n_{k}") for k in feistel_pii.KINDS]
-    return done.select("doc_id", "text", *counts)
+
+    def count(kind):
+        return F.size(F.filter("pii", lambda f: f["kind"] == kind)).alias(f"n_{kind}")
+
+    return done.select("doc_id", "text", *[count(k) for k in feistel_pii.KINDS])
 
 
 MIX_SEED = 17
