@@ -20,12 +20,16 @@ of both sets never makes them differ in more. Which ones are left out changes
 the number of candidates, not the result; links are verified on whole sets.
 
 Rows sharing a signature are sorted together, never gathered: each member is
-compared with the first one only. Verified links form components, and only
-signatures whose members still lie in different components are taken up again
-with the next members as leaders (4, 8, 16, ...), until every pair of every
-signature is either compared or connected. Signatures with very many such members are first
-refined by the signatures of a freshly seeded partition of the domain (a linked
-pair shares one of those, too). Nothing is capped and no pair is lost.
+compared with the first one only. Verified links form components. Signatures
+whose members still lie in different components are taken up again: members
+outside the signature's largest component become leaders, a few a round, meet
+the members of other components and leave, until nobody is left who has not
+met or been connected. Signatures with very many members outside their largest
+component are first refined by the signatures of a freshly seeded partition of
+the domain (a linked pair shares one of those, too). A pair is verified by a
+sketch (element counts of 256 hash buckets: their total difference never
+exceeds the sets' difference), then on the whole sets. Nothing is capped and no
+pair is lost.
 
 Defined cases: null and empty texts and texts without words have an empty set
 and link with nothing; texts with fewer words than the shingle width have one
@@ -49,9 +53,11 @@ from tagstream.llm.common import Scratch, TextBatch, components, mix64, word_has
 
 N2, K2 = 3, 1            # cells per part, differing cells tolerated
 SUBSETS = ((0, 1), (0, 2), (1, 2))
-REFINE = 32              # members of a signature in several components from which it is refined
-SAMPLE_DOCS = 20_000     # expected documents of the sample that shows frequent shingles
-FREQUENT = 20            # its documents (different sets) from which a shingle counts as frequent
+LEADERS = 4          # members of a signature that meet all others in one round (doubled each round)
+REFINE = 256         # members outside a signature's largest component from which it is refined
+SKETCH = 256
+SAMPLE_DOCS = 4_000      # expected documents of the sample that shows frequent shingles
+FREQUENT = 6            # its documents (different sets) from which a shingle counts as frequent
 MAX_FREQUENT = 50_000    # the most frequent ones; they travel with the tasks
 COMBINE_BYTES = 4 << 20  # text whose equal signatures are combined before the shuffle
 
@@ -249,12 +255,44 @@ def frequent_shingles(docs: DataFrame, width: int) -> np.ndarray:
     return np.sort(rows["s"].to_numpy(np.int64).astype(np.uint64))
 
 
-def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+def _sketch(sets: DataFrame) -> DataFrame:
+    """(doc_id, size, sketch): element counts of SKETCH hash buckets, at most 255 each, as bytes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sizes, out = [], []
+            for s in b.column(1):
+                bucket = (s.values.to_numpy(zero_copy_only=False).view(np.uint64) % np.uint64(SKETCH)).astype(np.int64)
+                sizes.append(len(bucket))
+                out.append(np.minimum(np.bincount(bucket, minlength=SKETCH), 255).astype(np.uint8).tobytes())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int64()), pa.array(out, pa.binary())],
+                                             names=["doc_id", "size", "sketch"])
+
+    return sets.mapInArrow(run, "doc_id long, size long, sketch binary")
+
+
+def _near_batches(num: int, den: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            n = len(b)
+            x, y = (np.frombuffer(b"".join(b.column(i).to_pylist()), np.uint8).reshape(n, SKETCH).astype(np.int16)
+                    for i in (3, 5))
+            total = b.column(2).to_numpy() + b.column(4).to_numpy()
+            ok = pa.array(np.abs(x - y).sum(1, dtype=np.int64) * (den + num) <= total * (den - num))
+            yield pa.RecordBatch.from_arrays([b.column(0).filter(ok), b.column(1).filter(ok)], names=["a", "b"])
+    return run
+
+
+def verified(scratch: Scratch, step: int, pairs: DataFrame, sets: DataFrame, sketches: DataFrame, num: int,
+             den: int) -> DataFrame:
     """The rows of ``pairs(a, b)`` whose sets have den * |intersection| >= num * |union|."""
+    ka = sketches.select(F.col("doc_id").alias("a"), F.col("size").alias("na"), F.col("sketch").alias("ka"))
+    kb = sketches.select(F.col("doc_id").alias("b"), F.col("size").alias("nb"), F.col("sketch").alias("kb"))
+    likely = scratch.put(pairs.join(ka, "a").join(kb, "b").select("a", "b", "na", "ka", "nb", "kb")
+                         .mapInArrow(_near_batches(num, den), "a long, b long"), f"likely{step}")
     left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb"))
-    return (pairs.join(left, "a").join(right, "b")
+    return (likely.join(left, "a").join(right, "b")
             .where(both * den >= (F.size("sa") + F.size("sb") - both) * num).select("a", "b").distinct())
 
 
@@ -281,44 +319,49 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, width: int = 5, num
     meta = found.where("size IS NOT NULL").select(F.col("a").alias("doc_id"), F.col("size").alias("n_shingles"))
     pairs = found.where("size IS NULL")
 
-    # members of every signature that has several; the round's pairs are (first member, other)
-    members = pairs.select("sig", F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    # the round's pairs are (first member of a signature, other); the first ones have then met all others
+    members = pairs.select("sig", F.col("b").alias("doc_id")).distinct()
     todo = scratch.put(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs0")
     ids = scratch.put(todo.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
     sets = scratch.put(shingle_sets(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi"), width), "sets")
-    links = scratch.put(verified(todo, sets, num, den), "links0")
-    comp, linked, lead, step = components(spark, scratch, links), links.count(), 1, 0
+    sketches = scratch.put(_sketch(sets), "sketches")
+    links = scratch.put(verified(scratch, 0, todo, sets, sketches, num, den), "links0")
+    comp, linked, step, leaders = components(spark, Scratch(spark, "partenum-cc"), links), links.count(), 0, LEADERS
     while True:
+        step += 1
         placed = (members.join(comp, members.doc_id == comp.node, "left")
                   .select("sig", "doc_id", F.coalesce("component", "doc_id").alias("comp")))
-        # signatures whose members lie in several components; the `lead` first members have met all others
-        # of signatures with the same members (equal 128-bit hashes of them) one is enough
-        split = (placed.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n"),
-                                           *[F.bit_xor(F.xxhash64("doc_id", F.lit(i))).alias(f"h{i}") for i in (1, 2)])
-                 .where((F.col("lo") != F.col("hi")) & (F.col("n") > lead + 1))
-                 .groupBy("n", "h1", "h2").agg(F.min("sig").alias("sig")).select("sig", "n"))
-        step += 1
+        sides = placed.groupBy("sig", "comp").agg(
+            F.count("*").alias("n"), *[F.bit_xor(F.xxhash64("doc_id", F.lit(i))).alias(f"h{i}") for i in (1, 2)])
+        # signatures with members in several components; of those with the same members (by a 128-bit hash) one is enough
+        split = (sides.groupBy("sig").agg(F.sum("n").alias("n"), F.max(F.struct("n", "comp")).alias("top"),
+                                          F.bit_xor("h1").alias("h1"), F.bit_xor("h2").alias("h2"))
+                 .where(F.col("n") > F.col("top.n")).groupBy("n", "h1", "h2")
+                 .agg(F.min(F.struct("sig", "top")).alias("s"))
+                 .select("s.sig", (F.col("n") - F.col("s.top.n")).alias("outside"), F.col("s.top.comp").alias("top")))
         rest = scratch.put(placed.join(split, "sig"), f"rest{step}")
         if rest.isEmpty():
             break
-        # small groups: at most REFINE members, the next leaders meet the members after them
-        small, large = rest.where(F.col("n") <= REFINE), rest.where(F.col("n") > REFINE)
-        ranked = small.withColumn("rank", F.row_number().over(Window.partitionBy("sig").orderBy("doc_id")))
-        ahead = ranked.where((F.col("rank") > lead) & (F.col("rank") <= lead + 2 * lead + 2)).select(
-            "sig", F.col("doc_id").alias("a"), F.col("comp").alias("comp_a"), F.col("rank").alias("rank_a"))
-        todo = (ranked.join(ahead, "sig").where("rank > rank_a AND comp <> comp_a")
-                .select("a", F.col("doc_id").alias("b")))
-        members = small.select("sig", "doc_id")
+        small, large = rest.where(F.col("outside") <= REFINE), rest.where(F.col("outside") > REFINE)
+        # at most REFINE rows a signature are ranked
+        ranked = (small.where("comp <> top")
+                  .withColumn("rank", F.row_number().over(Window.partitionBy("sig").orderBy("doc_id")))
+                  .where(F.col("rank") <= leaders))
+        first = scratch.put(ranked.select("sig", F.col("doc_id").alias("a"), F.col("comp").alias("comp_a")), f"first{step}")
+        todo = small.join(first, "sig").where("comp <> comp_a").select(F.least("a", "doc_id").alias("a"),
+                                                                       F.greatest("a", "doc_id").alias("b"))
+        members = (small.select("sig", "doc_id")
+                   .join(first.select("sig", F.col("a").alias("doc_id")), ["sig", "doc_id"], "left_anti"))
         if not large.isEmpty():
             own = large.groupBy("doc_id").agg(F.collect_set("sig").alias("sigs")).join(sets, "doc_id")
             fine = scratch.put(pair_up(own.select("doc_id", "sigs", "shingles")
                                        .mapInArrow(_refine_batches(Scheme(num, den, step)), ROWS)), f"fine{step}")
-            members = members.union(fine.select("sig", F.explode(F.array("a", "b")).alias("doc_id")).distinct())
+            members = members.union(fine.select("sig", F.col("b").alias("doc_id")).distinct())
             todo = todo.union(fine.select(F.least("a", "b"), F.greatest("a", "b")))
         members = scratch.put(members, f"members{step}")
         todo = scratch.put(todo.distinct(), f"pairs{step}")
-        links = scratch.put(links.union(verified(todo, sets, num, den)).distinct(), f"links{step}")
-        lead = 1 if not large.isEmpty() else lead + 2 * lead + 2     # fresh fine groups have one leader so far
+        links = scratch.put(links.union(verified(scratch, step, todo, sets, sketches, num, den)).distinct(), f"links{step}")
+        leaders *= 2
         if links.count() > linked:
             comp, linked = components(spark, Scratch(spark, "partenum-cc"), links), links.count()
     return (meta.join(comp, meta.doc_id == comp.node, "left")
