@@ -26,8 +26,10 @@ outside the signature's largest component become leaders, a few a round, meet
 the members of other components and leave, until nobody is left who has not
 met or been connected. Signatures with very many members outside their largest
 component are first refined by the signatures of a freshly seeded partition of
-the domain (a linked pair shares one of those, too). A pair is verified by a
-sketch (element counts of 256 hash buckets: their total difference never
+the domain (a linked pair shares one of those, too). Shingles that no other
+candidate document holds bound a document's intersection with any other; they
+rule out most chance candidates and heavily edited copies without looking at
+pairs. A pair that stays is verified by a sketch (element counts of 256 hash buckets: their total difference never
 exceeds the sets' difference), then on the whole sets. Nothing is capped and no
 pair is lost.
 
@@ -46,7 +48,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tagstream.llm.common import Scratch, TextBatch, components, mix64, word_hashes
@@ -54,7 +56,7 @@ from tagstream.llm.common import Scratch, TextBatch, components, mix64, word_has
 N2, K2 = 3, 1            # cells per part, differing cells tolerated
 SUBSETS = ((0, 1), (0, 2), (1, 2))
 LEADERS = 4          # members of a signature that meet all others in one round (doubled each round)
-REFINE = 256         # members outside a signature's largest component from which it is refined
+REFINE = 2048        # members outside a signature's largest component from which it is refined
 SKETCH = 256
 SAMPLE_DOCS = 4_000      # expected documents of the sample that shows frequent shingles
 FREQUENT = 6            # its documents (different sets) from which a shingle counts as frequent
@@ -282,6 +284,26 @@ def _near_batches(num: int, den: int):
     return run
 
 
+def scalars(sets: DataFrame, num: int, den: int) -> DataFrame:
+    """(doc_id, s, own) of the documents that can link at all: set size and shingles that no other document holds.
+
+    An intersection has at most s - own elements, so a document needs
+    den * (s - own) >= num * s.
+    """
+    own = (sets.select("doc_id", F.explode("shingles").alias("x")).groupBy("x")
+           .agg(F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("last")).where("doc_id = last")
+           .groupBy("doc_id").agg(F.count("*").alias("own")))
+    size = sets.groupBy("doc_id").agg(F.max(F.size("shingles")).cast("long").alias("s"))
+    all_ = size.join(own, "doc_id", "left").select("doc_id", "s", F.coalesce("own", F.lit(0)).alias("own"))
+    return all_.where((F.col("s") - F.col("own")) * den >= F.col("s") * num)
+
+
+def possible(num: int, den: int, a: str, b: str) -> Column:
+    """Can two documents with these scalars (structs of s and own) link?"""
+    most = F.least(F.col(f"{a}.s") - F.col(f"{a}.own"), F.col(f"{b}.s") - F.col(f"{b}.own"))
+    return most * den >= (F.col(f"{a}.s") + F.col(f"{b}.s") - most) * num
+
+
 def verified(scratch: Scratch, step: int, pairs: DataFrame, sets: DataFrame, sketches: DataFrame, num: int,
              den: int) -> DataFrame:
     """The rows of ``pairs(a, b)`` whose sets have den * |intersection| >= num * |union|."""
@@ -325,12 +347,16 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, width: int = 5, num
     ids = scratch.put(todo.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
     sets = scratch.put(shingle_sets(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi"), width), "sets")
     sketches = scratch.put(_sketch(sets), "sketches")
+    able = scratch.put(scalars(sets, num, den), "able").select("doc_id", F.struct("s", "own").alias("k"))
+    todo = (todo.join(able.toDF("a", "ka"), "a").join(able.toDF("b", "kb"), "b").where(possible(num, den, "ka", "kb"))
+            .select("a", "b"))
+    members = scratch.put(members.join(able, "doc_id").select("sig", "doc_id", "k"), "members0")
     links = scratch.put(verified(scratch, 0, todo, sets, sketches, num, den), "links0")
     comp, linked, step, leaders = components(spark, Scratch(spark, "partenum-cc"), links), links.count(), 0, LEADERS
     while True:
         step += 1
         placed = (members.join(comp, members.doc_id == comp.node, "left")
-                  .select("sig", "doc_id", F.coalesce("component", "doc_id").alias("comp")))
+                  .select("sig", "doc_id", "k", F.coalesce("component", "doc_id").alias("comp")))
         sides = placed.groupBy("sig", "comp").agg(
             F.count("*").alias("n"), *[F.bit_xor(F.xxhash64("doc_id", F.lit(i))).alias(f"h{i}") for i in (1, 2)])
         # signatures with members in several components; of those with the same members (by a 128-bit hash) one is enough
@@ -347,16 +373,18 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, width: int = 5, num
         ranked = (small.where("comp <> top")
                   .withColumn("rank", F.row_number().over(Window.partitionBy("sig").orderBy("doc_id")))
                   .where(F.col("rank") <= leaders))
-        first = scratch.put(ranked.select("sig", F.col("doc_id").alias("a"), F.col("comp").alias("comp_a")), f"first{step}")
-        todo = small.join(first, "sig").where("comp <> comp_a").select(F.least("a", "doc_id").alias("a"),
+        first = scratch.put(ranked.select("sig", F.col("doc_id").alias("a"), F.col("comp").alias("comp_a"),
+                                          F.col("k").alias("ka")), f"first{step}")
+        todo = small.join(first, "sig").where("comp <> comp_a").where(possible(num, den, "k", "ka")).select(F.least("a", "doc_id").alias("a"),
                                                                        F.greatest("a", "doc_id").alias("b"))
-        members = (small.select("sig", "doc_id")
+        members = (small.select("sig", "doc_id", "k")
                    .join(first.select("sig", F.col("a").alias("doc_id")), ["sig", "doc_id"], "left_anti"))
         if not large.isEmpty():
             own = large.groupBy("doc_id").agg(F.collect_set("sig").alias("sigs")).join(sets, "doc_id")
             fine = scratch.put(pair_up(own.select("doc_id", "sigs", "shingles")
                                        .mapInArrow(_refine_batches(Scheme(num, den, step)), ROWS)), f"fine{step}")
-            members = members.union(fine.select("sig", F.col("b").alias("doc_id")).distinct())
+            members = members.union(fine.select("sig", F.col("b").alias("doc_id")).distinct().join(able, "doc_id")
+                                    .select("sig", "doc_id", "k"))
             todo = todo.union(fine.select(F.least("a", "b"), F.greatest("a", "b")))
         members = scratch.put(members, f"members{step}")
         todo = scratch.put(todo.distinct(), f"pairs{step}")
