@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagstream.llm import epsilon_grid, exact_dedup, feistel_pii, importance_resampling, markov_secrets, partenum_join, poisson_mix, spm_viterbi, zstd_lang
+from tagstream.llm import bwt_dedup, epsilon_grid, exact_dedup, feistel_pii, importance_resampling, markov_secrets, partenum_join, poisson_mix, spm_viterbi, zstd_lang
 from tagstream.llm.common import table
 
 TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
@@ -119,3 +119,9 @@ def op9_partenum_join(spark, sf_dir):
 def op10_epsilon_grid(spark, sf_dir):
     """Components of equally labelled vectors with cosine 0.98 or more."""
     return epsilon_grid.near_duplicates(spark, table(spark, sf_dir, "embeddings"))
+
+
+@query("op5_bwt_dedup")
+def op5_bwt_dedup(spark, sf_dir):
+    """Bytes left of every document when repeated 100-byte strings go."""
+    return bwt_dedup.digest(bwt_dedup.remove_repeats(spark, table(spark, sf_dir, "documents")))
