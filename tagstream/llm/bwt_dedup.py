@@ -5,7 +5,7 @@ Every byte covered by a string of ``WINDOW`` bytes that also starts earlier
 judged on the input and never cross documents.
 
 Spark deals the work by content: each window belongs to its minimizer, the
-16-byte piece with the smallest hash in it, so equal windows meet under one
+32-byte piece with the smallest hash in it, so equal windows meet under one
 key. Consecutive windows with the same minimizer travel as one segment. A first
 scan counts minimizers; only segments whose minimizer occurs more than once
 (screened by a bit table of bounded size) are shuffled. Segments of equal
@@ -30,6 +30,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,14 +38,14 @@ from pyspark.sql import functions as F
 from tagstream.llm.common import Scratch, TextBatch, mix64
 
 WINDOW = 100
-PIECE = 16                 # bytes of a minimizer
+PIECE = 32                 # bytes of a minimizer (a multiple of 8)
 SHARD = 1 << 15            # symbols of a shard whose transform is built by sorting
 CHUNK = 1 << 21            # segment bytes that a task merges at once (a larger key is merged alone)
 BITS_PER_KEY = 16          # of the bit table that screens segments
 MAX_BITS = 1 << 28         # 32 MB; beyond that more segments pass the screen, no result changes
 END = 0xFF                 # never a byte of UTF-8
 
-_ODD = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)]
+_ODD = [np.uint64(0x9E3779B97F4A7C15)]
 
 
 # ------------------------------------------------------------------- segments
@@ -55,13 +56,16 @@ def _pieces(x: np.ndarray) -> np.ndarray:
     for r in range(min(8, n)):
         part = x[r:r + (len(x) - r) // 8 * 8].view("<u8") if (len(x) - r) >= 8 else np.zeros(0, np.uint64)
         eight[r::8] = part[:len(eight[r::8])]
-    return mix64(eight[:-8] * _ODD[0] + eight[8:] * _ODD[1])
+    h = np.zeros(len(x) - PIECE + 1, np.uint64)
+    for k in range(0, PIECE, 8):
+        h = mix64(h * _ODD[0] + eight[k:k + len(h)])
+    return h
 
 
-def runs(x: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first window, windows, minimizer hash) of each run in the bytes ``x`` of texts that stop at ``ends``."""
+def runs(x: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(first window, windows, minimizer hash, minimizer's place) of each run in the bytes ``x`` of texts that stop at ``ends``."""
     if len(x) < WINDOW:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return (np.zeros(0, np.int64),) * 4
     h = _pieces(np.ascontiguousarray(x))
     width = WINDOW - PIECE + 1
     place = np.arange(len(h), dtype=np.uint64)
@@ -80,7 +84,7 @@ def runs(x: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.nd
     first = np.flatnonzero(new)
     stop = np.concatenate([first[1:], [len(at)]])
     total = np.concatenate([[0], np.cumsum(good)])
-    return first, total[stop] - total[first], mix64(h[at[first]]).astype(np.int64)
+    return first, total[stop] - total[first], mix64(h[at[first]]).astype(np.int64), at[first]
 
 
 def _blocks(text: TextBatch) -> Iterator[tuple[int, int, int, int]]:
@@ -96,12 +100,12 @@ def _blocks(text: TextBatch) -> Iterator[tuple[int, int, int, int]]:
 
 
 def _slice_runs(text: TextBatch, lo: int, hi: int, b: int, e: int):
-    """Row, place in its text, windows and minimizer of each run of a slice, and the slice's bytes."""
+    """The slice's bytes; of each run the row, first window (in the slice, in the text), windows, minimizer and its offset."""
     x = text.data[b:e]
     ends = np.minimum(text.offsets[lo + 1:hi + 1], e) - b
-    first, count, key = runs(x, ends)
+    first, count, key, at = runs(x, ends)
     row = np.searchsorted(ends, first, side="right")
-    return x, row + lo, first, first + b - text.offsets[lo + row], count, key
+    return x, row + lo, first, first + b - text.offsets[lo + row], count, key, at - first
 
 
 def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,19 +126,27 @@ def screen(docs: DataFrame) -> np.ndarray:
     while bits < min(MAX_BITS, BITS_PER_KEY * keys.count()):
         bits *= 2
     slot = F.col("key").bitwiseAND(bits - 1)
-    words = (keys.select(F.shiftright(slot, 5).alias("word"), F.expr(f"shiftleft(1L, cast(key & 31 AS int))").alias("bit"))
-             .groupBy("word").agg(F.bit_or("bit").alias("bit")).toPandas())
-    table = np.zeros(bits >> 5, np.uint32)
-    table[words["word"].to_numpy(np.int64)] = words["bit"].to_numpy(np.int64).astype(np.uint32)
+    parts = (keys.select(F.shiftright(slot, 15).alias("part"), slot.bitwiseAND((1 << 15) - 1).alias("bit"))
+             .groupBy("part").applyInPandas(_bit_part, "part long, bits binary").collect())   # 4 KB a row, bits / 8 in all
+    table = np.zeros(bits >> 3, np.uint8)
+    for r in parts:
+        whole = np.frombuffer(r["bits"], np.uint8)[:len(table)]
+        table[r["part"] << 12:(r["part"] << 12) + len(whole)] = whole
     return table
 
 
+def _bit_part(pdf: pd.DataFrame) -> pd.DataFrame:
+    flags = np.zeros(1 << 15, bool)
+    flags[pdf["bit"].to_numpy()] = True
+    return pd.DataFrame([{"part": pdf["part"].iloc[0], "bits": np.packbits(flags, bitorder="little").tobytes()}])
+
+
 def _has(table: np.ndarray, key: np.ndarray) -> np.ndarray:
-    slot = key & (len(table) * 32 - 1)
-    return (table[slot >> 5] >> (slot & 31).astype(np.uint32)) & np.uint32(1) == 1
+    slot = key & (len(table) * 8 - 1)
+    return (table[slot >> 3] >> (slot & 7).astype(np.uint8)) & np.uint8(1) == 1
 
 
-SEGMENT = "key long, doc_id long, start long, size long, seg binary"
+SEGMENT = "key long, doc_id long, start long, size long, seg binary, at int"
 
 
 def _collapse(content: list, doc: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -156,11 +168,12 @@ def _segment_batches(table: np.ndarray):
         for b in batches:
             text, ids = TextBatch(b.column(1)), np.array(b.column(0).fill_null(-1))
             for lo, hi, s, e in _blocks(text):
-                x, row, first, place, count, key = _slice_runs(text, lo, hi, s, e)
+                x, row, first, place, count, key, at = _slice_runs(text, lo, hi, s, e)
                 keep = np.flatnonzero(_has(table, key))
                 if not len(keep):
                     continue
                 row, first, place, size, key = row[keep], first[keep], place[keep], count[keep] + WINDOW - 1, key[keep]
+                at = at[keep]
                 raw = x.tobytes()
                 seg = [raw[f:f + n] for f, n in zip(first.tolist(), size.tolist())]
                 doc = ids[row]
@@ -170,8 +183,9 @@ def _segment_batches(table: np.ndarray):
                 same = (doc == doc[head]) & (place == place[head])
                 out = [seg[i] if same[i] else None for i in range(len(seg))]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key, mask=~same), pa.array(doc), pa.array(place), pa.array(size), pa.array(out, pa.binary())],
-                    names=["key", "doc_id", "start", "size", "seg"])
+                    [pa.array(key, mask=~same), pa.array(doc), pa.array(place), pa.array(size), pa.array(out, pa.binary()),
+                     pa.array(at, pa.int32())],
+                    names=["key", "doc_id", "start", "size", "seg", "at"])
     return run
 
 
@@ -247,7 +261,27 @@ def window_classes(segments: list[bytes]) -> np.ndarray:
     return out
 
 
-def _repeats(key: np.ndarray, doc: np.ndarray, start: np.ndarray, size: np.ndarray, seg: list) -> list[tuple]:
+def _partnered(key: np.ndarray, seg: list, at: np.ndarray) -> np.ndarray:
+    """Which of these different segments may share a window with another of the same key.
+
+    A shared window holds the minimizer and half of the other bytes or more on
+    one side of it, so that side must occur twice.
+    """
+    half = (WINDOW - PIECE) // 2
+    sides: list[tuple] = []
+    for k, s, a in zip(key.tolist(), seg, at.tolist()):
+        left, right = s[max(0, a - half):a + PIECE], s[a:a + PIECE + half]
+        sides.append(((k, 0, left) if len(left) == half + PIECE else None,
+                      (k, 1, right) if len(right) == half + PIECE else None))
+    count: dict = {}
+    for pair in sides:
+        for side in pair:
+            if side:
+                count[side] = count.get(side, 0) + 1
+    return np.array([any(side and count[side] > 1 for side in pair) for pair in sides], bool)
+
+
+def _repeats(key: np.ndarray, doc: np.ndarray, start: np.ndarray, size: np.ndarray, at: np.ndarray, seg: list) -> list[tuple]:
     """(doc, first byte, end byte) of the repeated stretches of the segments of whole keys."""
     out = []
     number, lead = _collapse(seg, doc, start)
@@ -258,6 +292,8 @@ def _repeats(key: np.ndarray, doc: np.ndarray, start: np.ndarray, size: np.ndarr
     # keys with several contents: the windows of the first segment of each content are compared
     keys, n = np.unique(key[lead], return_counts=True)
     lead = lead[np.isin(key[lead], keys[n > 1])]
+    if len(lead):
+        lead = lead[_partnered(key[lead], [seg[i] for i in lead.tolist()], at[lead])]
     if len(lead):
         parts = [seg[i] for i in lead.tolist()]
         classes = window_classes(parts)
@@ -291,7 +327,7 @@ def _merge_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
     def flush(tables):
         t = pa.Table.from_batches(tables)
-        return _repeats(*(t.column(i).to_numpy() for i in range(4)), t.column(4).to_pylist())
+        return _repeats(*(t.column(i).to_numpy() for i in (0, 1, 2, 3, 5)), t.column(4).to_pylist())
 
     for b in batches:
         direct = b.filter(b.column(0).is_null())
