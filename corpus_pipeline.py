@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tagstream.llm import exact_dedup, importance_resampling, partenum_join, poisson_mix, spm_viterbi
-from tagstream.llm.common import Scratch, table
+from tagstream.llm.common import Scratch, bounded_reads, table
 
 TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
 MIX_SEED = 17
@@ -22,26 +22,31 @@ MIX_SEED = 17
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the importance-resampling classifier draws stay, the others go."""
+    bounded_reads(spark)
     return importance_resampling.keep_sampled(spark, docs, table(spark, sf_dir, "labels"))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each set of equal texts stays."""
+    bounded_reads(spark)
     return exact_dedup.keep_unique(spark, docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of 5-word shingle similarity 0.8 or more stays."""
+    bounded_reads(spark)
     return partenum_join.keep_one_each(spark, docs, width=5, num=80, den=100)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources brought to equal shares by Poisson replication, globally shuffled."""
+    bounded_reads(spark)
     return poisson_mix.replicate(spark, docs, seed=MIX_SEED, copy_col=None)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_ids, ids."""
+    bounded_reads(spark)
     return spm_viterbi.encode(docs, TOKENIZER)
 
 

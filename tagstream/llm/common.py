@@ -19,6 +19,12 @@ SLICE_BYTES = 1 << 20
 READ = {"parquet.hadoop.vectored.io.enabled": "false"}
 
 
+def bounded_reads(spark: SparkSession) -> None:
+    """The same for tables that a caller opened in this session."""
+    for k, v in READ.items():
+        spark.conf.set(k, v)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.options(**READ).parquet(f"{sf_dir}/{name}.parquet")
 

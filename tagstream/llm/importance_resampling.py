@@ -37,8 +37,6 @@ BUCKETS = 1 << 16       # hash buckets of the two models (the only thing that re
 LABEL_SAMPLE = 8192     # labelled documents that fit the target model and the cut, at most
 TEMPERATURE = 0.05
 SEED = 29
-BIN = 0.25              # width of the weight bins the cut is chosen from
-BIN_RANGE = 200.0
 SELECT_BINS = 4096      # histogram bins of one round of the k-th key search
 
 GRAM, REPEAT = 4, 8
@@ -128,18 +126,20 @@ def weight_of(ratio: np.ndarray):
 
 
 def fit_cut(scored: DataFrame, sample: DataFrame) -> float:
-    """The weight above which a document counts as good: fewest labelled documents on the wrong side, lowest on ties."""
-    at = F.floor(F.greatest(F.least("weight", F.lit(BIN_RANGE)), F.lit(-BIN_RANGE)) / BIN)
-    rows = (scored.join(F.broadcast(sample), "doc_id").groupBy(at.alias("bin"))
-            .agg(F.count(F.when(F.col("good") == 1, 1)).alias("good"), F.count(F.when(F.col("good") != 1, 1)).alias("bad"))
-            .orderBy("bin").collect())
-    wrong, best, cut = sum(r["bad"] for r in rows), None, float("-inf")
-    for r in rows:                      # candidates: below all bins, then after each bin
-        if best is None:
-            best = wrong
-        wrong += r["good"] - r["bad"]
-        if wrong < best:
-            best, cut = wrong, (r["bin"] + 1) * BIN
+    """The weight above which a document counts as good.
+
+    Fewest labelled documents (at most LABEL_SAMPLE) on the wrong side, the
+    lowest such place on ties, in the middle between two labelled weights.
+    """
+    rows = sorted((r["weight"], r["good"] == 1) for r in scored.join(F.broadcast(sample), "doc_id")
+                  .groupBy("doc_id").agg(F.max("weight").alias("weight"), F.max("good").alias("good")).collect())
+    wrong = best = sum(not good for _, good in rows)
+    cut = float("-inf")
+    for i, (weight, good) in enumerate(rows):
+        wrong += 1 if good else -1
+        after = rows[i + 1][0] if i + 1 < len(rows) else float("inf")
+        if wrong < best and after > weight:
+            best, cut = wrong, (weight + after) / 2 if i + 1 < len(rows) else weight
     return cut
 
 

@@ -29,7 +29,7 @@ ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-.
 TRAIN_DOCS = 20_000      # expected documents of the labelled training sample
 MIN_RUN = 16             # characters of a candidate run
 MIN_LLR = 12.0           # nats: the prior odds against a run being random
-SMOOTH = 1.0
+BACKOFF = 5.0            # pseudo-counts of the fallback model
 
 # fixed values: the base patterns
 ASSIGN = re.compile(r"""((?ai:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -91,11 +91,16 @@ def train(docs: DataFrame, bound: int = TRAIN_DOCS) -> dict[str, float]:
     rows = (docs.where(rank <= share).select("text").mapInArrow(_count_batches, "random boolean, a string, c string, n long")
             .groupBy("random", "a", "c").agg(F.sum("n").alias("n")).collect())
     n = {(r["random"], r["a"] + r["c"]): r["n"] for r in rows}
+    size = len(ALPHABET)
+    # unseen pairs fall back on the model's own character frequencies, those on a uniform one (random strings: at once)
+    after = {c: sum(n.get((False, a + c), 0) for a in ALPHABET) for c in ALPHABET}
+    seen = sum(after.values())
+    back = {True: dict.fromkeys(ALPHABET, 1 / size), False: {c: (after[c] + 0.5) / (seen + 0.5 * size) for c in ALPHABET}}
     out = {}
     for a in ALPHABET:
-        total = {k: sum(n.get((k, a + c), 0) for c in ALPHABET) + SMOOTH * len(ALPHABET) for k in (True, False)}
+        total = {k: sum(n.get((k, a + c), 0) for c in ALPHABET) for k in (True, False)}
         for c in ALPHABET:
-            p, q = ((n.get((k, a + c), 0) + SMOOTH) / total[k] for k in (True, False))
+            p, q = ((n.get((k, a + c), 0) + BACKOFF * back[k][c]) / (total[k] + BACKOFF) for k in (True, False))
             out[a + c] = math.log(p) - math.log(q)
     return out
 
