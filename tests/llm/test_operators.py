@@ -250,7 +250,7 @@ def test_secrets(spark, empty):
     hexes = ["".join(r.choice("0123456789abcdef") for _ in range(40)) for _ in range(20)]
     rows = [(i, f"{prose(50, i)} Token = \"{h}\" {prose(20, i)}") for i, h in enumerate(hexes)]
     loose = "".join(r.choice(alnum) for _ in range(40))
-    rows += [(50, f"see {loose} here"), (51, "a" * 23 + " " + "b" * 24), (52, None), (53, ""), (54, "password: abc pw api-key=xyz123 é AKIA" + "A1" * 8),
+    rows += [(50, f"see {loose} here"), (51, "a" * 23 + " " + "b" * 24), (52, None), (53, ""), (54, "password: abc pw api_key=xyz123 é AKIA" + "A1" * 8),
              (55, " ".join(WORDS[:60]) + " internationalisation_of_identifiers")]
     table = spark.createDataFrame(rows, "doc_id long, text string")
     ratio = markov_secrets.train(table.where("doc_id <> 50"))     # the loose string is not a training sample
