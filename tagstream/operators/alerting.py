@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tagstream.operators.joins import null_safe_join
 from tagstream.functions.catalog import (DEFAULT_ROUTE, EVAL_INTERVAL, GROUP_BY, LAG_CHECK_ABOVE,
                                          LAG_NORMAL_BELOW, PLANT_ROUTES, AlertRule, Route)
 from tagstream.functions.timefn import duration_micros, interval_text, micros
@@ -113,7 +114,7 @@ def no_data_state(evals: DataFrame, rule: AlertRule, keys: Sequence[str], start,
     """
     ser = series if series is not None else evals.select(*keys).distinct()
     grid = eval_grid(ser, start, stop, every, "tick")
-    out = grid.join(evals, [*keys, "tick"], "left")
+    out = null_safe_join(grid, evals, [*keys, "tick"], "left")
     if rule.reducer == "count":
         cond = condition_expr(F.lit(0.0), rule.condition)
         out = out.withColumn("firing", F.coalesce(F.col("firing"), F.when(cond, 1.0).otherwise(0.0)))
@@ -313,4 +314,4 @@ def missing_tags(readings: DataFrame, tags: DataFrame, start, stop, every: str,
     seen = (readings.where(F.col(value).isNotNull())
                     .select(F.col(tag), F.window(F.col(ts), interval_text(every)).start
                             .alias("window_start")).distinct())
-    return grid.join(seen, [tag, "window_start"], "left_anti")
+    return null_safe_join(grid, seen, [tag, "window_start"], "left_anti")

@@ -10,6 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tagstream.operators.joins import null_safe_join
 from tagstream.functions.catalog import MAX_RULES, PRIORITY, Rule, rules_df
 from tagstream.functions.timefn import duration_micros, micros
 from tagstream.operators.sequence import shift_in_series
@@ -177,14 +178,14 @@ def _next_pointer(nodes: DataFrame, keys: list[str], w_us: int) -> DataFrame:
     later = (firsts.unionByName(targets)
                    .withColumn("_later", F.min("_first").over(wk))
                    .where(F.col("_kind") == 1).select(*keys, "_sb", "_later"))
-    j = succ.join(later, [*keys, "_sb"], "left")
-    return (nodes.join(j, [*keys, "_t", "_tb"], "left")
+    j = null_safe_join(succ, later, [*keys, "_sb"], "left").drop("_sb")
+    return (null_safe_join(nodes, j, [*keys, "_t", "_tb"], "left")
                  .select(*keys, "_t", "_tb", "_root",
                          F.coalesce(F.col("_succ"), F.col("_later")).alias("_nxt")))
 
 
 def cooldown(v: DataFrame, seconds: float | str, keys: Sequence[str] = ("tag_name",),
-             ts: str = "ts", tiebreak: str | None = "event_id", max_rounds: int = 64,
+             ts: str = "ts", tiebreak: str | None = "event_id",
              bucket: str = "1 hour") -> DataFrame:
     """WIN2: rows that fire when each key is silenced ``seconds`` after it fired.
 
@@ -226,21 +227,17 @@ def cooldown(v: DataFrame, seconds: float | str, keys: Sequence[str] = ("tag_nam
     jump = (ptr.where(F.col("_nxt").isNotNull() & ~F.col("_nxt.root"))
                .select(*keys, "_t", "_tb", F.col("_nxt.t").alias("_jt"),
                        F.col("_nxt.tb").alias("_jtb"))).checkpoint()
-    rounds = 0
     while not jump.isEmpty():
-        rounds += 1
-        if rounds > max_rounds:
-            raise RuntimeError("cooldown did not converge")
-        hop = (reached.join(jump, [*keys, "_t", "_tb"])
+        hop = (null_safe_join(reached, jump, [*keys, "_t", "_tb"])
                       .select(*keys, F.col("_jt").alias("_t"), F.col("_jtb").alias("_tb")))
         reached = reached.unionByName(hop).distinct().checkpoint()
         j2 = jump.alias("a").join(
             jump.alias("b"),
-            [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys]
-            + [F.col("a._jt") == F.col("b._t"), F.col("a._jtb") == F.col("b._tb")])
+            [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
+            + [F.col("a._jt") == F.col("b._t"), F.col("a._jtb").eqNullSafe(F.col("b._tb"))])
         jump = j2.select(*[F.col(f"a.{k}").alias(k) for k in keys], F.col("a._t"), F.col("a._tb"),
                          F.col("b._jt"), F.col("b._jtb")).checkpoint()
-    return src.join(reached, [*keys, "_t", "_tb"], "left_semi").drop("_t", "_tb", "_c")
+    return null_safe_join(src, reached, [*keys, "_t", "_tb"], "left_semi").drop("_t", "_tb", "_c")
 
 
 # ------------------------------------------------------------- WIN5, ALM6

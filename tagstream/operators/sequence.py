@@ -17,6 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tagstream.operators.joins import null_safe_join
 from tagstream.functions.timefn import bucket_of, duration_micros
 
 BK = "_bk"
@@ -114,7 +115,7 @@ def running_in_series(df: DataFrame, keys: Sequence[str], ts: str, col: str, fn:
     wb = (Window.partitionBy(*keys).orderBy(BK)
           .rowsBetween(Window.unboundedPreceding, -1))
     per = per.select(*keys, BK, agg(F.col("_b")).over(wb).alias("_before"))
-    res = d.join(per, [*keys, BK], "left")
+    res = null_safe_join(d, per, [*keys, BK], "left")
     if fn == "sum":
         val = F.coalesce(F.col("_before"), F.lit(0)) + F.coalesce(F.col("_in"), F.lit(0))
     else:

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tagstream.operators.joins import null_safe_join
 from tagstream.functions.timefn import duration_micros, interval_text, micros
 from tagstream.operators.sequence import shift_in_series
 
@@ -144,7 +145,7 @@ def aggregate_window(df: DataFrame, keys: Sequence[str], every: str, fn: str = "
     grid = grid.withColumn("window_stop", F.col("window_start")
                            + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0),
                                                 F.lit(duration_micros(every) / 1e6)))
-    out = grid.join(agg.drop("window_stop"), [*keys, "window_start"], "left")
+    out = null_safe_join(grid, agg.drop("window_stop"), [*keys, "window_start"], "left")
     if fn == "count":
         out = out.withColumn("value", F.coalesce(F.col("value"), F.lit(0)))
     return out
@@ -170,7 +171,7 @@ def on_eval_grid(agg: DataFrame, keys: Sequence[str], start, stop, every: str,
     """JON5: put per-(series, tick) results on the full grid, filling absences."""
     ser = series if series is not None else agg.select(*keys).distinct()
     grid = eval_grid(ser, start, stop, every, tick)
-    out = grid.join(agg, [*keys, tick], "left")
+    out = null_safe_join(grid, agg, [*keys, tick], "left")
     for c, v in (fill or {}).items():
         out = out.withColumn(c, F.coalesce(F.col(c), F.lit(v)))
     return out

@@ -82,7 +82,12 @@ def backfill(spark: SparkSession, raw_path: str, out_1h: str, out_1d: str | None
     Raw partitions of the days touched are pruned by y/m/d, rows by event
     time; hourly output overwrites its ``y/m/d/hr`` partitions, daily
     output its ``y/m/d`` partitions, so reruns and overlaps are idempotent.
+    A range that cuts an hour is widened to whole hours: the hour's partition
+    is overwritten, so all its samples must be read.
     """
+    start = start.replace(minute=0, second=0, microsecond=0)
+    if stop != (whole_hour := stop.replace(minute=0, second=0, microsecond=0)):
+        stop = whole_hour + dt.timedelta(hours=1)
     days = _days(start, stop)
     raw = _day_filter(read_raw_lake(spark, raw_path, tags), days)
     tall = unpivot_tags(time_range(raw, start, stop), tags,

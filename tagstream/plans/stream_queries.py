@@ -24,9 +24,17 @@ from tagstream.streaming import queries as sq
 
 
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events table as a file stream: a folder of part files (every real table) or one file."""
     schema = fx.table(spark, sf_dir, "events").schema
-    return (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-                 .option("maxFilesPerTrigger", 1).parquet(sf_dir.rstrip("/")))
+    folder = sf_dir.rstrip("/")
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/events.parquet")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        raise FileNotFoundError(f"{folder}/events.parquet")
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+    if fs.getFileStatus(path).isDirectory():
+        return reader.parquet(f"{folder}/events.parquet")
+    return reader.option("pathGlobFilter", "events.parquet").parquet(folder)
 
 
 def run_to_table(spark: SparkSession, df: DataFrame, name: str) -> str:
