@@ -29,7 +29,10 @@ component are first refined by the signatures of a freshly seeded partition of
 the domain (a linked pair shares one of those, too). Shingles that no other
 candidate document holds bound a document's intersection with any other; they
 rule out most chance candidates and heavily edited copies without looking at
-pairs. A pair that stays is verified by a sketch (element counts of 256 hash buckets: their total difference never
+pairs. Pairs of the leader rounds are tested where they arise by an odd sketch
+(parities of ODD * 64 hash buckets: each differing element flips one bit, so the
+differing bits never exceed the sets' difference); only those that pass are
+written. A pair that stays is verified by a sketch (element counts of 256 hash buckets: their total difference never
 exceeds the sets' difference), then on the whole sets. Nothing is capped and no
 pair is lost.
 
@@ -55,9 +58,11 @@ from tagstream.llm.common import Scratch, TextBatch, components, mix64, word_has
 
 N2, K2 = 3, 1            # cells per part, differing cells tolerated
 SUBSETS = ((0, 1), (0, 2), (1, 2))
-LEADERS = 4          # members of a signature that meet all others in one round (doubled each round)
+LEADERS = 16         # members of a signature that meet all others in the first round
+GROWTH = 4           # their growth from round to round
 REFINE = 2048        # members outside a signature's largest component from which it is refined
 SKETCH = 256
+ODD = 8              # 64-bit words of the odd sketch
 SAMPLE_DOCS = 4_000      # expected documents of the sample that shows frequent shingles
 FREQUENT = 6            # its documents (different sets) from which a shingle counts as frequent
 MAX_FREQUENT = 50_000    # the most frequent ones; they travel with the tasks
@@ -257,19 +262,28 @@ def frequent_shingles(docs: DataFrame, width: int) -> np.ndarray:
     return np.sort(rows["s"].to_numpy(np.int64).astype(np.uint64))
 
 
+ODD_WORDS = [f"o{w}" for w in range(ODD)]
+
+
 def _sketch(sets: DataFrame) -> DataFrame:
-    """(doc_id, size, sketch): element counts of SKETCH hash buckets, at most 255 each, as bytes."""
+    """(doc_id, size, sketch, o0, o1, ...): element counts of SKETCH hash buckets, at most 255 each, as bytes, and
+    the parities of ODD * 64 other buckets as longs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sizes, out = [], []
-            for s in b.column(1):
-                bucket = (s.values.to_numpy(zero_copy_only=False).view(np.uint64) % np.uint64(SKETCH)).astype(np.int64)
+            sizes, out, odd = [], [], np.zeros((len(b), ODD), np.int64)
+            for i, s in enumerate(b.column(1)):
+                h = s.values.to_numpy(zero_copy_only=False).view(np.uint64)
+                bucket = (h % np.uint64(SKETCH)).astype(np.int64)
                 sizes.append(len(bucket))
                 out.append(np.minimum(np.bincount(bucket, minlength=SKETCH), 255).astype(np.uint8).tobytes())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int64()), pa.array(out, pa.binary())],
-                                             names=["doc_id", "size", "sketch"])
+                bit = ((h >> np.uint64(20)) % np.uint64(ODD * 64)).astype(np.int64)
+                odd[i] = np.packbits(np.bincount(bit, minlength=ODD * 64).astype(np.uint8) & 1).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array(sizes, pa.int64()), pa.array(out, pa.binary()),
+                 *[pa.array(np.ascontiguousarray(odd[:, w])) for w in range(ODD)]],
+                names=["doc_id", "size", "sketch", *ODD_WORDS])
 
-    return sets.mapInArrow(run, "doc_id long, size long, sketch binary")
+    return sets.mapInArrow(run, "doc_id long, size long, sketch binary, " + ", ".join(f"{w} long" for w in ODD_WORDS))
 
 
 def _near_batches(num: int, den: int):
@@ -299,9 +313,11 @@ def scalars(sets: DataFrame, num: int, den: int) -> DataFrame:
 
 
 def possible(num: int, den: int, a: str, b: str) -> Column:
-    """Can two documents with these scalars (structs of s and own) link?"""
+    """Can two documents with these scalars (structs of s, own and the odd sketch's words) link?"""
     most = F.least(F.col(f"{a}.s") - F.col(f"{a}.own"), F.col(f"{b}.s") - F.col(f"{b}.own"))
-    return most * den >= (F.col(f"{a}.s") + F.col(f"{b}.s") - most) * num
+    total = F.col(f"{a}.s") + F.col(f"{b}.s")
+    differ = sum((F.bit_count(F.col(f"{a}.{w}").bitwiseXOR(F.col(f"{b}.{w}"))) for w in ODD_WORDS), F.lit(0))
+    return (most * den >= (total - most) * num) & (differ * (den + num) <= total * (den - num))
 
 
 def verified(scratch: Scratch, step: int, pairs: DataFrame, sets: DataFrame, sketches: DataFrame, num: int,
@@ -311,8 +327,11 @@ def verified(scratch: Scratch, step: int, pairs: DataFrame, sets: DataFrame, ske
     kb = sketches.select(F.col("doc_id").alias("b"), F.col("size").alias("nb"), F.col("sketch").alias("kb"))
     likely = scratch.put(pairs.join(ka, "a").join(kb, "b").select("a", "b", "na", "ka", "nb", "kb")
                          .mapInArrow(_near_batches(num, den), "a long, b long"), f"likely{step}")
-    left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
+    # a written list of ids has a known size: Spark broadcasts a short one, and only the sets needed are shuffled
+    need = scratch.put(likely.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), f"need{step}")
+    mine = sets.join(need, "doc_id", "left_semi")
+    left = mine.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
+    right = mine.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb"))
     return (likely.join(left, "a").join(right, "b")
             .where(both * den >= (F.size("sa") + F.size("sb") - both) * num).select("a", "b").distinct())
@@ -338,7 +357,8 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, width: int = 5, num
     scheme = Scheme(num, den, 0, frequent_shingles(docs, width))
     rows = docs.select("doc_id", "text").mapInArrow(_sign_batches(scheme, width), ROWS)
     found = scratch.put(pair_up(rows), "found")
-    meta = found.where("size IS NOT NULL").select(F.col("a").alias("doc_id"), F.col("size").alias("n_shingles"))
+    meta = scratch.put(found.where("size IS NOT NULL")
+                       .select(F.col("a").alias("doc_id"), F.col("size").alias("n_shingles")), "meta")
     pairs = found.where("size IS NULL")
 
     # the round's pairs are (first member of a signature, other); the first ones have then met all others
@@ -347,16 +367,20 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, width: int = 5, num
     ids = scratch.put(todo.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
     sets = scratch.put(shingle_sets(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi"), width), "sets")
     sketches = scratch.put(_sketch(sets), "sketches")
-    able = scratch.put(scalars(sets, num, den), "able").select("doc_id", F.struct("s", "own").alias("k"))
+    able = scratch.put(scalars(sets, num, den).join(sketches.select("doc_id", *ODD_WORDS), "doc_id"), "able").select(
+        "doc_id", F.struct("s", "own", *ODD_WORDS).alias("k"))
     todo = (todo.join(able.toDF("a", "ka"), "a").join(able.toDF("b", "kb"), "b").where(possible(num, den, "ka", "kb"))
             .select("a", "b"))
-    members = scratch.put(members.join(able, "doc_id").select("sig", "doc_id", "k"), "members0")
+    members = scratch.put(members.join(able, "doc_id", "left_semi").select("sig", "doc_id"), "members0")
+    scratch.drop("found")
     links = scratch.put(verified(scratch, 0, todo, sets, sketches, num, den), "links0")
+    for done in ("pairs0", "likely0", "need0", "ids"):
+        scratch.drop(done)
     comp, linked, step, leaders = components(spark, Scratch(spark, "partenum-cc"), links), links.count(), 0, LEADERS
     while True:
         step += 1
         placed = (members.join(comp, members.doc_id == comp.node, "left")
-                  .select("sig", "doc_id", "k", F.coalesce("component", "doc_id").alias("comp")))
+                  .select("sig", "doc_id", F.coalesce("component", "doc_id").alias("comp")))
         sides = placed.groupBy("sig", "comp").agg(
             F.count("*").alias("n"), *[F.bit_xor(F.xxhash64("doc_id", F.lit(i))).alias(f"h{i}") for i in (1, 2)])
         # signatures with members in several components; of those with the same members (by a 128-bit hash) one is enough
@@ -373,23 +397,27 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, width: int = 5, num
         ranked = (small.where("comp <> top")
                   .withColumn("rank", F.row_number().over(Window.partitionBy("sig").orderBy("doc_id")))
                   .where(F.col("rank") <= leaders))
-        first = scratch.put(ranked.select("sig", F.col("doc_id").alias("a"), F.col("comp").alias("comp_a"),
-                                          F.col("k").alias("ka")), f"first{step}")
-        todo = small.join(first, "sig").where("comp <> comp_a").where(possible(num, den, "k", "ka")).select(F.least("a", "doc_id").alias("a"),
-                                                                       F.greatest("a", "doc_id").alias("b"))
-        members = (small.select("sig", "doc_id", "k")
+        first = scratch.put(ranked.select("sig", F.col("doc_id").alias("a"), F.col("comp").alias("comp_a")), f"first{step}")
+        leads = first.join(able.toDF("a", "ka"), "a")
+        todo = (small.join(able, "doc_id").join(leads, "sig").where("comp <> comp_a").where(possible(num, den, "k", "ka"))
+                .select(F.least("a", "doc_id").alias("a"), F.greatest("a", "doc_id").alias("b")))
+        members = (small.select("sig", "doc_id")
                    .join(first.select("sig", F.col("a").alias("doc_id")), ["sig", "doc_id"], "left_anti"))
         if not large.isEmpty():
             own = large.groupBy("doc_id").agg(F.collect_set("sig").alias("sigs")).join(sets, "doc_id")
             fine = scratch.put(pair_up(own.select("doc_id", "sigs", "shingles")
                                        .mapInArrow(_refine_batches(Scheme(num, den, step)), ROWS)), f"fine{step}")
-            members = members.union(fine.select("sig", F.col("b").alias("doc_id")).distinct().join(able, "doc_id")
-                                    .select("sig", "doc_id", "k"))
-            todo = todo.union(fine.select(F.least("a", "b"), F.greatest("a", "b")))
+            members = members.union(fine.select("sig", F.col("b").alias("doc_id")).distinct())
+            met = fine.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+            todo = todo.union(met.join(able.toDF("a", "ka"), "a").join(able.toDF("b", "kb"), "b")
+                              .where(possible(num, den, "ka", "kb")).select("a", "b"))
         members = scratch.put(members, f"members{step}")
         todo = scratch.put(todo.distinct(), f"pairs{step}")
         links = scratch.put(links.union(verified(scratch, step, todo, sets, sketches, num, den)).distinct(), f"links{step}")
-        leaders *= 2
+        for done in (f"rest{step}", f"first{step}", f"fine{step}", f"pairs{step}", f"likely{step}", f"need{step}",
+                     f"members{step - 1}", f"links{step - 1}"):
+            scratch.drop(done)
+        leaders *= GROWTH
         if links.count() > linked:
             comp, linked = components(spark, Scratch(spark, "partenum-cc"), links), links.count()
     return (meta.join(comp, meta.doc_id == comp.node, "left")
