@@ -9,8 +9,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field, asdict
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 # ---------------------------------------------------------------------------
 # FIXED VALUES (must equal the plant configuration for right results)
@@ -29,8 +31,11 @@ TAG_GROUPS = [
     ("Temp_Cooling", 10),
 ]
 
-# OPC UA namespace index of the simulated server's tags.
+# OPC UA namespace index of the simulated server's tags, and the first numeric
+# node id of the signal tags and of the process tags (both in dictionary order).
 TAG_NAMESPACE = 3
+FIRST_SIGNAL_NODE = 1001
+FIRST_PROCESS_NODE = 2001
 
 
 def plant_tags() -> list[str]:
@@ -111,25 +116,29 @@ RULE_SCHEMA = T.StructType([
     T.StructField("description", T.StringType(), True),
 ])
 
-# Rule lists larger than this are not configuration any more.
-MAX_RULES = 10_000
-
 
 def rules_df(spark: SparkSession, rules: list[Rule] | None = None) -> DataFrame:
     """ALM1: the ordered rule list as a literal DataFrame (rule_order from 1)."""
     rules = PLANT_RULES if rules is None else rules
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"{len(rules)} rules exceed the broadcast bound {MAX_RULES}")
     rows = [(i + 1, r.prefix, r.max, r.min, r.unit, r.severity, r.description)
             for i, r in enumerate(rules)]
-    return spark.createDataFrame(rows, RULE_SCHEMA)
+    # from Arrow the list becomes a local relation, whose size Spark knows when it picks a join
+    cols = list(zip(*rows)) or [()] * len(RULE_SCHEMA)
+    return spark.createDataFrame(pa.table(
+        [pa.array(c, t) for c, t in zip(cols, to_arrow_schema(RULE_SCHEMA).types)], names=RULE_SCHEMA.names), RULE_SCHEMA)
 
 
 def tag_dictionary_df(spark: SparkSession, tags: list[str] | None = None,
                       namespace: int = TAG_NAMESPACE) -> DataFrame:
-    """Tag dictionary rows (tag_order, tag_name, namespace, node_id)."""
+    """Tag dictionary rows (tag_order, tag_name, namespace, node_id).
+
+    Node ids are numeric: signal tags and process tags count up separately."""
     tags = plant_tags() if tags is None else tags
-    rows = [(i + 1, t, namespace, f"ns={namespace};s={t}") for i, t in enumerate(tags)]
+    signals = [t for t in tags if t in SIGNAL_TAGS]
+    process = [t for t in tags if t not in SIGNAL_TAGS]
+    number = ({t: FIRST_SIGNAL_NODE + i for i, t in enumerate(signals)}
+              | {t: FIRST_PROCESS_NODE + i for i, t in enumerate(process)})
+    rows = [(i + 1, t, namespace, f"ns={namespace};i={number[t]}") for i, t in enumerate(tags)]
     return spark.createDataFrame(
         rows, "tag_order int, tag_name string, namespace int, node_id string")
 

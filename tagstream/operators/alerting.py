@@ -280,15 +280,15 @@ def mute(notifications: DataFrame, start: str, end: str, tz: str,
 
 
 # FIXED VALUES: notification subject and body layout.
-SUBJECT_FMT = "[k3s alert] %s"
+SUBJECT_FMT = "[alert] %s"
 BODY_FMT = "**Alert:** %s\n**Severity:** %s\n**Time:** %d firing, %d resolved"
 
 
-def render(notifications: DataFrame) -> DataFrame:
-    """ALR6: subject and body text per notification."""
+def render(notifications: DataFrame, subject: str = SUBJECT_FMT) -> DataFrame:
+    """ALR6: subject and body text per notification; ``subject`` formats the alert's name."""
     return notifications.select(
         "*",
-        F.format_string(SUBJECT_FMT, F.col("alertname")).alias("subject"),
+        F.format_string(subject, F.col("alertname")).alias("subject"),
         F.format_string(BODY_FMT, F.col("alertname"), F.col("severity"), F.col("firing"),
                         F.col("resolved")).alias("body"))
 

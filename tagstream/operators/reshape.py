@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagstream.functions.catalog import STATUS_STEPS, TAG_NAMESPACE
+from tagstream.functions.catalog import STATUS_STEPS, tag_dictionary_df
 
 
 def unpivot_tags(wide: DataFrame, tags: Sequence[str], ids: Sequence[str],
@@ -26,23 +26,28 @@ def pivot_tags(readings: DataFrame, tags: Sequence[str], ids: Sequence[str],
     """PRJ2: tall → one row per ids with one column per dictionary tag.
 
     The explicit value list avoids the extra distinct job and fixes the
-    column order; ``first`` keeps one value if a tag repeats.
+    column order.  If a tag repeats, its largest value is kept, whatever the
+    row order.
     """
     return (readings.groupBy(*ids).pivot(tag, list(tags))
-                    .agg(F.first(F.col(value), ignorenulls=True)))
+                    .agg(F.max(F.col(value))))
 
 
-def tag_dimension(tags: DataFrame, tag: str = "tag_name", namespace: int = TAG_NAMESPACE) -> DataFrame:
+def tag_dimension(tags: DataFrame, tag: str = "tag_name", dictionary: DataFrame | None = None) -> DataFrame:
     """PRJ3: tag name → group and index (``Temp_Boiler_07`` → ``Temp_Boiler``, 7),
-    plus namespace and node id.  Names without a numeric suffix are their own group."""
+    plus namespace and node id.  Names without a numeric suffix are their own group.
+    Namespace and node id come from ``dictionary`` (``tag_dictionary_df``; default: the
+    plant's); they are NULL for a tag that it does not list."""
+    known = tag_dictionary_df(tags.sparkSession) if dictionary is None else dictionary
+    tags = tags.select(F.col(tag)).join(
+        known.select(F.col("tag_name").alias(tag), "namespace", "node_id"), tag, "left")
     m = F.regexp_extract(F.col(tag), r"^(.*)_(\d+)$", 1)
     idx = F.regexp_extract(F.col(tag), r"^(.*)_(\d+)$", 2)
     return tags.select(
         F.col(tag),
         F.when(m == "", F.col(tag)).otherwise(m).alias("tag_group"),
         F.when(idx == "", None).otherwise(idx.cast("int")).alias("tag_index"),
-        F.lit(namespace).alias("namespace"),
-        F.format_string("ns=%d;s=%s", F.lit(namespace), F.col(tag)).alias("node_id"))
+        "namespace", "node_id")
 
 
 def _escape_key(c):

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagstream.operators.joins import null_safe_join
-from tagstream.functions.catalog import MAX_RULES, PRIORITY, Rule, rules_df
+from tagstream.functions.catalog import PRIORITY, Rule, rules_df
 from tagstream.functions.timefn import duration_micros, micros
 from tagstream.operators.sequence import shift_in_series
 from tagstream.session import checkpoint_dir
@@ -25,8 +25,6 @@ def first_match_order(tag: str, rules: Sequence[Rule]) -> F.Column:
 
     A CASE expression: evaluated inside whole-stage codegen, no join.
     """
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"{len(rules)} rules exceed {MAX_RULES}")
     expr = None
     for i, r in enumerate(rules, 1):
         cond = F.col(tag).startswith(F.lit(r.prefix))
@@ -38,25 +36,24 @@ def match_rules(readings: DataFrame, rules: Sequence[Rule] | DataFrame,
                 tag: str = "tag_name", how: str = "left") -> DataFrame:
     """JON1: attach the first matching rule (lowest ``rule_order``) to each row.
 
-    ``rules`` as a list: compiled to a CASE for the order, then a broadcast
-    hash join with the literal rules table (size known on the driver).
-    ``rules`` as a DataFrame (rule_order, prefix, ...): prefixes are matched
-    against the *distinct* tag names only, the lowest order kept per tag,
-    and that tag→rule table hash-joined back (AQE broadcasts it when small).
+    ``rules`` as a list: compiled to a CASE for the order, then a join with
+    the literal rules table, whose size Spark knows.
+    ``rules`` as a DataFrame (rule_order, prefix, ...) of any size: every
+    prefix of the *distinct* tag names meets the rules in an equi-join, the
+    lowest order is kept per tag, and that tag→rule table is joined back
+    (AQE broadcasts it when small).
     """
     spark = readings.sparkSession
     if isinstance(rules, DataFrame):
-        n_rules = rules.count()  # a configuration table: prove its size before broadcasting
-        if n_rules > MAX_RULES:
-            raise ValueError(f"{n_rules} rules exceed the broadcast bound {MAX_RULES}")
         tags = readings.select(F.col(tag).alias("_tag")).distinct()
-        cand = tags.join(F.broadcast(rules.select("rule_order", "prefix")),
-                         F.col("_tag").startswith(F.col("prefix")))
+        starts = tags.select("_tag", F.explode(F.transform(
+            F.sequence(F.lit(0), F.length("_tag")), lambda n: F.substring("_tag", F.lit(1), n))).alias("prefix"))
+        cand = starts.join(rules.select("rule_order", "prefix"), "prefix")
         best = cand.groupBy("_tag").agg(F.min("rule_order").alias("rule_order"))
         best = best.join(rules, "rule_order")
         out = readings.join(best, readings[tag] == best["_tag"], how).drop("_tag")
         return out
-    table = F.broadcast(rules_df(spark, list(rules)))
+    table = rules_df(spark, list(rules))
     d = readings.withColumn("rule_order", first_match_order(tag, rules))
     return d.join(table, "rule_order", how)
 
@@ -102,7 +99,7 @@ def alarms(v: DataFrame, ts: str = "ts", tag: str = "tag_name", device: str = "d
     name = F.format_string("[AUTO] %s %s: %.2f %s", F.col(tag), F.col("direction"),
                            F.col(value), F.col("unit"))
     notes = F.format_string(
-        "Tag: %s\nValue: %.4f %s\nThreshold (%s): %s %s\nOPC Timestamp: %s\nDetected at: %s",
+        "Tag %s, Value: %.4f %s; Threshold (%s): %s %s; measured %s, found %s",
         F.col(tag), F.col(value), F.col("unit"), F.col("direction"), _num("threshold"),
         F.col("unit"), F.date_format(ts, ISO_US), F.date_format(ts, ISO_US))
     return c.select(*[x for x in c.columns if x not in ("alarm_id",)],
@@ -117,9 +114,7 @@ def work_orders(a: DataFrame, ts: str = "ts", tag: str = "tag_name",
     short = F.format_string("[AUTO] %s %s: %.2f %s (threshold: %s)", F.col(tag),
                             F.col("direction"), F.col(value), F.col("unit"), _num("threshold"))
     notes = F.format_string(
-        "Automatic work order generated by the alarm bridge\n\n"
-        "Tag: %s\nMeasured value: %.4f %s\nThreshold (%s): %s %s\nSeverity: %s\n"
-        "OPC Timestamp: %s\nDetected at: %s\nRelated Alarm ID: %s\n\nAction required: %s",
+        "Tag %s, Value: %.4f %s; Threshold (%s): %s %s; severity %s; measured %s, found %s; alarm %s; to do: %s",
         F.col(tag), F.col(value), F.col("unit"), F.col("direction"), _num("threshold"),
         F.col("unit"), F.col("severity"), F.date_format(ts, ISO_US), F.date_format(ts, ISO_US),
         F.col("alarm_id"), F.col("description"))

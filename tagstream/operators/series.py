@@ -24,10 +24,12 @@ def time_range(df: DataFrame, start, stop=None, ts: str = "ts", now=None) -> Dat
     """FLT1: half-open ``[start, stop)``.
 
     ``start``/``stop`` are timestamps (str or datetime) or relative
-    durations such as ``"-2m"`` taken from ``now`` (default: stop or
-    current time).
+    durations such as ``"-2m"``; both ends count from ``now`` (default:
+    the current time), which is also the default ``stop``.
     """
-    def resolve(x, base):
+    base = F.lit(now).cast("timestamp") if now is not None else F.current_timestamp()
+
+    def resolve(x):
         if x is None:
             return base
         if isinstance(x, str) and x.strip().startswith("-"):
@@ -35,10 +37,7 @@ def time_range(df: DataFrame, start, stop=None, ts: str = "ts", now=None) -> Dat
                 F.lit(0), F.lit(0), F.lit(0), F.lit(duration_micros(x.strip()[1:]) / 1e6))
         return F.lit(x).cast("timestamp")
 
-    base = F.lit(now).cast("timestamp") if now is not None else F.current_timestamp()
-    hi = resolve(stop, base)
-    lo = resolve(start, hi)
-    return df.where((F.col(ts) >= lo) & (F.col(ts) < hi))
+    return df.where((F.col(ts) >= resolve(start)) & (F.col(ts) < resolve(stop)))
 
 
 def select_series(df: DataFrame, measurement: str | None = None, fields=None,

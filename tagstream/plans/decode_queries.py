@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tagstream.functions.catalog import tag_dictionary_df
 from tagstream.functions.timefn import micros, parse_event_time, with_date_parts
 from tagstream.operators import reshape as rs
 from tagstream.plans.registry import R, r6, register
@@ -166,12 +167,12 @@ SELECT tag_name,
        CASE WHEN regexp_extract(tag_name, '^(.*)_(\\d+)$', 1) = '' THEN tag_name
             ELSE regexp_extract(tag_name, '^(.*)_(\\d+)$', 1) END AS tag_group,
        TRY_CAST(NULLIF(regexp_extract(tag_name, '^(.*)_(\\d+)$', 2), '') AS INTEGER) AS tag_index,
-       3 AS namespace, 'ns=3;s=' || tag_name AS node_id
+       3 AS namespace, 'ns=3;i=' || (2000 + list_position({TAGS}, tag_name)) AS node_id
 FROM (SELECT DISTINCT tag_name FROM ({R}) r) t
 """)
 def prj3_tag_dimension(spark, sf_dir):
     tags = fx.readings(spark, sf_dir).select("tag_name").distinct()
-    return rs.tag_dimension(tags)
+    return rs.tag_dimension(tags, dictionary=tag_dictionary_df(spark, TAGS))
 
 
 @register("prj4_line_protocol", f"""

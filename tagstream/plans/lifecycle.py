@@ -170,7 +170,7 @@ def expire(spark: SparkSession, path: str, keep_days: int, as_of: dt.date,
            dry_run: bool = True) -> DataFrame:
     """SNK5: partitions older than ``keep_days`` before ``as_of`` (e.g. 90 hot,
     1825 lake).  Dry run by default: returns what would be dropped; with
-    ``dry_run=False`` deletes those directories."""
+    ``dry_run=False`` deletes those directories and raises if one stays."""
     cutoff = as_of - dt.timedelta(days=keep_days)
     parts = list_partitions(spark, path)
     pday = F.to_date(F.concat_ws("-", "year", "month", "day"))
@@ -178,7 +178,9 @@ def expire(spark: SparkSession, path: str, keep_days: int, as_of: dt.date,
     if not dry_run:
         fs, _root, jvm = _fs(spark, path)
         for r in old.select("location").toLocalIterator():
-            fs.delete(jvm.org.apache.hadoop.fs.Path(r["location"]), True)
+            gone = jvm.org.apache.hadoop.fs.Path(r["location"])
+            if not fs.delete(gone, True) and fs.exists(gone):
+                raise OSError(f"could not delete {r['location']}")
     return old.withColumn("action", F.lit("DROP" if not dry_run else "WOULD_DROP"))
 
 

@@ -28,12 +28,12 @@ def flt1_time_range(spark, sf_dir):
 
 @register("flt1_time_range_relative", f"""
 SELECT {_ROW_COLS.format(ts=dtxt('ts'))} FROM ({R}) r
-WHERE ts >= TIMESTAMP '2024-01-20 12:00:00' - INTERVAL 5 MINUTE
-  AND ts < TIMESTAMP '2024-01-20 12:00:00'
+WHERE ts >= TIMESTAMP '2024-01-20 12:00:00' - INTERVAL 12 HOUR
+  AND ts < TIMESTAMP '2024-01-20 12:00:00' - INTERVAL 90 MINUTE
 """)
 def flt1_time_range_relative(spark, sf_dir):
     r = fx.readings(spark, sf_dir)
-    return _rows(se.time_range(r, "-5m", now="2024-01-20 12:00:00"))
+    return _rows(se.time_range(r, "-12h", "-90m", now="2024-01-20 12:00:00"))
 
 
 @register("flt2_select_series", f"""

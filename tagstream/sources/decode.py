@@ -64,29 +64,18 @@ def _str(v: Column) -> Column:
     return F.try_variant_get(v, "$", "string")
 
 
-def decode_any(raw: DataFrame, col: str = "value", source_col: str | None = "source_id",
-               device_col: str | None = "device_id") -> DataFrame:
-    """SRC2: any of V1-V5 → readings ``(source_id, device_id, tag_name, ts, value, envelope)``.
-
-    V1 flat, V2 nested ``tags{}`` with epoch-second time, V3 REST array
-    ``tags:[{name,value,ts}]`` (epoch ms), V4 publish/subscribe
-    ``Messages[].Payload{tag:{Value,SourceTimestamp}}`` (every message and
-    each tag's own time), V5 ``readings{name:{value,unit,name}}``.
-    ``source_col``/``device_col`` name columns of ``raw`` supplying ids the
-    message lacks (e.g. the topic key).  One row per tag and time; NULL value
-    for bad tags.  Rows that do not parse are absent (see ``quarantine``).
-    """
-    m = F.from_json(F.col(col).cast("string"), "map<string,variant>")
-    mm = F.col("_m")
+def _envelope(mm: Column) -> Column:
+    """V1..V5 of a parsed message (NULL if it did not parse)."""
     tags_kind = F.schema_of_variant(mm["tags"])
-    env = (F.when(mm["Messages"].isNotNull(), "V4")
-             .when(tags_kind.startswith("ARRAY"), "V3")
-             .when(tags_kind.startswith("OBJECT"), "V2")
-             .when(F.schema_of_variant(mm["readings"]).startswith("OBJECT"), "V5")
-             .when(mm.isNotNull(), "V1"))
-    # parse once and classify once; the branches below only read these columns
-    d = raw.select("*", m.alias("_m")).select("*", env.alias("_env"))
-    env = F.col("_env")
+    return (F.when(mm["Messages"].isNotNull(), "V4")
+              .when(tags_kind.startswith("ARRAY"), "V3")
+              .when(tags_kind.startswith("OBJECT"), "V2")
+              .when(F.schema_of_variant(mm["readings"]).startswith("OBJECT"), "V5")
+              .when(mm.isNotNull(), "V1"))
+
+
+def _items(mm: Column, env: Column) -> Column:
+    """The readings of a parsed message: array of (tag_name, value, ts_raw)."""
     ts_top = _str(mm["timestamp"])
     item = "struct<tag_name:string,value:double,ts_raw:string>"
 
@@ -107,15 +96,33 @@ def decode_any(raw: DataFrame, col: str = "value", source_col: str | None = "sou
         lambda e: mk(e["key"], _num(e["value"]["Value"]), e["value"]["SourceTimestamp"]))))
     v5_map = F.try_variant_get(mm["readings"], "$", "map<string,struct<value:variant,unit:string,name:string>>")
     v5 = F.transform(F.map_entries(v5_map), lambda e: mk(e["key"], _num(e["value"]["value"]), ts_top))
-    items = (F.when(env == "V1", v1).when(env == "V2", v2).when(env == "V3", v3)
+    return (F.when(env == "V1", v1).when(env == "V2", v2).when(env == "V3", v3)
               .when(env == "V4", v4).when(env == "V5", v5).cast(f"array<{item}>"))
+
+
+def decode_any(raw: DataFrame, col: str = "value", source_col: str | None = "source_id",
+               device_col: str | None = "device_id") -> DataFrame:
+    """SRC2: any of V1-V5 → readings ``(source_id, device_id, tag_name, ts, value, envelope)``.
+
+    V1 flat, V2 nested ``tags{}`` with epoch-second time, V3 REST array
+    ``tags:[{name,value,ts}]`` (epoch ms), V4 publish/subscribe
+    ``Messages[].Payload{tag:{Value,SourceTimestamp}}`` (every message and
+    each tag's own time), V5 ``readings{name:{value,unit,name}}``.
+    ``source_col``/``device_col`` name columns of ``raw`` supplying ids the
+    message lacks (e.g. the topic key).  One row per tag and time; NULL value
+    for bad tags.  Rows that do not parse are absent (see ``quarantine``).
+    """
+    m = F.from_json(F.col(col).cast("string"), "map<string,variant>")
+    mm = F.col("_m")
+    # parse once and classify once; the branches below only read these columns
+    d = raw.select("*", m.alias("_m")).select("*", _envelope(mm).alias("_env"))
     none = F.lit(None).cast("string")
     src = F.coalesce(_str(mm["source_id"]), _str(mm["PublisherId"]),
                      F.col(source_col) if source_col in raw.columns else none)
     dev = F.coalesce(_str(mm["device_id"]),
                      F.col(device_col) if device_col in raw.columns else none)
     out = d.select(src.alias("source_id"), dev.alias("device_id"), F.col("_env").alias("envelope"),
-                   F.explode(items).alias("r"))
+                   F.explode(_items(mm, F.col("_env"))).alias("r"))
     return out.select("source_id", "device_id", F.col("r.tag_name").alias("tag_name"),
                       parse_event_time(F.col("r.ts_raw")).alias("ts"),
                       F.col("r.value").alias("value"), "envelope")
@@ -125,20 +132,21 @@ def quarantine(raw: DataFrame, col: str = "value") -> DataFrame:
     """SRC4: every input row with ``quarantine_reason`` (NULL = good).
 
     Reasons: ``unparseable`` (not a JSON object), ``no_timestamp`` (no
-    parsable time), ``no_tags`` (nothing to read).  A bad tag alone does not
-    quarantine its message.  Split with ``split_quarantine``.
+    parsable time), ``no_tags`` (its envelope yields no reading, the same
+    items that ``decode_any`` explodes).  A bad tag alone does not quarantine
+    its message.  Split with ``split_quarantine``.
     """
     m = F.from_json(F.col(col).cast("string"), "map<string,variant>")
-    d = raw.withColumn("_m", m)
     mm = F.col("_m")
+    d = raw.withColumn("_m", m).withColumn("_env", _envelope(mm))
     has_time = (parse_event_time(_str(mm["timestamp"])).isNotNull()
                 | mm["Messages"].isNotNull()
                 | F.coalesce(F.schema_of_variant(mm["tags"]).startswith("ARRAY"), F.lit(False)))
-    n_fields = F.size(F.map_keys(mm))
+    n_items = F.coalesce(F.size(_items(mm, F.col("_env"))), F.lit(0))
     reason = (F.when(mm.isNull(), "unparseable")
                .when(~has_time, "no_timestamp")
-               .when(n_fields <= F.lit(1), "no_tags"))
-    return d.withColumn("quarantine_reason", reason).drop("_m")
+               .when(n_items <= 0, "no_tags"))
+    return d.withColumn("quarantine_reason", reason).drop("_m", "_env")
 
 
 def split_quarantine(tagged: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -218,7 +218,8 @@ def late_router(on_time_path: str, late_path: str, delay: str, ts: str = "ts",
     kept in a one-row progress record per batch (``<on_time_path>/_progress``,
     partition ``batch_id``): batch N reads only batch N-1's record, so the
     cost does not grow with the data and a replayed batch gets the same
-    threshold.
+    threshold.  Both outputs are partitioned by ``batch_id`` first and a batch
+    overwrites its own partition, so a replay leaves one copy of its rows.
     """
     d_us = duration_micros(delay)
     progress = on_time_path.rstrip("/") + "_progress"
@@ -226,21 +227,17 @@ def late_router(on_time_path: str, late_path: str, delay: str, ts: str = "ts",
     def route(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         prev = None
-        if batch_id > 0:
-            try:
-                prev = (spark.read.parquet(progress).where(F.col("batch_id") == batch_id - 1)
-                             .agg(F.max("max_ts")).first()[0])
-            except Exception:  # noqa: BLE001 - no progress yet
-                prev = None
+        folder = spark._jvm.org.apache.hadoop.fs.Path(progress)
+        if batch_id > 0 and folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+            prev = (spark.read.parquet(progress).where(F.col("batch_id") == batch_id - 1)
+                         .agg(F.max("max_ts")).first()[0])
         wm = (prev - datetime.timedelta(microseconds=d_us)) if prev is not None else datetime.datetime.min
         batch.persist()  # read three times below; released at the end of the batch
         try:
             on_time, late = split_late(batch, wm, ts)
-            w1 = on_time.write.mode("append")
-            if partition_by:
-                w1 = w1.partitionBy(*partition_by)
-            w1.parquet(on_time_path)
-            late.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(late_path)
+            for part, path, by in ((on_time, on_time_path, partition_by), (late, late_path, ())):
+                (part.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+                     .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id", *by).parquet(path))
             cur = batch.agg(F.max(ts).alias("m")).first()["m"]
         finally:
             batch.unpersist()

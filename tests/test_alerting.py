@@ -83,7 +83,7 @@ def test_group_notifications_grid(spark):
                    (150, "update", 0, 1)]
     assert al.render(spark.createDataFrame(
         [("a", "critical", 2, 1)], "alertname string, severity string, firing long, resolved long")
-    ).collect()[0].subject == "[k3s alert] a"
+    ).collect()[0].subject == "[alert] a"
 
 
 def test_group_notifications_warning_waits_and_batches(spark):

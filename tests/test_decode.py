@@ -52,6 +52,16 @@ def test_quarantine_reasons(spark):
     assert (good.count(), bad.count()) == (2, 3)
 
 
+def test_quarantine_follows_the_envelope(spark):
+    msgs = ['{"tags":[{"name":"T","value":1.5,"ts":1746597600000}]}',                 # V3: one top-level field, good
+            '{"timestamp":"%s","source_id":"s","device_id":"d"}' % ISO,               # header only
+            '{"timestamp":"%s","tags":{}}' % ISO, '{"tags":[]}']
+    raw = spark.createDataFrame([(i, m) for i, m in enumerate(msgs)], "id int, value string")
+    got = {r.id: r.quarantine_reason for r in dc.quarantine(raw).collect()}
+    assert got == {0: None, 1: "no_tags", 2: "no_tags", 3: "no_tags"}
+    assert dc.decode_any(raw).count() == 1
+
+
 def test_parse_event_time_formats(spark):
     df = spark.createDataFrame([("2026-05-06T09:29:19.113336942Z",), ("1778059011.277",),
                                 ("1746597600000",), ("x",), (None,)], "s string")

@@ -18,7 +18,7 @@ def test_dictionary_has_307_tags(spark):
     tags = plant_tags()
     assert len(tags) == 307 and len(set(tags)) == 307
     dim = rs.tag_dimension(tag_dictionary_df(spark)).where("tag_name = 'Temp_Boiler_07'").collect()[0]
-    assert (dim.tag_group, dim.tag_index, dim.node_id) == ("Temp_Boiler", 7, "ns=3;s=Temp_Boiler_07")
+    assert (dim.tag_group, dim.tag_index, dim.node_id) == ("Temp_Boiler", 7, "ns=3;i=2007")
 
 
 def test_pivot_unpivot_identity(spark):

@@ -130,3 +130,11 @@ def test_legend_exact_mean_rounds_a_tie_half_up(spark):
                   "last_not_null").collect()[0]
     assert r["mean"] == Decimal("0.455") and r["m2"] == 0.46
     assert r["max"] == 1.275 and r["last_not_null"] == 1.275
+
+
+def test_relative_range_counts_both_ends_from_now(spark):
+    now = dt.datetime(2024, 1, 1, 12)
+    rows = [(m, now - dt.timedelta(minutes=m)) for m in range(0, 8)]
+    df = spark.createDataFrame(rows, "m int, ts timestamp")
+    got = sorted(r.m for r in se.time_range(df, "-5m", "-1m", now="2024-01-01 12:00:00").collect())
+    assert got == [2, 3, 4, 5]

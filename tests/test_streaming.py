@@ -75,6 +75,8 @@ def test_late_router(spark, tmp):
     b2 = spark.createDataFrame([(2, "s", "d", "T", T0, 1.0),
                                 (3, "s", "d", "T", T0 + dt.timedelta(minutes=55), 1.0)], SCHEMA)
     route(b1, 0)
+    route(b1, 0)          # a replay leaves one copy
+    route(b2, 1)
     route(b2, 1)
     assert spark.read.parquet(os.path.join(tmp, "on")).count() == 2
     assert [r.event_id for r in spark.read.parquet(os.path.join(tmp, "late")).collect()] == [2]
