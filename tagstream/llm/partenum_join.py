@@ -20,7 +20,9 @@ of both sets never makes them differ in more. Which ones are left out changes
 the number of candidates, not the result; links are verified on whole sets.
 
 Rows sharing a signature are sorted together, never gathered: each member is
-compared with the first one only. Verified links form components. Signatures
+compared with the first one only (members of one slice of the input with the
+slice's first one, which is compared with the signature's; such a signature
+keeps its first one as a member). Verified links form components. Signatures
 whose members still lie in different components are taken up again: members
 outside the signature's largest component become leaders, a few a round, meet
 the members of other components and leave, until nobody is left who has not
@@ -51,6 +53,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -151,13 +154,18 @@ class Scheme:
 
 
 def _combined(sig: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Rows (signature, document, leader, has leader): within the block a repeated signature keeps one free row."""
+    """Rows (signature, document, leader, has leader): within the block a repeated signature keeps one free row.
+
+    A free row with other rows behind it is its own leader.
+    """
     order = np.lexsort((doc, sig))
     sig, doc = sig[order], doc[order]
     first = np.concatenate([[True], sig[1:] != sig[:-1]]) if len(sig) else np.zeros(0, bool)
     lead = doc[np.maximum.accumulate(np.where(first, np.arange(len(sig)), 0))] if len(sig) else doc
-    keep = first | (lead != doc)
-    return sig[keep], doc[keep], lead[keep], ~first[keep]
+    behind = lead != doc
+    followed = np.concatenate([np.bincount(np.cumsum(first) - 1, behind) > 0, [False]])[np.cumsum(first) - 1]
+    keep = first | behind
+    return sig[keep], doc[keep], lead[keep], (behind | followed)[keep]
 
 
 ROWS = "sig long, doc_id long, via long, size long"
@@ -192,7 +200,10 @@ def _sign_batches(scheme: Scheme, width: int):
 
 
 def _pair_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by signature -> (sig, a = its first document, b), and the size rows as they are."""
+    """Rows sorted by signature -> (sig, a = its first document, b), and the size rows as they are.
+
+    A first document that does not meet the rows behind another free one comes as a pair with itself, too.
+    """
     last_sig, last_lead = None, None
     for b in batches:
         sig_col, doc_col, via_col, size_col = (b.column(i) for i in range(4))
@@ -202,7 +213,8 @@ def _pair_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             n = int(meta.sum())
             yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), doc_col.filter(m), pa.nulls(n, pa.int64()),
                                               size_col.filter(m)], names=["sig", "a", "b", "size"])
-        local = np.array(via_col.is_valid()) & ~meta
+        own = np.array(pc.equal(via_col, doc_col).fill_null(False))       # free rows that others stand behind
+        local = np.array(via_col.is_valid()) & ~meta & ~own
         free = ~local & ~meta
         out = []
         if local.any():
@@ -216,6 +228,8 @@ def _pair_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             last_sig, last_lead = sig[-1], lead[-1]
             pair = ~first & (lead != doc)
             out.append((sig[pair], lead[pair], doc[pair]))
+            stays = pair & own[free]
+            out.append((sig[stays], lead[stays], lead[stays]))
         for sig, lead, doc in out:
             if len(sig):
                 yield pa.RecordBatch.from_arrays([pa.array(sig), pa.array(lead), pa.array(doc),
@@ -228,7 +242,7 @@ def pair_up(rows: DataFrame) -> DataFrame:
     Rows that already have a leader travel by their document, so a signature
     that a third of all rows share does not meet in one task.
     """
-    key = F.coalesce(F.when(F.col("via").isNull(), F.col("sig")), F.col("doc_id"))
+    key = F.coalesce(F.when(F.col("via").isNull() | (F.col("via") == F.col("doc_id")), F.col("sig")), F.col("doc_id"))
     return (rows.repartition(key).sortWithinPartitions("sig", "doc_id")
             .mapInArrow(_pair_batches, "sig long, a long, b long, size long"))
 
@@ -361,9 +375,9 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, width: int = 5, num
                        .select(F.col("a").alias("doc_id"), F.col("size").alias("n_shingles")), "meta")
     pairs = found.where("size IS NULL")
 
-    # the round's pairs are (first member of a signature, other); the first ones have then met all others
+    # the round's pairs are (first member of a signature, other); first ones that have then met all others leave
     members = pairs.select("sig", F.col("b").alias("doc_id")).distinct()
-    todo = scratch.put(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs0")
+    todo = scratch.put(pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs0")
     ids = scratch.put(todo.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
     sets = scratch.put(shingle_sets(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi"), width), "sets")
     sketches = scratch.put(_sketch(sets), "sketches")

@@ -294,6 +294,16 @@ def test_partenum_near_copies(spark, monkeypatch):
         assert (got[i]["n_shingles"], got[i]["component_id"]) == want, i
 
 
+def test_partenum_links_across_slices(spark):
+    """Documents 0 and 2 link, 0 and 1 do not; 1 and 2 lie in one slice and 1 holds all signatures that 0 and 2 share."""
+    words = [f"w608x{k}" for k in range(10)]
+    texts = [" ".join(["p"] + words[1:]), " ".join(words[:1] + ["q"] + words[2:]), " ".join(words)]
+    table = spark.createDataFrame(spark.sparkContext.parallelize(list(enumerate(texts)), 2), "doc_id long, text string")
+    got = rows_of(partenum_join.jaccard_components(spark, table, 1, 80, 100))
+    for i, want in enumerate(brute_components(texts, 1, 80, 100)):
+        assert (got[i]["n_shingles"], got[i]["component_id"]) == want, i
+
+
 # ------------------------------------------------------------------------ op10
 def test_epsilon_grid_equals_brute_force(spark):
     rng = np.random.default_rng(2)
