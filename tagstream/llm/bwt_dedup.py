@@ -10,7 +10,11 @@ key. Consecutive windows with the same minimizer travel as one segment. A first
 scan counts minimizers; only segments whose minimizer occurs more than once
 (screened by a bit table of bounded size) are shuffled. Segments of equal
 content are collapsed before the shuffle and again after it: all but the first
-are repeats outright. For the others a task builds the Burrows-Wheeler
+are repeats outright. A minimizer with more than ``HOT`` segments would gather
+too many different ones in one task (the edges of a passage that many documents
+share carry each document's own surroundings), so its segments are dealt window
+by window, keyed by the whole window: such a key has one content, at most one
+row a slice. For the others a task builds the Burrows-Wheeler
 transform of bounded shards of segments and merges them by iterative interleave
 refinement (Holt and McMillan 2014): round k reorders the interleave by one more
 preceding symbol, so after it the suffixes of all shards stand sorted by k
@@ -41,6 +45,8 @@ WINDOW = 100
 PIECE = 32                 # bytes of a minimizer (a multiple of 8)
 SHARD = 1 << 15            # symbols of a shard whose transform is built by sorting
 CHUNK = 1 << 21            # segment bytes that a task merges at once (a larger key is merged alone)
+HOT = 4096                 # segments of a minimizer from which they are dealt window by window
+SPREAD = 1 << 16           # windows that are dealt at once
 BITS_PER_KEY = 16          # of the bit table that screens segments
 MAX_BITS = 1 << 28         # 32 MB; beyond that more segments pass the screen, no result changes
 END = 0xFF                 # never a byte of UTF-8
@@ -116,10 +122,10 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n.astype(np.int64))], names=["key", "n"])
 
 
-def screen(docs: DataFrame) -> np.ndarray:
-    """A bit table holding every minimizer that occurs more than once; its size is bounded."""
+def screen(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """A bit table holding every minimizer that occurs more than once; its size is bounded. And the sorted hot ones."""
     found = (docs.select("text").mapInArrow(_count_batches, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-             .where("n > 1").select("key"))
+             .where("n > 1"))
     scratch = Scratch(docs.sparkSession, "bwt-screen")
     keys = scratch.put(found, "keys")
     bits = 1 << 12
@@ -132,7 +138,9 @@ def screen(docs: DataFrame) -> np.ndarray:
     for r in parts:
         whole = np.frombuffer(r["bits"], np.uint8)[:len(table)]
         table[r["part"] << 12:(r["part"] << 12) + len(whole)] = whole
-    return table
+    # one key for HOT segments of the input at most
+    hot = keys.where(F.col("n") > HOT).select("key").toPandas()["key"].to_numpy(np.int64)
+    return table, np.sort(hot)
 
 
 def _bit_part(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -163,7 +171,44 @@ def _collapse(content: list, doc: np.ndarray, start: np.ndarray) -> tuple[np.nda
     return number, np.array(first, np.int64)
 
 
-def _segment_batches(table: np.ndarray):
+def _window_keys(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the windows that start at the places ``at`` of ``x``."""
+    h = _pieces(np.ascontiguousarray(x))
+    out = np.zeros(len(at), np.uint64)
+    for k in [*range(0, WINDOW - PIECE, PIECE), WINDOW - PIECE]:
+        out = mix64(out * _ODD[0] + h[at + k])
+    return out.astype(np.int64)
+
+
+def _window_batches(x: np.ndarray, raw: bytes, first: np.ndarray, doc: np.ndarray, place: np.ndarray,
+                    count: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The windows of segments as segments of their own, keyed by content; repeats in a block as stretches without bytes."""
+    block = (np.cumsum(count) - count) // SPREAD
+    for k in np.unique(block):
+        own = np.flatnonzero(block == k)
+        n = count[own]
+        off = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        f, d, p = (np.repeat(c[own], n) for c in (first, doc, place))
+        f, p = f + off, p + off
+        seg = [raw[i:i + WINDOW] for i in f.tolist()]
+        number, lead = _collapse(seg, d, p)
+        head = lead[number]
+        same = (d == d[head]) & (p == p[head])
+        new = np.flatnonzero(same)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(_window_keys(x, f[new])), pa.array(d[new]), pa.array(p[new]),
+             pa.array(np.full(len(new), WINDOW, np.int64)), pa.array([seg[i] for i in new.tolist()], pa.binary()),
+             pa.array(np.zeros(len(new), np.int32))], names=["key", "doc_id", "start", "size", "seg", "at"])
+        edge = np.flatnonzero(~same & ~np.concatenate([[False], ~same[:-1] & (off[1:] > 0)]))
+        last = np.flatnonzero(~same & ~np.concatenate([~same[1:] & (off[1:] > 0), [False]]))
+        if len(edge):
+            yield pa.RecordBatch.from_arrays(
+                [pa.nulls(len(edge), pa.int64()), pa.array(d[edge]), pa.array(p[edge]),
+                 pa.array(p[last] + WINDOW - p[edge]), pa.nulls(len(edge), pa.binary()), pa.nulls(len(edge), pa.int32())],
+                names=["key", "doc_id", "start", "size", "seg", "at"])
+
+
+def _segment_batches(table: np.ndarray, hot: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             text, ids = TextBatch(b.column(1)), np.array(b.column(0).fill_null(-1))
@@ -181,6 +226,12 @@ def _segment_batches(table: np.ndarray):
                 head = lead[number]
                 # a segment whose content stands earlier in the slice is a repeat and needs no shuffle of its bytes
                 same = (doc == doc[head]) & (place == place[head])
+                spread = same & np.isin(key, hot)
+                if spread.any():
+                    yield from _window_batches(x, raw, *(c[spread] for c in (first, doc, place, size - WINDOW + 1)))
+                    rest = np.flatnonzero(~spread)
+                    key, doc, place, size, at, same = (c[rest] for c in (key, doc, place, size, at, same))
+                    seg = [seg[i] for i in rest.tolist()]
                 out = [seg[i] if same[i] else None for i in range(len(seg))]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(key, mask=~same), pa.array(doc), pa.array(place), pa.array(size), pa.array(out, pa.binary()),
@@ -355,10 +406,14 @@ def _merge_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 # ---------------------------------------------------------------------- operator
+def segments(docs: DataFrame) -> DataFrame:
+    """The segments to compare with those of the same key; repeats within a slice without key and bytes."""
+    return docs.select("doc_id", "text").mapInArrow(_segment_batches(*screen(docs)), SEGMENT)
+
+
 def repeated_ranges(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """(doc_id, ranges): the byte ranges to remove of every document that has any (they may overlap)."""
-    table = screen(docs)
-    rows = docs.select("doc_id", "text").mapInArrow(_segment_batches(table), SEGMENT)
+    rows = segments(docs)
     found = (rows.repartition(F.coalesce("key", F.xxhash64("doc_id", "start"))).sortWithinPartitions("key", "doc_id", "start")
              .mapInArrow(_merge_batches, "doc_id long, lo long, hi long"))
     return found.groupBy("doc_id").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))

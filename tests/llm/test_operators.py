@@ -189,6 +189,20 @@ def test_bwt_dedup_equals_brute_force(spark, docs, empty, shard, monkeypatch):
     assert bwt_dedup.remove_repeats(spark, empty).count() == 0
 
 
+def test_bwt_hot_minimizer_is_dealt_by_window(spark, monkeypatch):
+    monkeypatch.setattr(bwt_dedup, "HOT", 8, raising=False)
+    passage = prose(40, 70)
+    texts = [prose(20, 100 + i) + " " + passage + " " + prose(20, 200 + i) for i in range(40)] + [passage, passage]
+    table = spark.createDataFrame(spark.sparkContext.parallelize(list(enumerate(texts)), 4), "doc_id long, text string")
+    got = rows_of(bwt_dedup.digest(bwt_dedup.remove_repeats(spark, table)))
+    for i, want in brute_repeats(texts).items():
+        assert tuple(got[i][1:]) == want, i
+    per_key = {}
+    for r in bwt_dedup.segments(table).where("key IS NOT NULL").collect():
+        per_key.setdefault(r["key"], set()).add(bytes(r["seg"]))
+    assert max(map(len, per_key.values())) <= 8
+
+
 def test_interleave_merge_classes():
     r = random.Random(3)
     base = [bytes(r.choice(b"ab") for _ in range(150)) for _ in range(3)]
