@@ -1,7 +1,7 @@
 """Secret scan: fixed patterns, and Markov models of random strings against identifiers.
 
 Base spans come from three patterns. The method adds spans: every longer run of
-token characters that no base span touches is scored by two first-order
+token characters, without what base spans cover of it, is scored by two first-order
 character Markov models, one of random strings (values of base matches) and
 one of ordinary identifiers (other tokens), both trained from the documents,
 where the base patterns give the labels. A run whose log-likelihood ratio
@@ -111,11 +111,14 @@ def llr(value: str, ratio: dict[str, float]) -> float:
 
 def spans(text: str, ratio: dict[str, float]) -> list[tuple[int, int, str]]:
     """All spans (start, end, kind) by start, then kind as listed."""
-    base = base_spans(text)
+    base = sorted(base_spans(text))
     out = [(s, e, k) for s, e, k, _ in base]
     for m in RUN.finditer(text):
-        if not any(s < m.end() and m.start() < e for s, e, *_ in base) and llr(m[0], ratio) >= MIN_LLR:
-            out.append((m.start(), m.end(), "markov"))
+        at = m.start()
+        for s, e in [*((s, e) for s, e, *_ in base if s < m.end() and m.start() < e), (m.end(), m.end())]:
+            if s - at >= MIN_RUN and llr(text[at:s], ratio) >= MIN_LLR:
+                out.append((at, s, "markov"))
+            at = max(at, e)
     return sorted(out, key=lambda x: (x[0], KINDS.index(x[2]), x[1]))
 
 

@@ -276,6 +276,17 @@ def test_secrets(spark, empty):
     assert markov_secrets.scan(empty, markov_secrets.train(empty)).count() == 0
 
 
+def test_secret_beside_base_span(spark):
+    r = random.Random(6)
+    alnum = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    value = lambda: "".join(r.choice(alnum) for _ in range(40))     # noqa: E731
+    rows = [(i, f"{prose(50, i)} Token = \"{value()}\" {prose(20, i)}") for i in range(20)]
+    ratio = markov_secrets.train(spark.createDataFrame(rows, "doc_id long, text string"))
+    access, hexa, loose = "AKIA" + "A1" * 8, "0123456789abcdef" * 2 + "01234567", value()
+    assert markov_secrets.spans(f"{access}/{loose}", ratio) == [(0, 20, "access"), (20, 61, "markov")]
+    assert markov_secrets.spans(f"{loose}/{hexa}/{loose}", ratio) == [(0, 41, "markov"), (41, 81, "hex"), (81, 122, "markov")]
+
+
 # ------------------------------------------------------------------------- op9
 def brute_components(texts, width, num, den):
     sets = []
