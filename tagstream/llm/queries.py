@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagstream.llm import bwt_dedup, epsilon_grid, exact_dedup, feistel_pii, importance_resampling, markov_secrets, partenum_join, poisson_mix, spm_viterbi, zstd_lang
+from tagstream.llm import bwt_dedup, epsilon_grid, exact_dedup, feistel_pii, importance_resampling, markov_secrets, partenum_join, poisson_mix, quadtree_audit, spm_viterbi, zstd_lang
 from tagstream.llm.common import table
 
 TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
@@ -125,3 +125,38 @@ def op10_epsilon_grid(spark, sf_dir):
 def op5_bwt_dedup(spark, sf_dir):
     """Bytes left of every document when repeated 100-byte strings go."""
     return bwt_dedup.digest(bwt_dedup.remove_repeats(spark, table(spark, sf_dir, "documents")))
+
+
+OP13_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+tok AS (SELECT r, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+cell AS (SELECT lang, source, term, count(*) AS n, count(DISTINCT r) AS df FROM tok GROUP BY ALL),
+kept AS (SELECT lang, term, sum(n) AS ln FROM cell GROUP BY ALL HAVING sum(df) >= 3),
+lg AS (SELECT lang, count(*) AS v, sum(ln) AS total FROM kept GROUP BY lang),
+own AS (SELECT c.* FROM cell c SEMI JOIN kept k ON c.lang = k.lang AND c.term = k.term),
+g AS (SELECT x.lang, x.source, coalesce(lg.v, 0) AS v, coalesce(o.n, 0) AS n
+      FROM (SELECT DISTINCT lang, source FROM d) x LEFT JOIN lg USING (lang)
+           LEFT JOIN (SELECT lang, source, sum(n) AS n FROM own GROUP BY ALL) o USING (lang, source)),
+p AS (SELECT g.lang, g.source, k.term, coalesce(o.n, 0) AS cnt,
+             1 + (1000000000 * (coalesce(o.n, 0) + 1)::HUGEINT) // (g.n + g.v)::HUGEINT AS p,
+             1 + (1000000000 * (k.ln + 1)::HUGEINT) // (lg.total + lg.v)::HUGEINT AS q
+      FROM g JOIN kept k USING (lang) JOIN lg USING (lang)
+           LEFT JOIN own o ON o.lang = g.lang AND o.source = g.source AND o.term = k.term),
+sums AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+         FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value
+          FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+               LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // q AS value FROM p WHERE cnt > 0 AND p > q)
+SELECT lang, source, part, item, value::BIGINT AS value,
+       row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+FROM (FROM pairs UNION ALL FROM terms)
+QUALIFY part = 'pair' OR rank <= 200
+"""
+
+
+@query("op13_quadtree_audit", OP13_SQL)
+def op13_quadtree_audit(spark, sf_dir):
+    """Divergences of each source from the others of its language, and its leading terms."""
+    return quadtree_audit.audit(spark, table(spark, sf_dir, "documents"))
