@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagstream.llm import bwt_dedup, epsilon_grid, exact_dedup, feistel_pii, importance_resampling, markov_secrets, partenum_join, poisson_mix, quadtree_audit, spm_viterbi, zstd_lang
+from tagstream.llm import bwt_dedup, epsilon_grid, exact_dedup, feistel_pii, importance_resampling, lemp_negatives, markov_secrets, partenum_join, poisson_mix, quadtree_audit, spm_viterbi, zstd_lang
 from tagstream.llm.common import table
 
 TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
@@ -160,3 +160,29 @@ QUALIFY part = 'pair' OR rank <= 200
 def op13_quadtree_audit(spark, sf_dir):
     """Divergences of each source from the others of its language, and its leading terms."""
     return quadtree_audit.audit(spark, table(spark, sf_dir, "documents"))
+
+
+OP11_SQL = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+           FROM embeddings
+           WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_inner_product(a.q, b.q)::BIGINT AS score
+      FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.vec_id)::INTEGER AS rank,
+       s.vec_id AS negative_id, positive_score, s.score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT s.same AND 80 * positive_score <= 100 * s.score AND 100 * s.score <= 100 * positive_score
+QUALIFY rank <= 5
+"""
+
+
+@query("op11_lemp_negatives", OP11_SQL)
+def op11_lemp_negatives(spark, sf_dir):
+    """Five hard negatives for each of the five best positives of every hundredth vector."""
+    vectors = table(spark, sf_dir, "embeddings").withColumn(
+        "label", F.expr("CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END"))
+    return lemp_negatives.mine(spark, vectors, F.col("vec_id") % 100 == 0)
