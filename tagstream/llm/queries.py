@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagstream.llm import bwt_dedup, epsilon_grid, exact_dedup, feistel_pii, importance_resampling, lemp_negatives, markov_secrets, partenum_join, poisson_mix, quadtree_audit, spm_viterbi, zstd_lang
+from tagstream.llm import bwt_dedup, deleted_interpolation, epsilon_grid, exact_dedup, feistel_pii, importance_resampling, lemp_negatives, markov_secrets, partenum_join, poisson_mix, quadtree_audit, spm_viterbi, zstd_lang
 from tagstream.llm.common import table
 
 TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
@@ -186,3 +186,11 @@ def op11_lemp_negatives(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings").withColumn(
         "label", F.expr("CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END"))
     return lemp_negatives.mine(spark, vectors, F.col("vec_id") % 100 == 0)
+
+
+@query("op12_deleted_interpolation")
+def op12_deleted_interpolation(spark, sf_dir):
+    """Log10 probability of every document under the bigram model; a seventh of the ids is held out."""
+    crc = F.crc32(F.col("doc_id").cast("string"))
+    return deleted_interpolation.score(spark, table(spark, sf_dir, "documents"), held_out=crc % 7 == 2, train=crc % 7 != 2,
+                                       tune=F.floor(crc / 7) % 10 == 0)
