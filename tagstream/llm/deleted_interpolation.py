@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from tagstream.llm.common import SPACES, Scratch, TextBatch, mix64, word_hashes
 
-SLICE_TOKENS = 2 << 20               # tokens of a slice
+SLICE_TOKENS = 1 << 20               # tokens of a slice
 READ_BYTES = 2 << 20                 # text bytes tokenised at once
 RANGE_ENTRIES = 1 << 19              # expected entries of a hash range
 CONTEXTS = 48                        # frequency buckets: 0, 1, 2-3, 4-7, ...
