@@ -1,8 +1,9 @@
 """Registered streaming queries.
 
-Each runs a real Structured Streaming query over the ``events`` file as a
-file stream with ``availableNow`` (all input, then stop), writes through a
-parquet file sink in the shared checkpoint folder, and returns that table.
+Each runs a real Structured Streaming query over the files of ``events``,
+admitted in event-time order (``sources.admission``), with ``availableNow``
+(all input, then stop), writes through a parquet file sink in the shared
+checkpoint folder, and returns that table.
 Append mode: only windows the watermark has closed are emitted, and the
 SQL twins apply the same rule (window end <= max event time - delay).
 """
@@ -10,6 +11,7 @@ SQL twins apply the same rule (window end <= max event time - delay).
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,40 +22,57 @@ from tagstream.plans.registry import R, dtxt, r6, register, txt
 from tagstream.plans.rule_queries import _cooldown_sql
 from tagstream.session import checkpoint_dir
 from tagstream.sources import fixtures as fx
+from tagstream.sources.admission import SLICE_BYTES, Admission
+from tagstream.sources.lake import stream_source
 from tagstream.streaming import queries as sq
 
 
+def _events(spark: SparkSession, sf_dir: str) -> dict:
+    return {"format": "parquet", "path": f"{sf_dir.rstrip('/')}/events.parquet",
+            "schema": fx.table(spark, sf_dir, "events").schema}
+
+
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table as a file stream: a folder of part files (every real table) or one file."""
-    schema = fx.table(spark, sf_dir, "events").schema
-    folder = sf_dir.rstrip("/")
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/events.parquet")
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        raise FileNotFoundError(f"{folder}/events.parquet")
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
-    if fs.getFileStatus(path).isDirectory():
-        return reader.parquet(f"{folder}/events.parquet")
-    return reader.option("pathGlobFilter", "events.parquet").parquet(folder)
-
-
-def run_to_table(spark: SparkSession, df: DataFrame, name: str) -> str:
-    """Run a streaming DataFrame to the end of its input; return the sink path."""
+    """The events table as a plain file stream, for stateless queries: a folder of part files or one file."""
+    return stream_source(spark, _events(spark, sf_dir))
+
+
+def run_available_now(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """Run a stateless streaming DataFrame to the end of its input; return the sink table."""
     base = f"{checkpoint_dir(spark).rstrip('/')}/streams/{name}-{uuid.uuid4().hex[:12]}"
-    q = (df.writeStream.format("parquet").option("path", f"{base}/out")
-           .option("checkpointLocation", f"{base}/ck").outputMode("append")
-           .trigger(availableNow=True).start())
+    q = (df.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/ck")
+         .outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()
-    return f"{base}/out"
+    return spark.read.schema(df.schema).parquet(f"{base}/out")
 
 
-def run_available_now(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Run a streaming DataFrame to the end of its input; return the sink table."""
-    return spark.read.schema(df.schema).parquet(run_to_table(spark, df, name))
+def stream_to_table(spark: SparkSession, source: dict, build: Callable[[DataFrame], DataFrame], name: str,
+                    base: str | None = None) -> tuple[str, str]:
+    """Run ``build`` over all files of a source in event-time order; return (sink path, its schema).
 
+    ``base`` holds the admitted files, the checkpoint and the sink; a run on
+    the ``base`` of a stopped one goes on where that stopped.
+    """
+    base = base or f"{checkpoint_dir(spark).rstrip('/')}/streams/{name}-{uuid.uuid4().hex[:12]}"
+    admission = Admission(spark, source["path"], f"{base}/admission", source["schema"], source.get("ts", "ts"),
+                          slice_bytes=source.get("slice_bytes", SLICE_BYTES))
+    seen = []
 
-def _stream_readings(spark, sf_dir):
-    return fx.readings_of(events_stream(spark, sf_dir))
+    def start(stream):
+        out = build(stream)
+        seen.append(out.schema)
+        return (out.writeStream.format("parquet").option("path", f"{base}/out")
+                .option("checkpointLocation", f"{base}/ck").outputMode("append").trigger(availableNow=True).start())
+
+    admission.run(start)
+    return f"{base}/out", seen[-1] if seen else build(admission.stream()).schema
+
+
+def run_events(spark: SparkSession, sf_dir: str, build: Callable[[DataFrame], DataFrame], name: str,
+               **spec) -> DataFrame:
+    """The sink table of ``build`` over the readings stream of the events table."""
+    out, schema = stream_to_table(spark, _events(spark, sf_dir) | spec, lambda s: build(fx.readings_of(s)), name)
+    return spark.read.schema(schema).parquet(out)
 
 
 @register("str1_stream_rollup_1h", f"""
@@ -66,8 +85,7 @@ SELECT {dtxt('hour')} AS hour, tag_name, round(avg_val, 6) AS avg_val, round(max
 FROM h, wm WHERE h.hour + INTERVAL 1 HOUR <= wm.w
 """)
 def str1_stream_rollup_1h(spark, sf_dir):
-    s = sq.stream_rollup_1h(_stream_readings(spark, sf_dir), delay="10 minutes")
-    out = run_available_now(spark, s, "str1")
+    out = run_events(spark, sf_dir, lambda r: sq.stream_rollup_1h(r, delay="10 minutes"), "str1")
     return out.select(txt("hour").alias("hour"), "tag_name", r6("avg_val").alias("avg_val"),
                       r6("max_val").alias("max_val"), r6("min_val").alias("min_val"), "samples")
 
@@ -82,16 +100,15 @@ FROM e, wm WHERE e.tick <= wm.w
 """
 
 
-def _boiler_eval_stream(spark, sf_dir):
-    r = _stream_readings(spark, sf_dir).where(F.col("value").isNotNull())
-    pts = r.select("device_id", F.lit(fx.MEASUREMENT).alias("measurement"),
+def _boiler_evals(readings: DataFrame) -> DataFrame:
+    pts = readings.where(F.col("value").isNotNull()).select("device_id", F.lit(fx.MEASUREMENT).alias("measurement"),
                    F.col("tag_name").alias("field"), F.col("ts").alias("time"), "value")
     return sq.stream_alerts(pts, BOILER, keys=("device_id", "field"), delay="2 minutes")
 
 
 @register("str2_stream_alerts", _STR2_SQL)
 def str2_stream_alerts(spark, sf_dir):
-    out = run_available_now(spark, _boiler_eval_stream(spark, sf_dir), "str2")
+    out = run_events(spark, sf_dir, _boiler_evals, "str2")
     return out.select("device_id", "field", txt("tick").alias("tick"), r6("value").alias("value"),
                       "firing")
 
@@ -129,30 +146,39 @@ def str4_stream_pending_firing(spark, sf_dir):
     stream (Spark allows no state function after a streaming aggregation in
     append mode).  A run is resolved by the next evaluation of its series or,
     when none follows, by the event-time timeout once the watermark passes."""
-    evals_path = run_to_table(spark, _boiler_eval_stream(spark, sf_dir), "str4-evals")
-    schema = "device_id string, field string, tick timestamp, value double, firing double"
-    evals = spark.readStream.schema(schema).parquet(evals_path)
-    st = sq.stream_pending_firing(evals, ["device_id", "field"], BOILER.for_)
-    out = run_available_now(spark, st, "str4")
-    return out.select("device_id", "field", txt("tick").alias("tick"), "state",
+    evals, schema = stream_to_table(spark, _events(spark, sf_dir), lambda s: _boiler_evals(fx.readings_of(s)), "str4-evals")
+    path, states = stream_to_table(
+        spark, {"path": evals, "schema": schema, "ts": "tick"},
+        lambda s: sq.stream_pending_firing(s, ["device_id", "field"], BOILER.for_), "str4")
+    return spark.read.schema(states).parquet(path).select("device_id", "field", txt("tick").alias("tick"), "state",
                       txt("active_since").alias("active_since"))
 
 
 @register("str3_stream_cooldown", _cooldown_sql(["tag_name"]))
 def str3_stream_cooldown(spark, sf_dir):
-    v = ru.violations(_stream_readings(spark, sf_dir), fx.EVENT_RULES)
-    s = sq.stream_cooldown(v, fx.EVENT_COOLDOWN_SECONDS, keys=["tag_name"],
-                           cols=("device_id", "value"))
-    out = run_available_now(spark, s, "str3")
+    out = run_events(spark, sf_dir, lambda r: sq.stream_cooldown(
+        ru.violations(r, fx.EVENT_RULES), fx.EVENT_COOLDOWN_SECONDS, keys=["tag_name"], cols=("device_id", "value")), "str3")
     return out.select("event_id", "device_id", "tag_name", txt("ts").alias("ts"),
                       r6("value").alias("value"))
 
 
+def redelivered(spark: SparkSession, sf_dir: str, folder: str) -> str:
+    """The events as a source delivers them after retries: every third one again, in another file."""
+    ev = fx.table(spark, sf_dir, "events")
+    ev.write.parquet(f"{folder}/delivered")
+    ev.where(F.pmod("event_id", F.lit(3)) == 0).write.parquet(f"{folder}/delivered/again")
+    return f"{folder}/delivered"
+
+
 @register("str6_dedup", f"""
-SELECT DISTINCT device_id, tag_name, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts FROM ({R}) r
+WITH sent AS (SELECT * FROM ({R}) r UNION ALL SELECT * FROM ({R}) r WHERE event_id % 3 = 0)
+SELECT DISTINCT device_id, tag_name, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts FROM sent
 """)
 def str6_dedup(spark, sf_dir):
-    s = sq.dedup(_stream_readings(spark, sf_dir),
-                 keys=("source_id", "device_id", "ts", "tag_name"), delay="10 minutes")
-    out = run_available_now(spark, s.select("device_id", "tag_name", "ts"), "str6")
+    base = f"{checkpoint_dir(spark).rstrip('/')}/streams/str6-input-{uuid.uuid4().hex[:12]}"
+    source = _events(spark, sf_dir) | {"path": redelivered(spark, sf_dir, base)}
+    path, schema = stream_to_table(
+        spark, source, lambda s: sq.dedup(fx.readings_of(s), keys=("source_id", "device_id", "ts", "tag_name"),
+                                          delay="10 minutes").select("device_id", "tag_name", "ts"), "str6")
+    out = spark.read.schema(schema).parquet(path)
     return out.select("device_id", "tag_name", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"))

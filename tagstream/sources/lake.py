@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tagstream.functions.timefn import parse_event_time
+from tagstream.sources.admission import SLICE_BYTES, Admission
 from tagstream.sources.decode import wide_schema
 
 PARTS = ["year", "month", "day"]
@@ -72,9 +73,13 @@ def stream_source(spark: SparkSession, spec: dict) -> DataFrame:
     ``spec["format"] == "kafka"`` builds the Kafka reader (topic, servers,
     ``startingOffsets`` earliest for the lake path, latest for hot paths;
     needs the Kafka connector on the cluster).  ``"text"``/``"json"`` read a
-    directory of message files, used as the stand-in in tests.  Each
-    consumer path is its own query with its own checkpoint, like
-    independent consumer groups.
+    directory of message files, used as the stand-in in tests.  ``"parquet"``
+    (``path``, ``schema``) reads a folder of part files, or one file, by size
+    (``max_bytes_per_trigger``), in the order in which they were written:
+    enough for stateless queries.  With ``root`` the files are admitted in
+    event-time order instead (``sources.admission``), which stateful queries
+    need; ``Admission.run`` then drives the query.  Each consumer path is its
+    own query with its own checkpoint, like independent consumer groups.
     """
     fmt = spec.get("format", "kafka")
     if fmt == "kafka":
@@ -93,6 +98,19 @@ def stream_source(spark: SparkSession, spec: dict) -> DataFrame:
         if spec.get("max_files_per_trigger"):
             r = r.option("maxFilesPerTrigger", str(spec["max_files_per_trigger"]))
         return r.load(spec["path"]).select("value")
+    if fmt == "parquet":
+        if spec.get("root"):
+            return Admission(spark, spec["path"], spec["root"], spec["schema"], spec.get("ts", "ts"),
+                             slice_bytes=spec.get("slice_bytes", SLICE_BYTES)).stream()
+        path = spark._jvm.org.apache.hadoop.fs.Path(spec["path"])
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        if not fs.exists(path):
+            raise FileNotFoundError(spec["path"])
+        r = (spark.readStream.schema(spec["schema"])
+             .option("maxBytesPerTrigger", str(spec.get("max_bytes_per_trigger", SLICE_BYTES))))
+        if fs.getFileStatus(path).isDirectory():
+            return r.option("recursiveFileLookup", "true").parquet(spec["path"])
+        return r.option("pathGlobFilter", path.getName()).parquet(path.getParent().toString())
     raise ValueError(f"unknown stream format {fmt!r}")
 
 
