@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagstream.operators.joins import null_safe_join
@@ -13,7 +13,7 @@ from tagstream.functions.catalog import (DEFAULT_ROUTE, EVAL_INTERVAL, GROUP_BY,
                                          LAG_NORMAL_BELOW, PLANT_ROUTES, AlertRule, Route)
 from tagstream.functions.timefn import duration_micros, interval_text, micros
 from tagstream.operators.sequence import neighbours_in_series, running_in_series, shift_in_series
-from tagstream.operators.series import eval_grid, reducer
+from tagstream.operators.series import data_span, eval_grid, reducer, ticks_between
 from tagstream.session import checkpoint_dir
 
 _OPS = {">": lambda v, x: v > x, "<": lambda v, x: v < x, ">=": lambda v, x: v >= x,
@@ -29,6 +29,10 @@ def condition_expr(value: F.Column, condition) -> F.Column:
     return out
 
 
+def condition_holds(value: float, condition) -> bool:
+    return any(_OPS[op](value, float(lim)) for op, lim in condition)
+
+
 def eval_rule(points: DataFrame, rule: AlertRule, keys: Sequence[str] = ("field",),
               ts: str = "time", value: str = "value", field_col: str = "field",
               every: str = EVAL_INTERVAL, tiebreak: str | None = None) -> DataFrame:
@@ -37,7 +41,7 @@ def eval_rule(points: DataFrame, rule: AlertRule, keys: Sequence[str] = ("field"
     Sliding ``window(ts, range, every)``: the tick is the window end, so a
     tick T sees ``[T - range, T)``.  Output: keys, tick, value, firing
     (1.0 when the condition holds, else 0.0).  Ticks without points are
-    absent; ``no_data_state`` fills them.
+    absent; ``no_data_state`` and ``with_silence`` fill them.
     """
     p = points
     if rule.measurement and "measurement" in p.columns:
@@ -104,32 +108,108 @@ def eval_rules(points: DataFrame, rules: Sequence[AlertRule], keys: Sequence[str
                       F.when(pick_cond, 1.0).otherwise(0.0).alias("firing"))
 
 
+def silent_ticks(evals: DataFrame, keys: Sequence[str], start, stop, every: str = EVAL_INTERVAL,
+                 tick: str = "tick", series: DataFrame | None = None) -> DataFrame:
+    """JON5 / ALR2: the ticks of ``[start, stop)`` at which a series has no evaluation.
+
+    ``series`` (default: those evaluated) lists the series expected, also ones
+    without a single point. Silence is found as gaps between neighbouring
+    evaluations, the range's ends counting as evaluations; only the gaps are
+    turned into ticks, day by day.
+    """
+    keys = list(keys)
+    step = duration_micros(every)
+    lo, hi = (F.unix_micros(F.lit(x).cast("timestamp")) for x in (start, stop))
+    first, end = _ceil_to_grid(lo, F.lit(step)), _ceil_to_grid(hi, F.lit(step))
+    t = micros(tick)
+    inside = evals.where((t >= first) & (t < end)).select(*keys, t.alias("_t"))
+    ser = (series if series is not None else evals).select(*keys).distinct()
+    ends = ser.select(*keys, F.explode(F.array(first - F.lit(step), end)).alias("_t"))
+    marks = inside.unionByName(ends).withColumn("_ts", F.timestamp_micros("_t"))
+    marks = shift_in_series(marks, keys, "_ts", ["_t"], "prev", "1 day")
+    gaps = (marks.where(F.col("_t") - F.col("prev__t") > F.lit(step))
+            .select(*keys, (F.col("prev__t") + F.lit(step)).alias("_lo"), (F.col("_t") - F.lit(step)).alias("_hi")))
+    return ticks_between(gaps, keys, "_lo", "_hi", every, tick)
+
+
+# FIXED VALUE: the alert that stands for a rule without data when its policy is ``NoData``.
+NO_DATA_ALERT = "DatasourceNoData"
+
+
+def _no_data(rule: AlertRule) -> tuple[float | None, float, str, str]:
+    """(value, firing, state, alert name) of a tick without points, by the rule's policy.
+
+    ``Alerting`` counts the condition as true, ``NoData`` raises an alert of
+    its own, ``OK`` is normal. A ``count`` rule counts 0, which may be its condition.
+    """
+    if rule.no_data not in ("Alerting", "NoData", "OK"):
+        raise ValueError(f"unknown no-data policy {rule.no_data!r}")
+    count = rule.reducer == "count"
+    fires = count and condition_holds(0.0, rule.condition)
+    value = 0.0 if count else None
+    if fires or rule.no_data == "Alerting":
+        return value, 1.0, "Alerting", rule.uid
+    if rule.no_data == "NoData" and not count:
+        return value, 1.0, "NoData", NO_DATA_ALERT
+    return value, 0.0, "Normal", rule.uid
+
+
+def with_silence(evals: DataFrame, rules: Sequence[AlertRule], keys: Sequence[str], start=None, stop=None,
+                 every: str = EVAL_INTERVAL, series: DataFrame | None = None) -> DataFrame:
+    """ALR2 for many rules: ``eval_rules`` output plus a row for each silent tick.
+
+    Adds ``state`` (Alerting, NoData, Normal) and ``alertname``: the rule, or
+    ``NO_DATA_ALERT`` where missing data is an alert of its own; ``firing`` is 1
+    for both kinds, so the rows feed WIN3, ALR3 and ALR4 as they are. The range
+    defaults to the evaluated ticks. ``series`` (key columns) lists series that
+    every rule expects, beside those evaluated.
+    """
+    rules, keys = list(rules), list(keys)
+    if start is None or stop is None:
+        first, end = data_span(evals, every, "tick")
+        start, stop = first if start is None else start, end if stop is None else stop
+    t = F.col("tick")
+    evals = evals.where((t >= F.lit(start).cast("timestamp")) & (t < F.lit(stop).cast("timestamp")))
+    seen = evals.select("uid", *keys).distinct()
+    if series is not None:
+        uids = F.explode(F.array(*[F.lit(r.uid) for r in rules])).alias("uid")
+        seen = seen.unionByName(series.select(uids, *keys)).distinct()
+    silent = silent_ticks(evals, ["uid", *keys], start, stop, every, series=seen)
+
+    def pick(of, kind):
+        out = F.lit(None).cast(kind)
+        for r in rules:
+            out = F.when(F.col("uid") == r.uid, F.lit(of(r)).cast(kind)).otherwise(out)
+        return out
+
+    silent = silent.select(
+        "uid", pick(lambda r: r.severity, "string").alias("severity"),
+        pick(lambda r: duration_micros(r.for_) // 1_000_000, "long").alias("for_s"), *keys, "tick",
+        *[pick(lambda r, i=i: _no_data(r)[i], kind).alias(n)
+          for i, n, kind in ((0, "value", "double"), (1, "firing", "double"), (2, "state", "string"), (3, "alertname", "string"))])
+    known = (evals.withColumn("for_s", F.col("for_s").cast("long"))
+             .withColumn("state", F.when(F.col("firing") == 1.0, "Alerting").otherwise("Normal")).withColumn("alertname", F.col("uid")))
+    return known.unionByName(silent)
+
+
 def no_data_state(evals: DataFrame, rule: AlertRule, keys: Sequence[str], start, stop,
                   every: str = EVAL_INTERVAL, series: DataFrame | None = None) -> DataFrame:
     """ALR2 (+JON5): every tick of ``[start, stop)`` per series with a state.
 
     A tick without points takes the rule's no-data policy: ``Alerting``
-    (condition counted true), ``NoData`` (own state) or ``OK`` (false).
-    ``count`` rules get an explicit 0 first, so ``count < 1`` can fire.
+    (condition counted true), ``NoData`` (own state) or ``OK`` (false); its
+    ``firing`` stays NULL.  ``count`` rules get an explicit 0 instead, so
+    ``count < 1`` can fire.
     """
-    ser = series if series is not None else evals.select(*keys).distinct()
-    grid = eval_grid(ser, start, stop, every, "tick")
-    out = null_safe_join(grid, evals, [*keys, "tick"], "left")
-    if rule.reducer == "count":
-        cond = condition_expr(F.lit(0.0), rule.condition)
-        out = out.withColumn("firing", F.coalesce(F.col("firing"), F.when(cond, 1.0).otherwise(0.0)))
-        out = out.withColumn("value", F.coalesce(F.col("value"), F.lit(0).cast("long")))
-    absent = F.col("firing").isNull()
-    policy = rule.no_data
-    if policy == "Alerting":
-        state = F.when(absent | (F.col("firing") == 1.0), "Alerting").otherwise("Normal")
-    elif policy == "NoData":
-        state = F.when(absent, "NoData").when(F.col("firing") == 1.0, "Alerting").otherwise("Normal")
-    elif policy == "OK":
-        state = F.when(F.col("firing") == 1.0, "Alerting").otherwise("Normal")
-    else:
-        raise ValueError(f"unknown no-data policy {policy!r}")
-    return out.withColumn("state", state)
+    value, _, state, _ = _no_data(rule)
+    t = F.col("tick")
+    known = (evals.where((t >= F.lit(start).cast("timestamp")) & (t < F.lit(stop).cast("timestamp")))
+             .withColumn("state", F.when(F.col("firing") == 1.0, "Alerting").otherwise("Normal")))
+    silent = silent_ticks(evals, keys, start, stop, every, series=series)
+    firing = None if value is None else 1.0 if condition_holds(value, rule.condition) else 0.0
+    silent = silent.select(*keys, "tick", F.lit(value).cast(evals.schema["value"].dataType).alias("value"),
+                           F.lit(firing).cast("double").alias("firing"), F.lit(state).alias("state"))
+    return known.select(*keys, "tick", "value", "firing", "state").unionByName(silent)
 
 
 def pending_firing(evals: DataFrame, keys: Sequence[str], for_: str,
@@ -143,29 +223,50 @@ def pending_firing(evals: DataFrame, keys: Sequence[str], for_: str,
     inactive are Normal.  Output: one row per active tick with its state
     (``Pending``/``Firing``), ``active_since``, and one ``Resolved`` row at
     the first inactive tick after a run that reached Firing.
-    Gaps-and-islands over active ticks, bucketed so a long run is not one task.
+
+    One scan and two shuffles: the active ticks of a (series, ``bucket``) become
+    one row with the bucket's runs, at most ``bucket / every`` ticks; one
+    window over these rows, by first and last tick and the start of the last
+    run that began inside, tells where a bucket's first run began and what
+    follows its last one. Nothing is joined back. The keys form one struct, so
+    NULL keys match.
     """
     keys = list(keys)
-    step = duration_micros(every)
-    act = evals.where(active if active is not None else (F.col("firing") == 1.0))
-    if for_col:  # per-row hold in seconds (constant within a series), e.g. from eval_rules
-        a = act.select(*keys, F.col(tick).alias("tick"), (F.col(for_col).cast("long") * 1_000_000).alias("_hold"))
-    else:
-        a = act.select(*keys, F.col(tick).alias("tick"), F.lit(duration_micros(for_)).alias("_hold"))
-    a = neighbours_in_series(a, keys, "tick", [], bucket)
-    a = a.withColumn("_t", micros("tick"))
-    starts = F.col("prev_tick").isNull() | ((F.col("_t") - micros("prev_tick")) > F.lit(step))
-    a = a.withColumn("_start", F.when(starts, F.col("_t")))
-    a = running_in_series(a, keys, "tick", "_start", "max", "_since", bucket)
-    held = F.col("_t") - F.col("_since")
-    a = a.withColumn("state", F.when(held >= F.col("_hold"), "Firing").otherwise("Pending"))
-    a = a.withColumn("active_since", F.timestamp_micros("_since"))
-    ends = F.col("next_tick").isNull() | ((micros("next_tick") - F.col("_t")) > F.lit(step))
-    resolved = (a.where(ends & (F.col("state") == "Firing"))
-                 .select(*keys, F.timestamp_micros(F.col("_t") + F.lit(step)).alias("tick"),
-                         F.lit("Resolved").alias("state"), "active_since"))
-    cur = a.select(*keys, "tick", "state", "active_since")
-    return cur.unionByName(resolved)
+    step = F.lit(duration_micros(every))
+    hold = (F.col(for_col).cast("long") * 1_000_000 if for_col  # per-row hold in seconds, constant within a series
+            else F.lit(duration_micros(for_)))
+    act = evals.where(active if active is not None else (F.col("firing") == 1.0)).select(
+        F.struct(*keys).alias("_k"), micros(tick).alias("_t"), hold.alias("_hold"))
+    per = act.groupBy("_k", F.floor(F.col("_t") / F.lit(duration_micros(bucket))).alias("_bk")).agg(
+        F.sort_array(F.collect_list("_t")).alias("_ts"), F.max("_hold").alias("_hold"))
+
+    def at(i):
+        return F.get("_ts", i)
+
+    n = F.size("_ts")
+    begins = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | (at(i) - at(i - 1) > step))
+    per = per.withColumn("_runs", begins).select(
+        "_k", "_bk", "_hold", "_ts", "_runs", at(F.lit(0)).alias("_f"), at(n - 1).alias("_l"),
+        F.when(F.size("_runs") > 1, at(F.element_at("_runs", -1))).alias("_s"))
+    w = Window.partitionBy("_k").orderBy("_bk")
+    begun = F.lag("_l").over(w).isNull() | (F.col("_f") - F.lag("_l").over(w) > step)
+    per = per.withColumn("_own", F.when(begun, F.col("_f")))
+    earlier = F.max(F.coalesce("_s", "_own")).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    per = per.withColumns({"_first": F.coalesce("_own", earlier), "_after": F.lead("_f").over(w)})
+    run = F.transform("_runs", lambda a, j: F.struct(
+        a.alias("a"), F.coalesce(F.get("_runs", j + 1), n).alias("b"), (j == 0).alias("first")))
+    r = per.withColumn("_r", F.explode(run)).select(
+        "_k", "_hold", F.slice("_ts", F.col("_r.a") + 1, F.col("_r.b") - F.col("_r.a")).alias("_ts"),
+        F.when(F.col("_r.first"), F.col("_first")).otherwise(at(F.col("_r.a"))).alias("_since"),
+        F.when(F.col("_r.b") == n, F.col("_after")).alias("_after"))
+    last = F.element_at("_ts", -1)
+    over = (F.col("_after").isNull() | (F.col("_after") - last > step)) & (last - F.col("_since") >= F.col("_hold"))
+    states = F.transform("_ts", lambda t: F.struct(t.alias("t"), F.when(
+        t - F.col("_since") >= F.col("_hold"), "Firing").otherwise("Pending").alias("state")))
+    end = F.array(F.struct((last + step).alias("t"), F.lit("Resolved").alias("state")))
+    out = r.select("_k", "_since", F.explode(F.when(over, F.concat(states, end)).otherwise(states)).alias("_o"))
+    return out.select(*[F.col(f"_k.{k}").alias(k) for k in keys], F.timestamp_micros("_o.t").alias("tick"),
+                      F.col("_o.state").alias("state"), F.timestamp_micros("_since").alias("active_since"))
 
 
 # ----------------------------------------------------------------- routes

@@ -129,7 +129,8 @@ def aggregate_window(df: DataFrame, keys: Sequence[str], every: str, fn: str = "
     """AGG4: per-series tumbling windows (epoch aligned); output window start/stop.
 
     ``create_empty`` adds windows without points over ``[start, stop)``
-    (NULL value, 0 for count), one grid row per series and window.
+    (NULL value, 0 for count), one grid row per series and window; the range
+    defaults to the windows of all points.
     """
     w = F.window(F.col(ts), interval_text(every))
     agg = (df.groupBy(*keys, w.alias("w"))
@@ -139,7 +140,8 @@ def aggregate_window(df: DataFrame, keys: Sequence[str], every: str, fn: str = "
     if not create_empty:
         return agg
     if start is None or stop is None:
-        raise ValueError("create_empty needs start and stop")
+        first, end = data_span(df, every, ts)
+        start, stop = first if start is None else start, end if stop is None else stop
     grid = eval_grid(df.select(*keys).distinct(), start, stop, every, tick="window_start")
     grid = grid.withColumn("window_stop", F.col("window_start")
                            + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0),
@@ -150,30 +152,53 @@ def aggregate_window(df: DataFrame, keys: Sequence[str], every: str, fn: str = "
     return out
 
 
+DAY_US = 86_400_000_000
+
+
+def ticks_between(spans: DataFrame, keys: Sequence[str], lo: str, hi: str, every: str, tick: str = "tick") -> DataFrame:
+    """Every tick ``lo, lo + every, ... <= hi`` (µs columns) of each row's span.
+
+    The spans are cut by day first and the pieces dealt out, so that a long
+    span's ticks come from many tasks; a task generates a day of ticks at a time.
+    """
+    step = duration_micros(every)
+    tasks = int(spans.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cut = spans.select(*keys, F.col(lo).alias("_a"), F.col(hi).alias("_b")).where("_a <= _b")
+    pieces = cut.withColumn("_d", F.explode(F.sequence(
+        F.col("_a") - F.pmod("_a", F.lit(DAY_US)), F.col("_b"), F.lit(DAY_US))))
+    first = F.greatest("_a", F.col("_d") + F.pmod(F.col("_a") - F.col("_d"), F.lit(step)))
+    last = F.least("_b", F.col("_d") + F.lit(DAY_US - 1))
+    pieces = pieces.select(*keys, "_d", first.alias("_a"), last.alias("_b")).where("_a <= _b").repartition(tasks, *keys, "_d")
+    return (pieces.withColumn("_t", F.explode(F.sequence("_a", "_b", F.lit(step))))
+            .select(*keys, F.timestamp_micros("_t").alias(tick)))
+
+
+def grid_ends(start, stop, every: str) -> tuple[F.Column, F.Column]:
+    """``[start, stop)`` as microseconds; the grid is ``start, start + every, ...``."""
+    lo, hi = (F.unix_micros(F.lit(x).cast("timestamp")) for x in (start, stop))
+    return lo, hi - F.lit(1)
+
+
 def eval_grid(series: DataFrame, start, stop, every: str, tick: str = "tick") -> DataFrame:
     """JON5 grid: one row per series and tick in ``[start, stop)`` stepping ``every``.
 
     A generator over the (distinct) series rows, not a join: the output size
-    is the grid itself.
+    is the grid itself, made day by day.
     """
+    lo, hi = grid_ends(start, stop, every)
+    keys = series.columns
+    return ticks_between(series.withColumns({"_lo": lo, "_hi": hi}), keys, "_lo", "_hi", every, tick)
+
+
+def data_span(df: DataFrame, every: str, ts: str = "ts") -> tuple:
+    """(start, stop) of the rows' times, widened to the ``every`` grid; (None, None) without rows.
+
+    A partial aggregate, one row to the driver."""
     step = duration_micros(every)
-    lo = F.unix_micros(F.lit(start).cast("timestamp"))
-    hi = F.unix_micros(F.lit(stop).cast("timestamp"))
-    seq = F.sequence(lo, hi - F.lit(1), F.lit(step))
-    return (series.withColumn("_t", F.explode(seq))
-                  .withColumn(tick, F.timestamp_micros(F.col("_t"))).drop("_t"))
-
-
-def on_eval_grid(agg: DataFrame, keys: Sequence[str], start, stop, every: str,
-                 tick: str = "tick", fill: dict | None = None,
-                 series: DataFrame | None = None) -> DataFrame:
-    """JON5: put per-(series, tick) results on the full grid, filling absences."""
-    ser = series if series is not None else agg.select(*keys).distinct()
-    grid = eval_grid(ser, start, stop, every, tick)
-    out = null_safe_join(grid, agg, [*keys, tick], "left")
-    for c, v in (fill or {}).items():
-        out = out.withColumn(c, F.coalesce(F.col(c), F.lit(v)))
-    return out
+    t = micros(ts)
+    lo, hi = F.min(t), F.max(t)
+    row = df.agg(F.timestamp_micros(lo - F.pmod(lo, F.lit(step))), F.timestamp_micros(hi - F.pmod(hi, F.lit(step)) + step)).first()
+    return row[0], row[1]
 
 
 def series_last(df: DataFrame, keys: Sequence[str], ts: str = "ts", value: str = "value",

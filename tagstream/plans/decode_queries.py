@@ -22,7 +22,8 @@ def _ust(c):
     return F.date_format(F.col(c), US_FMT)
 
 
-def _wide(spark, sf_dir, good_only=True):
+def wide_messages(spark, sf_dir, good_only=True):
+    """One wide message per (source, device, time) of the events."""
     r = fx.good_readings(spark, sf_dir) if good_only else fx.readings(spark, sf_dir)
     return rs.pivot_tags(r.withColumn("source_id", F.lit(fx.SOURCE_ID)), TAGS,
                          ["source_id", "device_id", "ts"])
@@ -75,7 +76,7 @@ SELECT device_id, tag_name, {DUS.format(c='ts')} AS ts, round(value, 6) AS value
 FROM ({R}) r WHERE value IS NOT NULL
 """)
 def src1_decode_flat(spark, sf_dir):
-    raw = encode_flat(_wide(spark, sf_dir))
+    raw = encode_flat(wide_messages(spark, sf_dir))
     wide = dc.decode_flat(raw, TAGS)
     tall = rs.unpivot_tags(wide, TAGS, ["device_id", "ts"])
     return tall.select("device_id", "tag_name", _ust("ts").alias("ts"), r6("value").alias("value"))
@@ -138,7 +139,7 @@ SELECT device_id, {DUS.format(c='ts')} AS ts, {", ".join(f"round({t}, 6) AS {t}"
 FROM ({_PIVOT_SQL}) w
 """)
 def prj2_pivot(spark, sf_dir):
-    w = _wide(spark, sf_dir)
+    w = wide_messages(spark, sf_dir)
     return w.select("device_id", _ust("ts").alias("ts"), *[r6(t).alias(t) for t in TAGS])
 
 
@@ -147,7 +148,7 @@ SELECT device_id, tag_name, {DUS.format(c='ts')} AS ts, round(value, 6) AS value
 FROM ({R}) r WHERE value IS NOT NULL
 """)
 def prj1_unpivot(spark, sf_dir):
-    tall = rs.unpivot_tags(_wide(spark, sf_dir), TAGS, ["device_id", "ts"])
+    tall = rs.unpivot_tags(wide_messages(spark, sf_dir), TAGS, ["device_id", "ts"])
     return tall.select("device_id", "tag_name", _ust("ts").alias("ts"), r6("value").alias("value"))
 
 
@@ -156,7 +157,7 @@ SELECT device_id, tag_name, {DUS.format(c='ts')} AS ts, round(value, 6) AS value
 FROM ({R}) r WHERE value IS NOT NULL
 """)
 def jon2_explode_pairs(spark, sf_dir):
-    w = _wide(spark, sf_dir).select("device_id", "ts", F.array(*[F.lit(t) for t in TAGS]).alias("names"),
+    w = wide_messages(spark, sf_dir).select("device_id", "ts", F.array(*[F.lit(t) for t in TAGS]).alias("names"),
                                      F.array(*[F.col(t) for t in TAGS]).alias("vals"))
     p = dc.explode_pairs(w, "names", "vals", keep=["device_id", "ts"]).where(F.col("value").isNotNull())
     return p.select("device_id", "tag_name", _ust("ts").alias("ts"), r6("value").alias("value"))
@@ -200,7 +201,7 @@ SELECT device_id, {DUS.format(c='ts')} AS ts, CAST({len(TAGS)} AS BIGINT) AS tag
 FROM ({R}) r GROUP BY device_id, ts
 """)
 def prj8_message_quality(spark, sf_dir):
-    q = rs.message_quality(_wide(spark, sf_dir, good_only=False), TAGS)
+    q = rs.message_quality(wide_messages(spark, sf_dir, good_only=False), TAGS)
     return q.select("device_id", _ust("ts").alias("ts"), "tag_count", "observed_count", "bad_count")
 
 

@@ -144,9 +144,10 @@ def agg4_window_max(spark, sf_dir):
 
 @register("agg4_window_count_empty", f"""
 WITH s AS (SELECT DISTINCT tag_name FROM ({R}) r WHERE value IS NOT NULL),
+b AS (SELECT date_trunc('hour', min(ts)) AS lo, date_trunc('hour', max(ts)) + INTERVAL 1 HOUR AS hi
+      FROM ({R}) r WHERE value IS NOT NULL),
 grid AS (SELECT tag_name, t AS window_start
-         FROM s, range(TIMESTAMP '2024-01-01 00:00:00', TIMESTAMP '2024-01-31 00:00:00',
-                       INTERVAL 1 HOUR) AS g(t)),
+         FROM s, (SELECT unnest(range(lo, hi, INTERVAL 1 HOUR)) AS t FROM b) AS g),
 a AS (SELECT tag_name, time_bucket(INTERVAL 1 HOUR, ts) AS window_start, count(value) AS value
       FROM ({R}) r WHERE value IS NOT NULL GROUP BY 1, 2)
 SELECT grid.tag_name, {dtxt('grid.window_start')} AS window_start,
@@ -156,8 +157,7 @@ FROM grid LEFT JOIN a ON grid.tag_name = a.tag_name AND grid.window_start = a.wi
 """)
 def agg4_window_count_empty(spark, sf_dir):
     g = fx.good_readings(spark, sf_dir)
-    a = se.aggregate_window(g, ["tag_name"], "1h", "count", create_empty=True,
-                            start="2024-01-01 00:00:00", stop="2024-01-31 00:00:00")
+    a = se.aggregate_window(g, ["tag_name"], "1h", "count", create_empty=True)
     return a.select("tag_name", txt("window_start").alias("window_start"),
                     txt("window_stop").alias("window_stop"), F.col("value").cast("long").alias("value"))
 
