@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tagstream.operators.deadband import changed_by
 from tagstream.operators.joins import null_safe_join
 from tagstream.functions.timefn import duration_micros, interval_text, micros
 from tagstream.operators.sequence import shift_in_series
@@ -82,14 +83,19 @@ def hour_slice(df: DataFrame, hour_start, ts: str = "ts") -> DataFrame:
 def changed_only(df: DataFrame, keys: Sequence[str], ts: str = "ts", value: str = "value",
                  deadband: float = 0.0, tiebreak: str | None = None,
                  bucket: str = "1 hour") -> DataFrame:
-    """FLT6: keep a reading only when it differs from the previous one by > deadband.
-
-    The first reading of a series is always kept.  NULL readings are not
-    compared (filter them first if they should not count).  With deadband 0
-    this is the plant's data-change report (its subscription sets no deadband
-    filter).  A deadband measured from the last *reported* value would be a
-    fold over the series; this compares with the previous reading.
+    """FLT6: keep a reading only when it differs from the last reported one by > deadband.
+
+    The first reading of a series is always kept. With deadband 0, the
+    plant's data-change report (its subscription sets no deadband filter), the
+    last reported value is the previous reading's, so one lag decides. A wider
+    band follows the reports (``operators.deadband``): outside means below
+    ``last - deadband`` or above ``last + deadband``. A NULL reading is kept
+    when the last reported one was not NULL, and the other way round.
     """
+    if deadband < 0:
+        raise ValueError("deadband must not be negative")
+    if deadband:
+        return changed_by(df, keys, deadband, ts, value, tiebreak, bucket)
     d = shift_in_series(df, keys, ts, [value], "prev", bucket, tiebreak)
     keep = (F.col("prev_" + ts).isNull()
             | (F.abs(F.col(value) - F.col("prev_" + value)) > F.lit(deadband))

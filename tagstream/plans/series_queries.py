@@ -102,6 +102,30 @@ def flt6_changed_only(spark, sf_dir):
                      r6("level").alias("level"))
 
 
+# Change of a tag's value that is worth a report.
+DEADBAND = 25.0
+DEADBAND_SQL = f"""
+WITH RECURSIVE n AS (SELECT event_id, device_id, tag_name, ts, value,
+                            row_number() OVER (PARTITION BY tag_name ORDER BY ts, event_id) AS i FROM ({R}) r),
+f AS (SELECT event_id, device_id, tag_name, ts, value, i, value AS last, TRUE AS kept FROM n WHERE i = 1
+      UNION ALL
+      SELECT n.event_id, n.device_id, n.tag_name, n.ts, n.value, n.i,
+             CASE WHEN (n.value IS NULL) <> (f.last IS NULL) OR n.value < f.last - {DEADBAND}
+                       OR n.value > f.last + {DEADBAND} THEN n.value ELSE f.last END,
+             coalesce((n.value IS NULL) <> (f.last IS NULL) OR n.value < f.last - {DEADBAND}
+                      OR n.value > f.last + {DEADBAND}, FALSE)
+      FROM f JOIN n ON n.tag_name = f.tag_name AND n.i = f.i + 1)
+SELECT event_id, device_id, tag_name, {dtxt('ts')} AS ts, round(value, 6) AS value FROM f WHERE kept
+"""
+
+
+@register("flt6_deadband", DEADBAND_SQL)
+def flt6_deadband(spark, sf_dir):
+    """Per tag, over all devices: readings more than a deadband away from the last one reported."""
+    ch = se.changed_only(fx.readings(spark, sf_dir), ["tag_name"], deadband=DEADBAND, tiebreak="event_id", bucket="1 day")
+    return ch.select("event_id", "device_id", "tag_name", txt("ts").alias("ts"), r6("value").alias("value"))
+
+
 @register("flt7_latest_rows", f"""
 SELECT event_id, device_id, tag_name, {dtxt('ts')} AS ts
 FROM ({R}) r ORDER BY r.ts DESC, event_id DESC LIMIT 10

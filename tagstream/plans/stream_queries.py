@@ -20,6 +20,7 @@ from tagstream.operators import rules as ru
 from tagstream.plans.alert_queries import BOILER, _eval_sql
 from tagstream.plans.registry import R, dtxt, r6, register, txt
 from tagstream.plans.rule_queries import _cooldown_sql
+from tagstream.plans.series_queries import DEADBAND, DEADBAND_SQL
 from tagstream.session import checkpoint_dir
 from tagstream.sources import fixtures as fx
 from tagstream.sources.admission import SLICE_BYTES, Admission
@@ -162,6 +163,13 @@ def str3_stream_cooldown(spark, sf_dir):
                       r6("value").alias("value"))
 
 
+@register("flt6_stream_deadband", DEADBAND_SQL)
+def flt6_stream_deadband(spark, sf_dir):
+    out = run_events(spark, sf_dir, lambda r: sq.stream_changed_only(
+        r, ["tag_name"], DEADBAND, cols=("device_id",)), "flt6")
+    return out.select("event_id", "device_id", "tag_name", txt("ts").alias("ts"), r6("value").alias("value"))
+
+
 def redelivered(spark: SparkSession, sf_dir: str, folder: str) -> str:
     """The events as a source delivers them after retries: every third one again, in another file."""
     ev = fx.table(spark, sf_dir, "events")

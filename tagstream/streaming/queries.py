@@ -11,6 +11,7 @@ from __future__ import annotations
 import datetime
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from tagstream.functions.catalog import EVAL_INTERVAL, AlertRule
 from tagstream.functions.timefn import duration_micros, interval_text, micros
 from tagstream.operators.alerting import condition_expr
+from tagstream.operators.deadband import next_reported
 from tagstream.operators.series import reducer
 
 
@@ -91,6 +93,43 @@ def stream_cooldown(violations: DataFrame, seconds: float, keys: Sequence[str] =
     return fired.withColumn(ts, F.timestamp_micros("_t")).drop("_t")
 
 
+def stream_changed_only(readings: DataFrame, keys: Sequence[str], deadband: float = 0.0, ts: str = "ts",
+                        value: str = "value", tiebreak: str | None = "event_id", cols: Sequence[str] = ()) -> DataFrame:
+    """FLT6 on a stream; state per key = the last reported value and whether it was bad.
+
+    Rows of a micro-batch are taken in (ts, tiebreak) order; from one report
+    the search for the next skips whole blocks within the band.
+    """
+    keys, d = list(keys), float(deadband)
+    tb = [tiebreak] if tiebreak else []
+    sel = readings.select(*keys, micros(ts).alias("_t"), *tb, F.col(value).cast("double").alias(value), *cols)
+    out_schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in sel.schema)
+
+    def fold(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(["_t"] + tb, kind="stable")
+        v = pdf[value].to_numpy(dtype=float, na_value=np.nan)
+        out = np.isnan(v)
+        if not state.exists:
+            out = np.ones(len(v), bool)
+        elif state.get[1]:
+            out = ~out
+        else:
+            out = out | (v < state.get[0] - d) | (v > state.get[0] + d)
+        at = int(out.argmax()) if out.any() else len(v)
+        keep, nxt = [], next_reported(v, d).tolist()
+        while at < len(v):
+            keep.append(at)
+            at = nxt[at]
+        if keep:
+            last = float(v[keep[-1]])
+            state.update((0.0, True) if np.isnan(last) else (last, False))
+            yield pdf.iloc[keep]
+
+    kept = sel.groupBy(*keys).applyInPandasWithState(
+        fold, out_schema, "last double, bad boolean", "append", GroupStateTimeout.NoTimeout)
+    return kept.withColumn(ts, F.timestamp_micros("_t")).drop("_t")
+
+
 def stream_pending_firing(evals: DataFrame, keys: Sequence[str], for_: str,
                           every: str = EVAL_INTERVAL, tick: str = "tick",
                           delay: str = "0 seconds") -> DataFrame:
