@@ -133,50 +133,30 @@ def link_alarm_work_order(alarm_df: DataFrame, orders: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ WIN2
-def _next_pointer(nodes: DataFrame, keys: list[str], w_us: int) -> DataFrame:
-    """For each violation i, ``nxt`` = first violation j of the same key with
-    ``t_j >= t_i + C`` (struct of t, tb, root), or NULL.
-
-    Partitioned by (key, sub-bucket of width W), independent of C: the target
-    ``t_i + C`` is looked up in its own sub-bucket by a running min over
-    descending time; if nothing there qualifies, the answer is the first row
-    of the next non-empty sub-bucket, from one window per key over the
-    non-empty sub-buckets and the distinct target sub-buckets (size bounded
-    by time span / W, not by data volume).
+def _next_pointers(nodes: DataFrame, w_us: int) -> DataFrame:
+    """Of each node (``_k``, ``_n`` = (t, tiebreak), ``_c``, ``_root``) the first one at least ``_c`` later, as ``_nxt``.
+
+    Nodes and targets meet in windows of one (key, time slice); a target whose
+    slice holds nothing later takes the first node of the next slice that has
+    one, from a window over slice summaries.
     """
-    node = F.struct(F.col("_t").alias("t"), F.col("_tb").alias("tb"), F.col("_root").alias("root"))
-    node_type = nodes.select(node.alias("n")).schema["n"].dataType
-    sb = F.floor(F.col("_t") / F.lit(w_us)).cast("long")
-    target = F.col("_t") + F.col("_c")
-    q_sb = F.floor(target / F.lit(w_us)).cast("long")
-    data = nodes.select(*keys, sb.alias("_sb"), F.col("_t").alias("_at"), F.lit(0).alias("_kind"),
-                        node.alias("_node"), F.lit(None).cast("long").alias("_src_t"),
-                        F.lit(None).cast("long").alias("_src_tb"))
-    query = nodes.select(*keys, q_sb.alias("_sb"), target.alias("_at"), F.lit(1).alias("_kind"),
-                         F.lit(None).cast(node_type).alias("_node"),
-                         F.col("_t").alias("_src_t"), F.col("_tb").alias("_src_tb"))
-    w = (Window.partitionBy(*keys, "_sb")
-         .orderBy(F.col("_at").desc(), F.col("_kind").asc())
+    at = F.col("_n.t")
+    target = at + F.col("_c")
+    node = F.struct("_n.t", "_n.tb", "_root")
+    none = F.lit(None).cast("struct<t:bigint,tb:bigint,_root:boolean>")
+    data = nodes.select("_k", F.floor(at / w_us).alias("_sb"), at.alias("_at"), F.lit(0).alias("_kind"), node.alias("_node"),
+                        F.lit(None).cast("struct<t:bigint,tb:bigint,_root:boolean>").alias("_src"))
+    asked = nodes.select("_k", F.floor(target / w_us).alias("_sb"), target.alias("_at"), F.lit(1).alias("_kind"),
+                         none.alias("_node"), node.alias("_src"))
+    w = (Window.partitionBy("_k", "_sb").orderBy(F.desc("_at"), "_kind")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    succ = (data.unionByName(query)
-                .withColumn("_succ", F.min("_node").over(w))
-                .where(F.col("_kind") == 1)
-                .select(*keys, F.col("_src_t").alias("_t"), F.col("_src_tb").alias("_tb"),
-                        "_sb", "_succ"))
-    # first row of the first non-empty sub-bucket strictly after each target sub-bucket
-    firsts = (nodes.groupBy(*keys, sb.alias("_sb")).agg(F.min(node).alias("_first"))
-                   .withColumn("_kind", F.lit(0)))
-    targets = (nodes.select(*keys, q_sb.alias("_sb")).distinct()
-                    .withColumn("_first", F.lit(None).cast(node_type)).withColumn("_kind", F.lit(1)))
-    wk = (Window.partitionBy(*keys).orderBy(F.col("_sb").desc(), F.col("_kind").desc())
-          .rowsBetween(Window.unboundedPreceding, -1))
-    later = (firsts.unionByName(targets)
-                   .withColumn("_later", F.min("_first").over(wk))
-                   .where(F.col("_kind") == 1).select(*keys, "_sb", "_later"))
-    j = null_safe_join(succ, later, [*keys, "_sb"], "left").drop("_sb")
-    return (null_safe_join(nodes, j, [*keys, "_t", "_tb"], "left")
-                 .select(*keys, "_t", "_tb", "_root",
-                         F.coalesce(F.col("_succ"), F.col("_later")).alias("_nxt")))
+    here = data.unionByName(asked).withColumn("_here", F.min("_node").over(w))
+    firsts = here.groupBy("_k", "_sb").agg(F.min("_node").alias("_first"))
+    wk = Window.partitionBy("_k").orderBy(F.desc("_sb")).rowsBetween(Window.unboundedPreceding, -1)
+    later = firsts.select("_k", "_sb", F.min("_first").over(wk).alias("_later"))
+    return (here.where("_kind = 1").join(later, ["_k", "_sb"])
+            .select("_k", F.struct("_src.t", "_src.tb").alias("_n"), F.col("_src._root").alias("_root"),
+                    F.coalesce("_here", "_later").alias("_nxt")))
 
 
 def cooldown(v: DataFrame, seconds: float | str, keys: Sequence[str] = ("tag_name",),
@@ -191,11 +171,13 @@ def cooldown(v: DataFrame, seconds: float | str, keys: Sequence[str] = ("tag_nam
     Exact and parallel: the firings of a key are the orbit of its first
     violation under ``next`` (first violation at least C later).  Rows whose
     gap to the previous violation is >= C always fire ("episode roots"); the
-    rest is found by pointer doubling over ``next`` restricted to non-roots,
-    ``ceil(log2(longest chain))`` rounds, each checkpointed to the shared
-    checkpoint folder.  No key, episode or chain is gathered into one task:
-    every window is partitioned by (key, ``bucket``-wide time slice), so a
-    task holds at most ingest rate × ``bucket`` of one key, whatever C is.
+    rest is found by pointer doubling over ``next`` restricted to non-roots.
+    A round is one join and one aggregate: it both doubles the pointers and
+    marks what the marked rows point to. ``ceil(log2(longest chain))`` rounds,
+    each checkpointed to the shared checkpoint folder; only keys and times are
+    written, never the rows.  No key, episode or chain is gathered into one
+    task: every window is partitioned by (key, ``bucket``-wide time slice), so
+    a task holds at most ingest rate × ``bucket`` of one key, whatever C is.
     """
     keys = list(keys)
     spark = v.sparkSession
@@ -208,31 +190,31 @@ def cooldown(v: DataFrame, seconds: float | str, keys: Sequence[str] = ("tag_nam
             return v
         c_col = F.lit(c_us).cast("long")
     tb = F.col(tiebreak).cast("long") if tiebreak else F.lit(0).cast("long")
-    src = v.withColumn("_t", micros(ts)).withColumn("_tb", tb).withColumn("_c", c_col)
     if not tiebreak:
-        src = src.dropDuplicates([*keys, "_t"])
-    src = src.checkpoint()  # the input is read by every step below: materialise once
-    base = src.select(*keys, "_t", "_tb", "_c", F.timestamp_micros("_t").alias("_ts"))
-    sh = shift_in_series(base, keys, "_ts", [], "prev", bucket, "_tb")
-    nodes = (sh.withColumn("_root", F.col("prev__ts").isNull()
-                           | ((F.col("_t") - micros("prev__ts")) >= F.col("_c")))
-               .drop("prev__ts", "_ts"))
-    ptr = _next_pointer(nodes, keys, duration_micros(bucket)).checkpoint()
-    reached = ptr.where("_root").select(*keys, "_t", "_tb")
-    jump = (ptr.where(F.col("_nxt").isNotNull() & ~F.col("_nxt.root"))
-               .select(*keys, "_t", "_tb", F.col("_nxt.t").alias("_jt"),
-                       F.col("_nxt.tb").alias("_jtb"))).checkpoint()
-    while not jump.isEmpty():
-        hop = (null_safe_join(reached, jump, [*keys, "_t", "_tb"])
-                      .select(*keys, F.col("_jt").alias("_t"), F.col("_jtb").alias("_tb")))
-        reached = reached.unionByName(hop).distinct().checkpoint()
-        j2 = jump.alias("a").join(
-            jump.alias("b"),
-            [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
-            + [F.col("a._jt") == F.col("b._t"), F.col("a._jtb").eqNullSafe(F.col("b._tb"))])
-        jump = j2.select(*[F.col(f"a.{k}").alias(k) for k in keys], F.col("a._t"), F.col("a._tb"),
-                         F.col("b._jt"), F.col("b._jtb")).checkpoint()
-    return null_safe_join(src, reached, [*keys, "_t", "_tb"], "left_semi").drop("_t", "_tb", "_c")
+        v = v.dropDuplicates([*keys, ts])
+    # one struct per key: it groups and joins with NULL equal to NULL
+    key, node = F.struct(*keys), F.struct(micros(ts).alias("t"), tb.alias("tb"))
+    base = v.select(key.alias("_k"), node.alias("_n"), c_col.alias("_c"))
+    base = base.withColumns({"_ts": F.timestamp_micros("_n.t"), "_tb": F.col("_n.tb")})
+    sh = shift_in_series(base, ["_k"], "_ts", ["_n"], "prev", bucket, "_tb")
+    sh = sh.where(F.col("prev__n").isNull() | (F.col("prev__n") != F.col("_n")))       # rows of one node count once
+    root = F.col("prev__ts").isNull() | (F.col("_n.t") - micros("prev__ts") >= F.col("_c"))
+    nodes = sh.select("_k", "_n", "_c", root.alias("_root")).checkpoint()
+    follow = F.when(~F.col("_nxt._root"), F.struct("_nxt.t", "_nxt.tb"))
+    links = (_next_pointers(nodes, duration_micros(bucket)).select("_k", "_n", follow.alias("_j"), F.col("_root").alias("_r"))
+             .where("_j IS NOT NULL").checkpoint())
+    while not links.where("_j IS NOT NULL").isEmpty():
+        a = links.select("_k", "_n", F.col("_j").alias("_to"), "_r").alias("a")
+        b = links.where("_j IS NOT NULL").select("_k", F.col("_n").alias("_to"), "_j")
+        on = a.join(b, ["_k", "_to"], "left")
+        none = F.lit(None).cast(links.schema["_j"].dataType)
+        own = F.struct("_n", "_j", "_r")
+        marked = F.struct(F.col("_to").alias("_n"), none.alias("_j"), F.lit(True).alias("_r"))
+        both = F.when(F.col("_r") & F.col("_to").isNotNull(), F.array(own, marked)).otherwise(F.array(own))
+        links = (on.select("_k", F.inline(both)).groupBy("_k", "_n").agg(F.max("_j").alias("_j"), F.max("_r").alias("_r"))
+                 .checkpoint())
+    fired = nodes.where("_root").select("_k", "_n").unionByName(links.where("_r").select("_k", "_n"))
+    return (v.withColumns({"_k": key, "_n": node}).join(fired, ["_k", "_n"], "left_semi").select(*v.columns))
 
 
 # ------------------------------------------------------------- WIN5, ALM6
