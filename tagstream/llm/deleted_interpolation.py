@@ -75,17 +75,17 @@ SLICES = "slice long, n_words long, n_tokens long, words binary, codes binary, p
 PIECE = np.dtype([("row", "i8"), ("doc_id", "i8"), ("null_id", "u1"), ("held", "u1"), ("train", "u1"), ("tune", "u1"), ("len", "i8")])
 
 
-def _documents(text: TextBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def _documents(text: TextBatch, read: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first document, past the last one, hashes, document of each hash) of runs of documents; the end mark counts as a word.
 
-    A text above ``READ_BYTES`` comes in several runs of one document, only the last of them with the end mark.
+    A text above ``read`` bytes comes in several runs of one document, only the last of them with the end mark.
     """
-    for lo, hi in text.slices(READ_BYTES):
+    for lo, hi in text.slices(read):
         base, end = text.offsets[lo], text.offsets[hi]
-        if hi == lo + 1 and end - base > READ_BYTES:
+        if hi == lo + 1 and end - base > read:
             x, at = text.data[base:end], 0
             while at < len(x):
-                stop = min(at + READ_BYTES, len(x))
+                stop = min(at + read, len(x))
                 while stop < len(x) and not SPACES[x[stop]]:
                     step = SPACES[x[stop:stop + 4096]]
                     stop += int(step.argmax()) if step.any() else len(step)
@@ -119,39 +119,41 @@ def _slice(number: int, words: list[np.ndarray], pieces: list[np.ndarray]) -> pa
          pa.array([zstandard.compress(done.tobytes(), 1)], pa.binary())], names=[c.split()[0] for c in SLICES.split(", ")])
 
 
-def _slice_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _slicer(tokens: int, read: int):
     """part, doc_id, held, train, tune, text -> slices."""
-    words, pieces, size, made, row, part = [], [], 0, 0, 0, 0
-    for b in batches:
-        if not b.num_rows:
-            continue
-        part = b.column(0)[0].as_py()
-        ids = b.column(1)
-        info = np.zeros(b.num_rows, PIECE)
-        info["row"] = (part << 33) + row + np.arange(b.num_rows)
-        info["doc_id"], info["null_id"] = ids.fill_null(0).to_numpy(), ids.is_null().to_numpy(zero_copy_only=False)
-        for k, c in enumerate(("held", "train", "tune"), 2):
-            info[c] = b.column(k).to_numpy(zero_copy_only=False)
-        row += b.num_rows
-        last, before = -1, START
-        for lo, hi, run, of in _documents(TextBatch(b.column(5))):
-            starts = np.searchsorted(of, np.arange(lo, hi))
-            lens = np.diff(np.append(starts, len(run)))
-            context = np.full(hi - lo, START)
-            if hi == lo + 1 and lo == last:
-                context[0] = before
-            last, before = hi - 1, run[-1] if len(run) else before
-            more = info[lo:hi].copy()
-            more["len"] = lens + 1
-            words.append(np.insert(run, starts, context))
-            pieces.append(more)
-            size += len(words[-1])
-            if size >= SLICE_TOKENS:
-                made += 1
-                yield _slice((part << 32) + made, words, pieces)
-                words, pieces, size = [], [], 0
-    if size:
-        yield _slice((part << 32) + made + 1, words, pieces)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, pieces, size, made, row, part = [], [], 0, 0, 0, 0
+        for b in batches:
+            if not b.num_rows:
+                continue
+            part = b.column(0)[0].as_py()
+            ids = b.column(1)
+            info = np.zeros(b.num_rows, PIECE)
+            info["row"] = (part << 33) + row + np.arange(b.num_rows)
+            info["doc_id"], info["null_id"] = ids.fill_null(0).to_numpy(), ids.is_null().to_numpy(zero_copy_only=False)
+            for k, c in enumerate(("held", "train", "tune"), 2):
+                info[c] = b.column(k).to_numpy(zero_copy_only=False)
+            row += b.num_rows
+            last, before = -1, START
+            for lo, hi, run, of in _documents(TextBatch(b.column(5)), read):
+                starts = np.searchsorted(of, np.arange(lo, hi))
+                lens = np.diff(np.append(starts, len(run)))
+                context = np.full(hi - lo, START)
+                if hi == lo + 1 and lo == last:
+                    context[0] = before
+                last, before = hi - 1, run[-1] if len(run) else before
+                more = info[lo:hi].copy()
+                more["len"] = lens + 1
+                words.append(np.insert(run, starts, context))
+                pieces.append(more)
+                size += len(words[-1])
+                if size >= tokens:
+                    made += 1
+                    yield _slice((part << 32) + made, words, pieces)
+                    words, pieces, size = [], [], 0
+        if size:
+            yield _slice((part << 32) + made + 1, words, pieces)
+    return run
 
 
 class _Slice:
@@ -311,7 +313,8 @@ SCORED = "row long, doc_id long, held_out boolean, n_tokens long, n_known long,
 def _scorer(weights: np.ndarray, total: int, different: int):
     def run(part: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         if not len(part):
-            return pd.DataFrame({c.split()[0]: [] for c in SCORED.split(", ")})
+            return pd.DataFrame({n: np.zeros(0, {"long": np.int64, "boolean": bool, "double": float}[t])
+                                 for n, t in map(str.split, SCORED.split(", "))})
         s = _Slice(*(part[c].iloc[0] for c in ("words", "codes", "pieces")))
         word, _ = _totals(answers, WORD, s.word_counts)
         pair, _ = _totals(answers, PAIR, s.pair_counts)
@@ -330,7 +333,8 @@ def _scorer(weights: np.ndarray, total: int, different: int):
     return run
 
 
-def score(spark: SparkSession, docs: DataFrame, held_out: Column, train: Column, tune: Column) -> DataFrame:
+def score(spark: SparkSession, docs: DataFrame, held_out: Column, train: Column, tune: Column,
+          slice_tokens: int = SLICE_TOKENS, read_bytes: int = READ_BYTES, range_entries: int = RANGE_ENTRIES) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     ``train`` picks the documents to learn from, ``tune`` the part of them whose
@@ -339,9 +343,9 @@ def score(spark: SparkSession, docs: DataFrame, held_out: Column, train: Column,
     scratch = Scratch(spark, "interpolation")
     flags = [F.coalesce(c, F.lit(False)).alias(n) for c, n in ((held_out, "held"), (train, "train"), (train & tune, "tune"))]
     read = docs.select(F.spark_partition_id().alias("part"), F.col("doc_id").cast("long").alias("doc_id"), *flags, "text")
-    slices = scratch.put(read.mapInArrow(_slice_batches, SLICES), "slices")
+    slices = scratch.put(read.mapInArrow(_slicer(slice_tokens, read_bytes), SLICES), "slices")
     n_words, n_tokens = slices.agg(F.sum("n_words"), F.sum("n_tokens")).first()
-    bits = {k: max(0, math.ceil(math.log2(max(1, (n or 0)) / RANGE_ENTRIES))) if n else 0 for k, n in ((WORD, n_words), (PAIR, n_tokens))}
+    bits = {k: max(0, math.ceil(math.log2(max(1, (n or 0)) / range_entries))) if n else 0 for k, n in ((WORD, n_words), (PAIR, n_tokens))}
 
     # every range in one task of its own: deal them evenly
     asked = slices.select("slice", "words", "codes", "pieces").mapInArrow(_ask(bits), ASKED)

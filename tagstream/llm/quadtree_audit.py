@@ -60,11 +60,11 @@ def _terms(x: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, pa.DictionaryA
     return starts, terms.dictionary_encode()
 
 
-def _blocks(x: np.ndarray) -> Iterator[np.ndarray]:
+def _blocks(x: np.ndarray, read: int) -> Iterator[np.ndarray]:
     """A long text in blocks that end between terms."""
     at = 0
     while at < len(x):
-        end = min(at + READ_BYTES, len(x))
+        end = min(at + read, len(x))
         while end < len(x) and LETTER[x[end]]:
             step = ~LETTER[x[end:end + 4096]]
             end += int(step.argmax()) if step.any() else len(step)
@@ -72,10 +72,10 @@ def _blocks(x: np.ndarray) -> Iterator[np.ndarray]:
         at = end
 
 
-def _long_text(x: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+def _long_text(x: np.ndarray, read: int) -> tuple[pa.Array, np.ndarray]:
     """Terms of one long text and their counts."""
     parts = []
-    for block in _blocks(x):
+    for block in _blocks(x, read):
         _, enc = _terms(block, np.zeros(len(block), bool))
         n = np.bincount(enc.indices.to_numpy(), minlength=len(enc.dictionary))
         parts.append(pa.table({"term": enc.dictionary, "n": pa.array(n, pa.int64())}))
@@ -85,47 +85,49 @@ def _long_text(x: np.ndarray) -> tuple[pa.Array, np.ndarray]:
     return done["term"].combine_chunks(), done["n"].to_numpy()
 
 
-def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _counter(read: int):
     """Per slice of text: occurrences and documents of each (lang, source, term)."""
-    def rows(langs, sources, terms, n, docs):
-        return pa.RecordBatch.from_arrays(
-            [langs, sources, terms.cast(pa.string()), pa.array(n, pa.int64()), pa.array(docs, pa.int64())],
-            names=["lang", "source", "term", "n", "docs"])
-
-    for batch in batches:
-        texts = TextBatch(batch.column(2))
-        pairs = pa.StructArray.from_arrays([batch.column(0), batch.column(1)], names=["lang", "source"])
-        seen: dict = {}
-        group = np.array([seen.setdefault((v["lang"], v["source"]), len(seen)) for v in pairs.to_pylist()], np.int64)
-        langs = pa.array([k[0] for k in seen], pa.string())
-        sources = pa.array([k[1] for k in seen], pa.string())
-        for lo, hi in texts.slices(READ_BYTES):
-            base, end = texts.offsets[lo], texts.offsets[hi]
-            x = texts.data[base:end]
-            if hi == lo + 1 and len(x) > READ_BYTES:
-                terms, n = _long_text(x)
-                g = pa.array(np.full(len(n), group[lo]))
-                yield rows(langs.take(g), sources.take(g), terms, n, np.ones(len(n), np.int64))
-                continue
-            begin = texts.offsets[lo:hi] - base
-            first = np.zeros(len(x) + 1, bool)
-            first[begin] = True
-            starts, enc = _terms(x, first[:-1])
-            if not len(starts):
-                continue
-            doc = np.searchsorted(begin, starts, side="right") - 1
-            code, size = enc.indices.to_numpy().astype(np.int64), len(enc.dictionary)
-            in_doc = np.unique(doc * size + code)
-            keys, n = np.unique(group[lo + doc] * size + code, return_counts=True)
-            docs = np.unique(group[lo + in_doc // size] * size + in_doc % size, return_counts=True)[1]
-            g, c = pa.array(keys // size), pa.array(keys % size)
-            yield rows(langs.take(g), sources.take(g), enc.dictionary.take(c), n, docs)
-
-
-def term_counts(docs: DataFrame) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows(langs, sources, terms, n, docs):
+            return pa.RecordBatch.from_arrays(
+                [langs, sources, terms.cast(pa.string()), pa.array(n, pa.int64()), pa.array(docs, pa.int64())],
+                names=["lang", "source", "term", "n", "docs"])
+
+        for batch in batches:
+            texts = TextBatch(batch.column(2))
+            pairs = pa.StructArray.from_arrays([batch.column(0), batch.column(1)], names=["lang", "source"])
+            seen: dict = {}
+            group = np.array([seen.setdefault((v["lang"], v["source"]), len(seen)) for v in pairs.to_pylist()], np.int64)
+            langs = pa.array([k[0] for k in seen], pa.string())
+            sources = pa.array([k[1] for k in seen], pa.string())
+            for lo, hi in texts.slices(read):
+                base, end = texts.offsets[lo], texts.offsets[hi]
+                x = texts.data[base:end]
+                if hi == lo + 1 and len(x) > read:
+                    terms, n = _long_text(x, read)
+                    g = pa.array(np.full(len(n), group[lo]))
+                    yield rows(langs.take(g), sources.take(g), terms, n, np.ones(len(n), np.int64))
+                    continue
+                begin = texts.offsets[lo:hi] - base
+                first = np.zeros(len(x) + 1, bool)
+                first[begin] = True
+                starts, enc = _terms(x, first[:-1])
+                if not len(starts):
+                    continue
+                doc = np.searchsorted(begin, starts, side="right") - 1
+                code, size = enc.indices.to_numpy().astype(np.int64), len(enc.dictionary)
+                in_doc = np.unique(doc * size + code)
+                keys, n = np.unique(group[lo + doc] * size + code, return_counts=True)
+                docs = np.unique(group[lo + in_doc // size] * size + in_doc % size, return_counts=True)[1]
+                g, c = pa.array(keys // size), pa.array(keys % size)
+                yield rows(langs.take(g), sources.take(g), enc.dictionary.take(c), n, docs)
+    return run
+
+
+def term_counts(docs: DataFrame, read_bytes: int = READ_BYTES) -> DataFrame:
     """lang, source, term, n (occurrences), docs (documents that hold the term)."""
     text = docs.select(*[F.coalesce(c, F.lit("")).alias(c) for c in ("lang", "source", "text")])
-    parts = text.mapInArrow(_count_batches, "lang string, source string, term string, n long, docs long")
+    parts = text.mapInArrow(_counter(read_bytes), "lang string, source string, term string, n long, docs long")
     return parts.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
@@ -172,17 +174,18 @@ def joint(la: list[np.ndarray], lb: list[np.ndarray], sizes: tuple[int, int, int
     return empty[:na, :nb], (a, b, c)
 
 
-def block_pair(pa_: np.ndarray, ha: np.ndarray, za: np.ndarray, pb: np.ndarray, hb: np.ndarray, zb: np.ndarray
-               ) -> tuple[np.ndarray, np.ndarray]:
+def block_pair(pa_: np.ndarray, ha: np.ndarray, za: np.ndarray, pb: np.ndarray, hb: np.ndarray, zb: np.ndarray,
+               beyond: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """Divergences of two row blocks over a stripe: of a from b, and of b from a.
 
     ``p``: shares, with the zero count's share where nothing occurs; ``h``:
-    whether something occurs; ``z``: each row's share of a zero count.
+    whether something occurs; ``z``: each row's share of a zero count; ``beyond``:
+    columns of the stripe that no row of either block occurs in.
     """
     (na, nc), nb = pa_.shape, pb.shape[0]
     side = 1 << max(0, int(max(na, nb) - 1).bit_length())
     ab, ba = np.zeros((na, nb), np.int64), np.zeros((na, nb), np.int64)
-    empty = np.zeros((na, nb), np.int64)
+    empty = np.full((na, nb), beyond, np.int64)
     step = max(side, OPEN_CELLS // (side * side) // side * side)
     for lo in range(0, nc, step):
         n = min(step, nc - lo)
@@ -212,6 +215,7 @@ def _tile(pdf: pd.DataFrame) -> pd.DataFrame:
     cells, names = pdf[~head], pdf[head].sort_values("source")
     terms = np.sort(cells["term"].unique().astype(object)) if len(cells) else np.array([], object)
     col = pd.Series(np.arange(len(terms)), index=terms)
+    beyond = int(names["p"].iloc[0]) - len(terms)           # columns of the stripe empty for both blocks
     side = {}
     for k in {x, y}:
         rows, own = names[names["k"] == k], cells[cells["k"] == k]
@@ -226,11 +230,11 @@ def _tile(pdf: pd.DataFrame) -> pd.DataFrame:
     out = []
 
     def frame(source, part, item, value):
-        out.append(pd.DataFrame({"lang": lang, "source": source, "part": part, "item": item, "value": value}))
+        out.append((np.full(len(value), lang, object), source, np.full(len(value), part, object), item, value))
 
     (sa, *ta), (sb, *tb) = side[x], side[y]
     if len(sa) and len(sb):
-        ab, ba = block_pair(*ta, *tb)
+        ab, ba = block_pair(*ta, *tb, beyond)
         a, b = np.nonzero(sa[:, None] != sb[None, :])
         frame(sa[a], "pair", sb[b], ab[a, b])
         if x != y:
@@ -241,7 +245,8 @@ def _tile(pdf: pd.DataFrame) -> pd.DataFrame:
         leaf = pd.DataFrame({"s": over["source"].to_numpy(object), "t": over["term"].to_numpy(object), "v": value})
         best = leaf.sort_values(["v", "t"], ascending=[False, True], kind="stable").groupby("s", sort=False).head(TOP_TERMS)
         frame(best["s"].to_numpy(object), "term", best["t"].to_numpy(object), best["v"].to_numpy())
-    return pd.concat(out) if out else pd.DataFrame({c.split()[0]: [] for c in OUT.split(", ")})
+    frame(np.zeros(0, object), "", np.zeros(0, object), np.zeros(0, np.int64))      # a tile without rows keeps the types
+    return pd.DataFrame(dict(zip([c.split()[0] for c in OUT.split(", ")], map(np.concatenate, zip(*out)))))
 
 
 # ---------------------------------------------------------------------- operator
@@ -249,7 +254,8 @@ def _share(n: str, total: str, terms: str) -> F.Column:
     return F.expr(f"1 + (CAST({n} AS DECIMAL(19, 0)) + 1) * {SCALE} DIV nullif(CAST({total} AS DECIMAL(19, 0)) + {terms}, 0)")
 
 
-def audit(spark: SparkSession, docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+def audit(spark: SparkSession, docs: DataFrame, min_docs: int = MIN_DOCS, stripe: int = STRIPE, block: int = BLOCK,
+          read_bytes: int = READ_BYTES) -> DataFrame:
     """lang, source, part (``pair`` or ``term``), item, value, rank.
 
     ``pair``: the group's divergence from each other source of its language.
@@ -258,7 +264,7 @@ def audit(spark: SparkSession, docs: DataFrame, min_docs: int = MIN_DOCS) -> Dat
     """
     scratch = Scratch(spark, "quadtree")
     of_term = Window.partitionBy("lang", "term")
-    counts = term_counts(docs).withColumns({"lang_docs": F.sum("docs").over(of_term), "lang_n": F.sum("n").over(of_term),
+    counts = term_counts(docs, read_bytes).withColumns({"lang_docs": F.sum("docs").over(of_term), "lang_n": F.sum("n").over(of_term),
                                             "head": F.col("source") == F.min("source").over(of_term)})
     kept = scratch.put(counts.where(F.col("lang_docs") >= min_docs).drop("docs", "lang_docs"), "kept")
 
@@ -269,17 +275,20 @@ def audit(spark: SparkSession, docs: DataFrame, min_docs: int = MIN_DOCS) -> Dat
     groups = names.join(of_group, ["lang", "source"], "left").join(of_lang, "lang", "left").join(sources, "lang")
     groups = groups.fillna(0, ["total", "v", "lang_total"]).withColumns({
         "p0": F.coalesce(_share("0", "total", "v"), F.lit(1)),
-        "stripes": F.greatest(F.lit(1), F.ceil(F.col("v") / STRIPE)),
-        "blocks": F.ceil(F.col("s") / BLOCK)}).withColumn("k", F.expr("pmod(xxhash64(source), blocks)"))
+        "stripes": F.greatest(F.lit(1), F.ceil(F.col("v") / stripe)),
+        "blocks": F.ceil(F.col("s") / block)}).withColumn("k", F.expr("pmod(xxhash64(source), blocks)"))
     groups = scratch.put(groups, "groups")
 
     cells = kept.join(groups, ["lang", "source"]).select(
-        "lang", F.expr("pmod(xxhash64(term), stripes)").alias("stripe"), "blocks", "k", "source", "term",
+        "lang", F.expr("pmod(xxhash64(term), stripes)").alias("stripe"), "blocks", "k", "source", "term", "head",
         _share("n", "total", "v").alias("p"), _share("lang_n", "lang_total", "v").alias("q"), "p0")
-    heads = groups.select("lang", F.explode(F.expr("sequence(0, stripes - 1)")).alias("stripe"), "blocks", "k", "source",
-                          F.lit(None).cast("string").alias("term"), F.lit(None).cast("long").alias("p"),
-                          F.lit(None).cast("long").alias("q"), "p0")
-    tiles = (cells.unionByName(heads).withColumn("o", F.explode(F.expr("sequence(0, blocks - 1)")))
+    # the columns of a stripe, also those in which neither block of a tile has an occurrence
+    width = cells.where("head").groupBy("lang", "stripe").agg(F.count("*").alias("width"))
+    heads = groups.select("lang", F.explode(F.expr("sequence(0, stripes - 1)")).alias("stripe"), "blocks", "k", "source", "p0")
+    heads = heads.join(width, ["lang", "stripe"], "left").select(
+        "lang", "stripe", "blocks", "k", "source", F.lit(None).cast("string").alias("term"),
+        F.coalesce("width", F.lit(0)).alias("p"), F.lit(None).cast("long").alias("q"), "p0")
+    tiles = (cells.drop("head").unionByName(heads).withColumn("o", F.explode(F.expr("sequence(0, blocks - 1)")))
              .withColumns({"x": F.least("k", "o"), "y": F.greatest("k", "o")}).drop("blocks", "o"))
     parts = scratch.put(tiles.groupBy("lang", "stripe", "x", "y").applyInPandas(_tile, OUT), "parts")
 
