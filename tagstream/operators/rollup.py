@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagstream.functions.timefn import with_date_parts
+from tagstream.operators.joins import null_safe_join
 
 
 def _good(df: DataFrame, value: str) -> DataFrame:
@@ -20,18 +21,27 @@ def _good(df: DataFrame, value: str) -> DataFrame:
     return df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value)))
 
 
+SUM_SCALE = 9        # digits after the point of the exact sums
+
+
 def rollup_1h(readings: DataFrame, keys: Sequence[str] = ("tag_name",), ts: str = "ts",
-              value: str = "value", grain: str = "hour", out_ts: str = "hour") -> DataFrame:
+              value: str = "value", grain: str = "hour", out_ts: str = "hour",
+              exact: bool = False) -> DataFrame:
     """AGG1: avg / max / min / samples per (hour, keys); NULL readings dropped.
 
     Adds y / m / d partition strings taken from the bucket start (event time).
+    ``exact`` adds ``sum_val``, a decimal sum of the values to ``SUM_SCALE``
+    digits: sums of hours merge into sums of days without rounding, in any order.
+    It is NULL where a value does not fit 19 digits before the point.
     """
     g = _good(readings, value)
+    fixed = F.col(value).try_cast(f"decimal({19 + SUM_SCALE}, {SUM_SCALE})")
+    sums = [F.when(F.count(fixed) == F.count(F.lit(1)), F.sum(fixed)).alias("sum_val")] if exact else []
     agg = (g.groupBy(F.date_trunc(grain, F.col(ts)).alias(out_ts), *keys)
              .agg(F.avg(value).alias("avg_val"),
                   F.max(value).alias("max_val"),
                   F.min(value).alias("min_val"),
-                  F.count(F.lit(1)).alias("samples")))
+                  F.count(F.lit(1)).alias("samples"), *sums))
     return with_date_parts(agg, out_ts)
 
 
@@ -41,7 +51,10 @@ def rollup_1d(hourly: DataFrame, keys: Sequence[str] = ("tag_name",), avg: str =
 
     ``avg="mean_of_means"`` averages hourly means (the plant's daily job);
     ``avg="weighted"`` is the true mean ``sum(avg*samples)/sum(samples)``.
-    max of max, min of min and sum of samples are exact either way.
+    max of max, min of min and sum of samples are exact either way.  With
+    ``sum_val`` (``rollup_1h(exact=True)``) both means are decimal quotients
+    of exact sums, so they do not depend on the order in which rows meet;
+    a day with an hour without it falls back to the double means.
     """
     if avg == "mean_of_means":
         avg_expr = F.avg("avg_val")
@@ -49,6 +62,10 @@ def rollup_1d(hourly: DataFrame, keys: Sequence[str] = ("tag_name",), avg: str =
         avg_expr = F.sum(F.col("avg_val") * F.col("samples")) / F.sum("samples")
     else:
         raise ValueError(f"unknown avg mode {avg!r}")
+    if "sum_val" in hourly.columns:
+        exact = (F.sum("sum_val") / F.sum("samples") if avg == "weighted"
+                 else F.avg((F.col("sum_val") / F.col("samples")).cast(f"decimal(28, {SUM_SCALE})")))
+        avg_expr = F.when(F.count("sum_val") == F.count(F.lit(1)), exact.cast("double")).otherwise(avg_expr)
     agg = (hourly.groupBy(F.date_trunc("day", F.col(hour)).alias("day_ts"), *keys)
                  .agg(avg_expr.alias("avg_val"),
                       F.max("max_val").alias("max_val"),
@@ -86,42 +103,29 @@ def hourly_mean(raw: DataFrame, tag: str, year: str, month: str, day: str,
 
 def ingest_report(raw: DataFrame, source: str = "source_id", ts: str = "ts",
                   value: str = "value", bytes_col: str | None = None,
-                  file_col: str | None = None) -> DataFrame:
+                  file_col: str | None = None, device: str = "device_id") -> DataFrame:
     """AGG11: per source and day: messages, good tag values, mean and peak rate.
 
-    Two-level aggregation: per (source, second) first, then per (source, day),
-    so the peak rate never needs the raw rows of a day in one place.
-    ``bytes_col`` / ``file_col`` (e.g. ``_metadata.file_size`` and
-    ``_metadata.file_path``) add bytes, files and bytes per file.
+    A message is a distinct (source, device, time), whatever number of tag
+    rows it has.  Aggregated by message, then by (source, second), then by
+    (source, day), so the peak rate never needs the raw rows of a day in one
+    place.  ``bytes_col`` / ``file_col`` (``_metadata.file_size`` and
+    ``_metadata.file_path``, carried as columns) add files, bytes and bytes per
+    file: the files that hold the day's rows, each counted once.
     """
-    sec = F.date_trunc("second", F.col(ts))
-    aggs = [F.count(F.lit(1)).alias("msgs"), F.count(value).alias("vals")]
-    if bytes_col and file_col:
-        aggs.append(F.collect_set(F.struct(F.col(file_col).alias("f"),
-                                           F.col(bytes_col).alias("b"))).alias("files"))
-    per_sec = raw.groupBy(F.col(source).alias("source_id"), sec.alias("second")).agg(*aggs)
-    per_day = per_sec.groupBy("source_id", F.date_trunc("day", "second").alias("day_ts"))
-    day_aggs = [F.sum("msgs").alias("messages"),
-                F.sum("vals").alias("tag_values"),
-                (F.sum("msgs") / F.lit(86400.0)).alias("avg_msgs_per_sec"),
-                F.max("msgs").alias("peak_msgs_per_sec"),
-                F.count(F.lit(1)).alias("active_seconds")]
-    out = per_day.agg(*day_aggs)
-    if bytes_col and file_col:
-        files = (per_sec.select("source_id", F.date_trunc("day", "second").alias("day_ts"),
-                                F.explode("files").alias("fb"))
-                        .groupBy("source_id", "day_ts", "fb.f").agg(F.max("fb.b").alias("b"))
-                        .groupBy("source_id", "day_ts")
-                        .agg(F.count(F.lit(1)).alias("files"), F.sum("b").alias("bytes")))
-        out = (out.join(files, ["source_id", "day_ts"], "left")
-                  .withColumn("bytes_per_file", F.col("bytes") / F.col("files")))
-    return out
-
-
-def samples_check(hourly: DataFrame) -> DataFrame:
-    """Rows per hour in a rollup (the plant's smoke test expects one per tag)."""
-    return hourly.groupBy("hour").agg(F.count(F.lit(1)).alias("rows"))
-
-
-__all__ = ["rollup_1h", "rollup_1d", "partition_counts", "distinct_days", "hourly_mean",
-           "ingest_report", "samples_check"]
+    src, day = F.col(source).alias("source_id"), F.date_trunc("day", F.col(ts)).alias("day_ts")
+    per_msg = raw.groupBy(src, F.col(device).alias("_device"), F.col(ts).alias("_ts")).agg(F.count(value).alias("vals"))
+    per_sec = per_msg.groupBy("source_id", F.date_trunc("second", "_ts").alias("second")).agg(
+        F.count(F.lit(1)).alias("msgs"), F.sum("vals").alias("vals"))
+    out = per_sec.groupBy("source_id", F.date_trunc("day", "second").alias("day_ts")).agg(
+        F.sum("msgs").alias("messages"),
+        F.sum("vals").alias("tag_values"),
+        (F.sum("msgs") / F.lit(86400.0)).alias("avg_msgs_per_sec"),
+        F.max("msgs").alias("peak_msgs_per_sec"),
+        F.count(F.lit(1)).alias("active_seconds"))
+    if not (bytes_col and file_col):
+        return out
+    per_file = raw.groupBy(src, day, F.col(file_col).alias("f")).agg(F.max(bytes_col).alias("b"))
+    files = per_file.groupBy("source_id", "day_ts").agg(F.count(F.lit(1)).alias("files"), F.sum("b").alias("bytes"))
+    return (null_safe_join(out, files, ["source_id", "day_ts"], "left")
+            .withColumn("bytes_per_file", F.col("bytes") / F.col("files")))

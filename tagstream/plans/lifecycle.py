@@ -8,6 +8,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tagstream.functions.timefn import with_date_parts
 from tagstream.operators.reshape import unpivot_tags
@@ -92,7 +93,7 @@ def backfill(spark: SparkSession, raw_path: str, out_1h: str, out_1d: str | None
     raw = _day_filter(read_raw_lake(spark, raw_path, tags), days)
     tall = unpivot_tags(time_range(raw, start, stop), tags,
                         ["source_id", "device_id", "ts"])
-    hourly = rollup_1h(tall).withColumn("hr", F.date_format("hour", "HH"))
+    hourly = rollup_1h(tall, exact=True).withColumn("hr", F.date_format("hour", "HH"))
     write_rollup(hourly, out_1h, HOURLY_PARTS)
     if out_1d:
         h = read_rollup(spark, out_1h, "1h", extra_parts=["hr"])
@@ -230,3 +231,46 @@ def partition_diff(storage: DataFrame, catalog: DataFrame, mode: str = "ADD") ->
         raise ValueError(mode)
     drop = c.join(s, PARTS, "left_anti").withColumn("action", F.lit("DROP"))
     return add.unionByName(drop)
+
+
+def catalog_partitions(spark: SparkSession, table: str) -> DataFrame:
+    """The y / m / d partitions that the catalog lists for ``table``."""
+    part = F.str_to_map("partition", F.lit("/"), F.lit("="))
+    return spark.sql(f"SHOW PARTITIONS {table}").select(*[part[p].alias(p) for p in PARTS])
+
+
+def register_lake(spark: SparkSession, table: str, path: str, schema: str, fmt: str = "parquet") -> None:
+    """A catalog table over a y / m / d folder written by batch jobs; it lists no partition until a sync."""
+    fields = [f for f in T.StructType.fromDDL(schema) if f.name not in PARTS]
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    parts = ", ".join(f"{p} string" for p in PARTS)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}, {parts}) USING {fmt} PARTITIONED BY ({', '.join(PARTS)}) "
+              f"LOCATION '{path}'")
+
+
+def sync_partitions(spark: SparkSession, table: str, path: str, mode: str = "FULL", batch: int = 500) -> DataFrame:
+    """JON6 applied: brings the catalog's partitions of ``table`` in line with storage.
+
+    ``ADD`` adds what storage has and the catalog lacks; ``FULL`` also drops
+    what is gone. ``IF [NOT] EXISTS`` makes each statement safe to run again,
+    so a sync that was stopped is repaired by the next one. One row per
+    partition to the driver: metadata, some hundred per year.
+    Returns the actions taken.
+    """
+    storage = list_partitions(spark, path)
+    todo = partition_diff(storage, catalog_partitions(spark, table), mode)
+    todo = todo.join(storage.select(*PARTS, "location"), PARTS, "left").orderBy("action", *PARTS)
+    rows = [tuple(r) for r in todo.collect()]
+    for action in ("ADD", "DROP"):
+        own = [r for r in rows if r[3] == action]
+        for at in range(0, len(own), batch):
+            specs = []
+            for y, m, d, _, location in own[at:at + batch]:
+                spec = f"PARTITION (year='{y}', month='{m}', day='{d}')"
+                specs.append(f"{spec} LOCATION '{location}'" if action == "ADD" else spec)
+            if action == "ADD":
+                spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {' '.join(specs)}")
+            else:
+                spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(specs)}")
+    spark.catalog.refreshTable(table)
+    return spark.createDataFrame(rows, "year string, month string, day string, action string, location string")

@@ -26,7 +26,7 @@ from tagstream.plans.registry import REGISTRY, R, dtxt, r6, register, txt
 from tagstream.plans.stream_queries import events_stream
 from tagstream.session import checkpoint_dir
 from tagstream.sources import fixtures as fx
-from tagstream.sources.lake import PARTS, read_compacted, read_raw_lake, read_rollup
+from tagstream.sources.lake import PARTS, ROLLUP_SCHEMA, read_compacted, read_raw_lake, read_rollup
 
 TAGS = fx.event_tags()
 ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
@@ -208,6 +208,40 @@ def jon6_partition_diff_full(spark, sf_dir):
     return lc.partition_diff(storage, catalog, mode="FULL").select(*PARTS, "action")
 
 
+@register("jon6_partition_sync", f"""
+WITH h AS (SELECT DISTINCT date_trunc('hour', ts) AS hour, tag_name FROM ({R}) r WHERE {_GOOD}),
+cut AS (SELECT max(CAST(hour AS DATE)) - INTERVAL {KEEP_DAYS} DAY AS c FROM h)
+SELECT strftime(hour, '%Y') AS year, strftime(hour, '%m') AS month, strftime(hour, '%d') AS day, count(*) AS rows
+FROM h, cut WHERE CAST(hour AS DATE) >= c GROUP BY 1, 2, 3
+""")
+def jon6_partition_sync(spark, sf_dir):
+    """JON6 applied: a catalog table over the hourly rollup, synced before and
+    after a real expiry; its partitions and their rows are read through the catalog."""
+    path = scratch(spark, "jon6-sync") + "/sensor_1h"
+    lc.write_rollup(ru.rollup_1h(fx.readings(spark, sf_dir)), path)
+    table = f"sensor_1h_{uuid.uuid4().hex[:12]}"
+    lc.register_lake(spark, table, path, ROLLUP_SCHEMA["1h"], "parquet")
+    lc.sync_partitions(spark, table, path, "ADD")
+    _lo, stop = _lake_days(spark, path)
+    lc.expire(spark, path, KEEP_DAYS, (stop - dt.timedelta(days=1)).date(), dry_run=False)
+    lc.sync_partitions(spark, table, path)
+    rows = spark.table(table).groupBy(*PARTS).agg(F.count("*").alias("rows"))
+    return lc.catalog_partitions(spark, table).join(rows, PARTS, "left")
+
+
+@register("agg11_ingest_report_files", None)
+def agg11_ingest_report_files(spark, sf_dir):
+    """AGG11 in full over a y/m/d lake of the events: files, bytes and bytes per file of each day.
+
+    Which files a run writes is not in the tables, so the tests hold the figures
+    against the file system."""
+    raw = read_raw_lake(spark, build_lake(spark, sf_dir, "agg11"), TAGS).select("*", "_metadata.file_path", "_metadata.file_size")
+    tall = rs.unpivot_tags(raw, TAGS, ["source_id", "device_id", "ts", "file_path", "file_size"], drop_null=False)
+    rep = ru.ingest_report(tall, bytes_col="file_size", file_col="file_path")
+    return rep.select("source_id", txt("day_ts").alias("day_ts"), "messages", "tag_values", r6("avg_msgs_per_sec").alias("avg_msgs_per_sec"),
+                      "peak_msgs_per_sec", "active_seconds", "files", "bytes", r6("bytes_per_file").alias("bytes_per_file"))
+
+
 @register("snk6_export_csv", f"""
 SELECT device_id, tag_name, {DUS.format(c='ts')} AS ts, round(value, 6) AS value
 FROM ({R}) r

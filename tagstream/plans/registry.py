@@ -77,39 +77,46 @@ def agg1_rollup_1h_device(spark, sf_dir):
                     r6("min_val").alias("min_val"), "samples")
 
 
-_HOURLY_SQL = f"""
-h AS (SELECT date_trunc('hour', ts) AS hour, tag_name, avg(value) AS avg_val,
-             max(value) AS max_val, min(value) AS min_val, count(*) AS samples
+# Exact daily means: hourly sums in units of 10^-9, quotients rounded half up on integers.
+_EXACT_HOURLY_SQL = f"""
+h AS (SELECT date_trunc('hour', ts) AS hour, tag_name, max(value) AS max_val, min(value) AS min_val, count(*) AS samples,
+             CAST(sum(CAST(value AS DECIMAL(28, 9))) * 1000000000 AS HUGEINT) AS t
       FROM ({R}) r WHERE value IS NOT NULL AND NOT isnan(value) GROUP BY 1, 2)"""
 
 
-def _daily_sql(avg_expr: str) -> str:
+def _quotient(t: str, n: str) -> str:
+    """t / n rounded half away from zero, as an integer."""
+    return f"(sign({t}) * ((2 * abs({t}) + {n}) // (2 * {n})))::HUGEINT"
+
+
+def _daily_sql(digits: int, mean: str) -> str:
+    """``mean``: the day's mean in units of 10^-digits."""
     return f"""
-WITH {_HOURLY_SQL}
-SELECT {dtxt("date_trunc('day', hour)")} AS day_ts, tag_name,
-       round({avg_expr}, 6) AS avg_val, round(max(max_val), 6) AS max_val,
-       round(min(min_val), 6) AS min_val, CAST(sum(samples) AS BIGINT) AS samples,
-       strftime(date_trunc('day', hour), '%Y') AS year,
-       strftime(date_trunc('day', hour), '%m') AS month,
-       strftime(date_trunc('day', hour), '%d') AS day
-FROM h GROUP BY 1, 2, 7, 8, 9
+WITH {_EXACT_HOURLY_SQL},
+d AS (SELECT date_trunc('day', hour) AS day, tag_name, {mean} AS m, max(max_val) AS mx, min(min_val) AS mn,
+             CAST(sum(samples) AS BIGINT) AS samples FROM h GROUP BY 1, 2)
+SELECT {dtxt("day")} AS day_ts, tag_name, CAST({_quotient('m', str(10 ** (digits - 6)))} AS DOUBLE) / 1000000.0 AS avg_val,
+       round(mx, 6) AS max_val, round(mn, 6) AS min_val, samples,
+       strftime(day, '%Y') AS year, strftime(day, '%m') AS month, strftime(day, '%d') AS day
+FROM d
 """
 
 
 def _daily(spark, sf_dir, mode):
-    h = ru.rollup_1h(fx.readings(spark, sf_dir))
+    h = ru.rollup_1h(fx.readings(spark, sf_dir), exact=True)
     d = ru.rollup_1d(h, avg=mode)
     return d.select(txt("day_ts").alias("day_ts"), "tag_name", r6("avg_val").alias("avg_val"),
                     r6("max_val").alias("max_val"), r6("min_val").alias("min_val"),
                     "samples", "year", "month", "day")
 
 
-@register("agg2_rollup_1d_mean_of_means", _daily_sql("avg(avg_val)"))
+@register("agg2_rollup_1d_mean_of_means", _daily_sql(
+    13, _quotient(f"(sum({_quotient('t', 'samples')}) * 10000)", "count(*)")))
 def agg2_rollup_1d_mean_of_means(spark, sf_dir):
     return _daily(spark, sf_dir, "mean_of_means")
 
 
-@register("agg3_rollup_1d_weighted", _daily_sql("sum(avg_val * samples) / sum(samples)"))
+@register("agg3_rollup_1d_weighted", _daily_sql(9, _quotient("sum(t)", "sum(samples)")))
 def agg3_rollup_1d_weighted(spark, sf_dir):
     return _daily(spark, sf_dir, "weighted")
 
@@ -144,7 +151,7 @@ def agg10_hourly_mean(spark, sf_dir):
 
 
 @register("agg11_ingest_report", f"""
-WITH s AS (SELECT source_id, date_trunc('second', ts) AS second, count(*) AS msgs,
+WITH s AS (SELECT source_id, date_trunc('second', ts) AS second, count(DISTINCT (device_id, ts)) AS msgs,
                   count(value) AS vals
            FROM ({R}) r GROUP BY 1, 2)
 SELECT source_id, {dtxt("date_trunc('day', second)")} AS day_ts,

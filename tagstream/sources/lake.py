@@ -35,7 +35,7 @@ def read_raw_lake(spark: SparkSession, path: str, tags: Sequence[str]) -> DataFr
 
 ROLLUP_SCHEMA = {
     "1h": "hour timestamp, tag_name string, avg_val double, max_val double, min_val double, "
-          "samples long, year string, month string, day string",
+          "samples long, sum_val decimal(38,9), year string, month string, day string",
     "1d": "day_ts timestamp, tag_name string, avg_val double, max_val double, min_val double, "
           "samples long, year string, month string, day string",
 }

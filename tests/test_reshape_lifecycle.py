@@ -139,8 +139,12 @@ def test_stream_to_raw_lake_and_ingest_report(spark, tmp):
                            ["source_id", "device_id", "ts", "file_path", "file_size"], drop_null=False)
     rep = ingest_report(tall.withColumnRenamed("source_id", "src"), source="src",
                         bytes_col="file_size", file_col="file_path").orderBy("day_ts").collect()
-    assert [(r.messages, r.tag_values) for r in rep] == [(9, 6), (9, 6)]
-    assert all(r.files >= 1 and r.bytes > 0 and r.bytes_per_file > 0 for r in rep)
+    # three messages a day with three tags each, two of them good
+    assert [(r.messages, r.tag_values) for r in rep] == [(3, 6), (3, 6)]
+    for r in rep:
+        day = os.path.join(lake, "year=2026", "month=05", f"day={r.day_ts:%d}")
+        sizes = [os.path.getsize(os.path.join(day, f)) for f in os.listdir(day) if f.endswith(".json")]
+        assert (r.files, r.bytes, r.bytes_per_file) == (len(sizes), sum(sizes), sum(sizes) / len(sizes))
 
 
 def test_rollup_reader_keeps_string_partitions_under_type_inference(spark, tmp):
@@ -159,3 +163,44 @@ def test_rollup_reader_keeps_string_partitions_under_type_inference(spark, tmp):
     finally:
         spark.conf.set(key, old)
     assert (r.year, r.month, r.day, r.hr) == ("2026", "05", "07", "09")
+
+
+def test_partition_sync_brings_the_catalog_in_line(spark, tmp):
+    from tagstream.operators.rollup import rollup_1h
+    from tagstream.sources.lake import ROLLUP_SCHEMA
+    rows = [("A", dt.datetime(2026, 5, d, 9, 30), float(d)) for d in range(1, 8)]
+    path, table = os.path.join(tmp, "h"), "sync_" + os.path.basename(tmp).replace("-", "_")
+    hourly = rollup_1h(spark.createDataFrame(rows, "tag_name string, ts timestamp, value double"))
+    lc.write_rollup(hourly.where("day <= '05'"), path)
+    lc.register_lake(spark, table, path, ROLLUP_SCHEMA["1h"])
+
+    def listed():
+        return sorted(r.day for r in lc.catalog_partitions(spark, table).collect())
+    assert listed() == [] and spark.table(table).count() == 0
+    assert {r.action for r in lc.sync_partitions(spark, table, path, "ADD").collect()} == {"ADD"}
+    assert listed() == ["01", "02", "03", "04", "05"] and spark.table(table).count() == 5
+    lc.write_rollup(hourly.where("day > '05'"), path)
+    lc.expire(spark, path, 3, dt.date(2026, 5, 7), dry_run=False)
+    assert lc.sync_partitions(spark, table, path, "ADD").count() == 2 and len(listed()) == 7
+    done = [(r.action, r.day) for r in lc.sync_partitions(spark, table, path, batch=2).collect()]
+    assert done == [("DROP", "01"), ("DROP", "02"), ("DROP", "03")]
+    assert listed() == ["04", "05", "06", "07"] and spark.table(table).count() == 4
+    assert lc.sync_partitions(spark, table, path).count() == 0        # once more: nothing left to do
+    spark.sql(f"DROP TABLE {table}")
+
+
+def test_daily_means_do_not_depend_on_the_order_of_rows(spark):
+    from tagstream.operators.rollup import rollup_1d, rollup_1h
+    t = dt.datetime(2026, 5, 7)
+    rows = [("A", t + dt.timedelta(minutes=37 * i), v) for i, v in enumerate([0.1, 0.2, 0.3, 1e9, -1e9, 0.7, 2.5] * 5)]
+    rows += [("huge", t, 1e25), ("huge", t, 1.0)]
+    for avg in ("weighted", "mean_of_means"):
+        got = set()
+        for seed in range(3):
+            df = spark.createDataFrame(rows, "tag_name string, ts timestamp, value double").orderBy(F.rand(seed)).repartition(3 + seed)
+            got.add(tuple(sorted((r.tag_name, r.avg_val) for r in rollup_1d(rollup_1h(df, exact=True), avg=avg).collect())))
+        assert len(got) == 1
+        means = dict(next(iter(got)))
+        assert means["huge"] == 5e24                              # does not fit: the double mean
+        if avg == "weighted":
+            assert means["A"] == round(sum(x for _, _, x in rows[:35] if abs(x) < 1e8) / 35, 9)
