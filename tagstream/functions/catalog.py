@@ -7,7 +7,7 @@ what makes broadcasting them safe.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, asdict
+from dataclasses import dataclass, field
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -219,6 +219,3 @@ STATUS_STEPS = {
 LAG_NORMAL_BELOW = 10
 LAG_CHECK_ABOVE = 1000
 
-
-def as_dict(rule: Rule) -> dict:
-    return asdict(rule)

@@ -53,11 +53,6 @@ def micros(ts: Column | str) -> Column:
     return F.unix_micros(c.cast("timestamp"))
 
 
-def ts_text(ts: Column | str, fmt: str = "yyyy-MM-dd HH:mm:ss") -> Column:
-    c = F.col(ts) if isinstance(ts, str) else ts
-    return F.date_format(c, fmt)
-
-
 def parse_event_time(raw: Column | str) -> Column:
     """SRC3: ISO-8601 (up to ns), epoch seconds (float) or epoch ms → timestamp.
 

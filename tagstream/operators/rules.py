@@ -86,6 +86,11 @@ def _num(c: str) -> F.Column:
     return F.col(c).cast("string")
 
 
+def _pairs(**named: F.Column) -> F.Column:
+    """``name=value`` of the named columns, one after the other; NULLs are left out."""
+    return F.concat_ws(" | ", *[F.concat(F.lit(f"{k}="), c) for k, c in named.items()])
+
+
 ISO_SEC = "yyyy-MM-dd'T'HH:mm:ss"
 ISO_US = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
@@ -98,10 +103,8 @@ def alarms(v: DataFrame, ts: str = "ts", tag: str = "tag_name", device: str = "d
                                F.date_format(ts, "yyyyMMddHHmmssSSSSSS"))
     name = F.format_string("[AUTO] %s %s: %.2f %s", F.col(tag), F.col("direction"),
                            F.col(value), F.col("unit"))
-    notes = F.format_string(
-        "Tag %s, Value: %.4f %s; Threshold (%s): %s %s; measured %s, found %s",
-        F.col(tag), F.col(value), F.col("unit"), F.col("direction"), _num("threshold"),
-        F.col("unit"), F.date_format(ts, ISO_US), F.date_format(ts, ISO_US))
+    notes = _pairs(tag=F.col(tag), reading=F.format_string("%.4f", F.col(value)), limit=_num("threshold"),
+                   side=F.col("direction"), at=F.date_format(ts, ISO_US))
     return c.select(*[x for x in c.columns if x not in ("alarm_id",)],
                     alarm_id.alias("alarm_id"), name.alias("alarm_name"),
                     F.col("description").alias("alarm_description"), notes.alias("alarm_notes"))
@@ -113,11 +116,8 @@ def work_orders(a: DataFrame, ts: str = "ts", tag: str = "tag_name",
     c = a if "alarm_id" in a.columns else alarms(a, ts=ts, tag=tag, value=value)
     short = F.format_string("[AUTO] %s %s: %.2f %s (threshold: %s)", F.col(tag),
                             F.col("direction"), F.col(value), F.col("unit"), _num("threshold"))
-    notes = F.format_string(
-        "Tag %s, Value: %.4f %s; Threshold (%s): %s %s; severity %s; measured %s, found %s; alarm %s; to do: %s",
-        F.col(tag), F.col(value), F.col("unit"), F.col("direction"), _num("threshold"),
-        F.col("unit"), F.col("severity"), F.date_format(ts, ISO_US), F.date_format(ts, ISO_US),
-        F.col("alarm_id"), F.col("description"))
+    notes = _pairs(alarm=F.col("alarm_id"), priority=F.col("priority"), reading=F.format_string("%.4f", F.col(value)),
+                   limit=_num("threshold"), at=F.date_format(ts, ISO_US))
     return c.select(
         F.concat(F.lit("WO-"), F.col("alarm_id")).alias("work_order_id"),
         F.col("alarm_id"), short.alias("short_descr"), notes.alias("process_notes"),

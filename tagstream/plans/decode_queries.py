@@ -40,8 +40,22 @@ def encode_flat(wide):
     return wide.select(body.alias("value"))
 
 
-def encode_envelopes(good):
+def json_value():
+    """A reading as JSON text; a bad one is a string, a boolean or null, by event_id."""
+    bad = F.element_at(F.array(F.lit('"85"'), F.lit("true"), F.lit("null")), F.pmod("event_id", F.lit(3)).cast("int") + 1)
+    return F.coalesce(F.col("value").cast("string"), bad)
+
+
+def encode_bad(readings):
+    """A V1 message for each bad reading, with its tag's bad value."""
+    head = F.to_json(F.struct(F.date_format("ts", ISO).alias("timestamp"), "source_id", "device_id"))
+    body = F.concat(F.expr("substring(_head, 1, length(_head) - 1)"), F.lit(',"'), F.col("tag_name"), F.lit('":'), json_value(), F.lit("}"))
+    return readings.where("value IS NULL").withColumn("_head", head).select(body.alias("value"))
+
+
+def encode_envelopes(readings):
     """One message per reading, envelope V1..V5 chosen by event_id % 5."""
+    good = readings.withColumn("value", F.parse_json(json_value()))
     iso = F.date_format("ts", ISO)
     tag, val = F.col("tag_name"), F.col("value")
     v1 = F.concat(F.expr("substring(to_json(named_struct('timestamp', date_format(ts, "
@@ -76,7 +90,8 @@ SELECT device_id, tag_name, {DUS.format(c='ts')} AS ts, round(value, 6) AS value
 FROM ({R}) r WHERE value IS NOT NULL
 """)
 def src1_decode_flat(spark, sf_dir):
-    raw = encode_flat(wide_messages(spark, sf_dir))
+    """Good messages, and messages whose tag is a string, a boolean or null: those tags decode to NULL."""
+    raw = encode_flat(wide_messages(spark, sf_dir)).unionByName(encode_bad(fx.readings(spark, sf_dir)))
     wide = dc.decode_flat(raw, TAGS)
     tall = rs.unpivot_tags(wide, TAGS, ["device_id", "ts"])
     return tall.select("device_id", "tag_name", _ust("ts").alias("ts"), r6("value").alias("value"))
@@ -87,10 +102,10 @@ SELECT device_id, tag_name,
        CASE WHEN event_id % 5 = 2 THEN {DUS.format(c="make_timestamp(epoch_us(ts) // 1000 * 1000)")}
             ELSE {DUS.format(c='ts')} END AS ts,
        round(value, 6) AS value, 'V' || CAST(event_id % 5 + 1 AS VARCHAR) AS envelope
-FROM ({R}) r WHERE value IS NOT NULL
+FROM ({R}) r
 """)
 def src2_decode_any(spark, sf_dir):
-    raw = encode_envelopes(fx.good_readings(spark, sf_dir))
+    raw = encode_envelopes(fx.readings(spark, sf_dir))
     out = dc.decode_any(raw)
     return out.select("device_id", "tag_name", _ust("ts").alias("ts"), r6("value").alias("value"),
                       "envelope")

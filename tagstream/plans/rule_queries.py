@@ -97,9 +97,8 @@ def alm3_classify(spark, sf_dir):
 SELECT event_id, {ALARM_ID_SQL} AS alarm_id,
        printf('[AUTO] %s %s: %.2f %s', tag_name, direction, value, unit) AS alarm_name,
        description AS alarm_description,
-       printf('Tag %s, Value: %.4f %s; Threshold (%s): %s %s; measured %s, found %s',
-              tag_name, value, unit, direction, CAST(threshold AS VARCHAR), unit,
-              {ISO_US_SQL}, {ISO_US_SQL}) AS alarm_notes
+       concat_ws(' | ', 'tag=' || tag_name, 'reading=' || printf('%.4f', value), 'limit=' || CAST(threshold AS VARCHAR),
+                 'side=' || direction, 'at=' || {ISO_US_SQL}) AS alarm_notes
 FROM {CLASSIFIED} c
 """)
 def alm4_alarms(spark, sf_dir):
@@ -111,9 +110,8 @@ def alm4_alarms(spark, sf_dir):
 SELECT 'WO-' || {ALARM_ID_SQL} AS work_order_id, {ALARM_ID_SQL} AS alarm_id,
        printf('[AUTO] %s %s: %.2f %s (threshold: %s)', tag_name, direction, value, unit,
               CAST(threshold AS VARCHAR)) AS short_descr,
-       printf('Tag %s, Value: %.4f %s; Threshold (%s): %s %s; severity %s; measured %s, found %s; alarm %s; to do: %s',
-              tag_name, value, unit, direction, CAST(threshold AS VARCHAR), unit, severity,
-              {ISO_US_SQL}, {ISO_US_SQL}, {ALARM_ID_SQL}, description) AS process_notes,
+       concat_ws(' | ', 'alarm=' || {ALARM_ID_SQL}, 'priority=' || priority, 'reading=' || printf('%.4f', value),
+                 'limit=' || CAST(threshold AS VARCHAR), 'at=' || {ISO_US_SQL}) AS process_notes,
        strftime(ts, '%Y-%m-%dT%H:%M:%S') AS opening_date, severity, priority, event_id
 FROM {CLASSIFIED} c
 """)

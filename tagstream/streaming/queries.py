@@ -234,11 +234,6 @@ def dedup(stream: DataFrame, keys: Sequence[str] = ("source_id", "device_id", "t
     return stream.withWatermark(ts, interval_text(delay)).dropDuplicatesWithinWatermark(list(keys))
 
 
-def dedup_batch(df: DataFrame, keys: Sequence[str] = ("source_id", "device_id", "ts", "tag_name")) -> DataFrame:
-    """Batch form of STR6 (replays, backfills)."""
-    return df.dropDuplicates(list(keys))
-
-
 def split_late(batch: DataFrame, watermark, ts: str = "ts") -> tuple[DataFrame, DataFrame]:
     """STR7 (per micro-batch): rows at or after ``watermark`` are on time, the
     rest late (for a batch rerun of their day).  Use from ``foreachBatch``
@@ -254,7 +249,7 @@ def late_router(on_time_path: str, late_path: str, delay: str, ts: str = "ts",
     Like Spark's watermark, rows of batch N are judged against the latest
     event time seen in batches before N, minus ``delay``; late rows go to
     ``late_path`` instead of being silently dropped.  The running maximum is
-    kept in a one-row progress record per batch (``<on_time_path>/_progress``,
+    kept in a one-row progress record per batch (``<on_time_path>_progress``,
     partition ``batch_id``): batch N reads only batch N-1's record, so the
     cost does not grow with the data and a replayed batch gets the same
     threshold.  Both outputs are partitioned by ``batch_id`` first and a batch

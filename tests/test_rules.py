@@ -107,7 +107,7 @@ def test_alarm_and_work_order_text(spark):
     wo = ru.work_orders(a).collect()[0]
     al = a.collect()[0]
     assert al.alarm_name == "[AUTO] Temp_Boiler_01 HIGH: 96.12 °C"
-    assert "Value: 96.1235 °C" in al.alarm_notes and "Threshold (HIGH): 95.0 °C" in al.alarm_notes
+    assert "reading=96.1235 | limit=95.0 | side=HIGH" in al.alarm_notes and f"alarm={al.alarm_id} | priority=1" in wo.process_notes
     assert wo.short_descr == "[AUTO] Temp_Boiler_01 HIGH: 96.12 °C (threshold: 95.0)"
     assert wo.alarm_id == al.alarm_id and wo.priority == "1"
     linked = ru.link_alarm_work_order(a, ru.work_orders(a)).collect()[0]
