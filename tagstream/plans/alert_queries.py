@@ -407,49 +407,3 @@ def alr1_eval_rules(spark, sf_dir):
                        tiebreak="event_id")
     return ev.select("uid", "device_id", "field", txt("tick").alias("tick"),
                      r6("value").alias("value"), "firing")
-
-
-# ------------------------------------------------------------------ ALR7
-# Consumer positions at the snapshot time (the newest event): the topic has
-# three partitions filled round-robin (the message key is null), and each
-# consumer path commits everything older than its flush delay.  The asset
-# path has had no live member for a day, so its lag is an orphan.
-TOPIC_PARTITIONS = 3
-CONSUMERS = [("hot-path", 30, 1), ("lake-path", 60, 1), ("asset-path", 86_400, 0)]
-
-
-def consumer_offsets(spark, sf_dir):
-    ev = fx.table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
-    snap = ev.agg(F.max("ts")).first()[0]  # one scalar
-    part = F.pmod(F.col("event_id"), F.lit(TOPIC_PARTITIONS)).cast("int").alias("topic_partition")
-    per = ev.groupBy(part).agg(
-        F.count(F.lit(1)).alias("end_offset"),
-        *[F.count_if(F.col("ts") <= F.lit(snap) - F.make_dt_interval(secs=F.lit(d)))
-           .alias(f"c{i}") for i, (_g, d, _m) in enumerate(CONSUMERS)])
-    rows = F.array(*[F.struct(F.lit(g).alias("consumer_group"), F.col(f"c{i}").alias("committed_offset"),
-                              F.lit(m).alias("active_members"))
-                     for i, (g, _d, m) in enumerate(CONSUMERS)])
-    return per.select("topic_partition", "end_offset", F.inline(rows))
-
-
-@register("alr7_classify_lag", f"""
-WITH snap AS (SELECT max(CAST(ts AS TIMESTAMP)) AS s FROM events),
-c AS (SELECT * FROM (VALUES {", ".join(f"('{g}', {d}, {m})" for g, d, m in CONSUMERS)})
-      AS t(consumer_group, delay_s, active_members)),
-o AS (SELECT c.consumer_group, CAST(e.event_id % {TOPIC_PARTITIONS} AS INTEGER) AS topic_partition,
-             count(*) AS end_offset,
-             count(*) FILTER (WHERE CAST(e.ts AS TIMESTAMP) <= snap.s - to_seconds(c.delay_s))
-               AS committed_offset,
-             c.active_members
-      FROM events e, snap, c GROUP BY 1, 2, 5)
-SELECT consumer_group, topic_partition, end_offset, committed_offset, active_members,
-       end_offset - committed_offset AS lag,
-       CASE WHEN end_offset - committed_offset < 10 THEN 'normal'
-            WHEN end_offset - committed_offset > 1000 THEN 'check' ELSE 'watch' END AS band,
-       (end_offset - committed_offset > 0 AND active_members = 0) AS orphan
-FROM o
-""")
-def alr7_classify_lag(spark, sf_dir):
-    return al.classify_lag(consumer_offsets(spark, sf_dir)).select(
-        "consumer_group", "topic_partition", "end_offset", "committed_offset",
-        "active_members", "lag", "band", "orphan")

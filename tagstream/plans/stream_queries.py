@@ -16,6 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tagstream.operators import alerting as al
 from tagstream.operators import rules as ru
 from tagstream.plans.alert_queries import BOILER, _eval_sql
 from tagstream.plans.registry import R, dtxt, r6, register, txt
@@ -190,3 +191,94 @@ def str6_dedup(spark, sf_dir):
                                           delay="10 minutes").select("device_id", "tag_name", "ts"), "str6")
     out = spark.read.schema(schema).parquet(path)
     return out.select("device_id", "tag_name", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"))
+
+
+# ------------------------------------------------------------------ STR5
+SILENCE = "15 minutes"
+
+
+@register("str5_watchdog", f"""
+WITH t AS (SELECT DISTINCT split_part(tag_name, '_', 1) AS source_id, ts FROM ({R}) r),
+l AS (SELECT *, lead(ts) OVER (PARTITION BY source_id ORDER BY ts) AS nt FROM t),
+w AS (SELECT source_id, 'silent' AS status, ts + INTERVAL {SILENCE} AS at_ts, ts AS last_seen FROM l
+      WHERE nt IS NULL OR nt - ts > INTERVAL {SILENCE}
+      UNION ALL SELECT source_id, 'resumed', nt, nt FROM l WHERE nt - ts > INTERVAL {SILENCE})
+SELECT source_id, status, strftime(at_ts, '%Y-%m-%d %H:%M:%S.%f') AS at_ts, strftime(last_seen, '%Y-%m-%d %H:%M:%S.%f') AS last_seen
+FROM w
+""")
+def str5_watchdog(spark, sf_dir):
+    """STR5: each event type is a source; the clock ticks every hour until a day after the newest event."""
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/streams/str5-input-{uuid.uuid4().hex[:12]}"
+    rows = fx.readings(spark, sf_dir).select(F.split_part("tag_name", F.lit("_"), F.lit(1)).alias("source_id"), "ts",
+                                             F.lit(False).alias("clock"))
+    span = rows.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi"))
+    ticks = span.select(F.lit(None).cast("string").alias("source_id"), F.explode(F.expr(
+        "sequence(lo, hi + INTERVAL 1 DAY, INTERVAL 1 HOUR)")).alias("ts"), F.lit(True).alias("clock"))
+    rows.unionByName(ticks).write.parquet(folder)
+    path, schema = stream_to_table(
+        spark, {"path": folder, "schema": rows.schema},
+        lambda s: sq.clocked_watchdog(s.where("NOT clock"), s.where("clock"), SILENCE), "str5")
+    out = spark.read.schema(schema).parquet(path)
+    fmt = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+    return out.select("source_id", "status", F.date_format("at", fmt).alias("at_ts"), F.date_format("last_seen", fmt).alias("last_seen"))
+
+
+# ------------------------------------------------------------------ STR7
+LATE_AFTER = "10 minutes"
+
+
+@register("str7_split_late", f"""
+WITH first AS (SELECT max(ts) - INTERVAL {LATE_AFTER} AS wm FROM ({R}) r WHERE event_id % 5 <> 0)
+SELECT event_id, device_id, tag_name, CASE WHEN event_id % 5 = 0 AND ts < wm THEN 'late' ELSE 'on_time' END AS kind
+FROM ({R}) r, first
+""")
+def str7_split_late(spark, sf_dir):
+    """STR7: every fifth event arrives after the others; what the watermark has passed by then goes to the late table."""
+    base = f"{checkpoint_dir(spark).rstrip('/')}/streams/str7-{uuid.uuid4().hex[:12]}"
+    events = fx.table(spark, sf_dir, "events")
+    late = F.pmod("event_id", F.lit(5)) == 0
+    route = sq.late_router(f"{base}/on_time", f"{base}/late", LATE_AFTER)
+
+    def start(stream):
+        return (fx.readings_of(stream).writeStream.foreachBatch(route).option("checkpointLocation", f"{base}/ck")
+                .trigger(availableNow=True).start())
+
+    for part in (events.where(~late), events.where(late)):
+        part.write.mode("append").parquet(f"{base}/in")
+        Admission(spark, f"{base}/in", f"{base}/admission", events.schema).run(start)
+    kinds = [spark.read.parquet(f"{base}/{k}").select("event_id", "device_id", "tag_name", F.lit(k).alias("kind"))
+             for k in ("on_time", "late")]
+    return kinds[0].unionByName(kinds[1])
+
+
+# ------------------------------------------------------------------ ALR7
+@register("alr7_classify_lag", """
+WITH n AS (SELECT count(*) AS total, count(*) FILTER (WHERE event_id % 2 = 0) AS half FROM events),
+o AS (SELECT 'hot-path' AS consumer_group, total AS end_offset, total AS committed_offset FROM n
+      UNION ALL SELECT 'lake-path', total, half FROM n)
+SELECT consumer_group, end_offset, committed_offset, 0 AS active_members, end_offset - committed_offset AS lag,
+       CASE WHEN end_offset - committed_offset < 10 THEN 'normal'
+            WHEN end_offset - committed_offset > 1000 THEN 'check' ELSE 'watch' END AS band,
+       end_offset > committed_offset AS orphan
+FROM o
+""")
+def alr7_classify_lag(spark, sf_dir):
+    """ALR7 on what Spark reports: two stream queries read the events as they
+    arrive in two deliveries; one of them is not started again after the first.
+    Committed rows come from the queries' own progress, members from their state."""
+    base = f"{checkpoint_dir(spark).rstrip('/')}/streams/alr7-{uuid.uuid4().hex[:12]}"
+    events = fx.table(spark, sf_dir, "events")
+    even = F.pmod("event_id", F.lit(2)) == 0
+    last, committed = {}, {"hot-path": 0, "lake-path": 0}
+    for part, groups in ((events.where(even), ("hot-path", "lake-path")), (events.where(~even), ("hot-path",))):
+        part.write.mode("append").parquet(f"{base}/in")
+        for g in groups:
+            stream = stream_source(spark, {"format": "parquet", "path": f"{base}/in", "schema": events.schema})
+            last[g] = (stream.writeStream.format("noop").option("checkpointLocation", f"{base}/ck-{g}")
+                       .trigger(availableNow=True).start())
+            last[g].awaitTermination()
+            committed[g] += sq.rows_read(last[g])
+    end = spark.read.schema(events.schema).parquet(f"{base}/in").count()
+    rows = [(g, end, committed[g], int(q.isActive)) for g, q in last.items()]
+    offsets = spark.createDataFrame(rows, "consumer_group string, end_offset long, committed_offset long, active_members int")
+    return al.classify_lag(offsets)

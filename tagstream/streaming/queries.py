@@ -228,12 +228,67 @@ def ingest_watchdog(stream: DataFrame, timeout: str = "2 minutes",
     return out.withColumn("last_seen", F.timestamp_micros("last_seen"))
 
 
+def clocked_watchdog(stream: DataFrame, clock: DataFrame, timeout: str = "2 minutes",
+                     keys: Sequence[str] = ("source_id",), ts: str = "ts") -> DataFrame:
+    """STR5 by a clock that is itself a stream: ``silent`` when a source sends
+    nothing for ``timeout``, ``resumed`` when it comes back.
+
+    ``clock`` holds times in column ``ts``: Spark's rate source for wall-clock
+    time, or a table of ticks for a controlled clock. Its rows move the
+    watermark while the sources are silent, so an event-time timer fires
+    without data; the result depends on the times alone, not on micro-batches.
+    State per source: last time seen, and whether silence was reported. Output:
+    keys, status, ``at`` (when the silence counts, or the source is back), ``last_seen``.
+    """
+    keys = list(keys)
+    limit = duration_micros(timeout)
+    data = stream.select(*keys, F.col(ts), F.lit(False).alias("_clock"))
+    ticks = clock.select(*[F.lit(None).cast(stream.schema[k].dataType).alias(k) for k in keys], F.col(ts), F.lit(True).alias("_clock"))
+    both = data.unionByName(ticks).withWatermark(ts, "0 seconds").select("*", micros(ts).alias("_t"))
+    out_schema = _keys_schema(stream, keys) + ", status string, at long, last_seen long"
+
+    def watch(key, pdfs, state: GroupState):
+        if key[-1]:                                   # the clock has no state
+            for _ in pdfs:
+                pass
+            return
+        rows = []
+        if state.hasTimedOut:
+            last, silent = state.get
+            if not silent:
+                rows.append(("silent", last + limit, last))
+            state.update((last, True))
+        else:
+            last, silent = state.get if state.exists else (None, False)
+            t = np.sort(np.concatenate([p["_t"].to_numpy() for p in pdfs]))
+            before = np.append([t[0] if last is None else last], t[:-1])
+            for i in np.flatnonzero(t - before > limit).tolist():
+                if not (silent and i == 0):
+                    rows.append(("silent", int(before[i]) + limit, int(before[i])))
+                rows.append(("resumed", int(t[i]), int(t[i])))
+            last = int(t[-1]) if last is None else max(last, int(t[-1]))
+            state.update((last, False))
+            # the first millisecond after the limit, and never before the watermark
+            state.setTimeoutTimestamp(max((last + limit) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
+        if rows:
+            yield pd.DataFrame([[*key[:-1], *r] for r in rows], columns=[*keys, "status", "at", "last_seen"])
+
+    out = both.groupBy(*keys, "_clock").applyInPandasWithState(
+        watch, out_schema, "last_seen long, silent boolean", "append", GroupStateTimeout.EventTimeTimeout)
+    return out.withColumns({c: F.timestamp_micros(c) for c in ("at", "last_seen")})
+
+
 def dedup(stream: DataFrame, keys: Sequence[str] = ("source_id", "device_id", "ts", "tag_name"),
           ts: str = "ts", delay: str = "10 minutes") -> DataFrame:
     """STR6: drop redelivered messages/readings seen within the watermark delay."""
     return stream.withWatermark(ts, interval_text(delay)).dropDuplicatesWithinWatermark(list(keys))
 
 
+def rows_read(query) -> int:
+    """Rows that a finished run of a query has read, from its own progress reports."""
+    return sum(p["numInputRows"] for p in query.recentProgress)
+
+
 def split_late(batch: DataFrame, watermark, ts: str = "ts") -> tuple[DataFrame, DataFrame]:
     """STR7 (per micro-batch): rows at or after ``watermark`` are on time, the
     rest late (for a batch rerun of their day).  Use from ``foreachBatch``

@@ -61,6 +61,26 @@ def test_same_rows_for_one_file_and_shuffled_files(spark, tables, tmp, name):
         assert many == one and spark.read.parquet(f"{tables[0]}/many").count() > len(one)
 
 
+@pytest.mark.parametrize("pieces", [1, 4])
+def test_watchdog_follows_the_clock(spark, tmp, pieces):
+    import datetime as dt
+    import os
+    t0, m = dt.datetime(2024, 1, 1), dt.timedelta(minutes=1)
+    seen = {"a": [0, 3, 4, 30, 31], "b": [2, 16, 50], None: [5]}
+    rows = [(s, t0 + x * m, False) for s, xs in seen.items() for x in xs] + [(None, t0 + x * m, True) for x in range(0, 91, 5)]
+    df = spark.createDataFrame(rows, "source_id string, ts timestamp, clock boolean")
+    df.repartition(5, F.rand(3)).write.parquet(f"{tmp}/in")
+    size = sum(os.path.getsize(f"{tmp}/in/{f}") for f in os.listdir(f"{tmp}/in") if f.endswith(".parquet"))
+    spec = {"path": f"{tmp}/in", "schema": df.schema, "slice_bytes": -(-size // pieces)}
+    out = st.stream_to_table(spark, spec, lambda s: sq.clocked_watchdog(
+        s.where("NOT clock"), s.where("clock"), "14 minutes"), "dog", f"{tmp}/run")
+    got = {(r.source_id, r.status, (r.at - t0) // m, (r.last_seen - t0) // m)
+           for r in spark.read.schema(out[1]).parquet(out[0]).collect()}
+    want = {("a", "silent", 18, 4), ("a", "resumed", 30, 30), ("a", "silent", 45, 31), ("b", "silent", 30, 16),
+            ("b", "resumed", 50, 50), ("b", "silent", 64, 50), (None, "silent", 19, 5)}
+    assert got == want
+
+
 class Stop(Exception):
     pass
 

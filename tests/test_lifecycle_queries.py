@@ -8,7 +8,7 @@ from test_entry import SF, _duck
 
 
 @pytest.mark.parametrize("name", ["snk2_src6_rollup_rerun", "snk4_compact_map",
-                                  "jon6_partition_diff_full", "snk6_export_csv",
+                                  "jon6_partition_diff_full", "jon6_partition_sync", "snk6_export_csv",
                                   "alr7_classify_lag", "str4_stream_pending_firing"])
 def test_lifecycle_query_matches_duckdb(spark, name):
     df = entry.queries()[name](spark, SF)
