@@ -39,7 +39,8 @@ from sentencepiece import sentencepiece_model_pb2
 
 SPACE = "▁"
 SHORT = 48            # cuts up to this length are memoised
-MEMO = 800_000        # entries of a worker's memo (some 200 MB) before it starts anew
+MEMO = 150_000        # entries of a memo's younger half (some 20 MB); the older half holds as many
+FITS = 200_000        # remembered piece pairs (some 20 MB) before they start anew
 OTHER = -1            # a character without a piece
 
 
@@ -108,6 +109,8 @@ class PieceModel:
             out = not self._crosses(left, right)
         else:
             out = self._merged(self.names[left] + self.names[right]) == [left, right]
+        if len(self.known_fits) >= FITS:
+            self.known_fits.clear()
         self.known_fits[left << 32 | right] = out
         return out
 
@@ -289,15 +292,25 @@ class StreamingViterbi:
 
 
 class _Memo(dict):
-    """Short cut -> its ids as int32 bytes, computed on first use."""
+    """Short cut -> its ids as int32 bytes, computed on first use.
+
+    Two generations bound it: a full younger one becomes the older, whose
+    entries come back when they are used again and are forgotten otherwise.
+    """
 
     def __init__(self, model: PieceModel) -> None:
         super().__init__()
         self.stream = StreamingViterbi(model)
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, chunk: str) -> bytes:
         if len(chunk) <= SHORT:
-            ids = array("i", self.stream.segment(chunk)).tobytes()
+            ids = self.older.pop(chunk, None)
+            if ids is None:
+                ids = array("i", self.stream.segment(chunk)).tobytes()
+            if len(self) >= MEMO:
+                self.older = dict(self)
+                self.clear()
             self[chunk] = ids
             return ids
         ids = self.stream.feed(chunk) + self.stream.finish()   # a long run is streamed and not kept
@@ -315,8 +328,6 @@ class Codec:
         """The text's ids as int32 bytes."""
         if not text:
             return b""
-        if len(self.memo) > MEMO:
-            self.memo.clear()
         text = (SPACE if self.model.prefix else "") + text.replace(" ", SPACE)
         if self.model.cut is None:
             return self.memo.__missing__(text) if len(text) > SHORT else self.memo[text]
