@@ -23,7 +23,8 @@ suffixes of all shards again. After ``WINDOW`` rounds the blocks are the
 repeated intervals; of each the earliest window stays.
 
 Defined cases: a null text is empty; texts shorter than the window lose
-nothing; rows that repeat a doc_id stand at the same place, neither is earlier;
+nothing; a null doc_id counts as smaller than any other, so such a text is earliest;
+rows that repeat a doc_id (or have none) stand at the same place, neither is earlier;
 overlapping repeats count; an empty table gives an empty result; only doc_id
 and text are read. What is left of a text may end inside a UTF-8 character, so
 it is kept as bytes.

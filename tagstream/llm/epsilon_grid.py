@@ -14,8 +14,9 @@ task, never its pairs.
 Defined cases: vectors that are null, empty, zero or hold null or non-finite
 components, and vectors with a null label, link with nothing; vectors of
 different length never link; repeated rows are vectors of their own (a vec_id
-that occurs twice has its rows in one component); an empty table gives an
-empty result; only vec_id, embedding and label are read.
+that occurs twice has its rows in one component); a row without a vec_id
+links like any other but never names a component that has an id (its
+component_id is null among such rows alone); an empty table gives an empty result; only vec_id, embedding and label are read.
 """
 
 from __future__ import annotations
@@ -155,7 +156,7 @@ def _leaf(axis: dict[int, np.ndarray]):
             "node": pdf["block"].iloc[0], "n": len(pdf), "lo_grp": pdf["grp"].iloc[0], "hi_grp": pdf["grp"].iloc[-1],
             "box_lo": lead.min(0).tolist(), "box_hi": lead.max(0).tolist(), "centre": centre.tolist(),
             "radius": float(np.sqrt(((x - centre) ** 2).sum(1)).max()) if one else 1e9,
-            "first": int(pdf["vec_id"].iloc[0]) if pd.notna(pdf["vec_id"].iloc[0]) else -1}])
+            "first": int(pdf["vec_id"].iloc[0])}])
     return run
 
 
@@ -200,7 +201,7 @@ def judged(pairs: DataFrame, nodes: DataFrame, eps: float) -> DataFrame:
 def _block_bytes(pdf: pd.DataFrame) -> pd.DataFrame:
     pdf = pdf.sort_values("pos")
     return pd.DataFrame([{"node": pdf["block"].iloc[0], "pos": pdf["pos"].iloc[0],
-                          "ids": pdf["vec_id"].fillna(-1).astype(np.int64).to_numpy().tobytes(),
+                          "ids": pdf["vec_id"].astype(np.int64).to_numpy().tobytes(),
                           "grps": pdf["grp"].tolist(), "units": pdf["unit"].tolist()}])
 
 
@@ -253,14 +254,22 @@ def near_duplicates(spark: SparkSession, vectors: DataFrame, threshold: float =
     """One row per vector: vec_id, n_links, component_id (smallest vec_id reachable by links), kept."""
     scratch = Scratch(spark, "epsilon-grid")
     eps = math.sqrt(2.0 - 2.0 * threshold)
-    units = scratch.put(unit_vectors(vectors), "units")
+    # rows without an id get one above all others, so they never name a component of others
+    top = vectors.agg(F.max("vec_id")).first()[0]
+    above = max(0, (top if top is not None else -1) + 1)
+    known = F.coalesce(F.col("vec_id").cast("long"), F.lit(above) + F.monotonically_increasing_id())
+    units = scratch.put(unit_vectors(vectors.withColumn("vec_id", known)), "units")
+
+    def named(df):
+        return df.select(*[F.when(F.col(c) < above, F.col(c)).alias(c) if c.endswith("_id") else c for c in df.columns])
+
     axis = axes(units)
     line = scratch.put(grid_order(scratch, units, axis, eps), "sequence")
     alone = (units.where("unit IS NULL").select("vec_id", F.lit(0).cast("long").alias("n_links"),
                                                 F.col("vec_id").alias("component_id"), F.lit(True).alias("kept")))
     total = line.count()
     if not total:
-        return alone
+        return named(alone)
     levels = [scratch.put(line.groupBy("block").applyInPandas(_leaf(axis), NODE), "level0")]
     width = -(-total // BLOCK)
     while width > 1:
@@ -305,4 +314,4 @@ def near_duplicates(spark: SparkSession, vectors: DataFrame, threshold: float =
             .select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"),
                     F.coalesce("component", "vec_id").alias("component_id"),
                     F.col("vec_id").eqNullSafe(F.coalesce("component", "vec_id")).alias("kept")))
-    return done.union(alone)
+    return named(done.union(alone))

@@ -8,9 +8,11 @@ positives join the snapshot's rows of the same digest, and the normalised
 bytes of the two representatives are compared before the groups are merged.
 
 Defined cases: a null text counts as empty; texts that are only white space
-are equal to empty ones; rows that repeat a doc_id count as rows of their own
-in ``group_size`` and share the decision of that id; an empty table gives an
-empty result; other columns are never read.
+are equal to empty ones; a null doc_id comes after every other; rows that
+repeat a doc_id count as rows of their own in ``group_size``, and equal texts of
+the id that stays are all ``kept`` in the decisions, while ``keep_unique`` keeps
+one row of each text, whatever the ids; an empty table gives an empty result;
+other columns are never read.
 """
 
 from __future__ import annotations
@@ -49,9 +51,10 @@ def digests(docs: DataFrame) -> DataFrame:
 
 
 def group_rows(rows: DataFrame) -> DataFrame:
-    """One row per digest: the row that stays (most code points, then smallest id) and the group's size."""
+    """One row per digest: the row that stays (most code points, then smallest id, null last) and the group's size."""
     return rows.groupBy("sha").agg(
-        F.min(F.struct((-F.col("points")).alias("neg"), "doc_id")).alias("best"), F.count("*").alias("size"))
+        F.min(F.struct((-F.col("points")).alias("neg"), F.col("doc_id").isNull().alias("no_id"), "doc_id")).alias("best"),
+        F.count("*").alias("size"))
 
 
 # ------------------------------------------------------- binary-fuse filter
@@ -163,8 +166,9 @@ def _normal_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 def same_bytes(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """Digests of ``pairs(sha, left_id, right_id)`` whose two texts, white space deleted, hold the same bytes."""
-    ids = pairs.select(F.explode(F.array("left_id", "right_id")).alias("doc_id")).distinct()
-    texts = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").select("text")
+    ids = pairs.select(F.explode(F.array("left_id", "right_id")).alias("doc_id")).distinct().select(F.struct("doc_id").alias("id"))
+    # the struct makes a null id equal to itself
+    texts = docs.select(F.struct("doc_id").alias("id"), "text").join(ids, "id", "left_semi").select("text")
     bare = texts.mapInArrow(_normal_batches, "sha binary, bare binary")
     return (bare.join(pairs.select("sha"), "sha", "left_semi").groupBy("sha")
             .agg(F.min("bare").alias("lo"), F.max("bare").alias("hi")).where("lo = hi").select("sha"))
@@ -206,10 +210,30 @@ def exact_dedup(spark: SparkSession, snapshot: DataFrame, incoming: DataFrame) -
 
 
 def keep_unique(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose text stays, with all their columns (half the ids form the snapshot)."""
-    decided = exact_dedup(spark, *split_batches(docs))
-    drop = Scratch(spark, "exact-keep").put(decided.where("NOT kept").select("doc_id").distinct(), "drop")
-    return docs.join(drop, "doc_id", "left_anti").select(docs.columns)
+    """One row of ``docs`` for each text, with all its columns (half the ids form the snapshot).
+
+    An id that stands in one row decides for its row. Rows whose id is null or
+    repeated are written with a row number and decided one by one.
+    """
+    scratch = Scratch(spark, "exact-keep")
+    decided = scratch.put(exact_dedup(spark, *split_batches(docs)).select("doc_id", "keep_id", "kept", "text_sha256"), "decided")
+    odd = scratch.put(decided.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 OR doc_id IS NULL")
+                      .select(F.struct("doc_id").alias("_id")), "odd")
+    drop = scratch.put(decided.where("NOT kept AND doc_id IS NOT NULL").select(F.struct("doc_id").alias("_id")).distinct()
+                       .union(odd).distinct(), "drop")
+    named = docs.withColumn("_id", F.struct("doc_id"))
+    plain = named.join(drop, "_id", "left_anti").select(docs.columns)
+    if odd.isEmpty():
+        return plain
+    rows = scratch.put(named.join(odd, "_id", "left_semi").drop("_id").withColumn("_row", F.monotonically_increasing_id()), "rows")
+    # of the rows that carry a text's staying id, the longest, then the first, stays
+    own = (rows.select(F.col("_row").alias("doc_id"), "text").mapInArrow(_digest_batches, "doc_id long, sha binary, points long")
+           .select(F.col("doc_id").alias("_row"), F.lower(F.hex("sha")).alias("text_sha256"), "points"))
+    keepers = decided.select("text_sha256", F.struct(F.col("keep_id").alias("doc_id")).alias("_id")).distinct()
+    ids = rows.select("_row", F.struct("doc_id").alias("_id"))
+    best = (own.join(ids, "_row").join(keepers, ["text_sha256", "_id"], "left_semi").groupBy("text_sha256")
+            .agg(F.min(F.struct((-F.col("points")).alias("neg"), "_row")).alias("best")).select(F.col("best._row").alias("_row")))
+    return plain.unionByName(rows.join(best, "_row", "left_semi").select(docs.columns))
 
 
 def split_batches(docs: DataFrame) -> tuple[DataFrame, DataFrame]:

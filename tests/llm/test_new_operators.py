@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tagstream.llm import bwt_dedup, epsilon_grid, exact_dedup
 from tagstream.llm import deleted_interpolation as di
 from tagstream.llm import lemp_negatives as ln
 from tagstream.llm import quadtree_audit as qa
@@ -286,3 +287,34 @@ def test_pruning_keeps_every_row_above_the_threshold():
             assert set(np.flatnonzero(cosine >= t)) <= set(np.asarray(found).tolist())
             read += len(found)
     assert read < 50 * 4 * 300 * 0.7
+
+
+# --------------------------------------------------- null and repeated ids of earlier operators
+def test_keep_unique_decides_rows_not_ids(spark):
+    rows = [(1, "A text"), (0, "A text"), (1, "B only here"), (None, "C"), (None, "C "), (5, "C"), (None, "D alone"),
+            (None, "D alone"), (7, None), (8, " "), (9, "E"), (9, "E"), (9, "E"), (10, "F")]
+    df = spark.createDataFrame([(i, t, "en", "s", *EXTRA) for i, t in rows], DOCS).repartition(3)
+    got = collections.Counter((r.doc_id, r.text) for r in exact_dedup.keep_unique(spark, df).collect())
+    # the longest text of a group, then the smallest id; null ids last
+    assert got == collections.Counter([(0, "A text"), (1, "B only here"), (None, "C "), (None, "D alone"), (8, " "), (9, "E"), (10, "F")])
+
+
+def test_exact_dedup_null_ids_come_last(spark):
+    df = spark.createDataFrame([(None, "x", "en", "s", *EXTRA), (4, "x", "en", "s", *EXTRA)] * 2, DOCS)
+    got = exact_dedup.exact_dedup(spark, *exact_dedup.split_batches(df)).collect()
+    assert [r.keep_id for r in got] == [4] * 4 and {r.group_size for r in got} == {4}
+
+
+def test_vectors_without_id_never_name_a_component(spark):
+    rows = [(7, [1.0, 0.0], 1), (None, [1.0, 0.001], 1), (3, [0.0, 1.0], 1), (None, [-1.0, 0.0], 1), (None, [-1.0, 0.0], 1), (9, None, 1)]
+    df = spark.createDataFrame([(*r, "x", "x", "x") for r in rows], VECS)
+    got = sorted(((r.vec_id, r.n_links, r.component_id, r.kept) for r in epsilon_grid.near_duplicates(spark, df).collect()), key=repr)
+    assert got == sorted([(7, 1, 7, True), (None, 1, 7, False), (3, 0, 3, True), (None, 1, None, True), (None, 1, None, False),
+                          (9, 0, 9, True)], key=repr)
+
+
+def test_bwt_null_id_counts_as_earliest(spark):
+    text = "".join(random.Random(4).choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(240))
+    df = spark.createDataFrame([(None, text), (1, text), (2, text)], "doc_id long, text string")
+    got = {r.doc_id: r.n_removed for r in bwt_dedup.digest(bwt_dedup.remove_repeats(spark, df)).collect()}
+    assert got == {None: 0, 1: 240, 2: 240}
