@@ -12,9 +12,8 @@ from tagstream.operators.joins import null_safe_join
 from tagstream.functions.catalog import (DEFAULT_ROUTE, EVAL_INTERVAL, GROUP_BY, LAG_CHECK_ABOVE,
                                          LAG_NORMAL_BELOW, PLANT_ROUTES, AlertRule, Route)
 from tagstream.functions.timefn import duration_micros, interval_text, micros
-from tagstream.operators.sequence import neighbours_in_series, running_in_series, shift_in_series
+from tagstream.operators.sequence import shift_in_series
 from tagstream.operators.series import data_span, eval_grid, reducer, ticks_between
-from tagstream.session import checkpoint_dir
 
 _OPS = {">": lambda v, x: v > x, "<": lambda v, x: v < x, ">=": lambda v, x: v >= x,
         "<=": lambda v, x: v <= x, "==": lambda v, x: v == x, "!=": lambda v, x: v != x}
@@ -301,8 +300,7 @@ def _ceil_to_grid(x: F.Column, step: F.Column) -> F.Column:
 
 def group_notifications(routed: DataFrame, group_by: Sequence[str] = GROUP_BY,
                         series: Sequence[str] = ("device_id", "field"), tick: str = "tick",
-                        state: str = "state", every: str = EVAL_INTERVAL,
-                        bucket: str = "1 day") -> DataFrame:
+                        state: str = "state", every: str = EVAL_INTERVAL) -> DataFrame:
     """ALR4: notifications per alert group (``group_by`` labels within a route).
 
     Input: routed alert states (WIN3 output + ALR3 columns).  A group session
@@ -313,8 +311,12 @@ def group_notifications(routed: DataFrame, group_by: Sequence[str] = GROUP_BY,
     ``repeat_interval`` rounded up to the grid.  Each notification carries the
     number of firing alerts and of alerts resolved since the previous send.
 
-    Built from running sums and shifts partitioned by (group, time slice) and
-    ``explode(sequence)`` for repeats: no fold, no pairs of alerts.
+    What a group sends depends only on how many of its alerts start and end at
+    each time, and how long the latest of those starting lasts. So the runs
+    are summed by (group, time) first, partially before the shuffle: however
+    many series a rule fires for, a group comes to at most one row per tick,
+    and the windows over a group run over those. Two such windows find the
+    sessions and the counts at each send; nothing is joined or written.
     """
     gk = ["route_order", *group_by]
     step = duration_micros(every)
@@ -324,47 +326,40 @@ def group_notifications(routed: DataFrame, group_by: Sequence[str] = GROUP_BY,
                   .agg(F.min(fire_t).alias("_s"), F.max(fire_t).alias("_lf"),
                        F.max(F.when(F.col(state) == "Resolved", micros(tick))).alias("_r"))
                   .where(F.col("_s").isNotNull())
-                  .select(*gk, *pol, "_s", F.coalesce("_r", F.col("_lf") + F.lit(step)).alias("_e"),
-                          F.xxhash64(*series, "active_since").alias("_rid"))
-                  .withColumn("_st", F.timestamp_micros("_s")))
-    # Each bucketed helper reads its input twice; checkpoints between them keep
-    # the plan linear instead of doubling per step (and cut lineage).
-    checkpoint_dir(routed.sparkSession)
-    runs = runs.checkpoint()
+                  .select(*gk, *pol, "_s", F.coalesce("_r", F.col("_lf") + F.lit(step)).alias("_e")))
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    starts = F.struct(F.col("_s").alias("_t"), one.alias("_n"), none.alias("_x"), F.col("_e").alias("_until"))
+    stops = F.struct(F.col("_e").alias("_t"), none.alias("_n"), one.alias("_x"), F.lit(None).cast("long").alias("_until"))
+    per = (runs.select(*gk, *pol, F.inline(F.array(starts, stops))).groupBy(*gk, *pol, "_t")
+               .agg(F.sum("_n").alias("_n"), F.sum("_x").alias("_x"), F.max("_until").alias("_until")))
     gw = F.col("group_wait_s").cast("long") * 1_000_000
     gi = F.col("group_interval_s").cast("long") * 1_000_000
-    # sessions: a run opens one when it starts more than group_interval after
-    # every earlier run ended (the group lingers until its resolution flush)
-    runs = running_in_series(runs, gk, "_st", "_e", "max", "_cum", bucket, "_rid")
-    runs = shift_in_series(runs, gk, "_st", ["_cum"], "prev", bucket, "_rid")
-    runs = runs.withColumn("_open", F.when(F.col("prev__cum").isNull()
-                                           | (F.col("_s") > F.col("prev__cum") + gi), F.col("_s")))
-    runs = running_in_series(runs, gk, "_st", "_open", "max", "_anchor", bucket, "_rid").checkpoint()
+    # a session opens when a run starts more than group_interval after every
+    # earlier run ended (the group lingers until its resolution flush)
+    w = Window.partitionBy(*gk).orderBy("_t")
+    before = F.max("_until").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    opens = (F.col("_n") > 0) & (before.isNull() | (F.col("_t") > before + gi))
+    per = per.withColumn("_open", F.when(opens, F.col("_t")))
+    per = per.withColumn("_anchor", F.max("_open").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     first = F.col("_anchor") + gw
-    changes = (runs.select(*gk, *pol, "_anchor", F.col("_s").alias("_t"), F.lit(1).alias("_d"),
-                           F.lit(0).alias("_rs"))
-                   .unionByName(runs.select(*gk, *pol, "_anchor", F.col("_e").alias("_t"),
-                                            F.lit(-1).alias("_d"), F.lit(1).alias("_rs"))))
-    send_t = first + _ceil_to_grid(F.greatest(F.col("_t") - first, F.lit(0)), gi)
-    sends = (changes.select(*gk, *pol, "_anchor", send_t.alias("_t")).distinct()
-                    .withColumn("_d", F.lit(0)).withColumn("_rs", F.lit(0)).withColumn("_m", F.lit(1)))
-    stream = changes.withColumn("_m", F.lit(0)).unionByName(sends).withColumn("_ts", F.timestamp_micros("_t"))
-    stream = running_in_series(stream, gk, "_ts", "_d", "sum", "firing", bucket, "_m")
-    stream = running_in_series(stream, gk, "_ts", "_rs", "sum", "_rcum", bucket, "_m")
-    sent = stream.where(F.col("_m") == 1).checkpoint()
-    sent = neighbours_in_series(sent, gk, "_ts", ["_rcum", "_anchor"], bucket).checkpoint()
-    sent = sent.withColumn("resolved", F.col("_rcum") - F.coalesce(F.col("prev__rcum"), F.lit(0)))
-    kind = F.when(F.col("prev__anchor").isNull() | (F.col("prev__anchor") != F.col("_anchor")),
-                  "initial").otherwise("update")
-    out = sent.select(*gk, *pol, F.col("_t").alias("_n"), "firing", "resolved", kind.alias("kind"),
-                      F.when(F.col("next__anchor") == F.col("_anchor"), micros("next__ts"))
-                      .alias("_next"))
+    change = F.struct("_t", (F.col("_n") - F.col("_x")).alias("_d"), F.col("_x").alias("_rs"), F.lit(0).alias("_m"))
+    send = F.struct((first + _ceil_to_grid(F.greatest(F.col("_t") - first, F.lit(0)), gi)).alias("_t"),
+                    none.alias("_d"), none.alias("_rs"), F.lit(1).alias("_m"))
+    stream = (per.select(*gk, *pol, "_anchor", F.inline(F.array(change, send)))
+                 .groupBy(*gk, *pol, "_anchor", "_t", "_m").agg(F.sum("_d").alias("_d"), F.sum("_rs").alias("_rs")))
+    upto = Window.partitionBy(*gk).orderBy("_t", "_m").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    stream = stream.withColumns({"firing": F.sum("_d").over(upto), "_rcum": F.sum("_rs").over(upto)})
+    sent = stream.where(F.col("_m") == 1)
+    last = F.lag("_anchor").over(w)
+    out = sent.select(
+        *gk, *pol, F.col("_t").alias("_n"), "firing", (F.col("_rcum") - F.coalesce(F.lag("_rcum").over(w), none)).alias("resolved"),
+        F.when(last.isNull() | (last != F.col("_anchor")), "initial").otherwise("update").alias("kind"),
+        F.when(F.lead("_anchor").over(w) == F.col("_anchor"), F.lead("_t").over(w)).alias("_next"))
     rep = _ceil_to_grid(F.col("repeat_interval_s").cast("long") * 1_000_000, gi)
-    repeats = (out.where(F.col("_next").isNotNull() & (F.col("_n") + rep < F.col("_next")))
-                  .select(*gk, *pol, F.explode(F.sequence(F.col("_n") + rep, F.col("_next") - 1, rep))
-                          .alias("_n"), "firing", F.lit(0).cast("long").alias("resolved"),
-                          F.lit("repeat").alias("kind")))
-    res = out.drop("_next").unionByName(repeats)
+    between = F.when(F.col("_next") > F.col("_n") + rep, F.sequence(F.col("_n") + rep, F.col("_next") - 1, rep))
+    own = F.array(F.struct("_n", "firing", "resolved", "kind"))
+    repeats = F.transform(between, lambda t: F.struct(t.alias("_n"), F.col("firing"), none.alias("resolved"), F.lit("repeat").alias("kind")))
+    res = out.select(*gk, *pol, F.inline(F.concat(own, F.coalesce(repeats, F.slice(own, 1, 0)))))
     return res.withColumn("notify_at", F.timestamp_micros("_n")).drop("_n")
 
 

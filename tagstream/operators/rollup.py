@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tagstream.functions.timefn import with_date_parts
 from tagstream.operators.joins import null_safe_join
+from tagstream.operators.series import partition_filter
 
 
 def _good(df: DataFrame, value: str) -> DataFrame:
@@ -91,11 +92,11 @@ def hourly_mean(raw: DataFrame, tag: str, year: str, month: str, day: str,
                 ts: str = "ts", tag_col: str = "tag_name", value: str = "value") -> DataFrame:
     """AGG10: mean of one tag by hour on one day, ordered by hour.
 
-    Filters on y / m / d first, so a partitioned table is pruned to one day.
+    Filters on y / m / d and on the same day as a time range first, so a
+    partitioned table is pruned to one day and any other to its row groups.
     """
     df = raw if "year" in raw.columns else with_date_parts(raw, ts)
-    one = df.where((F.col("year") == year) & (F.col("month") == month) & (F.col("day") == day)
-                   & (F.col(tag_col) == tag))
+    one = partition_filter(df, year, month, day, ts).where(F.col(tag_col) == tag)
     return (one.groupBy(F.date_trunc("hour", F.col(ts)).alias("hour"))
                .agg(F.avg(value).alias("avg_val"))
                .orderBy("hour"))

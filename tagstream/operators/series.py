@@ -69,9 +69,16 @@ def keep_fields(df: DataFrame, globs: Sequence[str], field_col: str = "field") -
     return df.where(F.col(field_col).rlike(f"^(?:{regex})"))
 
 
-def partition_filter(df: DataFrame, year: str, month: str, day: str) -> DataFrame:
-    """FLT4: y / m / d equality; on a partitioned table Spark prunes directories."""
-    return df.where((F.col("year") == year) & (F.col("month") == month) & (F.col("day") == day))
+def partition_filter(df: DataFrame, year: str, month: str, day: str, ts: str | None = None) -> DataFrame:
+    """FLT4: y / m / d equality; on a partitioned table Spark prunes directories.
+
+    ``ts`` names the event time that the parts come from: the same day as a time
+    range also reaches the scan of a table without such directories."""
+    one = df.where((F.col("year") == year) & (F.col("month") == month) & (F.col("day") == day))
+    if ts is None:
+        return one
+    lo = F.lit(f"{year}-{month}-{day}").cast("timestamp")
+    return one.where((F.col(ts) >= lo) & (F.col(ts) < lo + F.expr("INTERVAL 1 DAY")))
 
 
 def hour_slice(df: DataFrame, hour_start, ts: str = "ts") -> DataFrame:

@@ -76,7 +76,7 @@ WHERE strftime(ts, '%Y') = '2024' AND strftime(ts, '%m') = '01' AND strftime(ts,
 def flt4_partition_filter(spark, sf_dir):
     from tagstream.functions.timefn import with_date_parts
     r = with_date_parts(fx.readings(spark, sf_dir), "ts")
-    return _rows(se.partition_filter(r, "2024", "01", "07"))
+    return _rows(se.partition_filter(r, "2024", "01", "07", ts="ts"))
 
 
 @register("flt5_hour_slice", f"""

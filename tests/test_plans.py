@@ -18,6 +18,22 @@ def test_time_range_reaches_the_parquet_scan(spark):
     assert "GreaterThanOrEqual(ts" in pushed and "LessThan(ts" in pushed
 
 
+def test_day_filters_reach_the_parquet_scan(spark):
+    from tagstream.functions.timefn import with_date_parts
+    day = se.partition_filter(with_date_parts(fx.readings(spark, SF), "ts"), "2024", "01", "07", ts="ts")
+    mean = ro.hourly_mean(fx.readings(spark, SF), "click_07", "2024", "01", "15")
+    for q in (day, mean):
+        pushed = " ".join(checks.pushed_filters(q))
+        assert "GreaterThanOrEqual(ts" in pushed and "LessThan(ts" in pushed
+
+
+def test_notifications_window_over_ticks_not_alerts(spark):
+    from tagstream.plans import alert_queries as aq
+    plan = checks.physical_plan(aq._notifications(spark, SF))
+    windows = plan[:plan.index("partial_min(")]           # from the runs' aggregate upwards
+    assert "Join" not in windows.split("Exchange")[0] and "SortMergeJoin" not in plan
+
+
 def test_projection_prunes_columns(spark):
     q = ro.rollup_1h(fx.readings(spark, SF))
     scan = checks.scans(q)[0]
