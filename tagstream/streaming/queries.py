@@ -62,8 +62,10 @@ def stream_cooldown(violations: DataFrame, seconds: float, keys: Sequence[str] =
                     cols: Sequence[str] = ("value",)) -> DataFrame:
     """STR3: WIN2 on a stream; state per key = last firing time (µs).
 
-    Within a micro-batch rows are folded in (ts, tiebreak) order; the state
-    survives restarts through the checkpoint, unlike an in-memory dict.
+    Rows of a micro-batch are taken in (ts, tiebreak) order; from one firing a
+    binary search finds the next, so the work is per firing, not per row. The
+    state survives restarts through the checkpoint, unlike an in-memory dict.
+    A task holds a key's rows of one micro-batch: admitted slices bound that.
     """
     keys = list(keys)
     c_us = duration_micros(seconds)
@@ -74,19 +76,17 @@ def stream_cooldown(violations: DataFrame, seconds: float, keys: Sequence[str] =
                            + [f"{c} {violations.schema[c].dataType.simpleString()}" for c in tb + extra])
 
     def fold(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last = state.get[0] if state.exists else None
         pdf = pd.concat(list(pdfs), ignore_index=True)
-        pdf = pdf.sort_values(["_t"] + tb, kind="stable")
+        order = np.lexsort([pdf[c].to_numpy() for c in (*tb, "_t")])
+        t = pdf["_t"].to_numpy()[order]
+        at = int(np.searchsorted(t, state.get[0] + c_us)) if state.exists else 0
         keep = []
-        for t in pdf["_t"].to_numpy():
-            fire = last is None or t - last >= c_us
-            keep.append(fire)
-            if fire:
-                last = int(t)
-        if last is not None:
-            state.update((last,))
-        if any(keep):  # keys with nothing to emit yield no frame
-            yield pdf[keep]
+        while at < len(t):
+            keep.append(order[at])
+            at = max(at + 1, int(np.searchsorted(t, t[at] + c_us)))
+        if keep:  # keys with nothing to emit yield no frame
+            state.update((int(pdf["_t"].iloc[keep[-1]]),))
+            yield pdf.iloc[keep]
 
     fired = sel.groupBy(*keys).applyInPandasWithState(
         fold, out_schema, "last_fired long", "append", GroupStateTimeout.NoTimeout)
@@ -148,43 +148,51 @@ def stream_pending_firing(evals: DataFrame, keys: Sequence[str], for_: str,
                         F.col("firing").cast("double").alias("firing")))
     out_schema = _keys_schema(evals, keys) + ", _t long, state string, _since long"
 
-    def emit(key, rows):
-        out = pd.DataFrame(rows, columns=["_t", "state", "_since"])
+    def emit(key, t, states, since):
+        out = pd.DataFrame({"_t": t, "state": states, "_since": since})
         for i, k in enumerate(keys):
             out.insert(i, k, key[i])
         return out
 
     def step_fn(key, pdfs, state: GroupState):
         since, last, fired = state.get if state.exists else (None, None, False)
-        rows = []
         if state.hasTimedOut:
-            if fired and last is not None:
-                rows.append((last + step, "Resolved", since))
             state.remove()
-            if rows:
-                yield emit(key, rows)
+            if fired:
+                yield emit(key, [last + step], ["Resolved"], [since])
             return
-        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values("_t")
-        for t, f in zip(pdf["_t"].to_numpy(), pdf["firing"].to_numpy()):
-            t = int(t)
-            if since is not None and (t - last > step or f != 1.0):  # run ended at last + step
-                if fired:
-                    rows.append((last + step, "Resolved", since))
-                since, last, fired = None, None, False
-            if f == 1.0:
-                if since is None:
-                    since, fired = t, False
-                st = "Firing" if t - since >= hold else "Pending"
-                fired = fired or st == "Firing"
-                rows.append((t, st, since))
-                last = t
-        if since is None:
+        pdf = pd.concat([p[["_t", "firing"]] for p in pdfs], ignore_index=True)
+        order = np.argsort(pdf["_t"].to_numpy(), kind="stable")
+        ticks, active = pdf["_t"].to_numpy()[order], pdf["firing"].to_numpy()[order] == 1.0
+        # active ticks, each with the inactive ones before it; an open run goes on as its last tick
+        t, quiet = ticks[active], np.cumsum(~active)[active]
+        carried = since is not None
+        if carried:
+            t, quiet = np.append(last, t), np.append(0, quiet)
+        if not len(t):
+            return
+        start = np.append(True, (np.diff(t) > step) | (np.diff(quiet) > 0))
+        run = np.cumsum(start) - 1
+        begun = t[start]
+        if carried:
+            begun[0] = since
+        ends = np.append(t[np.flatnonzero(start)[1:] - 1], t[-1])
+        reached = ends - begun >= hold
+        if carried:
+            reached[0] |= fired
+        over = np.ones(len(begun), bool)
+        over[-1] = (~active).sum() > quiet[-1]              # an inactive tick after the last active one
+        new = slice(1 if carried else 0, None)
+        states = np.where(t - begun[run] >= hold, "Firing", "Pending")[new]
+        done = over & reached
+        if over[-1]:
             state.remove()
         else:
-            state.update((since, last, fired))
-            state.setTimeoutTimestamp((last + step) // 1000)
-        if rows:
-            yield emit(key, rows)
+            state.update((int(begun[-1]), int(t[-1]), bool(reached[-1])))
+            state.setTimeoutTimestamp((int(t[-1]) + step) // 1000)
+        if len(states) or done.any():
+            yield emit(key, np.append(t[new], ends[done] + step), np.append(states, np.full(done.sum(), "Resolved")).astype(object),
+                       np.append(begun[run][new], begun[done]))
 
     out = sel.groupBy(*keys).applyInPandasWithState(
         step_fn, out_schema, "since long, last long, fired boolean", "append",
