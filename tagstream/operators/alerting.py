@@ -13,7 +13,7 @@ from tagstream.functions.catalog import (DEFAULT_ROUTE, EVAL_INTERVAL, GROUP_BY,
                                          LAG_NORMAL_BELOW, PLANT_ROUTES, AlertRule, Route)
 from tagstream.functions.timefn import duration_micros, interval_text, micros
 from tagstream.operators.sequence import shift_in_series
-from tagstream.operators.series import data_span, eval_grid, reducer, ticks_between
+from tagstream.operators.series import data_span, eval_grid, reducer, ticks_between, time_range
 
 _OPS = {">": lambda v, x: v > x, "<": lambda v, x: v < x, ">=": lambda v, x: v >= x,
         "<=": lambda v, x: v <= x, "==": lambda v, x: v == x, "!=": lambda v, x: v != x}
@@ -298,6 +298,18 @@ def _ceil_to_grid(x: F.Column, step: F.Column) -> F.Column:
     return x + F.pmod(-x, step)
 
 
+def firing_runs(routed: DataFrame, group_by: Sequence[str] = GROUP_BY, series: Sequence[str] = ("device_id", "field"),
+                tick: str = "tick", state: str = "state", every: str = EVAL_INTERVAL,
+                keep: Sequence[str] = ()) -> DataFrame:
+    """The stretches over which each alert fires: ``_s`` (first Firing tick) to ``_e`` (Resolved tick), µs."""
+    fire_t = F.when(F.col(state) == "Firing", micros(tick))
+    return (routed.groupBy("route_order", *group_by, *series, "active_since", *keep)
+                  .agg(F.min(fire_t).alias("_s"), F.max(fire_t).alias("_lf"),
+                       F.max(F.when(F.col(state) == "Resolved", micros(tick))).alias("_r"))
+                  .where(F.col("_s").isNotNull())
+                  .withColumn("_e", F.coalesce("_r", F.col("_lf") + F.lit(duration_micros(every)))).drop("_lf", "_r"))
+
+
 def group_notifications(routed: DataFrame, group_by: Sequence[str] = GROUP_BY,
                         series: Sequence[str] = ("device_id", "field"), tick: str = "tick",
                         state: str = "state", every: str = EVAL_INTERVAL) -> DataFrame:
@@ -319,14 +331,8 @@ def group_notifications(routed: DataFrame, group_by: Sequence[str] = GROUP_BY,
     sessions and the counts at each send; nothing is joined or written.
     """
     gk = ["route_order", *group_by]
-    step = duration_micros(every)
     pol = ["group_wait_s", "group_interval_s", "repeat_interval_s"]
-    fire_t = F.when(F.col(state) == "Firing", micros(tick))
-    runs = (routed.groupBy(*gk, *series, "active_since", *pol)
-                  .agg(F.min(fire_t).alias("_s"), F.max(fire_t).alias("_lf"),
-                       F.max(F.when(F.col(state) == "Resolved", micros(tick))).alias("_r"))
-                  .where(F.col("_s").isNotNull())
-                  .select(*gk, *pol, "_s", F.coalesce("_r", F.col("_lf") + F.lit(step)).alias("_e")))
+    runs = firing_runs(routed, group_by, series, tick, state, every, pol).select(*gk, *pol, "_s", "_e")
     one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
     starts = F.struct(F.col("_s").alias("_t"), one.alias("_n"), none.alias("_x"), F.col("_e").alias("_until"))
     stops = F.struct(F.col("_e").alias("_t"), none.alias("_n"), one.alias("_x"), F.lit(None).cast("long").alias("_until"))
@@ -389,6 +395,36 @@ def render(notifications: DataFrame, subject: str = SUBJECT_FMT) -> DataFrame:
                         F.col("resolved")).alias("body"))
 
 
+LINE_FMT = "%s firing since %s"
+
+
+def alert_lines(notifications: DataFrame, routed: DataFrame, group_by: Sequence[str] = GROUP_BY,
+                series: Sequence[str] = ("device_id", "field"), every: str = EVAL_INTERVAL) -> DataFrame:
+    """ALR6: one line for each alert that fires when its group's notification goes out.
+
+    Adds ``line`` to the notification's columns. Notifications meet the firing
+    runs of their group and day; the output is as long as the lists themselves.
+    """
+    gk = ["route_order", *group_by]
+    day = F.lit(86_400_000_000)
+    name = F.concat_ws("/", *[F.col(c) for c in series])
+    runs = firing_runs(routed, group_by, series, every=every).select(
+        F.struct(*gk).alias("_k"), "_s", "_e", F.explode(F.sequence(F.col("_s") - F.pmod("_s", day), F.col("_e"), day)).alias("_day"),
+        F.format_string(LINE_FMT, name, F.date_format("active_since", "yyyy-MM-dd HH:mm:ss")).alias("line"))
+    at = micros("notify_at")
+    sent = notifications.withColumns({"_k": F.struct(*gk), "_n": at, "_day": at - F.pmod(at, day)})
+    hit = sent.join(runs, ["_k", "_day"]).where((F.col("_s") <= F.col("_n")) & (F.col("_n") < F.col("_e")))
+    return hit.select(*notifications.columns, "line")
+
+
+def unknown_tags(readings: DataFrame, tags: DataFrame, ts: str = "ts", tag: str = "tag_name") -> DataFrame:
+    """Schema drift: tags that deliver but are not in the dictionary, with rows, first and last time.
+
+    Summed by tag first, so the dictionary meets one row per tag."""
+    seen = readings.groupBy(tag).agg(F.count(F.lit(1)).alias("rows"), F.min(ts).alias("first_seen"), F.max(ts).alias("last_seen"))
+    return null_safe_join(seen, tags.select(tag).distinct(), [tag], "left_anti")
+
+
 def classify_lag(offsets: DataFrame, normal_below: int = LAG_NORMAL_BELOW,
                  check_above: int = LAG_CHECK_ABOVE) -> DataFrame:
     """ALR7: consumer lag per (group, partition) with a band and orphan flag."""
@@ -404,10 +440,10 @@ def missing_tags(readings: DataFrame, tags: DataFrame, start, stop, every: str,
     """JON4: dictionary tags with no good value in a window of ``[start, stop)``.
 
     Grid = dictionary rows × window starts (a generator, not a join), then
-    ``left_anti`` against the (tag, window) pairs that did report.
+    ``left_anti`` against the (tag, window) pairs that did report in the range.
     """
     grid = eval_grid(tags.select(F.col(tag)), start, stop, every, "window_start")
-    seen = (readings.where(F.col(value).isNotNull())
+    seen = (time_range(readings, start, stop, ts).where(F.col(value).isNotNull())
                     .select(F.col(tag), F.window(F.col(ts), interval_text(every)).start
                             .alias("window_start")).distinct())
     return null_safe_join(grid, seen, [tag, "window_start"], "left_anti")

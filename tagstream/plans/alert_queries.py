@@ -377,6 +377,37 @@ def alr4_ingest_stopped_notifications(spark, sf_dir):
     return n.select(*_NOTIF_COLS, "kind", txt("notify_at").alias("notify_at"))
 
 
+@register("alr6_alert_lines", f"""
+WITH runs AS (
+  SELECT route_order, alertname, severity, device_id, field, active_since,
+         min(tick) FILTER (WHERE state = 'Firing') AS s,
+         coalesce(max(tick) FILTER (WHERE state = 'Resolved'),
+                  max(tick) FILTER (WHERE state = 'Firing') + INTERVAL 1 MINUTE) AS e
+  FROM {_route_sql()} r GROUP BY ALL HAVING count(*) FILTER (WHERE state = 'Firing') > 0)
+SELECT n.alertname, n.severity, n.kind, {dtxt('n.notify_at')} AS notify_at,
+       printf('{al.LINE_FMT}', device_id || '/' || field, {dtxt('active_since')}) AS line
+FROM {_notif_sql()} n JOIN runs USING (route_order, alertname, severity)
+WHERE s <= n.notify_at AND n.notify_at < e
+""")
+def alr6_alert_lines(spark, sf_dir):
+    routed = al.route(_alerts(spark, sf_dir))
+    lines = al.alert_lines(al.group_notifications(routed), routed)
+    return lines.select("alertname", "severity", "kind", txt("notify_at").alias("notify_at"), "line")
+
+
+# The dictionary of an older plant: the last two tags of each type are new to it.
+_OLD_TAGS = [t for t in TAGS if t[-2:] not in ("18", "19")]
+
+
+@register("jon4_unknown_tags", f"""
+SELECT tag_name, count(*) AS rows, {dtxt('min(ts)')} AS first_seen, {dtxt('max(ts)')} AS last_seen
+FROM ({R}) r WHERE NOT list_contains({_OLD_TAGS}, tag_name) GROUP BY 1
+""")
+def jon4_unknown_tags(spark, sf_dir):
+    drift = al.unknown_tags(fx.readings(spark, sf_dir), tag_dictionary_df(spark, _OLD_TAGS))
+    return drift.select("tag_name", "rows", txt("first_seen").alias("first_seen"), txt("last_seen").alias("last_seen"))
+
+
 @register("jon4_missing_tags", f"""
 WITH d AS (SELECT unnest(['{"', '".join(fx.event_tags())}']) AS tag_name),
 grid AS (SELECT tag_name, w AS window_start FROM d,

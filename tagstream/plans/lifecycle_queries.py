@@ -23,9 +23,11 @@ from tagstream.operators import reshape as rs
 from tagstream.operators import rollup as ru
 from tagstream.plans import lifecycle as lc
 from tagstream.plans.registry import REGISTRY, R, dtxt, r6, register, txt
+from tagstream.plans.decode_queries import wide_messages
 from tagstream.plans.stream_queries import events_stream
 from tagstream.session import checkpoint_dir
 from tagstream.sources import fixtures as fx
+from tagstream.sources.decode import decode_flat
 from tagstream.sources.lake import PARTS, ROLLUP_SCHEMA, read_compacted, read_raw_lake, read_rollup
 
 TAGS = fx.event_tags()
@@ -242,6 +244,17 @@ def agg11_ingest_report_files(spark, sf_dir):
                       "peak_msgs_per_sec", "active_seconds", "files", "bytes", r6("bytes_per_file").alias("bytes_per_file"))
 
 
+@register("snk7_publish_body", f"""
+SELECT device_id, tag_name, {DUS.format(c='ts')} AS ts, round(value, 6) AS value FROM ({R}) r WHERE {_GOOD}
+""")
+def snk7_publish_body(spark, sf_dir):
+    """SNK7: the message bodies that a publisher sends, decoded by SRC1 as a subscriber would."""
+    wide = wide_messages(spark, sf_dir).withColumn("timestamp", F.date_format("ts", ISO)).drop("ts")
+    got = decode_flat(lc.to_publish_format(wide), TAGS)
+    tall = rs.unpivot_tags(got, TAGS, ["device_id", "ts"])
+    return tall.select("device_id", "tag_name", F.date_format("ts", US_FMT).alias("ts"), r6("value").alias("value"))
+
+
 @register("snk6_export_csv", f"""
 SELECT device_id, tag_name, {DUS.format(c='ts')} AS ts, round(value, 6) AS value
 FROM ({R}) r

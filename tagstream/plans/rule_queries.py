@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from tagstream.functions.catalog import PRIORITY, rules_df
 from tagstream.operators import rules as ru
 from tagstream.plans.registry import R, dtxt, r6, register, txt
@@ -219,3 +221,18 @@ def alm6_asset_work_orders(spark, sf_dir):
                               cooldown_s=fx.EVENT_COOLDOWN_SECONDS)
     return wo.select("device_id", txt("batch_start").alias("batch_start"), "violations", "tags",
                      "tag_list", "top_priority")
+
+
+@register("alm1_rules_df", f"""
+WITH t AS (SELECT tag_name, count(*) AS n FROM ({R}) r GROUP BY 1)
+SELECT rl.rule_order, rl.prefix, rl.max_val, rl.min_val, rl.severity, count(t.tag_name) AS tags, coalesce(sum(t.n), 0)::BIGINT AS readings
+FROM {_rules_values()} rl LEFT JOIN t ON starts_with(t.tag_name, rl.prefix) GROUP BY ALL
+""")
+def alm1_rules_df(spark, sf_dir):
+    """ALM1: the rule list with the tags and readings that each rule applies to."""
+    tags = fx.readings(spark, sf_dir).groupBy("tag_name").agg(F.count("*").alias("n"))
+    matched = ru.match_rules(tags, RULES, "tag_name", how="inner").groupBy("prefix").agg(
+        F.count("*").alias("tags"), F.sum("n").alias("readings"))
+    r = rules_df(spark, RULES).join(matched, "prefix", "left")
+    return r.select("rule_order", "prefix", "max_val", "min_val", "severity", F.coalesce("tags", F.lit(0)).alias("tags"),
+                    F.coalesce("readings", F.lit(0)).alias("readings"))

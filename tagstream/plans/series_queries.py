@@ -246,6 +246,22 @@ def win1_derivative(spark, sf_dir):
     return d.select("event_id", "device_id", "tag_name", txt("ts").alias("ts"), r6("rate").alias("rate"))
 
 
+@register("win1_rate_window_mean", f"""
+WITH l AS (SELECT device_id, tag_name, ts, value, lag(ts) OVER w AS pts, lag(value) OVER w AS pv
+           FROM ({R}) r WHERE value IS NOT NULL
+           WINDOW w AS (PARTITION BY device_id, tag_name ORDER BY ts, event_id)),
+d AS (SELECT device_id, tag_name, ts, (value - pv) / CAST(epoch_us(ts) - epoch_us(pts) AS DOUBLE) * 1000000.0 AS rate
+      FROM l WHERE value >= pv AND epoch_us(ts) > epoch_us(pts))
+SELECT device_id, tag_name, {dtxt("time_bucket(INTERVAL 6 HOUR, ts)")} AS window_start, round(avg(rate), 6) AS value
+FROM d GROUP BY 1, 2, 3
+""")
+def win1_rate_window_mean(spark, sf_dir):
+    """A counter's rate, then its mean per window (the disk I/O panel): WIN1 and AGG4 composed."""
+    d = se.derivative(fx.good_readings(spark, sf_dir), SERIES, tiebreak="event_id", bucket="1 hour")
+    w = se.aggregate_window(d.where("rate IS NOT NULL"), SERIES, "6h", "mean", value="rate")
+    return w.select(*SERIES, txt("window_start").alias("window_start"), r6("value").alias("value"))
+
+
 @register("win4_ingest_gaps", f"""
 WITH l AS (SELECT source_id, ts, lead(ts) OVER (PARTITION BY source_id ORDER BY ts, event_id) AS nts
            FROM ({R}) r)
