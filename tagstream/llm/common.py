@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -60,6 +62,21 @@ class Scratch:
         p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def trimmed(run):
+    """A mapInArrow function that gives freed memory back when its partition is done.
+
+    Python workers are used again for later stages; without it each keeps the
+    largest heap that any of its tasks needed.
+    """
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):      # glibc has it
+            trim(0)
+    return wrapped
+
+
 class TextBatch:
     """A string column of one Arrow batch as raw bytes and offsets; null is empty."""
 

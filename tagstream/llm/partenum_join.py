@@ -57,7 +57,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tagstream.llm.common import Scratch, TextBatch, components, mix64, word_hashes
+from tagstream.llm.common import Scratch, TextBatch, components, mix64, trimmed, word_hashes
 
 N2, K2 = 3, 1            # cells per part, differing cells tolerated
 SUBSETS = ((0, 1), (0, 2), (1, 2))
@@ -244,7 +244,7 @@ def pair_up(rows: DataFrame) -> DataFrame:
     """
     key = F.coalesce(F.when(F.col("via").isNull() | (F.col("via") == F.col("doc_id")), F.col("sig")), F.col("doc_id"))
     return (rows.repartition(key).sortWithinPartitions("sig", "doc_id")
-            .mapInArrow(_pair_batches, "sig long, a long, b long, size long"))
+            .mapInArrow(trimmed(_pair_batches), "sig long, a long, b long, size long"))
 
 
 # ---------------------------------------------------------------- verification
@@ -262,7 +262,7 @@ def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
                      pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets)))],
                     names=["doc_id", "shingles"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, shingles array<long>")
+    return docs.select("doc_id", "text").mapInArrow(trimmed(run), "doc_id long, shingles array<long>")
 
 
 def frequent_shingles(docs: DataFrame, width: int) -> np.ndarray:
@@ -297,7 +297,7 @@ def _sketch(sets: DataFrame) -> DataFrame:
                  *[pa.array(np.ascontiguousarray(odd[:, w])) for w in range(ODD)]],
                 names=["doc_id", "size", "sketch", *ODD_WORDS])
 
-    return sets.mapInArrow(run, "doc_id long, size long, sketch binary, " + ", ".join(f"{w} long" for w in ODD_WORDS))
+    return sets.mapInArrow(trimmed(run), "doc_id long, size long, sketch binary, " + ", ".join(f"{w} long" for w in ODD_WORDS))
 
 
 def _near_batches(num: int, den: int):
@@ -340,7 +340,7 @@ def verified(scratch: Scratch, step: int, pairs: DataFrame, sets: DataFrame, ske
     ka = sketches.select(F.col("doc_id").alias("a"), F.col("size").alias("na"), F.col("sketch").alias("ka"))
     kb = sketches.select(F.col("doc_id").alias("b"), F.col("size").alias("nb"), F.col("sketch").alias("kb"))
     likely = scratch.put(pairs.join(ka, "a").join(kb, "b").select("a", "b", "na", "ka", "nb", "kb")
-                         .mapInArrow(_near_batches(num, den), "a long, b long"), f"likely{step}")
+                         .mapInArrow(trimmed(_near_batches(num, den)), "a long, b long"), f"likely{step}")
     # a written list of ids has a known size: Spark broadcasts a short one, and only the sets needed are shuffled
     need = scratch.put(likely.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), f"need{step}")
     mine = sets.join(need, "doc_id", "left_semi")
@@ -369,7 +369,7 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, width: int = 5, num
     """One row per document: doc_id, n_shingles, component_id (smallest doc_id reachable by links)."""
     scratch = Scratch(spark, "partenum")
     scheme = Scheme(num, den, 0, frequent_shingles(docs, width))
-    rows = docs.select("doc_id", "text").mapInArrow(_sign_batches(scheme, width), ROWS)
+    rows = docs.select("doc_id", "text").mapInArrow(trimmed(_sign_batches(scheme, width)), ROWS)
     found = scratch.put(pair_up(rows), "found")
     meta = scratch.put(found.where("size IS NOT NULL")
                        .select(F.col("a").alias("doc_id"), F.col("size").alias("n_shingles")), "meta")
@@ -420,7 +420,7 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, width: int = 5, num
         if not large.isEmpty():
             own = large.groupBy("doc_id").agg(F.collect_set("sig").alias("sigs")).join(sets, "doc_id")
             fine = scratch.put(pair_up(own.select("doc_id", "sigs", "shingles")
-                                       .mapInArrow(_refine_batches(Scheme(num, den, step)), ROWS)), f"fine{step}")
+                                       .mapInArrow(trimmed(_refine_batches(Scheme(num, den, step))), ROWS)), f"fine{step}")
             members = members.union(fine.select("sig", F.col("b").alias("doc_id")).distinct())
             met = fine.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
             todo = todo.union(met.join(able.toDF("a", "ka"), "a").join(able.toDF("b", "kb"), "b")

@@ -39,8 +39,8 @@ from sentencepiece import sentencepiece_model_pb2
 
 SPACE = "▁"
 SHORT = 48            # cuts up to this length are memoised
-MEMO = 150_000        # entries of a memo's younger half (some 20 MB); the older half holds as many
-FITS = 200_000        # remembered piece pairs (some 20 MB) before they start anew
+MEMO = 800_000        # entries of a worker's memo (some 200 MB) before it starts anew
+FITS = 400_000        # remembered piece pairs (some 40 MB) before they start anew
 OTHER = -1            # a character without a piece
 
 
@@ -292,24 +292,16 @@ class StreamingViterbi:
 
 
 class _Memo(dict):
-    """Short cut -> its ids as int32 bytes, computed on first use.
-
-    Two generations bound it: a full younger one becomes the older, whose
-    entries come back when they are used again and are forgotten otherwise.
-    """
+    """Short cut -> its ids as int32 bytes, computed on first use; a full memo starts anew, also within a text."""
 
     def __init__(self, model: PieceModel) -> None:
         super().__init__()
         self.stream = StreamingViterbi(model)
-        self.older: dict[str, bytes] = {}
 
     def __missing__(self, chunk: str) -> bytes:
         if len(chunk) <= SHORT:
-            ids = self.older.pop(chunk, None)
-            if ids is None:
-                ids = array("i", self.stream.segment(chunk)).tobytes()
+            ids = array("i", self.stream.segment(chunk)).tobytes()
             if len(self) >= MEMO:
-                self.older = dict(self)
                 self.clear()
             self[chunk] = ids
             return ids
