@@ -273,24 +273,20 @@ def route(alerts: DataFrame, routes: Sequence[Route] = PLANT_ROUTES,
           default: Route = DEFAULT_ROUTE) -> DataFrame:
     """ALR3: the first route whose label matchers all hold, else the default.
 
-    Matchers compile to one CASE (first match); policy attributes come from
-    a literal, broadcast table of ``len(routes) + 1`` rows.
+    Matchers compile to one CASE (first match); the policy's attributes are
+    picked from literal arrays by the route's number: no join.
     """
-    spark = alerts.sparkSession
-    expr = None
-    for i, r in enumerate(routes, 1):
+    expr = F.lit(0)
+    for i, r in reversed(list(enumerate(routes, 1))):
         cond = F.lit(True)
         for label, val in r.matchers:
             cond = cond & (F.col(label) == F.lit(val))
-        expr = F.when(cond, F.lit(i)) if expr is None else expr.when(cond, F.lit(i))
-    order = (expr.otherwise(F.lit(0)) if expr is not None else F.lit(0))
-    rows = [(0, default.receiver, default.group_wait_s, default.group_interval_s,
-             default.repeat_interval_s)]
-    rows += [(i, r.receiver, r.group_wait_s, r.group_interval_s, r.repeat_interval_s)
-             for i, r in enumerate(routes, 1)]
-    table = spark.createDataFrame(rows, "route_order int, receiver string, group_wait_s int, "
-                                        "group_interval_s int, repeat_interval_s int")
-    return alerts.withColumn("route_order", order).join(F.broadcast(table), "route_order")
+        expr = F.when(cond, F.lit(i)).otherwise(expr)
+    out = alerts.withColumn("route_order", expr)
+    for name in ("receiver", "group_wait_s", "group_interval_s", "repeat_interval_s"):
+        values = F.array(*[F.lit(getattr(r, name)) for r in (default, *routes)])
+        out = out.withColumn(name, F.element_at(values, F.col("route_order") + 1))
+    return out
 
 
 def _ceil_to_grid(x: F.Column, step: F.Column) -> F.Column:
