@@ -136,3 +136,14 @@ def test_missing_and_empty_input(spark, tables, tmp):
     events.limit(0).write.parquet(f"{tmp}/empty")
     assert rows(spark, st.stream_to_table(spark, {"path": f"{tmp}/empty", "schema": events.schema},
                                           lambda s: BUILD["dedup"](fx.readings_of(s)), "empty", f"{tmp}/run")) == []
+
+
+def test_stream_source_reads_admitted_files(spark, tables, tmp):
+    from tagstream.sources.lake import stream_source
+    spec = {"format": "parquet", **source(tables, "five"), "root": f"{tmp}/root"}
+    admission = Admission(spark, spec["path"], spec["root"], spec["schema"])
+    number = admission.stage()
+    assert admission.stage() == number and len(admission.pending(number)) == 1
+    admission.publish(number, 0)
+    got = st.run_available_now(spark, stream_source(spark, spec), "admitted")
+    assert got.count() == tables[1].count() and admission.stage() is None
