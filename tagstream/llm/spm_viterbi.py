@@ -294,14 +294,14 @@ class StreamingViterbi:
 class _Memo(dict):
     """Short cut -> its ids as int32 bytes, computed on first use; a full memo starts anew, also within a text."""
 
-    def __init__(self, model: PieceModel) -> None:
+    def __init__(self, model: PieceModel, entries: int) -> None:
         super().__init__()
-        self.stream = StreamingViterbi(model)
+        self.stream, self.entries = StreamingViterbi(model), entries
 
     def __missing__(self, chunk: str) -> bytes:
         if len(chunk) <= SHORT:
             ids = array("i", self.stream.segment(chunk)).tobytes()
-            if len(self) >= MEMO:
+            if len(self) >= self.entries:
                 self.clear()
             self[chunk] = ids
             return ids
@@ -312,9 +312,9 @@ class _Memo(dict):
 class Codec:
     """Encoder and decoder of one model; workers keep one per model."""
 
-    def __init__(self, raw: bytes) -> None:
+    def __init__(self, raw: bytes, memo: int = MEMO) -> None:
         self.model = PieceModel(raw)
-        self.memo = _Memo(self.model)
+        self.memo = _Memo(self.model, memo)
 
     def encode(self, text: str) -> bytes:
         """The text's ids as int32 bytes."""
@@ -332,13 +332,13 @@ class Codec:
         return raw.decode("utf-8", "replace")
 
 
-_CODECS: dict[bytes, Codec] = {}
+_CODECS: dict[tuple[bytes, int], Codec] = {}
 
 
-def codec(raw: bytes) -> Codec:
-    key = hashlib.md5(raw).digest()
+def codec(raw: bytes, memo: int = MEMO) -> Codec:
+    key = hashlib.md5(raw).digest(), memo
     if key not in _CODECS:
-        _CODECS[key] = Codec(raw)
+        _CODECS[key] = Codec(raw, memo)
     return _CODECS[key]
 
 
@@ -354,8 +354,8 @@ def _int_lists(parts: list[bytes]) -> pa.ListArray:
                                     pa.array(np.frombuffer(b"".join(parts), np.int32)))
 
 
-def encode(docs: DataFrame, model_path: str, verify: bool = False) -> DataFrame:
-    """(doc_id, n_ids, ids) per row of ``docs(doc_id, text)``.
+def encode(docs: DataFrame, model_path: str, verify: bool = False, memo: int = MEMO) -> DataFrame:
+    """(doc_id, n_ids, ids) per row of ``docs(doc_id, text)``; ``memo``: short cuts that a worker remembers.
 
     With ``verify`` also ``restored``: the ids decode to the text itself (null
     counts as empty).
@@ -363,7 +363,7 @@ def encode(docs: DataFrame, model_path: str, verify: bool = False) -> DataFrame:
     raw = read_model(model_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec(raw)
+        own = codec(raw, memo)
         for b in batches:
             step = 256
             for lo in range(0, len(b), step):
