@@ -18,6 +18,7 @@ from tagstream.llm.common import Scratch, bounded_reads, table
 
 TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
 MIX_SEED = 17
+TOKEN_MEMO = 100_000     # short cuts that a worker remembers beside what earlier stages left in its memory
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,7 +48,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_ids, ids."""
     bounded_reads(spark)
-    return spm_viterbi.encode(docs, TOKENIZER)
+    return spm_viterbi.encode(docs, TOKENIZER, memo=TOKEN_MEMO)
 
 
 STAGES = [("quality", quality), ("exact_dedup", exact), ("near_dedup", near), ("mix", mix), ("tokens", tokens)]
