@@ -32,14 +32,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tagstream.llm.common import Scratch, TextBatch
+from tagstream.llm.common import Scratch, TextBatch, trimmed
 
 SCALE = 1_000_000_000
 MIN_DOCS = 3
 TOP_TERMS = 200
 STRIPE = 2048            # expected columns of a stripe
 BLOCK = 64               # expected rows of a row block
-READ_BYTES = 8 << 20     # text bytes counted at once
+READ_BYTES = 12 << 20    # text bytes counted at once
 OPEN_CELLS = 1 << 20     # most (row, row, column) triples opened at once
 
 _B = np.arange(256)
@@ -127,7 +127,7 @@ def _counter(read: int):
 def term_counts(docs: DataFrame, read_bytes: int = READ_BYTES) -> DataFrame:
     """lang, source, term, n (occurrences), docs (documents that hold the term)."""
     text = docs.select(*[F.coalesce(c, F.lit("")).alias(c) for c in ("lang", "source", "text")])
-    parts = text.mapInArrow(_counter(read_bytes), "lang string, source string, term string, n long, docs long")
+    parts = text.mapInArrow(trimmed(_counter(read_bytes)), "lang string, source string, term string, n long, docs long")
     return parts.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
@@ -210,23 +210,22 @@ OUT = "lang string, source string, part string, item string, value long"
 
 def _tile(pdf: pd.DataFrame) -> pd.DataFrame:
     """One stripe of one language for two row blocks: partial pair sums, and the stripe's leading terms."""
-    lang, x, y = pdf["lang"].iloc[0], int(pdf["x"].iloc[0]), int(pdf["y"].iloc[0])
-    head = pdf["term"].isna()
-    cells, names = pdf[~head], pdf[head].sort_values("source")
-    terms = np.sort(cells["term"].unique().astype(object)) if len(cells) else np.array([], object)
-    col = pd.Series(np.arange(len(terms)), index=terms)
+    head = pdf["source"].notna()
+    cells, names = pdf[~head], pdf[head].sort_values("g")
+    lang, x, y = names["lang"].iloc[0], int(names["x"].iloc[0]), int(names["y"].iloc[0])
+    col, terms = pd.factorize(cells["term"], sort=True)
     beyond = int(names["p"].iloc[0]) - len(terms)           # columns of the stripe empty for both blocks
+    k, g, share = (cells[c].to_numpy(np.int64) for c in ("k", "g", "p"))
     side = {}
-    for k in {x, y}:
-        rows, own = names[names["k"] == k], cells[cells["k"] == k]
-        at = pd.Series(np.arange(len(rows)), index=rows["source"].to_numpy(object))
-        r, c = at[own["source"]].to_numpy(), col[own["term"]].to_numpy()
+    for block in {x, y}:
+        rows, own = names[names["k"] == block], k == block
+        r, c = np.searchsorted(rows["g"].to_numpy(np.int64), g[own]), col[own]
         zero = rows["p0"].to_numpy(np.int64)
         p = np.repeat(zero[:, None], len(terms), 1)
-        p[r, c] = own["p"].to_numpy(np.int64)
+        p[r, c] = share[own]
         has = np.zeros(p.shape, bool)
         has[r, c] = True
-        side[k] = rows["source"].to_numpy(object), p, has, zero
+        side[block] = rows["source"].to_numpy(object), p, has, zero
     out = []
 
     def frame(source, part, item, value):
@@ -240,11 +239,13 @@ def _tile(pdf: pd.DataFrame) -> pd.DataFrame:
         if x != y:
             frame(sb[b], "pair", sa[a], ba[a, b])
     if x == y and len(cells):
-        over = cells[cells["p"] > cells["q"]]
-        value = divergence(over["p"].to_numpy(np.int64), over["q"].to_numpy(np.int64))
-        leaf = pd.DataFrame({"s": over["source"].to_numpy(object), "t": over["term"].to_numpy(object), "v": value})
-        best = leaf.sort_values(["v", "t"], ascending=[False, True], kind="stable").groupby("s", sort=False).head(TOP_TERMS)
-        frame(best["s"].to_numpy(object), "term", best["t"].to_numpy(object), best["v"].to_numpy())
+        q = cells["q"].to_numpy(np.int64)
+        over = share > q
+        source = pd.Series(names["source"].to_numpy(object), index=names["g"].to_numpy(np.int64))
+        leaf = pd.DataFrame({"g": g[over], "c": col[over], "v": divergence(share[over], q[over])})
+        # terms are numbered in their UTF-8 order
+        best = leaf.sort_values(["v", "c"], ascending=[False, True], kind="stable").groupby("g", sort=False).head(TOP_TERMS)
+        frame(source[best["g"]].to_numpy(object), "term", np.asarray(terms, object)[best["c"]], best["v"].to_numpy())
     frame(np.zeros(0, object), "", np.zeros(0, object), np.zeros(0, np.int64))      # a tile without rows keeps the types
     return pd.DataFrame(dict(zip([c.split()[0] for c in OUT.split(", ")], map(np.concatenate, zip(*out)))))
 
@@ -271,26 +272,27 @@ def audit(spark: SparkSession, docs: DataFrame, min_docs: int = MIN_DOCS, stripe
     of_lang = kept.groupBy("lang").agg(F.count_if("head").alias("v"), F.sum("n").alias("lang_total"))
     of_group = kept.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     names = docs.select(*[F.coalesce(c, F.lit("")).alias(c) for c in ("lang", "source")]).distinct()
-    sources = names.groupBy("lang").agg(F.count("*").alias("s"))
-    groups = names.join(of_group, ["lang", "source"], "left").join(of_lang, "lang", "left").join(sources, "lang")
+    # languages and a language's sources by number: strings travel in the groups' own rows only
+    langs = names.groupBy("lang").agg(F.count("*").alias("s")).withColumn("l", F.row_number().over(Window.orderBy("lang")))
+    groups = names.join(of_group, ["lang", "source"], "left").join(of_lang, "lang", "left").join(langs, "lang")
     groups = groups.fillna(0, ["total", "v", "lang_total"]).withColumns({
         "p0": F.coalesce(_share("0", "total", "v"), F.lit(1)),
+        "g": F.row_number().over(Window.partitionBy("lang").orderBy("source")),
         "stripes": F.greatest(F.lit(1), F.ceil(F.col("v") / stripe)),
         "blocks": F.ceil(F.col("s") / block)}).withColumn("k", F.expr("pmod(xxhash64(source), blocks)"))
     groups = scratch.put(groups, "groups")
 
     cells = kept.join(groups, ["lang", "source"]).select(
-        "lang", F.expr("pmod(xxhash64(term), stripes)").alias("stripe"), "blocks", "k", "source", "term", "head",
-        _share("n", "total", "v").alias("p"), _share("lang_n", "lang_total", "v").alias("q"), "p0")
+        "l", F.expr("pmod(xxhash64(term), stripes)").alias("stripe"), "blocks", "k", "g", "term", "head",
+        _share("n", "total", "v").alias("p"), _share("lang_n", "lang_total", "v").alias("q"))
     # the columns of a stripe, also those in which neither block of a tile has an occurrence
-    width = cells.where("head").groupBy("lang", "stripe").agg(F.count("*").alias("width"))
-    heads = groups.select("lang", F.explode(F.expr("sequence(0, stripes - 1)")).alias("stripe"), "blocks", "k", "source", "p0")
-    heads = heads.join(width, ["lang", "stripe"], "left").select(
-        "lang", "stripe", "blocks", "k", "source", F.lit(None).cast("string").alias("term"),
-        F.coalesce("width", F.lit(0)).alias("p"), F.lit(None).cast("long").alias("q"), "p0")
-    tiles = (cells.drop("head").unionByName(heads).withColumn("o", F.explode(F.expr("sequence(0, blocks - 1)")))
+    width = cells.where("head").groupBy("l", "stripe").agg(F.count("*").alias("width"))
+    heads = groups.withColumn("stripe", F.explode(F.expr("sequence(0, stripes - 1)"))).join(width, ["l", "stripe"], "left")
+    heads = heads.select("l", "stripe", "blocks", "k", "g", "lang", "source", F.coalesce("width", F.lit(0)).alias("p"), "p0")
+    tiles = (cells.drop("head").unionByName(heads, allowMissingColumns=True)
+             .withColumn("o", F.explode(F.expr("sequence(0, blocks - 1)")))
              .withColumns({"x": F.least("k", "o"), "y": F.greatest("k", "o")}).drop("blocks", "o"))
-    parts = scratch.put(tiles.groupBy("lang", "stripe", "x", "y").applyInPandas(_tile, OUT), "parts")
+    parts = scratch.put(tiles.groupBy("l", "stripe", "x", "y").applyInPandas(_tile, OUT), "parts")
 
     pairs = parts.where("part = 'pair'").groupBy("lang", "source", "part", "item").agg(F.sum("value").alias("value"))
     best = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
