@@ -33,17 +33,8 @@ def event_tags() -> list[str]:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table.  Each is one file with one row group, so its scan is a
-    single task; when that leaves cores idle, spread the rows round-robin
-    (one small shuffle).  Inputs that already split into enough tasks, as on
-    a cluster, are read as they are."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    try:  # split count and core count are planning metadata (no job runs)
-        cores = spark.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - e.g. a Connect session has no RDD API
-        return df
-    return df.repartition(cores) if splits < cores else df
+    """A test table, read as it is: scan tasks follow its splits."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
