@@ -14,11 +14,14 @@ def unpivot_tags(wide: DataFrame, tags: Sequence[str], ids: Sequence[str],
                  drop_null: bool = True) -> DataFrame:
     """PRJ1: wide → tall ``(ids..., tag_name, value)``; NULL tags dropped.
 
-    Plans as an ``Expand``; an aggregation on top pre-aggregates per task
-    before any shuffle.
+    An aggregation on top pre-aggregates per task before any shuffle. With
+    ``drop_null`` a message makes as many rows as it has values, not one per
+    tag of the dictionary; else it plans as an ``Expand``.
     """
-    tall = wide.unpivot(list(ids), list(tags), "tag_name", "value")
-    return tall.where(F.col("value").isNotNull()) if drop_null else tall
+    if not drop_null:
+        return wide.unpivot(list(ids), list(tags), "tag_name", "value")
+    pairs = F.array(*[F.struct(F.lit(t).alias("tag_name"), F.col(f"`{t}`").alias("value")) for t in tags])
+    return wide.select(*ids, F.inline(F.filter(pairs, lambda p: p["value"].isNotNull())))
 
 
 def pivot_tags(readings: DataFrame, tags: Sequence[str], ids: Sequence[str],

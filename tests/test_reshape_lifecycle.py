@@ -204,3 +204,12 @@ def test_daily_means_do_not_depend_on_the_order_of_rows(spark):
         assert means["huge"] == 5e24                              # does not fit: the double mean
         if avg == "weighted":
             assert means["A"] == round(sum(x for _, _, x in rows[:35] if abs(x) < 1e8) / 35, 9)
+
+
+def test_unpivot_makes_rows_for_values_only(spark):
+    wide = spark.createDataFrame([("d", 1.0, None, 3.0), ("e", None, float("nan"), None), ("e", None, None, None), (None, 2.0, None, None)],
+                                 "device_id string, Temp_Boiler_01 double, Press_Line_01 double, Counter double")
+    tall = rs.unpivot_tags(wide, TAGS, ["device_id"])
+    assert "Expand" not in tall._jdf.queryExecution().executedPlan().toString()
+    old = rs.unpivot_tags(wide, TAGS, ["device_id"], drop_null=False).where("value IS NOT NULL")
+    assert tall.columns == old.columns and sorted(map(str, tall.collect())) == sorted(map(str, old.collect()))
