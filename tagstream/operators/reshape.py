@@ -31,9 +31,17 @@ def pivot_tags(readings: DataFrame, tags: Sequence[str], ids: Sequence[str],
     The explicit value list avoids the extra distinct job and fixes the
     column order.  If a tag repeats, its largest value is kept, whatever the
     row order.
+
+    Wide rows are mostly NULL, so their shuffled bytes say little about the
+    memory they take: the readings are dealt by ids to all of the session's
+    shuffle partitions, which AQE would merge by those bytes.
     """
-    return (readings.groupBy(*ids).pivot(tag, list(tags))
-                    .agg(F.max(F.col(value))))
+    conf = readings.sparkSession.conf
+    parts = int(conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+                or conf.get("spark.sql.shuffle.partitions"))
+    # dealt by a hash column, which no optimiser rule takes out of the keys as it does constant ids
+    return (readings.withColumn("_deal", F.xxhash64(*ids)).repartition(parts, "_deal")
+                    .groupBy(*ids, "_deal").pivot(tag, list(tags)).agg(F.max(F.col(value))).drop("_deal"))
 
 
 def tag_dimension(tags: DataFrame, tag: str = "tag_name", dictionary: DataFrame | None = None) -> DataFrame:

@@ -213,3 +213,12 @@ def test_unpivot_makes_rows_for_values_only(spark):
     assert "Expand" not in tall._jdf.queryExecution().executedPlan().toString()
     old = rs.unpivot_tags(wide, TAGS, ["device_id"], drop_null=False).where("value IS NOT NULL")
     assert tall.columns == old.columns and sorted(map(str, tall.collect())) == sorted(map(str, old.collect()))
+
+
+def test_pivot_keeps_the_session_partitions(spark):
+    tall = spark.range(200).select(F.lit("s").alias("source_id"), F.col("id").alias("device_id"),
+                                   F.lit("Counter").alias("tag_name"), F.col("id").cast("double").alias("value"))
+    wide = rs.pivot_tags(tall, TAGS, ["source_id", "device_id"])
+    assert wide.columns == ["source_id", "device_id", *TAGS]
+    assert wide.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert wide.agg(F.sum("Counter")).first()[0] == sum(range(200))
