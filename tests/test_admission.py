@@ -147,3 +147,20 @@ def test_stream_source_reads_admitted_files(spark, tables, tmp):
     admission.publish(number, 0)
     got = st.run_available_now(spark, stream_source(spark, spec), "admitted")
     assert got.count() == tables[1].count() and admission.stage() is None
+
+
+def test_small_grains_of_a_slice_go_to_several_tasks(spark, tables, tmp_path, monkeypatch):
+    """A slice of many small grains is not sorted and written by one task."""
+    from tagstream.sources import admission
+    monkeypatch.setattr(admission, "FILE_ROWS", 20, raising=False)
+    base, events = tables
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        a = Admission(spark, f"{base}/many", f"{tmp_path}/a", events.schema)
+        number = a.stage()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    staged = spark.read.parquet(f"{tmp_path}/a/sets/{number}/staged/slice=0")
+    most = staged.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0]
+    assert a.pending(number) == [0] and most < staged.count() / 2
+    assert staged.count() == spark.read.parquet(f"{base}/many").count()
