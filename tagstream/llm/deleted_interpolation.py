@@ -35,7 +35,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagstream.llm.common import SPACES, Scratch, TextBatch, mix64, word_hashes
+from tagstream.llm.common import SPACES, Scratch, TextBatch, mix64, release, trimmed, word_hashes
 
 SLICE_TOKENS = 1 << 20               # tokens of a slice
 READ_BYTES = 2 << 20                 # text bytes tokenised at once
@@ -111,6 +111,7 @@ def _documents(text: TextBatch, read: int) -> Iterator[tuple[int, int, np.ndarra
 
 def _slice(number: int, words: list[np.ndarray], pieces: list[np.ndarray]) -> pa.RecordBatch:
     stream = np.concatenate(words)
+    words.clear()
     known, codes = np.unique(np.append(stream, [START, END]), return_inverse=True)
     done = np.concatenate(pieces)
     return pa.RecordBatch.from_arrays(
@@ -149,8 +150,9 @@ def _slicer(tokens: int, read: int):
                 size += len(words[-1])
                 if size >= tokens:
                     made += 1
-                    yield _slice((part << 32) + made, words, pieces)
-                    words, pieces, size = [], [], 0
+                    whole, words, pieces, size = _slice((part << 32) + made, words, pieces), [], [], 0
+                    release()
+                    yield whole
         if size:
             yield _slice((part << 32) + made + 1, words, pieces)
     return run
@@ -343,18 +345,18 @@ def score(spark: SparkSession, docs: DataFrame, held_out: Column, train: Column,
     scratch = Scratch(spark, "interpolation")
     flags = [F.coalesce(c, F.lit(False)).alias(n) for c, n in ((held_out, "held"), (train, "train"), (train & tune, "tune"))]
     read = docs.select(F.spark_partition_id().alias("part"), F.col("doc_id").cast("long").alias("doc_id"), *flags, "text")
-    slices = scratch.put(read.mapInArrow(_slicer(slice_tokens, read_bytes), SLICES), "slices")
+    slices = scratch.put(read.mapInArrow(trimmed(_slicer(slice_tokens, read_bytes)), SLICES), "slices")
     n_words, n_tokens = slices.agg(F.sum("n_words"), F.sum("n_tokens")).first()
     bits = {k: max(0, math.ceil(math.log2(max(1, (n or 0)) / range_entries))) if n else 0 for k, n in ((WORD, n_words), (PAIR, n_tokens))}
 
     # every range in one task of its own: deal them evenly
-    asked = slices.select("slice", "words", "codes", "pieces").mapInArrow(_ask(bits), ASKED)
+    asked = slices.select("slice", "words", "codes", "pieces").mapInArrow(trimmed(_ask(bits)), ASKED)
     answers = scratch.put(asked.groupBy("kind", "hash_range").applyInPandas(_answer, ANSWER), "answers")
     total, tune_total, different = (x or 0 for x in answers.where(F.col("kind") == WORD).agg(
         F.sum("total"), F.sum("tune_total"), F.sum("different")).first())
 
     replies = answers.select("slice", "kind", "hash_range", "train", "tune")
-    part = slices.select("slice", "words", "codes", "pieces").mapInArrow(_tune_part, TUNE_PART)
+    part = slices.select("slice", "words", "codes", "pieces").mapInArrow(trimmed(_tune_part), TUNE_PART)
     tuned = scratch.put(part.groupBy("slice").cogroup(replies.groupBy("slice")).applyInPandas(_tuned, TUNED), "tuned")
     weights = fit_weights(tuned, total - tune_total, different)
 

@@ -318,3 +318,20 @@ def test_bwt_null_id_counts_as_earliest(spark):
     df = spark.createDataFrame([(None, text), (1, text), (2, text)], "doc_id long, text string")
     got = {r.doc_id: r.n_removed for r in bwt_dedup.digest(bwt_dedup.remove_repeats(spark, df)).collect()}
     assert got == {None: 0, 1: 240, 2: 240}
+
+
+def test_word_hashes_work_in_small_blocks():
+    """The memory that hashing takes beside its result does not grow with the text, and is a few MB."""
+    import tracemalloc
+
+    import numpy as np
+
+    from tagstream.llm.common import word_hashes
+    text = np.frombuffer(b"some-words-here " * (1 << 18), np.uint8)
+    word_hashes(text)                                   # the table of powers is made once
+    tracemalloc.start()
+    out = word_hashes(text)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(out) == 1 << 18 and len(set(out.tolist())) == 1
+    assert peak - 2 * out.nbytes < 16 << 20
