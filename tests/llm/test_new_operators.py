@@ -334,4 +334,4 @@ def test_word_hashes_work_in_small_blocks():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert len(out) == 1 << 18 and len(set(out.tolist())) == 1
-    assert peak - 2 * out.nbytes < 16 << 20
+    assert peak - 2 * out.nbytes < 8 << 20
