@@ -16,8 +16,12 @@ with a subset of fewer than ``least`` elements) leaves its weak subsets out: one
 of the strong ones is shared. A document with more weak parts signs them all.
 Shingles that a sample of documents shows to be frequent (licence lines, shared
 passages) are left out of the signatures' domain: taking the same elements out
-of both sets never makes them differ in more. Which ones are left out changes
-the number of candidates, not the result; links are verified on whole sets.
+of both sets never makes them differ in more. A set that keeps too few elements
+for strong subsets (a copy of a text that many documents copy) signs the strong
+ones it has, by which it meets sets that are strong enough, and all its elements,
+by which it meets others of its kind; so the empty rest that they all have in
+common is no signature. Which ones are left out changes the number of
+candidates, not the result; links are verified on whole sets.
 
 Rows sharing a signature are sorted together, never gathered: each member is
 compared with the first one only (members of one slice of the input with the
@@ -26,7 +30,9 @@ keeps its first one as a member). Verified links form components. Signatures
 whose members still lie in different components are taken up again: members
 outside the signature's largest component become leaders, a few a round, meet
 the members of other components and leave, until nobody is left who has not
-met or been connected. Signatures with very many members outside their largest
+met or been connected. Of these signatures, those with the same least member (by
+a hash) are taken up as one group with the members of all of them, so a pair
+that shares hundreds of signatures meets in a few groups. Groups with very many members outside their largest
 component are first refined by the signatures of a freshly seeded partition of
 the domain (a linked pair shares one of those, too). Shingles that no other
 candidate document holds bound a document's intersection with any other; they
@@ -129,16 +135,29 @@ class Scheme:
     def signatures(self, elements: np.ndarray) -> np.ndarray:
         """All signatures of a set, for its own band's instance and the next one."""
         band = self.band(len(elements))
+        rare = elements
         if self.common is not None:
             at = np.minimum(np.searchsorted(self.common, elements), len(self.common) - 1)
-            elements = elements[self.common[at] != elements]
-        return np.concatenate([self._instance(elements, j) for j in (band, band + 1)])
+            rare = elements[self.common[at] != elements]
+        return np.concatenate([self._instance(elements, rare, j) for j in (band, band + 1)])
 
-    def _instance(self, elements: np.ndarray, instance: int) -> np.ndarray:
+    def _instance(self, elements: np.ndarray, rare: np.ndarray, instance: int) -> np.ndarray:
         tag = (instance * 0x1F123BB5 + self.seed * 0x5851F42D4C957F2D + 1) % (1 << 64)
         if self.distance(instance) == 0:
             return mix64(np.array([elements.sum(dtype=np.uint64)], np.uint64) * _C[1] + np.uint64(tag))
         n1, spare, least = self.layout(instance)
+        if least and len(rare) < len(elements):
+            few, strong = self._subsets(rare, n1, least, tag)
+            if few <= spare:
+                return strong[0]
+            # sets with too few rare elements meet each other by all their elements, and the others by the strong subsets
+            more, (some, every) = self._subsets(elements, n1, least, tag)
+            return np.union1d(strong[0], some if more <= spare else every)
+        few, (some, every) = self._subsets(elements, n1, least, tag)
+        return some if few <= spare else every
+
+    def _subsets(self, elements: np.ndarray, n1: int, least: int, tag: int) -> tuple[int, tuple[np.ndarray, np.ndarray]]:
+        """(weak parts, (signatures of the strong subsets, signatures of all subsets))."""
         h = mix64(elements * _C[2] + np.uint64(tag))
         cell = (((h >> np.uint64(34)) % np.uint64(n1)) * np.uint64(N2) + (h & np.uint64(0xFFFFFFFF)) % np.uint64(N2))
         cell = cell.astype(np.int64)
@@ -150,7 +169,7 @@ class Scheme:
         sigs = np.stack([mix64(sums[:, a] * _C[1] + sums[:, b] + part + np.uint64(tag * (i + 1) % (1 << 64)))
                          for i, (a, b) in enumerate(SUBSETS)])
         strong = np.stack([count[:, a] + count[:, b] >= least for a, b in SUBSETS])
-        return sigs[strong] if (~strong.all(0)).sum() <= spare else sigs.ravel()
+        return int((~strong.all(0)).sum()), (sigs[strong], sigs.ravel())
 
 
 def _combined(sig: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -395,15 +414,17 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, width: int = 5, num
         step += 1
         placed = (members.join(comp, members.doc_id == comp.node, "left")
                   .select("sig", "doc_id", F.coalesce("component", "doc_id").alias("comp")))
-        sides = placed.groupBy("sig", "comp").agg(
-            F.count("*").alias("n"), *[F.bit_xor(F.xxhash64("doc_id", F.lit(i))).alias(f"h{i}") for i in (1, 2)])
-        # signatures with members in several components; of those with the same members (by a 128-bit hash) one is enough
-        split = (sides.groupBy("sig").agg(F.sum("n").alias("n"), F.max(F.struct("n", "comp")).alias("top"),
-                                          F.bit_xor("h1").alias("h1"), F.bit_xor("h2").alias("h2"))
-                 .where(F.col("n") > F.col("top.n")).groupBy("n", "h1", "h2")
-                 .agg(F.min(F.struct("sig", "top")).alias("s"))
-                 .select("s.sig", (F.col("n") - F.col("s.top.n")).alias("outside"), F.col("s.top.comp").alias("top")))
-        rest = scratch.put(placed.join(split, "sig"), f"rest{step}")
+        # signatures with members in several components; those with the same least member (by a hash) become one group:
+        # the copies of a text share very many signatures, and a pair is to meet in one group, not in each of them
+        split = (placed.groupBy("sig").agg(F.min("comp").alias("low"), F.max("comp").alias("high"),
+                                           F.min(F.xxhash64("doc_id")).alias("group"))
+                 .where("low < high").select("sig", "group"))
+        grouped = scratch.put(placed.join(split, "sig").select(F.col("group").alias("sig"), "doc_id", "comp").distinct(),
+                              f"grouped{step}")
+        top = (grouped.groupBy("sig", "comp").agg(F.count("*").alias("n"))
+               .groupBy("sig").agg(F.sum("n").alias("n"), F.max(F.struct("n", "comp")).alias("top"))
+               .select("sig", (F.col("n") - F.col("top.n")).alias("outside"), F.col("top.comp").alias("top")))
+        rest = scratch.put(grouped.join(top, "sig"), f"rest{step}")
         if rest.isEmpty():
             break
         small, large = rest.where(F.col("outside") <= REFINE), rest.where(F.col("outside") > REFINE)
@@ -428,7 +449,7 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, width: int = 5, num
         members = scratch.put(members, f"members{step}")
         todo = scratch.put(todo.distinct(), f"pairs{step}")
         links = scratch.put(links.union(verified(scratch, step, todo, sets, sketches, num, den)).distinct(), f"links{step}")
-        for done in (f"rest{step}", f"first{step}", f"fine{step}", f"pairs{step}", f"likely{step}", f"need{step}",
+        for done in (f"grouped{step}", f"rest{step}", f"first{step}", f"fine{step}", f"pairs{step}", f"likely{step}", f"need{step}",
                      f"members{step - 1}", f"links{step - 1}"):
             scratch.drop(done)
         leaders *= GROWTH

@@ -329,6 +329,29 @@ def test_partenum_links_across_slices(spark):
         assert (got[i]["n_shingles"], got[i]["component_id"]) == want, i
 
 
+def test_partenum_copies_of_frequent_texts_sign_all_elements():
+    """Sets that consist of frequent elements share signatures with their own near copies, not with all such sets."""
+    rng = np.random.default_rng(9)
+    draw = lambda n: np.unique(rng.integers(1, 1 << 63, n).astype(np.uint64))       # noqa: E731
+    edit = lambda x, n: np.union1d(rng.permutation(x)[n:], draw(n))                 # noqa: E731
+    for num in (80, 90):
+        bases = [draw(150) for _ in range(6)]
+        scheme = partenum_join.Scheme(num, 100, 0, np.unique(np.concatenate(bases)))
+        signed = [scheme.signatures(edit(b, 2)) for b in bases]
+        for i, x in enumerate(signed):
+            assert all(len(np.intersect1d(x, y)) == 0 for y in signed[:i])
+        # a linked pair shares a signature whatever part of it is frequent
+        for trial in range(150):
+            x = draw(int(rng.integers(1, 220)))
+            y = edit(x, int(rng.integers(0, len(x) * (100 - num) // (100 + num) + 1)))
+            both = len(np.intersect1d(x, y))
+            pool = np.union1d(x, y)
+            for share in (0.0, 0.5, 0.9, 1.0):
+                scheme = partenum_join.Scheme(num, 100, trial, np.sort(rng.permutation(pool)[:int(share * len(pool))]))
+                if 100 * both >= num * (len(x) + len(y) - both):
+                    assert len(np.intersect1d(scheme.signatures(x), scheme.signatures(y))), (num, trial, share)
+
+
 # ------------------------------------------------------------------------ op10
 def test_epsilon_grid_equals_brute_force(spark):
     rng = np.random.default_rng(2)
