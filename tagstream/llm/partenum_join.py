@@ -67,8 +67,8 @@ from tagstream.llm.common import Scratch, TextBatch, components, mix64, trimmed,
 
 N2, K2 = 3, 1            # cells per part, differing cells tolerated
 SUBSETS = ((0, 1), (0, 2), (1, 2))
-LEADERS = 16         # members of a signature that meet all others in the first round
-GROWTH = 4           # their growth from round to round
+LEADERS = 64         # members of a signature that meet all others in the first round
+GROWTH = 32          # their growth from round to round
 REFINE = 2048        # members outside a signature's largest component from which it is refined
 SKETCH = 256
 ODD = 8              # 64-bit words of the odd sketch
@@ -197,19 +197,19 @@ def _sign_batches(scheme: Scheme, width: int):
             known = np.array(ids.is_valid())
             number = np.array(ids.fill_null(0))
             for lo, hi in text.slices(COMBINE_BYTES):
-                sizes, sigs, docs = [], [], []
+                sizes, keys, sigs, docs = [], [], [], []
                 for i in range(lo, hi):
                     u = shingles(text.data[text.offsets[i]:text.offsets[i + 1]], width)
                     sizes.append(len(u))
+                    keys.append([mix64(u * _C[1]).sum(dtype=np.uint64), mix64(u * _C[3]).sum(dtype=np.uint64)])
                     if len(u) and known[i]:
                         s = scheme.signatures(u).astype(np.int64)
                         sigs.append(s)
                         docs.append(np.full(len(s), number[i], np.int64))
-                # one row per document with its set's size
-                n = hi - lo
-                none = pa.nulls(n, pa.int64())
-                yield pa.RecordBatch.from_arrays([none, ids.slice(lo, n), none, pa.array(sizes, pa.int64())],
-                                                 names=["sig", "doc_id", "via", "size"])
+                # one row per document with its set's size and two hashes of the whole set
+                key = np.array(keys, np.uint64).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(key[:, 0]), ids.slice(lo, hi - lo), pa.array(key[:, 1]),
+                                                  pa.array(sizes, pa.int64())], names=["sig", "doc_id", "via", "size"])
                 if sigs:
                     sig, doc, lead, has = _combined(np.concatenate(sigs), np.concatenate(docs))
                     yield pa.RecordBatch.from_arrays(
@@ -229,9 +229,8 @@ def _pair_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         meta = np.array(size_col.is_valid())
         if meta.any():
             m = pa.array(meta)
-            n = int(meta.sum())
-            yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), doc_col.filter(m), pa.nulls(n, pa.int64()),
-                                              size_col.filter(m)], names=["sig", "a", "b", "size"])
+            yield pa.RecordBatch.from_arrays([c.filter(m) for c in (sig_col, doc_col, via_col, size_col)],
+                                             names=["sig", "a", "b", "size"])
         own = np.array(pc.equal(via_col, doc_col).fill_null(False))       # free rows that others stand behind
         local = np.array(via_col.is_valid()) & ~meta & ~own
         free = ~local & ~meta
@@ -261,7 +260,8 @@ def pair_up(rows: DataFrame) -> DataFrame:
     Rows that already have a leader travel by their document, so a signature
     that a third of all rows share does not meet in one task.
     """
-    key = F.coalesce(F.when(F.col("via").isNull() | (F.col("via") == F.col("doc_id")), F.col("sig")), F.col("doc_id"))
+    free = F.col("size").isNull() & (F.col("via").isNull() | (F.col("via") == F.col("doc_id")))
+    key = F.coalesce(F.when(free, F.col("sig")), F.col("doc_id"))
     return (rows.repartition(key).sortWithinPartitions("sig", "doc_id")
             .mapInArrow(trimmed(_pair_batches), "sig long, a long, b long, size long"))
 
@@ -332,42 +332,43 @@ def _near_batches(num: int, den: int):
 
 
 def scalars(sets: DataFrame, num: int, den: int) -> DataFrame:
-    """(doc_id, s, own) of the documents that can link at all: set size and shingles that no other document holds.
+    """(doc_id, k, size, sketch) of the sets that can link at all; k: set size s, shingles that no other document holds
+    (own) and the odd sketch.
 
     An intersection has at most s - own elements, so a document needs
-    den * (s - own) >= num * s.
+    den * (s - own) >= num * s. A repeated doc_id has a row for each of its sets, with own = 0.
     """
     own = (sets.select("doc_id", F.explode("shingles").alias("x")).groupBy("x")
            .agg(F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("last")).where("doc_id = last")
-           .groupBy("doc_id").agg(F.count("*").alias("own")))
-    size = sets.groupBy("doc_id").agg(F.max(F.size("shingles")).cast("long").alias("s"))
-    all_ = size.join(own, "doc_id", "left").select("doc_id", "s", F.coalesce("own", F.lit(0)).alias("own"))
-    return all_.where((F.col("s") - F.col("own")) * den >= F.col("s") * num)
+           .selectExpr("doc_id", "1L AS own", "0L AS n"))
+    own = (own.union(sets.selectExpr("doc_id", "0L AS own", "1L AS n")).groupBy("doc_id").agg(F.sum("own").alias("own"), F.sum("n").alias("n"))
+           .select("doc_id", F.when(F.col("n") == 1, F.col("own")).otherwise(0).alias("own")))
+    return (own.join(_sketch(sets), "doc_id").where((F.col("size") - F.col("own")) * den >= F.col("size") * num)
+            .select("doc_id", F.struct(F.col("size").alias("s"), "own", *ODD_WORDS).alias("k"), "size", "sketch"))
 
 
 def possible(num: int, den: int, a: str, b: str) -> Column:
-    """Can two documents with these scalars (structs of s, own and the odd sketch's words) link?"""
+    """Can two sets with these scalars (structs of s, own and the odd sketch's words) link?"""
     most = F.least(F.col(f"{a}.s") - F.col(f"{a}.own"), F.col(f"{b}.s") - F.col(f"{b}.own"))
     total = F.col(f"{a}.s") + F.col(f"{b}.s")
     differ = sum((F.bit_count(F.col(f"{a}.{w}").bitwiseXOR(F.col(f"{b}.{w}"))) for w in ODD_WORDS), F.lit(0))
     return (most * den >= (total - most) * num) & (differ * (den + num) <= total * (den - num))
 
 
-def verified(scratch: Scratch, step: int, pairs: DataFrame, sets: DataFrame, sketches: DataFrame, num: int,
+def verified(scratch: Scratch, step: int, pairs: DataFrame, sets: DataFrame, able: DataFrame, num: int,
              den: int) -> DataFrame:
     """The rows of ``pairs(a, b)`` whose sets have den * |intersection| >= num * |union|."""
-    ka = sketches.select(F.col("doc_id").alias("a"), F.col("size").alias("na"), F.col("sketch").alias("ka"))
-    kb = sketches.select(F.col("doc_id").alias("b"), F.col("size").alias("nb"), F.col("sketch").alias("kb"))
-    likely = scratch.put(pairs.join(ka, "a").join(kb, "b").select("a", "b", "na", "ka", "nb", "kb")
+    ka = able.select(F.col("doc_id").alias("a"), F.col("k").alias("ka"), F.col("size").alias("na"), F.col("sketch").alias("xa"))
+    kb = able.select(F.col("doc_id").alias("b"), F.col("k").alias("kb"), F.col("size").alias("nb"), F.col("sketch").alias("xb"))
+    likely = scratch.put(pairs.join(ka, "a").join(kb, "b").where(possible(num, den, "ka", "kb"))
+                         .select("a", "b", "na", "xa", "nb", "xb")
                          .mapInArrow(trimmed(_near_batches(num, den)), "a long, b long"), f"likely{step}")
     # a written list of ids has a known size: Spark broadcasts a short one, and only the sets needed are shuffled
-    need = scratch.put(likely.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), f"need{step}")
-    mine = sets.join(need, "doc_id", "left_semi")
-    left = mine.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
-    right = mine.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
+    left = sets.join(likely.select(F.col("a").alias("doc_id")), "doc_id", "left_semi").toDF("a", "sa")
+    right = sets.join(likely.select(F.col("b").alias("doc_id")), "doc_id", "left_semi").toDF("b", "sb")
     both = F.size(F.array_intersect("sa", "sb"))
     return (likely.join(left, "a").join(right, "b")
-            .where(both * den >= (F.size("sa") + F.size("sb") - both) * num).select("a", "b").distinct())
+            .where(both * den >= (F.size("sa") + F.size("sb") - both) * num).select("a", "b"))
 
 
 def _refine_batches(scheme: Scheme):
@@ -383,6 +384,19 @@ def _refine_batches(scheme: Scheme):
     return run
 
 
+# -------------------------------------------------------------------- equal sets
+def equal_sets(scratch: Scratch, meta: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, rep) of the documents with a set that a smaller document holds, too (rep: the smallest that does),
+    and those rows of documents that are one row of the input: a repeated doc_id may have other sets besides."""
+    key = ["k1", "k2", "n_shingles"]
+    held = meta.where("n_shingles > 0 AND doc_id IS NOT NULL")
+    several = scratch.put(held.groupBy(key).agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last"))
+                          .where("rep < last").drop("last"), "several")
+    equal = scratch.put(held.join(several, key).where("rep < doc_id").select("doc_id", "rep"), "equal")
+    repeated = scratch.put(held.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"), "repeated")
+    return equal, equal.join(repeated, "doc_id", "left_anti")
+
+
 # -------------------------------------------------------------------- operator
 def jaccard_components(spark: SparkSession, docs: DataFrame, width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest doc_id reachable by links)."""
@@ -390,26 +404,28 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, width: int = 5, num
     scheme = Scheme(num, den, 0, frequent_shingles(docs, width))
     rows = docs.select("doc_id", "text").mapInArrow(trimmed(_sign_batches(scheme, width)), ROWS)
     found = scratch.put(pair_up(rows), "found")
-    meta = scratch.put(found.where("size IS NOT NULL")
-                       .select(F.col("a").alias("doc_id"), F.col("size").alias("n_shingles")), "meta")
-    pairs = found.where("size IS NULL")
+    meta = scratch.put(found.where("size IS NOT NULL").select(F.col("a").alias("doc_id"), F.col("size").alias("n_shingles"),
+                                                              F.col("sig").alias("k1"), F.col("b").alias("k2")), "meta")
+    # of documents with equal sets only the smallest goes on; it has all their signatures
+    equal, copies = equal_sets(scratch, meta)
+    pairs = scratch.put(found.where("size IS NULL").select("sig", "a", "b")
+                        .join(copies.select(F.col("doc_id").alias("b")), "b", "left_anti"), "signed")
+    scratch.drop("found")
 
     # the round's pairs are (first member of a signature, other); first ones that have then met all others leave
     members = pairs.select("sig", F.col("b").alias("doc_id")).distinct()
-    todo = scratch.put(pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs0")
+    todo = (pairs.select("a", "b").distinct().join(copies.select(F.col("doc_id").alias("a"), "rep"), "a", "left")
+            .select(F.coalesce("rep", "a").alias("a"), "b").where("a <> b"))
+    todo = scratch.put(todo.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs0")
     ids = scratch.put(todo.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
     sets = scratch.put(shingle_sets(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi"), width), "sets")
-    sketches = scratch.put(_sketch(sets), "sketches")
-    able = scratch.put(scalars(sets, num, den).join(sketches.select("doc_id", *ODD_WORDS), "doc_id"), "able").select(
-        "doc_id", F.struct("s", "own", *ODD_WORDS).alias("k"))
-    todo = (todo.join(able.toDF("a", "ka"), "a").join(able.toDF("b", "kb"), "b").where(possible(num, den, "ka", "kb"))
-            .select("a", "b"))
+    able = scratch.put(scalars(sets, num, den), "able")
+    kept = able.select("doc_id", "k")
     members = scratch.put(members.join(able, "doc_id", "left_semi").select("sig", "doc_id"), "members0")
-    scratch.drop("found")
-    links = scratch.put(verified(scratch, 0, todo, sets, sketches, num, den), "links0")
-    for done in ("pairs0", "likely0", "need0", "ids"):
+    links = scratch.put(verified(scratch, 0, todo, sets, able, num, den).union(equal.select("rep", "doc_id")), "links0")
+    for done in ("signed", "pairs0", "likely0", "ids", "several", "equal", "repeated"):
         scratch.drop(done)
-    comp, linked, step, leaders = components(spark, Scratch(spark, "partenum-cc"), links), links.count(), 0, LEADERS
+    comp, step, leaders = components(spark, Scratch(spark, "partenum-cc"), links), 0, LEADERS
     while True:
         step += 1
         placed = (members.join(comp, members.doc_id == comp.node, "left")
@@ -425,7 +441,8 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, width: int = 5, num
                .groupBy("sig").agg(F.sum("n").alias("n"), F.max(F.struct("n", "comp")).alias("top"))
                .select("sig", (F.col("n") - F.col("top.n")).alias("outside"), F.col("top.comp").alias("top")))
         rest = scratch.put(grouped.join(top, "sig"), f"rest{step}")
-        if rest.isEmpty():
+        most = rest.agg(F.max("outside")).first()[0]
+        if most is None:
             break
         small, large = rest.where(F.col("outside") <= REFINE), rest.where(F.col("outside") > REFINE)
         # at most REFINE rows a signature are ranked
@@ -433,28 +450,30 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, width: int = 5, num
                   .withColumn("rank", F.row_number().over(Window.partitionBy("sig").orderBy("doc_id")))
                   .where(F.col("rank") <= leaders))
         first = scratch.put(ranked.select("sig", F.col("doc_id").alias("a"), F.col("comp").alias("comp_a")), f"first{step}")
-        leads = first.join(able.toDF("a", "ka"), "a")
-        todo = (small.join(able, "doc_id").join(leads, "sig").where("comp <> comp_a").where(possible(num, den, "k", "ka"))
+        leads = first.join(kept.toDF("a", "ka"), "a")
+        todo = (small.join(kept, "doc_id").join(leads, "sig").where("comp <> comp_a").where(possible(num, den, "k", "ka"))
                 .select(F.least("a", "doc_id").alias("a"), F.greatest("a", "doc_id").alias("b")))
         members = (small.select("sig", "doc_id")
                    .join(first.select("sig", F.col("a").alias("doc_id")), ["sig", "doc_id"], "left_anti"))
-        if not large.isEmpty():
+        if most > REFINE:
             own = large.groupBy("doc_id").agg(F.collect_set("sig").alias("sigs")).join(sets, "doc_id")
             fine = scratch.put(pair_up(own.select("doc_id", "sigs", "shingles")
                                        .mapInArrow(trimmed(_refine_batches(Scheme(num, den, step))), ROWS)), f"fine{step}")
             members = members.union(fine.select("sig", F.col("b").alias("doc_id")).distinct())
             met = fine.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-            todo = todo.union(met.join(able.toDF("a", "ka"), "a").join(able.toDF("b", "kb"), "b")
-                              .where(possible(num, den, "ka", "kb")).select("a", "b"))
+            todo = todo.union(met)
         members = scratch.put(members, f"members{step}")
         todo = scratch.put(todo.distinct(), f"pairs{step}")
-        links = scratch.put(links.union(verified(scratch, step, todo, sets, sketches, num, den)).distinct(), f"links{step}")
-        for done in (f"grouped{step}", f"rest{step}", f"first{step}", f"fine{step}", f"pairs{step}", f"likely{step}", f"need{step}",
-                     f"members{step - 1}", f"links{step - 1}"):
+        new = scratch.put(verified(scratch, step, todo, sets, able, num, den), f"new{step}")
+        if not new.isEmpty():
+            links = links.union(new)
+            comp = components(spark, Scratch(spark, "partenum-cc"), links)
+        for done in (f"grouped{step}", f"rest{step}", f"first{step}", f"fine{step}", f"pairs{step}", f"likely{step}",
+                     f"members{step - 1}"):
             scratch.drop(done)
+        if most <= min(leaders, REFINE):      # all members outside the largest components have met the others and left
+            break
         leaders *= GROWTH
-        if links.count() > linked:
-            comp, linked = components(spark, Scratch(spark, "partenum-cc"), links), links.count()
     return (meta.join(comp, meta.doc_id == comp.node, "left")
             .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")))
 

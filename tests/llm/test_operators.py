@@ -319,6 +319,30 @@ def test_partenum_near_copies(spark, monkeypatch):
         assert (got[i]["n_shingles"], got[i]["component_id"]) == want, i
 
 
+def test_partenum_equal_sets_go_on_once(spark, monkeypatch):
+    """Copies of a text (and texts with the same shingles) sign nothing beyond what the smallest of them does."""
+    seen, put = set(), partenum_join.Scratch.put
+
+    def noted(self, df, name):
+        out = put(self, df, name)
+        if name == "members0":
+            seen.update(r["doc_id"] for r in out.select("doc_id").collect())
+        return out
+
+    monkeypatch.setattr(partenum_join.Scratch, "put", noted)
+    base = prose(90, 3)
+    texts = [edited(base, 2, 0)] + [base] * 30 + [base.upper()] * 3 + [edited(base, 2, 1), "", None, "one", "one", prose(60, 8)]
+    other = prose(70, 9)
+    rows = list(enumerate(texts)) + [(50, base), (50, other), (51, other), (52, edited(other, 1, 1))]
+    table = spark.createDataFrame(spark.sparkContext.parallelize(rows, 3), "doc_id long, text string")
+    got = rows_of(partenum_join.jaccard_components(spark, table, 3, 90, 100))
+    for i, want in enumerate(brute_components(texts, 3, 90, 100)):
+        assert (got[i]["n_shingles"], got[i]["component_id"]) == want, i
+    # document 50 has two texts, so it goes on beside the smallest copy of the first, and joins both groups
+    assert {got[i]["component_id"] for i in (50, 51, 52)} == {got[1]["component_id"]}
+    assert not seen & set(range(2, 34))
+
+
 def test_partenum_links_across_slices(spark):
     """Documents 0 and 2 link, 0 and 1 do not; 1 and 2 lie in one slice and 1 holds all signatures that 0 and 2 share."""
     words = [f"w608x{k}" for k in range(10)]
