@@ -23,6 +23,8 @@ by which it meets others of its kind; so the empty rest that they all have in
 common is no signature. Which ones are left out changes the number of
 candidates, not the result; links are verified on whole sets.
 
+Of documents with equal sets (two hashes and the size of the whole set agree) only the
+smallest takes part in the steps below; the others are linked to it.
 Rows sharing a signature are sorted together, never gathered: each member is
 compared with the first one only (members of one slice of the input with the
 slice's first one, which is compared with the signature's; such a signature
@@ -413,7 +415,6 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, width: int = 5, num
     scratch.drop("found")
 
     # the round's pairs are (first member of a signature, other); first ones that have then met all others leave
-    members = pairs.select("sig", F.col("b").alias("doc_id")).distinct()
     todo = (pairs.select("a", "b").distinct().join(copies.select(F.col("doc_id").alias("a"), "rep"), "a", "left")
             .select(F.coalesce("rep", "a").alias("a"), "b").where("a <> b"))
     todo = scratch.put(todo.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs0")
@@ -421,7 +422,8 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, width: int = 5, num
     sets = scratch.put(shingle_sets(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi"), width), "sets")
     able = scratch.put(scalars(sets, num, den), "able")
     kept = able.select("doc_id", "k")
-    members = scratch.put(members.join(able, "doc_id", "left_semi").select("sig", "doc_id"), "members0")
+    members = scratch.put(pairs.join(able.select(F.col("doc_id").alias("b")), "b", "left_semi")
+                          .select("sig", F.col("b").alias("doc_id")).distinct(), "members0")
     links = scratch.put(verified(scratch, 0, todo, sets, able, num, den).union(equal.select("rep", "doc_id")), "links0")
     for done in ("signed", "pairs0", "likely0", "ids", "several", "equal", "repeated"):
         scratch.drop(done)
