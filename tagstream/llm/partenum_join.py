@@ -29,22 +29,24 @@ Rows sharing a signature are sorted together, never gathered: each member is
 compared with the first one only (members of one slice of the input with the
 slice's first one, which is compared with the signature's; such a signature
 keeps its first one as a member). Verified links form components. Signatures
-whose members still lie in different components are taken up again: members
-outside the signature's largest component become leaders, a few a round, meet
-the members of other components and leave, until nobody is left who has not
-met or been connected. Of these signatures, those with the same least member (by
-a hash) are taken up as one group with the members of all of them, so a pair
-that shares hundreds of signatures meets in a few groups. Groups with very many members outside their largest
-component are first refined by the signatures of a freshly seeded partition of
-the domain (a linked pair shares one of those, too). Shingles that no other
-candidate document holds bound a document's intersection with any other; they
-rule out most chance candidates and heavily edited copies without looking at
-pairs. Pairs of the leader rounds are tested where they arise by an odd sketch
-(parities of ODD * 64 hash buckets: each differing element flips one bit, so the
-differing bits never exceed the sets' difference); only those that pass are
-written. A pair that stays is verified by a sketch (element counts of 256 hash buckets: their total difference never
-exceeds the sets' difference), then on the whole sets. Nothing is capped and no
-pair is lost.
+whose members still lie in different components are taken up again. Of these,
+those with the same least member (by a hash) form one group with the members
+of all of them, so a pair that shares hundreds of signatures meets in a few
+groups. In a group every member outside the group's largest component meets all
+members of other components: up to REFINE such members are held as a block, and
+the group's rows stream past each block, sorted by component; a large group has
+many blocks, which go to different tasks. Pairs are tested where they meet: by
+the sets' sizes, by the shingles that no other candidate document holds (they
+bound a document's intersection with any other and rule out most chance
+candidates and heavily edited copies), and by an odd sketch (parities of
+ODD * 64 hash buckets: each differing element flips one bit, so the differing
+bits never exceed the sets' difference), folded first, then whole, and by element
+counts of SKETCH hash buckets (their total difference never exceeds the sets'
+difference). Of the pairs that pass, a member offers the first ``tries`` of each other component; one link
+is enough to join the two. A group in which there were more is taken up again
+with GROWTH times as many tries, unless the links found meanwhile have joined
+its members; rounds end when nothing was held back. A pair offered is verified
+on the whole sets. Nothing is capped and no pair is lost.
 
 Defined cases: null and empty texts and texts without words have an empty set
 and link with nothing; texts with fewer words than the shingle width have one
@@ -62,18 +64,20 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagstream.llm.common import Scratch, TextBatch, components, mix64, trimmed, word_hashes
 
 N2, K2 = 3, 1            # cells per part, differing cells tolerated
 SUBSETS = ((0, 1), (0, 2), (1, 2))
-LEADERS = 64         # members of a signature that meet all others in the first round
-GROWTH = 32          # their growth from round to round
-REFINE = 2048        # members outside a signature's largest component from which it is refined
+REFINE = 2048        # members outside a group's largest component that a task holds while the group passes by
+TRIES = 64           # pairs that such a member offers for each other component in the first round
+GROWTH = 64          # their growth from round to round
+TILE = 1 << 18       # pairs that are looked at together
 SKETCH = 256
-ODD = 8              # 64-bit words of the odd sketch
+ODD = 32             # 64-bit words of the odd sketch
+FOLD = 8             # words to which it is folded for the first look
 SAMPLE_DOCS = 4_000      # expected documents of the sample that shows frequent shingles
 FREQUENT = 6            # its documents (different sets) from which a shingle counts as frequent
 MAX_FREQUENT = 50_000    # the most frequent ones; they travel with the tasks
@@ -297,48 +301,67 @@ def frequent_shingles(docs: DataFrame, width: int) -> np.ndarray:
     return np.sort(rows["s"].to_numpy(np.int64).astype(np.uint64))
 
 
-ODD_WORDS = [f"o{w}" for w in range(ODD)]
-
-
 def _sketch(sets: DataFrame) -> DataFrame:
-    """(doc_id, size, sketch, o0, o1, ...): element counts of SKETCH hash buckets, at most 255 each, as bytes, and
-    the parities of ODD * 64 other buckets as longs."""
+    """(doc_id, size, odd, sketch): the parities of ODD * 64 hash buckets as bytes, and element counts of SKETCH other
+    buckets, at most 255 each."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sizes, out, odd = [], [], np.zeros((len(b), ODD), np.int64)
-            for i, s in enumerate(b.column(1)):
+            sizes, odd, out = [], [], []
+            for s in b.column(1):
                 h = s.values.to_numpy(zero_copy_only=False).view(np.uint64)
+                sizes.append(len(h))
+                bit = ((h >> np.uint64(20)) % np.uint64(ODD * 64)).astype(np.int64)
+                odd.append(np.packbits(np.bincount(bit, minlength=ODD * 64).astype(np.uint8) & 1).tobytes())
                 bucket = (h % np.uint64(SKETCH)).astype(np.int64)
-                sizes.append(len(bucket))
                 out.append(np.minimum(np.bincount(bucket, minlength=SKETCH), 255).astype(np.uint8).tobytes())
-                bit = ((h >> np.uint64(20)) % np.uint64(ODD * 64)).astype(np.int64)
-                odd[i] = np.packbits(np.bincount(bit, minlength=ODD * 64).astype(np.uint8) & 1).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(sizes, pa.int64()), pa.array(out, pa.binary()),
-                 *[pa.array(np.ascontiguousarray(odd[:, w])) for w in range(ODD)]],
-                names=["doc_id", "size", "sketch", *ODD_WORDS])
+                [b.column(0), pa.array(sizes, pa.int64()), pa.array(odd, pa.binary()), pa.array(out, pa.binary())],
+                names=["doc_id", "size", "odd", "sketch"])
+
+    return sets.mapInArrow(trimmed(run), "doc_id long, size long, odd binary, sketch binary")
+
+
+def _words(column: pa.Array) -> np.ndarray:
+    """The odd sketches of a column, a row of words each."""
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(len(column), ODD)
+
+
+def _folded(odd: np.ndarray) -> np.ndarray:
+    """Odd sketches with fewer buckets."""
+    return np.bitwise_xor.reduce(odd.reshape(len(odd), ODD // FOLD, FOLD), axis=1)
+
 
-    return sets.mapInArrow(trimmed(run), "doc_id long, size long, sketch binary, " + ", ".join(f"{w} long" for w in ODD_WORDS))
+def _differing(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Differing bits, row by row."""
+    return np.bitwise_count(x ^ y).sum(1, dtype=np.int64)
+
+
+def _counts(column: pa.Array) -> np.ndarray:
+    """The element counts of a column, a row of buckets each."""
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), SKETCH)
+
+
+def _apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Total difference of element counts, row by row."""
+    return np.abs(x.astype(np.int16) - y.astype(np.int16)).sum(1, dtype=np.int64)
 
 
 def _near_batches(num: int, den: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            n = len(b)
-            x, y = (np.frombuffer(b"".join(b.column(i).to_pylist()), np.uint8).reshape(n, SKETCH).astype(np.int16)
-                    for i in (3, 5))
-            total = b.column(2).to_numpy() + b.column(4).to_numpy()
-            ok = pa.array(np.abs(x - y).sum(1, dtype=np.int64) * (den + num) <= total * (den - num))
-            yield pa.RecordBatch.from_arrays([b.column(0).filter(ok), b.column(1).filter(ok)], names=["a", "b"])
+            total = b.column(2).to_numpy() + b.column(5).to_numpy()
+            ok = np.flatnonzero(_differing(_words(b.column(3)), _words(b.column(6))) * (den + num) <= total * (den - num))
+            x, y = (_counts(b.column(i).take(pa.array(ok))) for i in (4, 7))
+            ok = pa.array(ok[_apart(x, y) * (den + num) <= total[ok] * (den - num)])
+            yield pa.RecordBatch.from_arrays([b.column(0).take(ok), b.column(1).take(ok)], names=["a", "b"])
     return run
 
 
 def scalars(sets: DataFrame, num: int, den: int) -> DataFrame:
-    """(doc_id, k, size, sketch) of the sets that can link at all; k: set size s, shingles that no other document holds
-    (own) and the odd sketch.
+    """(doc_id, size, most, odd, sketch) of the sets that can link at all; most: shingles that another document holds, too.
 
-    An intersection has at most s - own elements, so a document needs
-    den * (s - own) >= num * s. A repeated doc_id has a row for each of its sets, with own = 0.
+    An intersection has at most ``most`` elements, so a document needs den * most >= num * size. A repeated doc_id has
+    a row for each of its sets, with most = size.
     """
     own = (sets.select("doc_id", F.explode("shingles").alias("x")).groupBy("x")
            .agg(F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("last")).where("doc_id = last")
@@ -346,46 +369,137 @@ def scalars(sets: DataFrame, num: int, den: int) -> DataFrame:
     own = (own.union(sets.selectExpr("doc_id", "0L AS own", "1L AS n")).groupBy("doc_id").agg(F.sum("own").alias("own"), F.sum("n").alias("n"))
            .select("doc_id", F.when(F.col("n") == 1, F.col("own")).otherwise(0).alias("own")))
     return (own.join(_sketch(sets), "doc_id").where((F.col("size") - F.col("own")) * den >= F.col("size") * num)
-            .select("doc_id", F.struct(F.col("size").alias("s"), "own", *ODD_WORDS).alias("k"), "size", "sketch"))
+            .select("doc_id", "size", (F.col("size") - F.col("own")).alias("most"), "odd", "sketch"))
 
 
-def possible(num: int, den: int, a: str, b: str) -> Column:
-    """Can two sets with these scalars (structs of s, own and the odd sketch's words) link?"""
-    most = F.least(F.col(f"{a}.s") - F.col(f"{a}.own"), F.col(f"{b}.s") - F.col(f"{b}.own"))
-    total = F.col(f"{a}.s") + F.col(f"{b}.s")
-    differ = sum((F.bit_count(F.col(f"{a}.{w}").bitwiseXOR(F.col(f"{b}.{w}"))) for w in ODD_WORDS), F.lit(0))
-    return (most * den >= (total - most) * num) & (differ * (den + num) <= total * (den - num))
+def likely(pairs: DataFrame, able: DataFrame, num: int, den: int) -> DataFrame:
+    """The rows of ``pairs(a, b)`` whose sizes and sketches allow a link."""
+    ka, kb = able.toDF("a", "na", "ma", "oa", "xa"), able.toDF("b", "nb", "mb", "ob", "xb")
+    most = F.least("ma", "mb")
+    return (pairs.join(ka, "a").join(kb, "b").where(most * den >= (F.col("na") + F.col("nb") - most) * num)
+            .select("a", "b", "na", "oa", "xa", "nb", "ob", "xb")
+            .mapInArrow(trimmed(_near_batches(num, den)), "a long, b long"))
 
 
-def verified(scratch: Scratch, step: int, pairs: DataFrame, sets: DataFrame, able: DataFrame, num: int,
-             den: int) -> DataFrame:
-    """The rows of ``pairs(a, b)`` whose sets have den * |intersection| >= num * |union|."""
-    ka = able.select(F.col("doc_id").alias("a"), F.col("k").alias("ka"), F.col("size").alias("na"), F.col("sketch").alias("xa"))
-    kb = able.select(F.col("doc_id").alias("b"), F.col("k").alias("kb"), F.col("size").alias("nb"), F.col("sketch").alias("xb"))
-    likely = scratch.put(pairs.join(ka, "a").join(kb, "b").where(possible(num, den, "ka", "kb"))
-                         .select("a", "b", "na", "xa", "nb", "xb")
-                         .mapInArrow(trimmed(_near_batches(num, den)), "a long, b long"), f"likely{step}")
+def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """The rows of the written table ``pairs(a, b)`` whose sets have den * |intersection| >= num * |union|."""
     # a written list of ids has a known size: Spark broadcasts a short one, and only the sets needed are shuffled
-    left = sets.join(likely.select(F.col("a").alias("doc_id")), "doc_id", "left_semi").toDF("a", "sa")
-    right = sets.join(likely.select(F.col("b").alias("doc_id")), "doc_id", "left_semi").toDF("b", "sb")
+    left = sets.join(pairs.select(F.col("a").alias("doc_id")), "doc_id", "left_semi").toDF("a", "sa")
+    right = sets.join(pairs.select(F.col("b").alias("doc_id")), "doc_id", "left_semi").toDF("b", "sb")
     both = F.size(F.array_intersect("sa", "sb"))
-    return (likely.join(left, "a").join(right, "b")
+    return (pairs.join(left, "a").join(right, "b")
             .where(both * den >= (F.size("sa") + F.size("sb") - both) * num).select("a", "b"))
 
 
-def _refine_batches(scheme: Scheme):
+# ------------------------------------------------------------- members of a group
+class Block:
+    """Members of one group held by a task, and what they have offered to the component that passes by."""
+
+    def __init__(self, num: int, den: int, tries: int) -> None:
+        self.num, self.den, self.tries = num, den, tries
+        self.parts: list[tuple[np.ndarray, ...]] = []
+        self.whole: tuple[np.ndarray, ...] | None = None
+        self.offered, self.to, self.more = np.zeros(0, np.int64), None, False
+
+    def hold(self, rows: tuple[np.ndarray, ...]) -> None:
+        self.parts.append(rows)
+
+    def meet(self, rows: tuple[np.ndarray, ...]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs (held, passing) of documents that may link; ``rows`` come sorted by component."""
+        if self.whole is None:
+            if not self.parts:
+                return
+            self.whole = tuple(np.concatenate(x) for x in zip(*self.parts))
+            self.offered = np.zeros(len(self.whole[0]), np.int64)
+        step = max(1, TILE // len(self.whole[0]))
+        for lo in range(0, len(rows[0]), step):
+            yield self._tile(tuple(x[lo:lo + step] for x in rows))
+
+    def _tile(self, rows: tuple[np.ndarray, ...]) -> tuple[np.ndarray, np.ndarray]:
+        doc, comp, _, size, most, odd, fold, count = self.whole
+        doc2, comp2, top2, size2, most2, odd2, fold2, count2 = rows
+        num, den = self.num, self.den
+        differ = np.zeros((len(doc2), len(doc)), np.uint16)
+        for w in range(FOLD):
+            differ += np.bitwise_count(fold2[:, w, None] ^ fold[None, :, w])
+        # of two members outside the largest component only the smaller one offers
+        ok = (differ.astype(np.int64) * (den + num) <= (size2[:, None] + size) * (den - num)) & (comp2[:, None] != comp)
+        m, h = np.nonzero(ok & (top2[:, None] | (doc2[:, None] > doc)))
+        least, total = np.minimum(most2[m], most[h]), size2[m] + size[h]
+        ok = least * den >= (total - least) * num
+        m, h, total = m[ok], h[ok], total[ok]
+        ok = _differing(odd2[m], odd[h]) * (den + num) <= total * (den - num)
+        m, h, total = m[ok], h[ok], total[ok]
+        ok = _apart(count2[m], count[h]) * (den + num) <= total * (den - num)
+        m, h = m[ok], h[ok]
+        # the how manyeth offer of a held member to a component; one component may pass in several tiles
+        order = np.lexsort((m, comp2[m], h))
+        m, h = m[order], h[order]
+        first = np.ones(len(m), bool)
+        first[1:] = (h[1:] != h[:-1]) | (comp2[m[1:]] != comp2[m[:-1]])
+        rank = np.arange(len(m)) - np.maximum.accumulate(np.where(first, np.arange(len(m)), 0))
+        rank += np.where(comp2[m] == self.to, self.offered[h], 0) if self.to is not None else 0
+        last = comp2[-1]
+        if self.to is None or last != self.to:
+            self.offered[:] = 0
+            self.to = last
+        ends = comp2[m] == last
+        np.maximum.at(self.offered, h[ends], rank[ends] + 1)
+        keep = rank < self.tries
+        self.more |= not keep.all()
+        return doc[h[keep]], doc2[m[keep]]
+
+
+def _meet_batches(num: int, den: int, tries: int):
+    """Rows sorted by (sig, block, held first, comp) -> pairs (sig, a, b), and (sig, null, null) where there are more."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, block = None, None
         for b in batches:
-            for doc, sigs, elements in zip(*(c.to_pylist() for c in b.columns)):
-                new = scheme.signatures(np.array(elements, np.int64).astype(np.uint64))
-                for s in sigs:
-                    joint = mix64(new + mix64(np.array([s], np.int64).astype(np.uint64))).astype(np.int64)
-                    none = pa.nulls(len(joint), pa.int64())
-                    yield pa.RecordBatch.from_arrays([pa.array(joint), pa.array(np.full(len(joint), doc, np.int64)),
-                                                      none, none], names=["sig", "doc_id", "via", "size"])
+            sig, part, passing, doc, comp, top, size, most = (b.column(i).to_numpy(zero_copy_only=False) for i in range(8))
+            odd = _words(b.column(8))
+            rows = (doc, comp, top, size, most, odd, _folded(odd), _counts(b.column(9)))
+            cut = (sig[1:] != sig[:-1]) | (part[1:] != part[:-1]) | (passing[1:] != passing[:-1])
+            edges = np.concatenate([[0], np.flatnonzero(cut) + 1, [len(sig)]])
+            sigs, xs, ys, more = [], [], [], []
+            for lo, hi in zip(edges[:-1], edges[1:]):
+                if (sig[lo], part[lo]) != at:
+                    at, block = (sig[lo], part[lo]), Block(num, den, tries)
+                run_ = tuple(x[lo:hi] for x in rows)
+                if not passing[lo]:
+                    block.hold(run_)
+                    continue
+                before = block.more
+                for x, y in block.meet(run_):
+                    sigs.append(np.full(len(x), sig[lo]))
+                    xs.append(np.minimum(x, y))
+                    ys.append(np.maximum(x, y))
+                if block.more and not before:
+                    more.append(sig[lo])
+            if xs:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (sigs, xs, ys)], names=["sig", "a", "b"])
+            if more:
+                none = pa.nulls(len(more), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(np.array(more, np.int64)), none, none], names=["sig", "a", "b"])
     return run
 
 
+def meetings(rest: DataFrame, able: DataFrame, num: int, den: int, tries: int) -> DataFrame:
+    """(sig, a, b) from a group's rows (sig, doc_id, comp, outside, top): see the module's text."""
+    blocks = F.ceil(F.col("outside") / REFINE).cast("int")
+    outer = F.col("comp") != F.col("top")
+    rows = (rest.select("sig", "doc_id", "comp", (~outer).alias("in_top"), blocks.alias("blocks"))
+            .join(able, "doc_id"))
+    held = (rows.where("NOT in_top")
+            .withColumn("block", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.col("blocks")).cast("int"))
+            .withColumn("passing", F.lit(False)))
+    passing = (rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+               .withColumn("passing", F.lit(True)))
+    columns = ["sig", "block", "passing", "doc_id", "comp", "in_top", "size", "most", "odd", "sketch"]
+    return (held.select(columns).union(passing.select(columns)).repartition("sig", "block")
+            .sortWithinPartitions("sig", "block", "passing", "comp", "doc_id")
+            .mapInArrow(trimmed(_meet_batches(num, den, tries)), "sig long, a long, b long"))
+
+
 # -------------------------------------------------------------------- equal sets
 def equal_sets(scratch: Scratch, meta: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows (doc_id, rep) of the documents with a set that a smaller document holds, too (rep: the smallest that does),
@@ -421,13 +535,13 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, width: int = 5, num
     ids = scratch.put(todo.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
     sets = scratch.put(shingle_sets(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi"), width), "sets")
     able = scratch.put(scalars(sets, num, den), "able")
-    kept = able.select("doc_id", "k")
     members = scratch.put(pairs.join(able.select(F.col("doc_id").alias("b")), "b", "left_semi")
                           .select("sig", F.col("b").alias("doc_id")).distinct(), "members0")
-    links = scratch.put(verified(scratch, 0, todo, sets, able, num, den).union(equal.select("rep", "doc_id")), "links0")
+    links = scratch.put(verified(scratch.put(likely(todo, able, num, den), "likely0"), sets, num, den)
+                        .union(equal.select("rep", "doc_id")), "links0")
     for done in ("signed", "pairs0", "likely0", "ids", "several", "equal", "repeated"):
         scratch.drop(done)
-    comp, step, leaders = components(spark, Scratch(spark, "partenum-cc"), links), 0, LEADERS
+    comp, step, tries = components(spark, Scratch(spark, "partenum-cc"), links), 0, TRIES
     while True:
         step += 1
         placed = (members.join(comp, members.doc_id == comp.node, "left")
@@ -442,40 +556,19 @@ def jaccard_components(spark: SparkSession, docs: DataFrame, width: int = 5, num
         top = (grouped.groupBy("sig", "comp").agg(F.count("*").alias("n"))
                .groupBy("sig").agg(F.sum("n").alias("n"), F.max(F.struct("n", "comp")).alias("top"))
                .select("sig", (F.col("n") - F.col("top.n")).alias("outside"), F.col("top.comp").alias("top")))
-        rest = scratch.put(grouped.join(top, "sig"), f"rest{step}")
-        most = rest.agg(F.max("outside")).first()[0]
-        if most is None:
-            break
-        small, large = rest.where(F.col("outside") <= REFINE), rest.where(F.col("outside") > REFINE)
-        # at most REFINE rows a signature are ranked
-        ranked = (small.where("comp <> top")
-                  .withColumn("rank", F.row_number().over(Window.partitionBy("sig").orderBy("doc_id")))
-                  .where(F.col("rank") <= leaders))
-        first = scratch.put(ranked.select("sig", F.col("doc_id").alias("a"), F.col("comp").alias("comp_a")), f"first{step}")
-        leads = first.join(kept.toDF("a", "ka"), "a")
-        todo = (small.join(kept, "doc_id").join(leads, "sig").where("comp <> comp_a").where(possible(num, den, "k", "ka"))
-                .select(F.least("a", "doc_id").alias("a"), F.greatest("a", "doc_id").alias("b")))
-        members = (small.select("sig", "doc_id")
-                   .join(first.select("sig", F.col("a").alias("doc_id")), ["sig", "doc_id"], "left_anti"))
-        if most > REFINE:
-            own = large.groupBy("doc_id").agg(F.collect_set("sig").alias("sigs")).join(sets, "doc_id")
-            fine = scratch.put(pair_up(own.select("doc_id", "sigs", "shingles")
-                                       .mapInArrow(trimmed(_refine_batches(Scheme(num, den, step))), ROWS)), f"fine{step}")
-            members = members.union(fine.select("sig", F.col("b").alias("doc_id")).distinct())
-            met = fine.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-            todo = todo.union(met)
-        members = scratch.put(members, f"members{step}")
-        todo = scratch.put(todo.distinct(), f"pairs{step}")
-        new = scratch.put(verified(scratch, step, todo, sets, able, num, den), f"new{step}")
+        met = scratch.put(meetings(grouped.join(top, "sig"), able, num, den, tries), f"met{step}")
+        near = scratch.put(met.where("a IS NOT NULL").select("a", "b").distinct(), f"likely{step}")
+        new = scratch.put(verified(near, sets, num, den), f"new{step}")
         if not new.isEmpty():
             links = links.union(new)
             comp = components(spark, Scratch(spark, "partenum-cc"), links)
-        for done in (f"grouped{step}", f"rest{step}", f"first{step}", f"fine{step}", f"pairs{step}", f"likely{step}",
-                     f"members{step - 1}"):
-            scratch.drop(done)
-        if most <= min(leaders, REFINE):      # all members outside the largest components have met the others and left
+        more = met.where("a IS NULL").select("sig").distinct()
+        if more.isEmpty():                    # all members outside the largest components have met the others
             break
-        leaders *= GROWTH
+        members = scratch.put(grouped.join(more, "sig", "left_semi").select("sig", "doc_id"), f"members{step}")
+        for done in (f"grouped{step}", f"met{step}", f"likely{step}", f"members{step - 1}"):
+            scratch.drop(done)
+        tries *= GROWTH
     return (meta.join(comp, meta.doc_id == comp.node, "left")
             .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")))
 

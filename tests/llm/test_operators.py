@@ -343,6 +343,67 @@ def test_partenum_equal_sets_go_on_once(spark, monkeypatch):
     assert not seen & set(range(2, 34))
 
 
+@pytest.mark.parametrize("tries,rounds", [(partenum_join.TRIES, 1), (1, 6)])
+def test_partenum_large_families_meet_in_few_rounds(spark, monkeypatch, tries, rounds):
+    """Members outside a group's largest component, more than a task holds: no round is repeated for them."""
+    steps, put = set(), partenum_join.Scratch.put
+
+    def noted(self, df, name):
+        if name.startswith("new"):
+            steps.add(int(name[3:]))
+        return put(self, df, name)
+
+    monkeypatch.setattr(partenum_join.Scratch, "put", noted)
+    monkeypatch.setattr(partenum_join, "REFINE", 4)
+    monkeypatch.setattr(partenum_join, "TRIES", tries)
+    monkeypatch.setattr(partenum_join, "GROWTH", 2)
+    base = prose(150, 3)
+    texts = [edited(base, 3 + i % 6, i) for i in range(36)]                 # next to none of them link with each other
+    texts += [edited(texts[i], 1, 70 + i) for i in range(0, 12, 2)] + [edited(base, i % 2, 90 + i) for i in range(9)]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = rows_of(partenum_join.jaccard_components(spark, table, 3, 90, 100))
+    for i, want in enumerate(brute_components(texts, 3, 90, 100)):
+        assert (got[i]["n_shingles"], got[i]["component_id"]) == want, i
+    assert steps and max(steps) <= rounds
+
+
+def test_partenum_block_offers_every_pair():
+    """Held members against passing ones: tiles, batches, tries; nothing but what was reported as more is missing."""
+    rng = np.random.default_rng(4)
+    base = np.unique(rng.integers(1, 1 << 63, 60).astype(np.uint64))
+    sets = [np.union1d(rng.permutation(base)[int(rng.integers(0, 5)):], rng.integers(1, 1 << 63, 1).astype(np.uint64))
+            for _ in range(50)]
+    sets += [np.union1d(s[1:], rng.integers(1, 1 << 63, 1).astype(np.uint64)) for s in sets[:10]]
+
+    def row(i, comp):
+        bits = np.bincount((sets[i] >> np.uint64(20)) % np.uint64(partenum_join.ODD * 64), minlength=partenum_join.ODD * 64)
+        odd = np.packbits(bits.astype(np.uint8) & 1).tobytes()
+        count = np.bincount(sets[i] % np.uint64(partenum_join.SKETCH), minlength=partenum_join.SKETCH).astype(np.uint8)
+        return dict(sig=5, block=0, doc_id=i, comp=comp, in_top=comp == 0, size=len(sets[i]), most=len(sets[i]), odd=odd,
+                    sketch=count.tobytes())
+
+    import pyarrow as pa
+    comp = [0 if i < 20 else 10 + i // 3 for i in range(len(sets))]
+    rows = sorted((row(i, c) for i, c in enumerate(comp)), key=lambda r: (r["comp"], r["doc_id"]))
+    rows = [r | {"passing": False} for r in rows if not r["in_top"]] + [r | {"passing": True} for r in rows]
+    names = ["sig", "block", "passing", "doc_id", "comp", "in_top", "size", "most", "odd", "sketch"]
+    link = lambda x, y, both: 100 * both >= 90 * (len(x) + len(y) - both)           # noqa: E731
+    wanted = {(i, j) for i in range(len(sets)) for j in range(i) if comp[i] != comp[j]
+              and link(sets[i], sets[j], len(np.intersect1d(sets[i], sets[j])))}
+    wanted = {(j, i) for i, j in wanted}
+    assert len(wanted) > 20
+    batches = [pa.RecordBatch.from_pylist([{n: r[n] for n in names} for r in rows[k:k + 13]]) for k in range(0, len(rows), 13)]
+    offers = {}
+    for tries in (1, 100):
+        out = [r for b in partenum_join._meet_batches(90, 100, tries)(iter(batches)) for r in b.to_pylist()]
+        offers[tries] = {(r["a"], r["b"]) for r in out if r["a"] is not None}
+        assert [r["sig"] for r in out if r["a"] is None] == [5] * (tries == 1)
+    assert wanted <= offers[100] and offers[1] < offers[100]
+    # one of each component is offered
+    held = lambda pairs: {(h, comp[p]) for x in pairs for h, p in (x, x[::-1]) if comp[h]}      # noqa: E731
+    assert {c for _, c in held(offers[1])} == {c for _, c in held(offers[100])}
+
+
 def test_partenum_links_across_slices(spark):
     """Documents 0 and 2 link, 0 and 1 do not; 1 and 2 lie in one slice and 1 holds all signatures that 0 and 2 share."""
     words = [f"w608x{k}" for k in range(10)]
